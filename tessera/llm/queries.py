@@ -5,9 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.mixing import mix
+from tessera.llm.packing import pack_documents
 from tessera.llm.simhash import simhash_dedup
 
 
+try:
+    import public_tokenizers
+
+    #: The tokenizer file of op10, where the package of public tokenizers is installed.
+    TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+except ImportError:
+    TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -20,9 +31,19 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_source_mix": op7_source_mix,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE_SQL = {
@@ -35,4 +56,36 @@ ORACLE_SQL = {
         FROM documents
         WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op7_source_mix": """
+        WITH sized AS (
+            SELECT doc_id, source, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS at,
+                   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
+            FROM documents),
+        per AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   [5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS weight
+            FROM sized GROUP BY source),
+        -- the level of the water: with c sources capped, (total - their caps) / (weights of the others)
+        levels AS (
+            SELECT max((t.total - p.capped) / p.rest) AS level
+            FROM (SELECT coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
+                         sum(weight) OVER (ORDER BY 3 * source_size / weight, source NULLS LAST
+                              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM per) p,
+                 (SELECT sum(source_size) AS total FROM per) t),
+        targets AS (
+            SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), level * weight) AS target,
+                   CAST(floor(least(CAST(3 * source_size AS DOUBLE), level * weight) + 0.5) AS BIGINT) AS quota
+            FROM per, levels),
+        placed AS (
+            SELECT s.doc_id, s.size, t.source_size, t.target, t.quota,
+                   CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.at, s.doc_id, s.size
+                                          ROWS UNBOUNDED PRECEDING) - s.size AS BIGINT) AS start
+            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               CASE WHEN size = 0 THEN 0 ELSE
+                   CAST(quota // source_size * size + greatest(0, least(size, quota % source_size - start)) AS BIGINT)
+               END AS taken
+        FROM placed
+    """,
 }
