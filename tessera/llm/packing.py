@@ -133,6 +133,21 @@ def _fillings(have: list[int], counts: dict[int, int], free: int, slack: int, mo
     return kept
 
 
+def lower_bound(lengths: dict[int, int], room: int) -> int:
+    """Bins needed at least (Martello and Toth's L2): items over room - k stay alone but for items under k."""
+    counts = np.zeros(room + 1, np.int64)
+    for x, n in lengths.items():
+        counts[x] = n
+    number, words = np.cumsum(counts), np.cumsum(counts * np.arange(room + 1))
+    half, best = room // 2, 0
+    for k in range(half + 1):
+        alone, large = number[room] - number[room - k], number[room - k] - number[half]
+        free = large * room - (words[room - k] - words[half])
+        small = words[half] - (words[k - 1] if k else 0)
+        best = max(best, alone + large + max(0, -(-(small - free) // room)))
+    return int(best)
+
+
 def _greedy(lengths: dict[int, int], room: int) -> list[tuple[int, tuple[int, ...]]]:
     """Best-fit decreasing: the largest item, then again and again the largest that fits; equal bins at once."""
     import bisect
@@ -163,10 +178,10 @@ def pack_lengths(lengths: dict[int, int], room: int = 2048, nodes: int = 40_000,
     least waste first, and a branch is cut when its waste exceeds what a better solution than the incumbent may
     waste. The first incumbent is best-fit decreasing. A filling is used as often as the counts allow, so the depth
     is bounded by the number of lengths, not by the number of items. The search ends at the lower bound
-    (total / room) or after `nodes` nodes with the best incumbent.
+    or after `nodes` nodes with the best incumbent.
     """
     total = sum(x * n for x, n in lengths.items())
-    least = -(-total // room)
+    least = lower_bound(lengths, room)
     best = _greedy(lengths, room)
     best_bins = sum(t for t, _ in best)
     seen = 0
