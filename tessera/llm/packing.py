@@ -12,42 +12,80 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import save
+from tessera.llm.common import LOWER_AZ, save
 
-#: Words kept in a Python worker's cache of token ids.
-CACHE_WORDS = 300_000
+#: Words kept in a Python worker's cache of token ids; the frequent ones come early.
+CACHE_WORDS = 500_000
 _loaded: dict[str, tuple] = {}
 
 
+def _is_plain(word: str) -> int:
+    """The number of pre-tokens (1 or 2) of a lower-case Latin word with at most one stop or comma behind; 0: not one."""
+    core = word[:-1] if word[-1] in ".," else word
+    return (1 + (core is not word)) if core.isalpha() and core.islower() and max(core) < "\u0250" else 0
+
+
 def word_ids(tokenizer_file: str) -> Callable[[list[bytes]], list[bytes]]:
-    """Little-endian uint32 ids of each word. The tokenizer never joins text across white space, so words can be cached."""
+    """Little-endian uint32 ids of each word.
+
+    The tokenizer never joins text across white space, so words can be coded alone and cached. Plain words that the
+    cache lacks are coded together, and cut where a token ends a word; all others are coded one by one.
+    """
     if tokenizer_file not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded[tokenizer_file] = Tokenizer.from_file(tokenizer_file), {}
-    tokenizer, cache = _loaded[tokenizer_file]
+        made = Tokenizer.from_file(tokenizer_file)
+        ends = np.zeros(made.get_vocab_size(), bool)
+        ends[[i for token, i in made.get_vocab().items() if token.endswith("</w>")]] = True
+        _loaded[tokenizer_file] = made, ends, {}
+    tokenizer, ends, cache = _loaded[tokenizer_file]
+
+    def together(words: list[str], parts: list[int]) -> list[bytes] | None:
+        coded = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(ends[coded]) + 1
+        last = np.cumsum(parts) - 1
+        if len(stops) != last[-1] + 1:
+            return None
+        raw, cuts = coded.tobytes(), [0, *(4 * stops[last]).tolist()]
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def alone(words: list[str]) -> list[bytes]:
+        return [np.array(c.ids, "<u4").tobytes() for c in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def ids(words: list[bytes]) -> list[bytes]:
-        new = [w for w in dict.fromkeys(words) if w not in cache]
-        if not new:
-            return [cache[w] for w in words]
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = list(dict.fromkeys(words))
+        new = list({w for w in words if w not in cache})
         found = {}
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            coded = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            found.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(some, coded, strict=True))
+        for at in range(0, len(new), 1000):
+            plain, parts, odd = [], [], []
+            for raw in new[at : at + 1000]:
+                w = raw.decode("utf-8", "replace")
+                if n := _is_plain(w):
+                    plain.append((raw, w))
+                    parts.append(n)
+                else:
+                    odd.append((raw, w))
+            coded = together([w for _, w in plain], parts) if plain else []
+            if coded is None:
+                coded = alone([w for _, w in plain])
+            found.update(zip([raw for raw, _ in plain], coded, strict=True))
+            found.update(zip([raw for raw, _ in odd], alone([w for _, w in odd]), strict=True))
         if len(cache) + len(found) <= CACHE_WORDS:
             cache.update(found)
+            found = {}
+        if not found:
             return [cache[w] for w in words]
-        return [found[w] for w in words]
+        return [found[w] if w in found else cache[w] for w in words]
 
     return ids
 
 
+def text_words(text: bytes | None) -> list[bytes]:
+    """The words of a text, A-Z lower-cased as the tokenizer does itself; not where a special token may stand."""
+    text = text or b""
+    return (text if b"<|" in text else text.translate(LOWER_AZ)).split()
+
+
 def _piece_batches(tokenizer_file: str, room: int, end_id: int, group: int = 2000):
     names = ["id", "piece", "start", "length", "ids_crc32"]
 
@@ -56,7 +94,7 @@ def _piece_batches(tokenizer_file: str, room: int, end_id: int, group: int = 200
         for batch in batches:
             for at in range(0, batch.num_rows, group):
                 part = batch.slice(at, group)
-                split = [(t or b"").split() for t in part.column(1).to_pylist()]
+                split = [text_words(t) for t in part.column(1).to_pylist()]
                 coded = ids([w for words in split for w in words])
                 whose, rows, base = [], [], 0
                 for row, words in enumerate(split):
@@ -171,7 +209,7 @@ def _greedy(lengths: dict[int, int], room: int) -> list[tuple[int, tuple[int, ..
     return plan
 
 
-def pack_lengths(lengths: dict[int, int], room: int = 2048, nodes: int = 40_000, branch: int = 6, tries: int = 400) -> list[tuple[int, tuple[int, ...]]]:
+def pack_lengths(lengths: dict[int, int], room: int = 2048, nodes: int = 3_000, branch: int = 6, tries: int = 400) -> list[tuple[int, tuple[int, ...]]]:
     """Fill bins of `room` with the multiset {length: count}: a list of (times, lengths in one bin).
 
     Bin completion (Korf, 2003): each bin is built around the largest item left; its undominated fillings are tried,
