@@ -8,6 +8,7 @@ from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_documents
 from tessera.llm.simhash import simhash_dedup
+from tessera.llm.substring import substring_dedup
 
 
 try:
@@ -31,6 +32,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op7_source_mix": op7_source_mix,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
