@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.embedding import embedding_dedup
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_documents
@@ -36,6 +37,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_source_mix": op7_source_mix,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
@@ -62,6 +68,26 @@ ORACLE_SQL = {
         FROM documents
         WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        good AS (
+            SELECT * FROM v
+            WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(e, lambda x: x <> 0)) > 0),
+        links AS (
+            SELECT a.vec_id AS u, b.vec_id AS v
+            FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach AS (
+            SELECT vec_id AS u, vec_id AS v FROM v
+            UNION
+            SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+        low AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u),
+        n AS (SELECT u AS vec_id, count(*) AS n_links FROM links GROUP BY u)
+        SELECT v.vec_id, coalesce(n.n_links, 0) AS n_links, low.component_id, v.vec_id = low.component_id AS kept
+        FROM v JOIN low USING (vec_id) LEFT JOIN n USING (vec_id)
+    """,
     "op7_source_mix": """
         WITH sized AS (
             SELECT doc_id, source, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS at,
