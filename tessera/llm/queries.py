@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.embedding import embedding_dedup
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.hmm_lm import hmm_scores
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_documents
 from tessera.llm.simhash import simhash_dedup
@@ -29,6 +30,10 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
+    "op2_hmm_language_model": op2_hmm_language_model,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
