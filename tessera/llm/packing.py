@@ -261,13 +261,11 @@ def pack_lengths(lengths: dict[int, int], room: int = 2048, nodes: int = 3_000,
             continue
         times, bin_ = stack[-1].pop()
         seen += 1
-        lost = times * (room - sum(bin_))
-        if waste + lost > (best_bins - 1) * room - total:
-            # as often as the waste bound allows; none: the branch is cut
-            per = room - sum(bin_)
-            times = ((best_bins - 1) * room - total - waste) // per
-            if times < 1:
-                continue
+        per, spare = room - sum(bin_), (best_bins - 1) * room - total - waste
+        if times * per > spare:
+            times = spare // per if spare >= 0 and per else 0  # as often as the waste bound allows
+        if times < 1 or spare < 0:
+            continue
         apply(times, bin_, 1)
         path.append((times, bin_))
         if not have:
