@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -33,12 +34,18 @@ def save(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let the context cleaner delete the shuffle files of finished steps, which stay while the driver's JVM keeps their plans."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_saved(df: DataFrame) -> None:
     """Delete a table of save() that nothing reads any more."""
     path = getattr(df, "_saved_at", None)

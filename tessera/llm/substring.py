@@ -2,9 +2,12 @@
 
 The edges of the graph are the windows of `window` words. Only edges that occur twice matter, so the corpus is first
 thinned: every window is represented by its smallest k-mer (its minimizer), and equal windows share it. k-mers that
-occur once rule their windows out. What is left is looked at window by window: repeated edges get the coordinates of
-their first occurrence, edges that follow one another at the source with equal counts compact into paths by a join on
-those coordinates, and a document's occurrences of a path become spans whose consecutive coordinates are verified.
+occur once rule their windows out. The windows that follow one another with one minimizer are a path without branches
+inside a document (a super-k-mer): equal paths are joined to the coordinates of their first occurrence, and all but the
+first are repeated as a whole. Only where one minimizer has different paths, that is at the ends of passages, are the
+first occurrences looked at window by window: repeated edges get the coordinates of their first occurrence, edges that
+follow one another at the source with equal counts compact into paths by a join on those coordinates, and a document's
+occurrences of a path become spans whose consecutive coordinates are verified.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import save
+from tessera.llm.common import drop_saved, release, save
 
 #: A null id is treated as this one.
 NO_ID = -(1 << 63)
@@ -89,7 +92,7 @@ def _sequence_key(words: list[bytes]) -> tuple[bytes, int]:
 
 
 def _sketch_batches(window: int, k: int):
-    names = ["id", "hs", "sha", "n_words", "kmers", "ats", "multi"]
+    names = ["id", "hs", "sha", "n_words", "kmers", "ats"]
 
     def lists(parts: list[np.ndarray]) -> pa.Array:
         ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
@@ -99,26 +102,58 @@ def _sketch_batches(window: int, k: int):
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                hs, shas, counts, kmers, ats, multi = [], [], [], [], [], []
+                hs, shas, counts, kmers, ats = [], [], [], [], []
                 for text in batch.column(1).to_pylist():
                     words = (text or b"").split()
                     sha, key = _sequence_key(words)
                     kmer, first, last = minimizers(_hash_words(words) if len(words) >= window else np.zeros(0, np.uint64), window, k)
-                    _, back, times = np.unique(kmer, return_inverse=True, return_counts=True)
                     hs.append(key)
                     shas.append(sha)
                     counts.append(len(words))
                     kmers.append(kmer)
                     ats.append(first * 32 + (last - first))
-                    multi.append(times[back] > 1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(hs, pa.int64()), pa.array(shas, pa.binary()), pa.array(counts, pa.int64()), lists(kmers), lists(ats), lists([m.astype(bool) for m in multi])],
+                    [batch.column(0), pa.array(hs, pa.int64()), pa.array(shas, pa.binary()), pa.array(counts, pa.int64()), lists(kmers), lists(ats)],
                     names=names,
                 )
 
     return run
 
 
+def _path_batches(window: int, k: int):
+    """Rows (id, hs, text, ats) to the candidate super-k-mers (kmer, path, id, hs, start, n): n windows from start."""
+
+    def run(batches):
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 500):
+                out = [[] for _ in range(6)]
+                for id_, key, words, at in _with_ranges(whole.slice(lo, 500), window):
+                    h = _hash_words(words)
+                    kmer, first, last = minimizers(h, window, k)
+                    chosen = np.isin(first, at >> 5)
+                    kmer, first, n = kmer[chosen], first[chosen], (last - first + 1)[chosen]
+                    path = np.zeros(len(first), np.uint64)
+                    for j in range(int(n.max(initial=0)) + window - 1):
+                        live = np.flatnonzero(j < n + window - 1)
+                        path[live] = path[live] * _MUL + h[first[live] + j]
+                    path = _mixed(path + n.astype(np.uint64))
+                    for c, v in zip(out, (kmer, path.view(np.int64), np.full(len(n), id_), np.full(len(n), key), first, n), strict=True):
+                        c.append(v)
+                cols = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kmer", "path", "id", "hs", "start", "n"])
+
+    return run
+
+
+def _with_ranges(batch: pa.RecordBatch, window: int):
+    """(id, hs, words, sorted ranges) of the rows (id, hs, text, ats) whose words belong to hs."""
+    ids, keys, texts, ranges = (c.to_pylist() for c in batch.columns)
+    for id_, key, text, ats in zip(ids, keys, texts, ranges, strict=True):
+        words = (text or b"").split()
+        if len(words) >= window and _sequence_key(words)[1] == key:
+            yield id_, key, words, np.sort(np.array(ats, np.int64))
+
+
 def _edge_batches(window: int):
     """Rows (id, hs, text, ats) to the candidate windows (w1, w2, id, hs, start)."""
     second = np.uint64(0xD6E8FEB86659FD93)
@@ -126,14 +161,8 @@ def _edge_batches(window: int):
     def run(batches):
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
-                batch = whole.slice(lo, 500)
                 out = [[] for _ in range(5)]
-                ids, keys, texts, ranges = (c.to_pylist() for c in batch.columns)
-                for id_, key, text, ats in zip(ids, keys, texts, ranges, strict=True):
-                    words = (text or b"").split()
-                    if len(words) < window or _sequence_key(words)[1] != key:
-                        continue
-                    packed = np.sort(np.array(ats, np.int64))
+                for id_, key, words, packed in _with_ranges(whole.slice(lo, 500), window):
                     first, n = packed >> 5, (packed & 31) + 1
                     starts = np.repeat(first - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(int(n.sum()))
                     h = _hash_words(words)
@@ -183,7 +212,6 @@ def repeated_paths(edges: DataFrame) -> DataFrame:
     edges: (w1, w2, id, start). src is the first occurrence. An edge continues the path of the edge before it at the
     source if both occur equally often; `path` is the source start of the path's first edge.
     """
-    # no order by id in Spark's struct minimum is lost: it compares id, then start
     firsts = (
         edges.groupBy("w1", "w2")
         .agg(F.min(F.struct("id", "start")).alias("src"), F.count(F.lit(1)).alias("n"))
@@ -223,7 +251,7 @@ def substring_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     window: int = 20,
-    k: int = 5,
+    k: int = 8,
     broadcast_ids: int = 1_000_000,
 ) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256, after removing words in windows that started earlier.
@@ -240,12 +268,14 @@ def substring_dedup(
     if window - k + 1 > 32:
         raise ValueError("a minimizer may stand for 32 windows at most")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    sketch = rows.mapInArrow(
-        _sketch_batches(window, k),
-        "id long, hs long, sha binary, n_words long, kmers array<long>, ats array<long>, multi array<boolean>",
+    spark = docs.sparkSession
+    sketch = save(
+        rows.mapInArrow(
+            _sketch_batches(window, k), "id long, hs long, sha binary, n_words long, kmers array<long>, ats array<long>"
+        ),
+        "sketch",
     )
-    sketch = save(sketch, "sketch")
-    own = sketch.select("id", "hs", "sha", "n_words")
+    own = save(sketch.select("id", "hs", "sha", "n_words"), "own")
     classes = own.groupBy("hs", "sha").agg(F.min("id").alias("rep"))
     copies = save(own.join(classes, ["hs", "sha"]).where("id > rep").select("id", "hs").distinct(), "copies")
 
@@ -254,26 +284,52 @@ def substring_dedup(
 
     kmers = (
         sketch.where(f"n_words >= {window}")
-        .select("id", "hs", "kmers", "ats", "multi")
+        .select("id", "hs", "kmers", "ats")
         .join(bounded(copies), ["id", "hs"], "left_anti")
-        .select("id", "hs", F.explode(F.arrays_zip("kmers", "ats", "multi")).alias("x"))
-        .select("id", "hs", F.col("x.kmers").alias("kmer"), F.col("x.ats").alias("at"), F.col("x.multi").alias("multi"))
+        .select("id", "hs", F.explode(F.arrays_zip("kmers", "ats")).alias("x"))
+        .select("id", "hs", F.col("x.kmers").alias("kmer"), F.col("x.ats").alias("at"))
     )
-    again = (
-        kmers.groupBy("kmer")
-        .agg(F.min("hs").alias("a"), F.max("hs").alias("b"), F.max("multi").alias("multi"))
-        .where("a <> b or multi")
-        .select("kmer")
-    )
-    ranges = kmers.select("kmer", "id", "hs", "at").join(again, "kmer").groupBy("id", "hs").agg(F.collect_set("at").alias("ats"))
-    ranges = save(ranges, "ranges")
+    again = kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("kmer")
+    ranges = save(kmers.join(again, "kmer").groupBy("id", "hs").agg(F.collect_set("at").alias("ats")), "ranges")
+    drop_saved(sketch)
+    release(spark)
     wanted = rows.join(bounded(ranges.select("id").distinct()), "id", "left_semi")
     # rows repeated with one id and text are looked at once
     suspects = save(wanted.join(ranges, "id").select("id", "hs", "text", "ats").dropDuplicates(["id", "hs", "text"]), "suspects")
-    edges = save(suspects.mapInArrow(_edge_batches(window), "w1 long, w2 long, id long, hs long, start long"), "windows")
-    spans = repeated_spans(edges, window).groupBy("id", "hs").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    release(spark)
+    paths = save(suspects.mapInArrow(_path_batches(window, k), "kmer long, path long, id long, hs long, start long, n long"), "paths")
+    firsts = save(
+        paths.groupBy("kmer", "path")
+        .agg(F.min(F.struct("id", "start", "hs", "n")).alias("src"), F.count(F.lit(1)).alias("times"))
+        .select("kmer", "path", "times", F.col("src.id").alias("src_id"), F.col("src.start").alias("src_lo"), F.col("src.hs").alias("src_hs"), F.col("src.n").alias("src_n")),
+        "firsts",
+    )
+    repeated = (
+        paths.join(firsts.where("times > 1"), ["kmer", "path"])
+        .where("id > src_id or (id = src_id and start > src_lo)")
+        .select("id", "hs", F.col("start").alias("lo"), (F.col("start") + F.col("n") - 1 + window).alias("hi"), "src_id", "src_lo")
+    )
+    repeated = save(repeated, "spans")
+    forked = firsts.groupBy("kmer").agg(F.count(F.lit(1)).alias("forks")).where("forks > 1").select("kmer")
+    ends = (
+        firsts.join(forked, "kmer")
+        .groupBy(F.col("src_id").alias("id"), F.col("src_hs").alias("hs"))
+        .agg(F.collect_set(F.col("src_lo") * 32 + F.col("src_n") - 1).alias("ats"))
+    )
+    ends = save(ends, "ends")
+    drop_saved(paths)
+    drop_saved(firsts)
+    release(spark)
+    at_ends = suspects.drop("ats").join(bounded(ends.select("id", "hs")), ["id", "hs"], "left_semi").join(ends, ["id", "hs"])
+    edges = at_ends.select("id", "hs", "text", "ats").mapInArrow(_edge_batches(window), "w1 long, w2 long, id long, hs long, start long")
+    edges = save(edges, "windows")
+    spans = repeated.unionByName(save(repeated_spans(edges, window), "spans"))
+    spans = save(spans.groupBy("id", "hs").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    drop_saved(edges)
+    release(spark)
     cut = (
-        suspects.join(spans, ["id", "hs"])
+        suspects.join(bounded(spans.select("id", "hs")), ["id", "hs"], "left_semi")
+        .join(spans, ["id", "hs"])
         .select("id", "hs", "text", "spans")
         .mapInArrow(_cut_batches, "id long, hs long, n_removed long, kept binary")
     )
