@@ -9,6 +9,7 @@ from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.hmm_lm import hmm_scores
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_documents
+from tessera.llm.quality import quality_scores
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring import substring_dedup
 
@@ -50,6 +51,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_source_mix": op7_source_mix,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
