@@ -13,6 +13,7 @@ from tessera.llm.quality import quality_scores
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring import substring_dedup
 
+from tessera.llm.toxicity import toxicity_scores
 
 try:
     import public_tokenizers
@@ -55,6 +56,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_source_mix": op7_source_mix,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
