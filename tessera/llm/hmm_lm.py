@@ -67,6 +67,25 @@ class Lexicon:
         return 1 + r if r is not None and r < self.own else self.shape_class(word)
 
 
+def frequent_words(counts: DataFrame, most: int, own: int, classes: int) -> Lexicon:
+    """The words from the smallest count on with which they are `most` at most; no more than these reach the driver.
+
+    Counts are binned by the logarithm first (under a thousand bins at any size), which gives the bound.
+    """
+    level = F.floor(F.ln("c") * 16).cast("int")
+    upto, least = 0, None
+    for at, n in sorted(((r.level, r.n) for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True):
+        upto += n
+        if upto > most:
+            break
+        least = at
+    if least is None:
+        return Lexicon({}, np.zeros(1), own, classes)
+    found = counts.where(level >= least).select("word", "c").toArrow()
+    order = found.sort_by([("c", "descending"), ("word", "ascending")])
+    return Lexicon(dict(zip(order["word"].to_pylist(), range(order.num_rows), strict=True)), np.log10(order["c"].to_numpy() + 1.0), own, classes)
+
+
 def _code_batches(shared, end_log: float):
     """Rows (row, id, held_out, text) to the documents' class sequences; words outside the cache are listed."""
     names = ["row", "id", "held_out", "n_tokens", "classes", "log_all", "log_shared", "known", "rare", "times"]
@@ -181,14 +200,14 @@ class _Group:
         return gamma[: n[0]].sum(axis=0), moves * m.move, seen, float(logs.sum())
 
 
-def _grouped(seqs: list[np.ndarray]):
-    """Lists of indices of sequences of similar length, about _GROUP_TOKENS tokens each."""
+def _grouped(seqs: list[np.ndarray], room: int = _GROUP_TOKENS):
+    """Lists of indices of sequences of similar length, about `room` tokens each."""
     order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
     some, held = [], 0
     for i in order:
         some.append(i)
         held += len(seqs[i])
-        if held >= _GROUP_TOKENS:
+        if held >= room:
             yield some
             some, held = [], 0
     if some:
@@ -239,7 +258,7 @@ def _first_model(seqs: list[np.ndarray], class_share: np.ndarray, states: int, r
     m = _maximised(np.ones(states), move * 1000, seen, class_share)
     for _ in range(rounds if seqs else 0):
         total = None
-        for some in _grouped(seqs):
+        for some in _grouped(seqs, 100_000):
             got = _Group([seqs[i] for i in some]).expect(m)[:3]
             total = got if total is None else tuple(a + b for a, b in zip(total, got, strict=True))
         m = _maximised(*total, class_share)
@@ -270,7 +289,7 @@ def hmm_scores(
     states: int = 8,
     classes: int = 16_384,
     own_classes: int = 10_000,
-    cached_words: int = 200_000,
+    cached_words: int = 150_000,
     rounds: int = 3,
     start_docs: int = 1_500,
     start_words: int = 2_000,
@@ -299,10 +318,7 @@ def hmm_scores(
     ends = rows.where("not held_out").count()
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     tokens, distinct = tokens + ends, distinct + (ends > 0)
-    frequent = counts.orderBy(F.col("c").desc(), "word").limit(cached_words).collect()
-    lex = Lexicon(
-        {bytes(r.word): i for i, r in enumerate(frequent)}, np.log10(np.array([r.c for r in frequent] or [0.0]) + 1), own_classes, classes
-    )
+    lex = frequent_words(counts, cached_words, own_classes, classes)
     shared_lex = spark.sparkContext.broadcast(lex)
 
     def class_batches(batches):
