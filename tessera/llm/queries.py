@@ -12,7 +12,7 @@ from tessera.llm.packing import pack_documents
 from tessera.llm.quality import quality_scores
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring import substring_dedup
-
+from tessera.llm.toolcalls import REPLY_SCHEMAS, conversation_calls, link_tool_calls
 from tessera.llm.toxicity import toxicity_scores
 
 try:
@@ -44,6 +44,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = conversation_calls(_table(spark, sf_dir, "conversations"))
+    return link_tool_calls(calls, results, REPLY_SCHEMAS)
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(_table(spark, sf_dir, "embeddings"))
 
@@ -69,6 +74,7 @@ QUERIES = {
     "op2_hmm_language_model": op2_hmm_language_model,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_tool_call_linking": op5_tool_call_linking,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_source_mix": op7_source_mix,
     "op8_quality_classifier": op8_quality_classifier,
@@ -86,6 +92,38 @@ ORACLE_SQL = {
         FROM documents
         WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op5_tool_call_linking": """
+        WITH RECURSIVE calls AS (
+            SELECT conv_id || ':' || turn AS call_id, conv_id, min(turn) AS turn,
+                   min(text) AS text, count(*) AS calls
+            FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL
+            GROUP BY conv_id, conversations.turn),
+        answers AS (
+            SELECT conv_id || ':' || (turn - 1) AS call_id, conv_id, min(text) AS content, count(*) AS results
+            FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL
+            GROUP BY conv_id, turn),
+        linked AS (
+            SELECT c.*, b.call_id AS after FROM calls c LEFT JOIN calls b ON b.call_id = c.conv_id || ':' || (c.turn - 2)),
+        depths AS (
+            SELECT call_id, CAST(0 AS BIGINT) AS depth FROM linked WHERE after IS NULL
+            UNION ALL
+            SELECT l.call_id, d.depth + 1 FROM linked l JOIN depths d ON l.after = d.call_id)
+        SELECT coalesce(c.call_id, a.call_id) AS call_id, coalesce(c.conv_id, a.conv_id) AS conv_id,
+               CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+               d.depth,
+               c.call_id IS NOT NULL AND c.text IS NOT NULL AS valid,
+               CASE WHEN c.call_id IS NOT NULL AND c.text IS NULL THEN 'text: required' ELSE '' END AS errors,
+               coalesce(c.calls, 0) AS calls, coalesce(a.results, 0) AS results,
+               '{"arguments":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '{'
+                   || CASE WHEN l.after IS NULL THEN '' ELSE '"after":' || to_json(l.after) || ',' END
+                   || CASE WHEN c.text IS NULL THEN '' ELSE '"text":' || to_json(c.text) || ',' END
+                   || '"turn":' || c.turn || '}' END
+                   || ',"id":' || to_json(coalesce(c.call_id, a.call_id))
+                   || ',"name":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '"reply"' END
+                   || ',"result":' || CASE WHEN a.content IS NULL THEN 'null' ELSE to_json(a.content) END || '}' AS message
+        FROM calls c FULL JOIN answers a ON c.call_id = a.call_id
+        LEFT JOIN linked l ON l.call_id = c.call_id LEFT JOIN depths d ON d.call_id = c.call_id
+    """,
     "op6_embedding_dedup": """
         WITH RECURSIVE v AS (
             SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
