@@ -45,7 +45,7 @@ def exact_dedup(
     bucket_rows: int = 50_000,
     broadcast_keys: int = 1_000_000,
 ) -> DataFrame:
-    """One row per document: id, keep_id, group_size, kept, text_sha256. Of equal texts the largest id stays.
+    """One row per document: id, keep_id, group_size, kept, text_sha256, text_hash (xxhash64 of the text as it came). Of equal texts the largest id stays.
 
     1. One scan writes an entry (id, 64-bit hash, SHA-256, bytes) per document to the shared folder.
     2. Entries combine before the shuffle into distinct keys, so that a text with a third of all rows is one key.
@@ -61,8 +61,9 @@ def exact_dedup(
     the input are not read. An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    entry = docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
-        "id", F.xxhash64("text").alias("h"), F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").alias("bytes")
+    came = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    entry = came.select(
+        "id", "text_hash", F.xxhash64("text").alias("h"), F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").alias("bytes")
     )
     entries = save(entry, "entries")
     keys = save(
@@ -89,4 +90,5 @@ def exact_dedup(
         F.col("n").alias("group_size"),
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        "text_hash",
     )

@@ -29,7 +29,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_dedup(_table(spark, sf_dir, "documents"))
+    return simhash_dedup(_table(spark, sf_dir, "documents")).drop("text_hash", "kept")
 
 
 def op2_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +37,7 @@ def op2_hmm_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(_table(spark, sf_dir, "documents"))
+    return exact_dedup(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,9 +52,9 @@ def covering_masks(radius: int = 3) -> list[int]:
 def _fingerprint_batches(shingle: int):
     def run(batches):
         for batch in batches:
-            prints = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
+            prints = [fingerprint(t, shingle) for t in batch.column(2).to_pylist()]
             fp = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fp], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fp], names=["id", "h", "fp"])
 
     return run
 
@@ -155,25 +155,33 @@ def near_links(prints: DataFrame, radius: int = 3, block: int = 2048) -> DataFra
 
 
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
-    """One row per document: id, fingerprint (16 hex digits), component_id (smallest id reachable by links).
+    """One row per document: id, fingerprint (16 hex digits), component_id (smallest id reachable by links), text_hash
+    (xxhash64 of the text) and kept, true for one document of each component: the smallest (id, text_hash).
 
     Words are lower-cased A-Z runs without ASCII white space. A text without words (null, empty, blank) has
     fingerprint zero and is linked like any other; shorter than a shingle, the whole word sequence is the shingle.
-    Repeated rows give repeated rows. A null id takes no part in the smallest id; a component of null ids only has a
+    Repeated rows give repeated rows, kept or not alike. A null id takes no part in the smallest id; a component of null ids only has a
     null component. Other columns of the input are not read. An empty table gives an empty result.
 
     Cost: one pass over the texts, then only distinct fingerprints (exact copies collapse by a grouped minimum with
     map-side combining) meet in 15 tables; no text is shuffled.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    prints = save(rows.mapInArrow(_fingerprint_batches(shingle), "id long, fp long"), "simhash")
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("rep"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).cast("binary").alias("text")
+    )
+    prints = save(rows.mapInArrow(_fingerprint_batches(shingle), "id long, h long, fp long"), "simhash")
+    # null ids come last
+    nodes = prints.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("rep"))
     stars = star_components(near_links(nodes.select("fp"), radius))
     rooted = nodes.join(stars, F.col("fp") == F.col("node"), "left").select(
         "fp", "rep", F.coalesce("component", "fp").alias("root")
     )
-    lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    labels = rooted.join(lowest, "root").select("fp", "component_id")
+    lowest = rooted.groupBy("root").agg(F.min("rep").alias("first"))
+    labels = rooted.join(lowest, "root").select("fp", "first")
     return prints.join(labels, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        F.col("id").alias(id_col),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.id").alias("component_id"),
+        F.col("h").alias("text_hash"),
+        (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h"))).alias("kept"),
     )
