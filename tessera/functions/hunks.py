@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,8 +88,6 @@ def minimal_patch(patch: Column) -> Column:
 
     Every run of changed lines becomes a hunk of its own. Works on a diff of text files with full headers.
     """
-    import pandas as pd
-
     @F.pandas_udf("string")
     def cut(patches: pd.Series) -> pd.Series:
         return patches.map(_without_context)
@@ -95,8 +96,6 @@ def minimal_patch(patch: Column) -> Column:
 
 
 def _without_context(patch: str | None) -> str | None:
-    import re
-
     if patch is None:
         return None
     out, run, old, new, inside = [], [], 0, 0, False

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,5 +27,16 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+#: lineitem with `pos`, which numbers the lines of an order without ties.
+NUMBERED = """
+    numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_tax, l_discount) AS INT) AS pos FROM lineitem)
+"""
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_discount")
+    return table(spark, sf_dir, "lineitem").withColumn("pos", F.row_number().over(order))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
