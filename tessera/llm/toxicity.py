@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import save
+
 #: Groups of identity terms; a swap puts another term of the same group in its place.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys"),
@@ -66,46 +68,59 @@ def _word_batches(batches):
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(words, pairs), pa.array(changed, pairs)], names=["id", "toxic", "words", "swapped"])
 
 
-def fit(rows: list[tuple[list[int], int]], changes: list[tuple[list[int], list[int]]], dims: int, positive_share: float, rounds: int = 600, lean: float = 2e-3, fairness: float = 5.0) -> np.ndarray:
+def fit(rows: list[tuple[list[int], int]], changes: list[tuple[list[int], list[int]]], dims: int, positive_share: float, rounds: int = 400, lean: float = 2e-3, fairness: float = 5.0) -> np.ndarray:
     """Weights (the intercept last) that minimise weighted logistic loss + lean |w|^2 + fairness * mean (w . change)^2.
 
     rows: (feature numbers, label). changes: feature numbers that a swap takes away and puts in. Each class weighs
     as its share of the labelled documents.
     """
-    used = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.array(r[0], np.int64) for r in rows]]))
-    w = np.zeros(dims + 1)
-    y = np.array([r[1] for r in rows], float)
+    w, y = np.zeros(dims + 1), np.array([r[1] for r in rows], float)
     prior = np.log(max(positive_share, 1e-6) / max(1 - positive_share, 1e-6))
     w[dims] = prior
+    used, at = np.unique(np.array([n for r in rows for n in r[0]], np.int64), return_inverse=True)
     if not len(used) or y.min(initial=1) == y.max(initial=0):
         return w
-    x = np.zeros((len(rows), len(used)), np.float32)
-    for i, (numbers, _) in enumerate(rows):
-        x[i, np.searchsorted(used, numbers)] = 1
-    delta = np.zeros((len(changes), len(used)), np.float32)
-    for i, (away, put) in enumerate(changes):
-        for numbers, sign in ((away, -1), (put, 1)):
-            at = np.searchsorted(used, numbers)
-            known = [a for a, n in zip(at, numbers, strict=True) if a < len(used) and used[a] == n]
-            delta[i, known] += sign
-    weight = np.where(y == 1, positive_share / max(1, y.sum()), (1 - positive_share) / max(1, (1 - y).sum())).astype(np.float32)
-    v, b, sv, sb = np.zeros(len(used), np.float32), np.float32(prior), np.zeros(len(used), np.float32), np.float32(0)
-    m1, m2 = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+    place = {n: i for i, n in enumerate(used.tolist())}
+    swap = [(i, place[n], sign) for i, pair in enumerate(changes) for part, sign in zip(pair, (-1.0, 1.0), strict=True) for n in part if n in place]
+    s_row, s_at, s_sign = (np.array(c) for c in zip(*swap, strict=True)) if swap else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    weight = np.where(y == 1, positive_share / max(1, y.sum()), (1 - positive_share) / max(1, (1 - y).sum()))
+    v, b, m1, m2 = np.zeros(len(used)), prior, np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for t in range(1, rounds + 1):  # Adam, full batch
-        p = 1 / (1 + np.exp(-np.clip(x @ v + b, -30, 30)))
-        e = weight * (p - y)
-        g = x.T @ e + lean * v / max(1, len(rows)) ** 0.5
-        if len(changes):
-            g = g + 2 * fairness / len(changes) * (delta.T @ (delta @ v))
+        logit = np.bincount(row, v[at], len(rows)) + b
+        e = weight * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y)
+        g = np.bincount(at, e[row], len(used)) + lean * v / len(rows) ** 0.5
+        if len(swap):
+            moved = np.bincount(s_row, s_sign * v[s_at], len(changes))
+            g += 2 * fairness / len(changes) * np.bincount(s_at, s_sign * moved[s_row], len(used))
         full = np.r_[g, e.sum()]
         m1 = 0.9 * m1 + 0.1 * full
         m2 = 0.999 * m2 + 0.001 * full**2
         step = 0.05 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.999**t)) + 1e-8)
-        v, b = v - step[:-1].astype(np.float32), b - np.float32(step[-1])
+        v, b = v - step[:-1], b - step[-1]
     w[used], w[dims] = v, b
     return w
 
 
+def _feature_batches(features: dict[str, int]):
+    """Rows (toxic, words, swapped) to (toxic, numbers, away, put), the last two aligned; put is -1 for a term that is there."""
+
+    def run(batches):
+        for batch in batches:
+            out = [[] for _ in range(4)]
+            for toxic, words, swapped in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                have, pairs = set(words), [s.split(" ") for s in swapped]
+                out[0].append(toxic)
+                out[1].append(sorted({features[x] for x in have & features.keys()}))
+                out[2].append([features[a] for a, _ in pairs])
+                out[3].append([-1 if b in have else features[b] for _, b in pairs])
+            lists = pa.list_(pa.int32())
+            arrays = [pa.array(out[0], pa.int32()), *(pa.array(c, lists) for c in out[1:])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "numbers", "away", "put"])
+
+    return run
+
+
 def _score_batches(features: dict[str, int], weights: np.ndarray):
     def run(batches):
         names = features.keys()
@@ -156,7 +171,8 @@ def toxicity_scores(
     some = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("id"), "id").limit(train_per_class) for c in (0, 1)]
     chosen = some[0].unionByName(some[1])  # at most 2 * train_per_class ids
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    words = texts.select("id", "toxic", "text").mapInArrow(_word_batches, f"id {id_type}, toxic int, words array<string>, swapped array<string>").cache()
+    words = texts.select("id", "toxic", "text").mapInArrow(_word_batches, f"id {id_type}, toxic int, words array<string>, swapped array<string>")
+    words = save(words, "words")
     n1, n0 = (words.where(F.col("toxic") == c).count() for c in (1, 0))
     table = (
         words.select("toxic", F.explode("words").alias("word"))
@@ -178,12 +194,12 @@ def toxicity_scores(
     for group in IDENTITY_TERMS:
         found.update((t, bucket(t, dims)) for t in group)
     rows, changes = [], []
-    for r in words.select("toxic", "words", "swapped").toLocalIterator():
-        rows.append((sorted({found[w] for w in r.words if w in found}), r.toxic))
-        have = set(r.words)
-        for a, b in (s.split(" ") for s in r.swapped):
-            changes.append(([found[a]], [] if b in have else [found[b]]))
-    words.unpersist()
+    chosen_features = words.select("toxic", "words", "swapped").mapInArrow(
+        _feature_batches(found), "toxic int, numbers array<int>, away array<int>, put array<int>"
+    )
+    for r in chosen_features.toArrow().to_pylist():  # at most 2 * train_per_class rows of feature numbers
+        rows.append((r["numbers"], r["toxic"]))
+        changes += [([a], [b] if b >= 0 else []) for a, b in zip(r["away"], r["put"], strict=True)]
     weights = fit(rows, changes, dims, share)
     scored = docs.select(F.col(id_col).alias("id"), held, F.col(text_col).alias("text")).mapInArrow(
         _score_batches(found, weights), f"id {id_type}, held_out boolean, score double"
