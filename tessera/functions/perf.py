@@ -80,7 +80,7 @@ def harmonic_mean(x: Column, floor: float | None = 0.001) -> Column:
     if floor is None:
         broken = F.max(F.when(clean == 0, 1).otherwise(0))
         return F.when((n == 0) | (broken == 1), 0.0).otherwise(F.coalesce(F.try_divide(n, F.sum(F.when(clean != 0, 1 / clean))), F.lit(0.0)))
-    return F.coalesce(F.try_divide(n, F.sum(1 / F.greatest(clean, F.lit(floor)))), F.lit(0.0))
+    return F.coalesce(F.try_divide(n, F.sum(F.when(clean.isNotNull(), 1 / F.greatest(clean, F.lit(floor))))), F.lit(0.0))
 
 
 def harmonic_mean_positive(x: Column) -> Column:

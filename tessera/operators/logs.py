@@ -165,8 +165,8 @@ def django_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
         F.when(line.startswith("ERROR:"), F.struct(F.get(F.split(line, r"\s+"), F.lit(1)).alias("test"), F.lit("ERROR").alias("status"))),
         F.when(line.startswith("ok") & F.col("prev").isNotNull(), F.struct(F.col("prev").alias("test"), F.lit("PASSED").alias("status"))),
     )
-    each = rows.select(*keys, "pos", F.posexplode(F.filter(found, lambda x: x.isNotNull())).alias("k", "x"))
-    return _last(each.select(*keys, (F.col("pos") * 10 + F.col("k")).alias("pos"), "x.test", "x.status"), keys)
+    each = rows.select(*keys, "pos", F.posexplode(F.filter(found, lambda x: x.isNotNull())).alias("_k", "_x"))
+    return _last(each.select(*keys, (F.col("pos") * 10 + F.col("_k")).alias("pos"), "_x.test", "_x.status"), keys)
 
 
 def numpy_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -204,8 +204,8 @@ def _full(classname: Column, name: Column) -> Column:
 
 
 def gtest_json(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    suites = logs.select(*keys, F.posexplode(F.from_json(text, GTEST_JSON)["testsuites"]).alias("i", "suite"))
-    cases = suites.select(*keys, "i", "suite.name", F.posexplode("suite.testsuite").alias("j", "case"))
+    suites = logs.select(*keys, F.posexplode(F.from_json(text, GTEST_JSON)["testsuites"]).alias("_i", "suite"))
+    cases = suites.select(*keys, "_i", "suite.name", F.posexplode("suite.testsuite").alias("_j", "case"))
     c = F.col("case")
     status = (
         F.when((c["status"] == "NOTRUN") | c["result"].isin("SKIPPED", "SUPPRESSED"), "SKIPPED")
@@ -214,7 +214,7 @@ def gtest_json(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
         .otherwise("ERROR")
     )
     test = _full(F.coalesce(c["classname"], F.col("name")), c["name"])
-    return _last(cases.select(*keys, F.struct("i", "j").alias("pos"), test.alias("test"), status.alias("status")), keys)
+    return _last(cases.select(*keys, F.struct("_i", "_j").alias("pos"), test.alias("test"), status.alias("status")), keys)
 
 
 def vitest_status(status: Column) -> Column:
@@ -223,10 +223,10 @@ def vitest_status(status: Column) -> Column:
 
 
 def vitest_json(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    files = logs.select(*keys, F.posexplode(F.from_json(text, VITEST_JSON)["testResults"]).alias("i", "f"))
-    cases = files.select(*keys, "i", F.posexplode("f.assertionResults").alias("j", "c"))
-    test = F.coalesce(F.nullif("c.fullName", F.lit("")), F.col("c.title"))
-    return _last(cases.select(*keys, F.struct("i", "j").alias("pos"), test.alias("test"), vitest_status(F.col("c.status")).alias("status")), keys)
+    files = logs.select(*keys, F.posexplode(F.from_json(text, VITEST_JSON)["testResults"]).alias("_i", "_f"))
+    cases = files.select(*keys, "_i", F.posexplode("_f.assertionResults").alias("_j", "_c"))
+    test = F.coalesce(F.nullif("_c.fullName", F.lit("")), F.col("_c.title"))
+    return _last(cases.select(*keys, F.struct("_i", "_j").alias("pos"), test.alias("test"), vitest_status(F.col("_c.status")).alias("status")), keys)
 
 
 def junit_xml(logs: DataFrame, keys: list[str], text: str, default_class: str = "") -> DataFrame:
@@ -235,19 +235,19 @@ def junit_xml(logs: DataFrame, keys: list[str], text: str, default_class: str =
     Elements are found by pattern: a case is a testcase tag with what stands in it, so broken texts do no harm.
     """
     suites = F.regexp_extract_all(text, F.lit(r"(?s)<testsuite(?=[\s>])([^>]*)>(.*?)</testsuite>"), F.lit(0))
-    rows = logs.select(*keys, F.posexplode(suites).alias("i", "suite"))
+    rows = logs.select(*keys, F.posexplode(suites).alias("_i", "suite"))
     attribute = lambda tag, name: F.regexp_extract(tag, rf'(?s)^<\w+(?=\s)[^>]*?\s{name}="([^"]*)"', 1)
     cases = rows.select(
         *keys,
-        "i",
+        "_i",
         F.coalesce(F.nullif(attribute(F.col("suite"), "name"), F.lit("")), F.lit(default_class)).alias("suite_name"),
-        F.posexplode(F.regexp_extract_all("suite", F.lit(r"(?s)<testcase(?=[\s/>])(?:[^>]*/>|[^>]*>.*?</testcase>)"), F.lit(0))).alias("j", "case"),
+        F.posexplode(F.regexp_extract_all("suite", F.lit(r"(?s)<testcase(?=[\s/>])(?:[^>]*/>|[^>]*>.*?</testcase>)"), F.lit(0))).alias("_j", "case"),
     )
     c = F.col("case")
     test = _full(F.coalesce(F.nullif(attribute(c, "classname"), F.lit("")), F.col("suite_name")), attribute(c, "name"))
     has = lambda tag: c.rlike(rf"<{tag}[\s/>]")
     status = F.when(has("failure"), "FAILED").when(has("error"), "ERROR").when(has("skipped"), "SKIPPED").otherwise("PASSED")
-    return _last(cases.select(*keys, F.struct("i", "j").alias("pos"), test.alias("test"), status.alias("status")), keys)
+    return _last(cases.select(*keys, F.struct("_i", "_j").alias("pos"), test.alias("test"), status.alias("status")), keys)
 
 
 def catch2_xml(logs: DataFrame, keys: list[str], text: str) -> DataFrame:

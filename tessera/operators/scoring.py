@@ -78,7 +78,8 @@ def breakdown(report: DataFrame, *by: str) -> DataFrame:
     n, used = F.count(F.lit(1)), F.count_if(has)
     right, fast, human = F.col("correctness") == 1, F.col("raw_pred_speedup_ratio") >= 1, F.col("human_speedup_ratio") >= 1
     share = lambda condition: F.round(F.coalesce(F.try_divide(F.count_if(condition), n), F.lit(0.0)), 4)
-    score = F.coalesce(F.try_divide(used, F.sum(F.when(has, 1 / F.greatest("human_speedup_ratio", F.lit(0.001))))), F.lit(0.0))
+    clean = F.nanvl("human_speedup_ratio", F.lit(None).cast("double"))
+    score = F.coalesce(F.try_divide(used, F.sum(F.when(has & clean.isNotNull(), 1 / F.greatest(clean, F.lit(0.001))))), F.lit(0.0))
     quality = lambda word: F.coalesce(F.col("data_quality").contains(word), F.lit(False))
     doubtful = quality("UNVERIFIABLE") | quality("PERF_ONLY") | quality("NO_PERF") | quality("CORRUPT")
     out = report.groupBy(*by).agg(
