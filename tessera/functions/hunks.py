@@ -12,7 +12,7 @@ HUNK = r"^@@ -(\d+)(?:,\d+)? \+(\d+)(?:,\d+)? @@"
 
 
 def hunk_lines(df: DataFrame, keys: list[str], patch: str) -> DataFrame:
-    """(keys, file, mark, text, old_line, new_line) for every line in a hunk; the mark is "+", "-" or " ".
+    """(keys, file, pos, mark, text, old_line, new_line) for every line in a hunk; the mark is "+", "-" or " ".
 
     Running counts within a hunk give the numbers; an added line has no old number and a removed one no new number.
     """
@@ -35,6 +35,7 @@ def hunk_lines(df: DataFrame, keys: list[str], patch: str) -> DataFrame:
     return body.select(
         *keys,
         "file",
+        "pos",
         mark.alias("mark"),
         F.expr("substring(line, 2)").alias("text"),
         F.when(mark != "+", old).alias("old_line"),
@@ -42,6 +43,18 @@ def hunk_lines(df: DataFrame, keys: list[str], patch: str) -> DataFrame:
     )
 
 
+def lines_of_interest(df: DataFrame, keys: list[str], patch: str) -> DataFrame:
+    """(keys, file, line): added lines, and around every removal the lines that survive from before it to behind it."""
+    lines = hunk_lines(df, keys, patch)
+    order = Window.partitionBy(*keys, "file").orderBy("pos")
+    before = F.last("new_line", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = lines.withColumn("_before", before).withColumn("_prev", F.lag("mark").over(order))
+    added = marked.where("mark = '+'").select(*keys, "file", F.col("new_line").alias("line"))
+    around = marked.where("_prev = '-' and mark <> '-' and _before is not null")
+    survivors = around.select(*keys, "file", F.explode(F.sequence("_before", "new_line")).alias("line"))
+    return added.unionByName(survivors).distinct()
+
+
 def code_lines(lines: Column) -> Column:
     """Of an array of source lines those that are code: no blanks, comments or docstrings.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import diffs, hunks, text
-from tessera.operators import curate
+from tessera.operators import curate, specs
 from tessera.plans.registry import query, table
 
 
@@ -354,3 +354,66 @@ def k06(spark, d):
 
     repos = table(spark, d, "supplier").select(F.concat(F.lit("acme/"), F.col("s_name")).alias("repo"), F.col("s_suppkey").alias("stars"), F.col("s_nationkey").alias("est_perf_prs"))
     return repo_lines(repos, "ranked").where(repo_line(F.col("value")).isNotNull())
+
+
+@query("f11_repo_rules", f"WITH {PULLS} SELECT number, CASE WHEN number % 4 = 0 THEN NOT ({_in(text.NEGATIVE_TITLES, 's.t')}) AND (len(list_filter(s.labels, lambda l: contains(lower(l), 'performance'))) > 0 OR {_in(['eff', 'perf', 'speed up'], 's.t')}) ELSE p.perf END AS perf FROM said s JOIN pull p USING (number)")
+def f11r(spark, d):
+    name = F.when(F.col("number") % 4 == 0, "astropy").otherwise("other")
+    return pulls(spark, d).select("number", specs.repo_pull(name, F.col("title"), F.col("body"), F.col("labels")).alias("perf"))
+
+
+@query("f12b_f21_typed_repo_filter", "SELECT c_nationkey, CASE WHEN c_nationkey % 3 = 0 THEN 'license' WHEN c_nationkey % 4 = 0 THEN 'no_root_files' WHEN c_nationkey % 5 = 0 THEN 'no_tests' WHEN count(*) < 60 THEN 'few_pulls' ELSE 'kept' END AS reason FROM customer GROUP BY 1")
+def f12b(spark, d):
+    k = F.col("c_nationkey")
+    repos = table(spark, d, "customer").groupBy(k).agg(F.count(F.lit(1)).alias("merged_prs"))
+    repos = repos.withColumns({"license": F.when(k % 3 == 0, "GPL-3.0").otherwise("ISC"), "has_root_files": k % 4 != 0, "has_tests": k % 5 != 0})
+    return specs.typed_repo_filter(repos, 60).select("c_nationkey", "reason")
+
+
+@query(
+    "o28_typed_validation",
+    """SELECT doc_id, list_filter([CASE WHEN doc_id % 9 = 0 THEN 'missing version' END, CASE WHEN doc_id % 4 = 1 THEN 'language' END, CASE WHEN doc_id % 5 = 0 THEN 'test_framework' END,
+            CASE WHEN doc_id % 7 = 0 THEN 'no tsconfig.json' END, CASE WHEN doc_id % 6 = 0 THEN 'toolchain in install_cmd' END,
+            CASE WHEN NOT contains(text, 'bench(') AND NOT contains(text, 'import') THEN 'workload' END], lambda x: x IS NOT NULL) AS errors FROM documents""",
+)
+def o28(spark, d):
+    k, lit = F.col("doc_id"), F.lit
+    rows = table(spark, d, "documents").select(k, F.col("text").alias("workload")).withColumns({
+        "instance_id": lit("a__b-1"), "repo": lit("a/b"), "version": F.when(k % 9 != 0, "1.0"), "base_commit": lit("0123abc"), "patch": lit("diff"), "node_version": lit("ES2022"),
+        "install_cmd": F.when(k % 6 == 0, "cmake").otherwise("npm ci"), "test_cmd": lit("npm test"), "language": F.when(k % 4 == 1, "cpp").otherwise("ts"),
+        "test_framework": F.when(k % 5 == 0, "jest").otherwise("Vitest "), "license": lit("MIT"),
+        "project_files": F.when(k % 7 == 0, F.array(lit("package.json"))).otherwise(F.array(lit("package.json"), lit("tsconfig.json"))),
+    })
+    return specs.typed_validation(rows, "ts").select("doc_id", "errors")
+
+
+@query(
+    "x23_x24_x25_repo_specs",
+    """SELECT 'acme/' || s_name AS repo, CASE WHEN s_suppkey % 3 = 0 THEN '3.' || (s_nationkey % 4 + 7) ELSE '3.10' END AS python_version,
+          CASE WHEN s_suppkey % 3 = 0 AND s_nationkey % 2 = 0 THEN 'pip install --no-build-isolation -e .' ELSE 'pip install -e .' END AS install_cmd,
+          CASE WHEN s_suppkey % 3 = 0 THEN 'pytest {test_files}' WHEN s_suppkey % 3 = 1 THEN 'pytest {test_files}' ELSE 'pytest tests/' END AS test_cmd,
+          CASE WHEN s_suppkey % 3 = 2 THEN 'requirements.txt' ELSE '' END AS packages_source, CASE WHEN s_suppkey % 3 = 2 THEN ['requirements/a.txt'] ELSE [] END AS reqs_paths,
+          CASE WHEN s_suppkey % 3 = 0 THEN ['x>=1', 'y'] ELSE [] END AS pip_packages, CASE WHEN s_suppkey % 3 = 1 THEN ['apt-get install -y build-essential'] ELSE [] END AS pre_install_cmds,
+          CASE WHEN s_suppkey % 3 = 0 THEN '1.10' WHEN s_suppkey % 3 = 1 THEN '2.0' ELSE '3.1' END AS version FROM supplier""",
+)
+def x25(spark, d):
+    n = F.col("s_nationkey")
+    backend = F.when(n % 2 == 0, "meson-python").otherwise("hatchling")
+    toml = F.format_string('[build-system]\nrequires = ["%s"]\n[project]\nversion = "1.10"\nrequires-python = ">=3.%d"\ndependencies = [\n "x>=1",\n "y"]\n[tool.pytest.ini_options]\n', backend, n % 4 + 7)
+    file = lambda path, content: F.struct(F.lit(path).alias("path"), content.alias("content"))
+    by = {
+        0: F.array(file("pyproject.toml", toml)),
+        1: F.array(file("setup.py", F.lit("setup(version='2.0', ext_modules=[1])")), file("tox.ini", F.lit("[tox]\nenvlist = py36,py310\n[testenv]\ndeps = x\ncommands = pytest -q\n"))),
+        2: F.array(file("VERSION", F.lit("3.1\n")), file("requirements/a.txt", F.lit("x")), file("tests/test_a.py", F.lit(""))),
+    }
+    k = F.col("s_suppkey") % 3
+    files = F.when(k == 0, by[0]).when(k == 1, by[1]).otherwise(by[2])
+    rows = table(spark, d, "supplier").select(F.concat(F.lit("acme/"), F.col("s_name")).alias("repo"), F.explode(files).alias("f")).select("repo", "f.*")
+    return specs.repo_specs(rows)
+
+
+@query("x07_lines_of_interest", f"WITH {PATHS} SELECT doc_id, path AS file, CAST(len(string_split(text, chr(10))) AS BIGINT) + 1 AS lines FROM documents JOIN paths USING (doc_id)")
+def x07(spark, d):
+    context = F.replace("patch", F.lit("\n-old\n"), F.lit("\n kept\n-old\n"))
+    rows = patches(spark, d).select("doc_id", context.alias("patch"))
+    return hunks.lines_of_interest(rows, ["doc_id"], "patch").groupBy("doc_id", "file").agg(F.count(F.lit(1)).alias("lines"))

@@ -127,3 +127,25 @@ def profile_stats(spark: SparkSession, pattern: str) -> DataFrame:
         "callers array<struct<caller:string,calls:long,tot_time:double,cum_time:double>>"
     )
     return spark.read.format("binaryFile").load(pattern).select("path", "content").mapInPandas(read, schema)
+
+
+def coverage_databases(spark: SparkSession, pattern: str) -> DataFrame:
+    """(path, context, file, line) of coverage databases: each is a SQLite file, opened in the task that has its bytes."""
+    import sqlite3
+
+    import pandas as pd
+
+    def read(batches):
+        for pdf in batches:
+            rows = []
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                con = sqlite3.connect(":memory:")
+                con.deserialize(bytes(content))
+                query = "select c.context, f.path, b.numbits from line_bits b join file f on f.id = b.file_id join context c on c.id = b.context_id"
+                for context, file, bits in con.execute(query):
+                    rows += [(path, context, file, 8 * i + k) for i, byte in enumerate(bits) for k in range(8) if byte >> k & 1]
+                con.close()
+            yield pd.DataFrame(rows, columns=["path", "context", "file", "line"])
+
+    found = spark.read.format("binaryFile").load(pattern).select("path", "content")
+    return found.mapInPandas(read, "path string, context string, file string, line long")

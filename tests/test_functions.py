@@ -282,3 +282,23 @@ def test_profiles(spark, tmp_path):
     cProfile.runctx("sum(range(10))", {}, {}, str(tmp_path / "a.prof"))
     rows = readers.profile_stats(spark, f"file://{tmp_path}/*.prof").collect()
     assert any("sum" in r.func for r in rows) and all(math.isfinite(r.cumtime) for r in rows)
+
+
+def test_coverage_databases(spark, tmp_path):
+    import sqlite3
+
+    con = sqlite3.connect(tmp_path / "x.coverage")
+    con.executescript("create table file(id, path); create table context(id, context); create table line_bits(file_id, context_id, numbits)")
+    con.execute("insert into file values (1, '/a.py')")
+    con.execute("insert into context values (1, 't')")
+    con.execute("insert into line_bits values (1, 1, ?)", (bytes([0b10, 0b1]),))
+    con.commit()
+    con.close()
+    rows = readers.coverage_databases(spark, f"file://{tmp_path}/*.coverage").collect()
+    assert sorted((r.context, r.file, r.line) for r in rows) == [("t", "/a.py", 1), ("t", "/a.py", 8)]
+
+
+def test_lines_of_interest_surround_removals(spark):
+    patch = "diff --git a/a b/a\n--- a/a\n+++ b/a\n@@ -1,4 +1,3 @@\n one\n-two\n three\n+four\n end"
+    rows = hunks.lines_of_interest(spark.createDataFrame([(1, patch)], "k int, p string"), ["k"], "p").collect()
+    assert sorted(r.line for r in rows) == [1, 2, 3]
