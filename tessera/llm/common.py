@@ -40,6 +40,17 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def hash_sample(df: DataFrame, keys: list[str], size: int, total: int) -> DataFrame:
+    """`size` rows of a frame of `total` (all if it has no more): those with the smallest hashes of their keys.
+
+    Rows beyond a hash that twice as many rows pass are filtered first, so that tasks do not each send `size` rows.
+    """
+    h = F.xxhash64(*keys)
+    if total > 2 * size:
+        df = df.where(F.pmod(h, F.lit(1 << 40)) < int((1 << 40) * 2 * size / total))
+    return df.orderBy(F.pmod(h, F.lit(1 << 40)), *keys).limit(size)
+
+
 def release(spark: SparkSession) -> None:
     """Let the context cleaner delete the shuffle files of finished steps, which stay while the driver's JVM keeps their plans."""
     gc.collect()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER_AZ, save
+from tessera.llm.common import LOWER_AZ, hash_sample, save
 
 #: Distinct words that a counting task holds before it passes its counts on.
 _HELD_WORDS = 500_000
@@ -343,8 +343,9 @@ def hmm_scores(
     )
     coded = save(coded, "coded")
     train = coded.where("not held_out").select("classes")
-    begin = coded.where(f"not held_out and n_tokens <= {start_words}").orderBy(F.xxhash64("row")).limit(start_docs).select("classes").collect()
-    m = _first_model([np.frombuffer(bytes(r[0]), "<u2") for r in begin], class_share, states, start_rounds)
+    short = coded.where(f"not held_out and n_tokens <= {start_words}")
+    begin = hash_sample(short.select("row", "classes"), ["row"], start_docs, short.count()).collect()
+    m = _first_model([np.frombuffer(bytes(r.classes), "<u2") for r in begin], class_share, states, start_rounds)
     schema = "kind int, k int, " + ", ".join(f"v{i} double" for i in range(states))
     for _ in range(rounds if ends else 0):
         shared = spark.sparkContext.broadcast(m)
