@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import save
+from tessera.llm.common import hash_sample, save
 
 #: Labeller: (bad from, good below, words needed). In between, and on shorter texts, it abstains.
 LABELLERS = {
@@ -209,7 +209,7 @@ def quality_scores(
     found = save(found, "features")
     patterns = {r.votes: r.n for r in found.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     labels, _ = weak_labels(patterns, len(_STATS)) if patterns else ({}, None)
-    chosen = found.orderBy(F.xxhash64("h"), "h").limit(train_docs).select("numbers", "vals", "votes").collect()
+    chosen = hash_sample(found, ["h", "id"], train_docs, sum(patterns.values())).select("numbers", "vals", "votes").collect()
     weights = fit_linear([(r.numbers, r.vals, labels[r.votes]) for r in chosen], dims)
     schema = f"id {id_type}, h long, votes int, score double"
     scored = found.select("id", "h", "numbers", "vals", "votes").mapInArrow(_score_batches(weights), schema)
