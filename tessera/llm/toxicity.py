@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import save
+from tessera.llm.common import hash_sample, save
 
 #: Groups of identity terms; a swap puts another term of the same group in its place.
 IDENTITY_TERMS = (
@@ -168,7 +168,7 @@ def toxicity_scores(
     )
     shares = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = shares.get(1, 0) / max(1, sum(shares.values()))
-    some = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("id"), "id").limit(train_per_class) for c in (0, 1)]
+    some = [hash_sample(known.where(F.col("toxic") == c), ["id"], train_per_class, shares.get(c, 0)) for c in (0, 1)]
     chosen = some[0].unionByName(some[1])  # at most 2 * train_per_class ids
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
     words = texts.select("id", "toxic", "text").mapInArrow(_word_batches, f"id {id_type}, toxic int, words array<string>, swapped array<string>")
