@@ -252,7 +252,7 @@ def substring_dedup(
     text_col: str = "text",
     window: int = 20,
     k: int = 8,
-    broadcast_ids: int = 1_000_000,
+    broadcast_ids: int = 300_000,
 ) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256, after removing words in windows that started earlier.
 
@@ -289,7 +289,8 @@ def substring_dedup(
         .select("id", "hs", F.explode(F.arrays_zip("kmers", "ats")).alias("x"))
         .select("id", "hs", F.col("x.kmers").alias("kmer"), F.col("x.ats").alias("at"))
     )
-    again = kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("kmer")
+    # written out, so that the join of a hot k-mer can be split
+    again = save(kmers.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("kmer"), "again")
     ranges = save(kmers.join(again, "kmer").groupBy("id", "hs").agg(F.collect_set("at").alias("ats")), "ranges")
     drop_saved(sketch)
     release(spark)
@@ -310,7 +311,7 @@ def substring_dedup(
         .select("id", "hs", F.col("start").alias("lo"), (F.col("start") + F.col("n") - 1 + window).alias("hi"), "src_id", "src_lo")
     )
     repeated = save(repeated, "spans")
-    forked = firsts.groupBy("kmer").agg(F.count(F.lit(1)).alias("forks")).where("forks > 1").select("kmer")
+    forked = save(firsts.groupBy("kmer").agg(F.count(F.lit(1)).alias("forks")).where("forks > 1").select("kmer"), "forked")
     ends = (
         firsts.join(forked, "kmer")
         .groupBy(F.col("src_id").alias("id"), F.col("src_hs").alias("hs"))
