@@ -139,7 +139,8 @@ def near_links(prints: DataFrame, radius: int = 3, block: int = 2048) -> DataFra
         ]
     )
     keyed = prints.select("fp", F.explode(tables).alias("k")).select("fp", "k.t", "k.key")
-    sizes = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # written out, so that a hot bucket's join can be split
+    sizes = save(keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     other = F.explode(F.expr("sequence(0, blocks - 1)"))
