@@ -43,7 +43,7 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     bucket_rows: int = 50_000,
-    broadcast_keys: int = 1_000_000,
+    broadcast_keys: int = 500_000,
 ) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256, text_hash (xxhash64 of the text as it came). Of equal texts the largest id stays.
 

@@ -115,7 +115,7 @@ def mix(
     cap: int = 3,
     block: int = 1024,
     seed: str = "mix",
-    chunk_rows: int = 4_000,
+    chunk_rows: int = 2_000,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Mix whole documents to target weights: id, size, source_size, target, taken (and the columns to carry).

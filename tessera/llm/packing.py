@@ -319,7 +319,7 @@ def pack_documents(
     end_id: int = 0,
     id_col: str = "doc_id",
     text_col: str = "text",
-    chunk_rows: int = 4_000,
+    chunk_rows: int = 2_000,
 ) -> DataFrame:
     """Pack all documents into sequences of at most `room` tokens: a row per piece with sequence_id and offset.
 
