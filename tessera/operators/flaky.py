@@ -12,7 +12,7 @@ def outcomes(runs: DataFrame) -> DataFrame:
     runs (instance_id, run, test, status), one status for each; a run without any test is no run.
     """
     per_instance = runs.groupBy("instance_id").agg(F.countDistinct("run").alias("n_runs"))
-    per_test = runs.groupBy("instance_id", "test").agg(F.countDistinct("run").alias("seen"), F.countDistinct("status").alias("kinds"))
+    per_test = runs.groupBy("instance_id", "test").agg(F.count(F.lit(1)).alias("seen"), F.size(F.collect_set("status")).cast("long").alias("kinds"))
     return per_test.join(per_instance, "instance_id")
 
 

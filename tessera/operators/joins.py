@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,13 +20,26 @@ def lookup_left(left: DataFrame, right: DataFrame, keys: list[str], order: str)
     return left.join(last_wins(right, keys, order), keys, "left")
 
 
-def asof(left: DataFrame, right: DataFrame, left_time: str, right_time: str, value: str, by: list[str], strict: bool = True, found: str = "value") -> DataFrame:
+def asof(
+    left: DataFrame,
+    right: DataFrame,
+    left_time: str,
+    right_time: str,
+    value: str,
+    by: list[str],
+    strict: bool = True,
+    found: str = "value",
+    bucket: Callable[[Column], Column] | None = None,
+) -> DataFrame:
     """Each left row with `value` of the latest right row of its group before left_time (strictly, or at it too).
 
     Union and one window: both sides are sorted together once, whatever their sizes, and no pair is made. Of right
-    rows at one time the largest value counts. Null times match nothing.
+    rows at one time the largest value counts. Null times match nothing. A coarse monotone function of time as
+    `bucket` cuts hot groups: a bucket is a window of its own, and what earlier buckets end with is carried over by a
+    window over one row per bucket.
     """
     columns = left.columns
+    cell = bucket(F.col("_t")) if bucket else F.lit(0)
     here = left.select(*by, F.col(left_time).alias("_t"), F.lit(0 if strict else 1).alias("_side"), F.struct(*columns).alias("_row"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
     empty = F.lit(None).cast(here.schema["_row"].dataType)
     there = (
@@ -33,8 +48,14 @@ def asof(left: DataFrame, right: DataFrame, left_time: str, right_time: str, val
         .agg(F.max(value).alias("_v"))
         .select(*by, "_t", F.lit(1 if strict else 0).alias("_side"), empty.alias("_row"), "_v")
     )
-    window = Window.partitionBy(*by).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    both = here.unionByName(there).withColumn("_found", F.last("_v", ignorenulls=True).over(window))
+    window = Window.partitionBy(*by, "_cell").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = here.unionByName(there).withColumn("_cell", cell).withColumn("_found", F.last("_v", ignorenulls=True).over(window))
+    if bucket:
+        ends = there.withColumn("_cell", cell).groupBy(*by, "_cell").agg(F.max_by("_v", "_t").alias("_end"))
+        cells = both.select(*by, "_cell").distinct().join(ends, [*by, "_cell"], "left")
+        earlier = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        carried = cells.select(*by, "_cell", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+        both = both.join(carried, [*by, "_cell"], "left").withColumn("_found", F.coalesce("_found", "_carried"))
     return both.where("_row is not null").select("_row.*", F.when(F.col("_t").isNotNull(), F.col("_found")).alias(found))
 
 

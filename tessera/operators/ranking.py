@@ -84,14 +84,22 @@ def running_numbers(df: DataFrame, order: Column, chunk: Column, by: list[str])
     return marked.withColumn("_r", within).join(bases, [*by, "_chunk"]).withColumn("rank", F.col("_r") + F.col("_base")).drop("_r", "_base", "_chunk")
 
 
-def contiguous_chunks(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """df with `chunk` 0..n-1, contiguous and nearly equal, the first ones one longer."""
-    return df.withColumn("chunk", F.ntile(n).over(Window.orderBy(*order)) - 1)
+def contiguous_chunks(df: DataFrame, order: Column, coarse: Column, n: int) -> DataFrame:
+    """df with `chunk` 0..n-1, contiguous in order and nearly equal, the first ones one longer.
+
+    coarse is a coarse monotone function of the order (see running_numbers); no window holds all rows.
+    """
+    total = df.count()
+    size, longer = divmod(total, n)
+    at = F.col("rank") - 1
+    first = F.floor(at / (size + 1))
+    chunk = first if not size else F.when(at < longer * (size + 1), first).otherwise(longer + F.floor((at - longer * (size + 1)) / size))
+    return running_numbers(df, order, coarse, []).withColumn("chunk", chunk.cast("int")).drop("rank")
 
 
-def stride_chunks(df: DataFrame, order: list[str], n: int) -> DataFrame:
+def stride_chunks(df: DataFrame, order: Column, coarse: Column, n: int) -> DataFrame:
     """df with `chunk`, dealt round-robin in order."""
-    return df.withColumn("chunk", (F.row_number().over(Window.orderBy(*order)) - 1) % n)
+    return running_numbers(df, order, coarse, []).withColumn("chunk", ((F.col("rank") - 1) % n).cast("int")).drop("rank")
 
 
 def stratified_sample(df: DataFrame, strata: list[str], size: int, seed: int, id_col: str) -> DataFrame:

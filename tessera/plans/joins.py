@@ -57,6 +57,15 @@ def j06i(spark, d):
     return joins.asof(clicks, events.where("event_type = 'signup'"), "ts", "ts", "event_id", ["user_id"], strict=False).select("event_id", "value")
 
 
+@query("j06_asof_hot_groups", "WITH c AS (SELECT event_id, ts FROM events WHERE event_type = 'click'), r AS (SELECT ts, max(event_id) AS v FROM events WHERE event_type = 'signup' GROUP BY 1) SELECT c.event_id, r.v AS value FROM c ASOF LEFT JOIN r ON c.ts > r.ts")
+def j06h(spark, d):
+    """One group only, cut into days."""
+    events = table(spark, d, "events").withColumn("g", F.lit(1))
+    clicks = events.where("event_type = 'click'").select("event_id", "g", "ts")
+    found = joins.asof(clicks, events.where("event_type = 'signup'"), "ts", "ts", "event_id", ["g"], bucket=lambda t: F.date_trunc("day", t))
+    return found.select("event_id", "value")
+
+
 RELEASES = """
     monthly AS (SELECT date_trunc('month', o_orderdate) AS m, min(o_orderdate) AS first, max(o_orderdate) AS last FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
     rel AS (SELECT strftime(m, '%Y') || '.' || CAST(month(m) AS VARCHAR) AS v, first, last FROM monthly)

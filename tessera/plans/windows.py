@@ -179,14 +179,16 @@ def w13(spark, d):
     return ranking.merge_intervals(rows, ["g"])
 
 
-@query("w14_contiguous_chunks", "SELECT n_nationkey, CAST(ntile(4) OVER (ORDER BY n_nationkey) - 1 AS INT) AS chunk FROM nation")
+@query("w14_contiguous_chunks", "SELECT o_orderkey, CAST(ntile(7) OVER (ORDER BY o_orderkey) - 1 AS INT) AS chunk FROM orders")
 def w14(spark, d):
-    return ranking.contiguous_chunks(table(spark, d, "nation"), ["n_nationkey"], 4).select("n_nationkey", "chunk")
+    rows = table(spark, d, "orders").select("o_orderkey")
+    return ranking.contiguous_chunks(rows, F.col("o_orderkey"), F.floor(F.col("o_orderkey") / 5000), 7)
 
 
-@query("w15_stride_chunks", "SELECT n_nationkey, CAST((row_number() OVER (ORDER BY n_nationkey) - 1) % 4 AS INT) AS chunk FROM nation")
+@query("w15_stride_chunks", "SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) % 7 AS INT) AS chunk FROM orders")
 def w15(spark, d):
-    return ranking.stride_chunks(table(spark, d, "nation"), ["n_nationkey"], 4).select("n_nationkey", "chunk")
+    rows = table(spark, d, "orders").select("o_orderkey")
+    return ranking.stride_chunks(rows, F.col("o_orderkey"), F.floor(F.col("o_orderkey") / 5000), 7)
 
 
 @query("w16_running_numbers", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS rank FROM orders")
@@ -203,11 +205,10 @@ def t02(spark, d):
 
 @query("t03_t04_ranked", "SELECT s_suppkey, row_number() OVER (ORDER BY coalesce(nullif(floor(s_acctbal / 1000), 0), 0), s_nationkey % 5 = 0, s_suppkey) AS place FROM supplier")
 def t03(spark, d):
-    from pyspark.sql import Window
-
     first = F.coalesce(F.nullif(F.floor(F.col("s_acctbal") / 1000), F.lit(0)), F.lit(0))
-    second = F.when(F.col("s_nationkey") % 5 != 0, 0)
-    return table(spark, d, "supplier").select("s_suppkey", F.row_number().over(Window.orderBy(first, second.asc_nulls_last(), "s_suppkey")).alias("place"))
+    second = F.coalesce(F.when(F.col("s_nationkey") % 5 != 0, 0), F.lit(1))  # nulls last
+    ranked = ranking.running_numbers(table(spark, d, "supplier"), F.struct(first, second, "s_suppkey"), first, [])
+    return ranked.select("s_suppkey", F.col("rank").alias("place"))
 
 
 @query("t07_t08_stratified_sample")
