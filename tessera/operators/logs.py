@@ -177,7 +177,7 @@ def numpy_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 
 def gtest_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """GoogleTest lines; a RUN without a verdict before or behind it is an error."""
+    """gtest lines; a RUN without a verdict before or behind it is an error."""
     pattern = r"^\[\s+(RUN|OK|FAILED|SKIPPED|DISABLED|PASSED)\s+\]\s+(\S+\.\S+)"
     rows = _lines(logs, keys, text).where(F.col("line").rlike(pattern))
     rows = rows.withColumn("verb", F.regexp_extract("line", pattern, 1)).withColumn("test", F.regexp_extract("line", pattern, 2))
@@ -295,7 +295,10 @@ def register_parser(repo: str, parser: Parser) -> None:
 
 
 def parse_logs(logs: DataFrame, keys: list[str], text: str, repo: str, default: Parser = pytest_log) -> DataFrame:
-    """Rows of every log by its repository's parser (column `repo`, case apart), others by the default."""
+    """Rows of every log by its repository's parser (column `repo`, case apart), others by the default.
+
+    Logs are read once for each distinct parser, filtered by repository; partition large log tables by repository.
+    """
     low = F.lower(F.coalesce(F.col(repo), F.lit("")))
     groups: dict[Parser, list[str]] = {}
     for name, parser in PARSERS.items():
