@@ -92,6 +92,24 @@ ORACLE_SQL = {
         FROM documents
         WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op4_substring_dedup": """
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS a FROM documents),
+        win AS (
+            SELECT doc_id, s, list_aggregate(a[s:s + 19], 'string_agg', ' ') AS k
+            FROM (SELECT doc_id, a, unnest(range(1, len(a) - 18)) AS s FROM w WHERE len(a) >= 20)),
+        later AS (
+            SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM later),
+        words AS (SELECT doc_id, unnest(a) AS word, unnest(range(1, len(a) + 1)) AS p FROM w),
+        cut AS (
+            SELECT w.doc_id, count(*) FILTER (g.p IS NOT NULL) AS n_removed,
+                   string_agg(w.word, ' ' ORDER BY w.p) FILTER (g.p IS NULL) AS kept
+            FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.p = w.p GROUP BY w.doc_id)
+        SELECT w.doc_id, CAST(len(w.a) AS BIGINT) AS n_words, coalesce(c.n_removed, 0) AS n_removed,
+               sha256(coalesce(c.kept, '')) AS kept_sha256
+        FROM w LEFT JOIN cut c ON c.doc_id = w.doc_id
+    """,
     "op5_tool_call_linking": """
         WITH RECURSIVE calls AS (
             SELECT conv_id || ':' || turn AS call_id, conv_id, min(turn) AS turn,
