@@ -263,3 +263,11 @@ def r07(spark, d):
     found = jobs.sessions(_event_stream(spark, d), "ts", ["user_id"], "6 hours", "1000 days")
     out = jobs.run_to_table(found, f"r07_{uuid.uuid4().hex}", shared(spark, "state"), "complete")
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "n")
+
+
+@query("r03_r04_stream_expiry", "SELECT user_id, event_type, min(ts) IS NOT NULL AS seen FROM events GROUP BY 1, 2")
+def r03(spark, d):
+    """The rate is the stream's files per trigger; keys expire with the event time."""
+    once = jobs.dedup_with_expiry(_event_stream(spark, d), ["user_id", "event_type"], "ts", "1000 days")
+    out = jobs.run_to_table(once.select("user_id", "event_type", "ts"), f"r03_{uuid.uuid4().hex}", shared(spark, "state"))
+    return out.select("user_id", "event_type", F.col("ts").isNotNull().alias("seen"))
