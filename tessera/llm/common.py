@@ -81,12 +81,15 @@ def star_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not mark[0]:
             break
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # grouped minima are written out, so that both sides of a hot node's join are plain shuffles, which can be split
+        least = save(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = save(large, "large")
+        low = save(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = save(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
-        drop_saved(links)
+        for old in (links, least, large, low):
+            drop_saved(old)
         links, before, mark = after, mark, _fingerprint(after)
         if mark == before:
             break

@@ -172,7 +172,7 @@ def embedding_dedup(
         .join(stars.withColumnRenamed("node", "cid"), "cid", "left")
         .withColumn("root", F.coalesce("component", "cid"))
     )
-    lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    lowest = save(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "lowest")
     labels = rooted.join(lowest, "root").select(
         "grp_value", "vector", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
     )

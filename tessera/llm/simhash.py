@@ -177,7 +177,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = nodes.join(stars, F.col("fp") == F.col("node"), "left").select(
         "fp", "rep", F.coalesce("component", "fp").alias("root")
     )
-    lowest = rooted.groupBy("root").agg(F.min("rep").alias("first"))
+    lowest = save(rooted.groupBy("root").agg(F.min("rep").alias("first")), "lowest")
     labels = rooted.join(lowest, "root").select("fp", "first")
     return prints.join(labels, "fp").select(
         F.col("id").alias(id_col),
