@@ -276,7 +276,8 @@ def substring_dedup(
         "sketch",
     )
     own = save(sketch.select("id", "hs", "sha", "n_words"), "own")
-    classes = own.groupBy("hs", "sha").agg(F.min("id").alias("rep"))
+    classes = own.groupBy("hs", "sha").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    classes = save(classes.select("hs", "sha", "rep"), "classes")
     copies = save(own.join(classes, ["hs", "sha"]).where("id > rep").select("id", "hs").distinct(), "copies")
 
     def bounded(df: DataFrame) -> DataFrame:
