@@ -143,7 +143,7 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     ident = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
     users = turns.where("role = 'user' and conv_id is not null and turn is not null")
-    asked = users.select(ident(F.col("turn")).alias("after")).distinct()
+    asked = save(users.select(ident(F.col("turn")).alias("after")).distinct(), "asked")
     rows = (
         users.withColumn("wanted", ident(F.col("turn") - 2))
         .join(asked, F.col("wanted") == F.col("after"), "left")
