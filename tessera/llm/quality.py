@@ -48,28 +48,28 @@ _SHAPE = bytes(97 if k == _LOWER else 65 if k == _UPPER else 57 if k == _DIGIT e
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
-class _Words:
-    """Numbers for words and what is known of each; forgotten as a whole when it gets too large."""
+class _Words(dict):
+    """Numbers for words and, in arrays by number, what is known of each; forgotten as a whole between texts when large."""
 
     def __init__(self, dims: int):
-        self.dims, self.number = dims, {}
-        self.shape, self.bare, self.marked = [], [], []
+        super().__init__()
+        self.dims = dims
+        self.shape, self.bare, self.marked = (np.zeros(1 << 16, kind) for kind in (np.int64, bool, bool))
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        if n >= len(self.shape):
+            self.shape, self.bare, self.marked = (np.concatenate([x, np.zeros_like(x)]) for x in (self.shape, self.bare, self.marked))
+        shape = word[:200].translate(_SHAPE)
+        self.bare[n] = not (b"a" in shape or b"A" in shape or b"9" in shape)
+        self.marked[n] = len(shape) > 1 and shape[-1] not in b"aA9" and shape[-2] not in b"aA9"
+        self.shape[n] = _FIXED + zlib.crc32(_RUN.sub(rb"\1+", shape)[:12]) % (self.dims - _FIXED)
+        return n
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self.number) > _HELD_WORDS:
-            self.__init__(self.dims)
-        out = np.empty(len(words), np.int64)
-        get = self.number.get
-        for i, w in enumerate(words):
-            n = get(w)
-            if n is None:
-                n = self.number[w] = len(self.shape)
-                shape = w[:200].translate(_SHAPE)
-                self.bare.append(not (b"a" in shape or b"A" in shape or b"9" in shape))
-                self.marked.append(len(shape) > 1 and shape[-1] not in b"aA9" and shape[-2] not in b"aA9")
-                self.shape.append(_FIXED + zlib.crc32(_RUN.sub(rb"\1+", shape)[:12]) % (self.dims - _FIXED))
-            out[i] = n
-        return out
+        if len(self) > _HELD_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 def describe(text: bytes, known: _Words) -> tuple[int, np.ndarray, np.ndarray]:
@@ -80,7 +80,6 @@ def describe(text: bytes, known: _Words) -> tuple[int, np.ndarray, np.ndarray]:
     for at in range(0, len(text), 1 << 20):
         kinds += np.bincount(_KIND[np.frombuffer(text[at : at + (1 << 20)], np.uint8)], minlength=6)
     ids = known.numbers(words)
-    shapes = np.array([known.shape[i] for i in ids.tolist()], np.int64)
     triples = (ids[:-2] * 1_000_003 + ids[1:-1]) * 1_000_003 + ids[2:] if n > 2 else ids[:0]
     _, times = np.unique(triples, return_counts=True)
     head = ids[:300]
@@ -88,10 +87,10 @@ def describe(text: bytes, known: _Words) -> tuple[int, np.ndarray, np.ndarray]:
         "repeats": float((ids[1:] == ids[:-1]).mean()) if n > 1 else 0.0,
         "capitals": kinds[_UPPER] / max(1, kinds[_UPPER] + kinds[_LOWER]),
         "symbols": kinds[_OTHER] / max(1, len(text)),
-        "bare": sum(known.bare[i] for i in ids.tolist()) / max(1, n),
+        "bare": int(known.bare[ids].sum()) / max(1, n),
         "trigrams": times[times > 1].sum() / max(1, n - 2),
         "variety": -(len(np.unique(head)) / max(1, len(head))),
-        "marked": sum(known.marked[i] for i in ids.tolist()) / max(1, n),
+        "marked": int(known.marked[ids].sum()) / max(1, n),
     }
     votes, numbers = 0, []
     for i, name in enumerate(_STATS):
@@ -102,7 +101,7 @@ def describe(text: bytes, known: _Words) -> tuple[int, np.ndarray, np.ndarray]:
         # a text too short for a labeller has its best bin
         numbers.append(i * _BINS + (int(np.searchsorted(_EDGES[name], x, side="right")) if n >= least else 0))
     numbers.append(len(_STATS) * _BINS + int(np.searchsorted(_LENGTHS, n, side="right")))
-    used, counts = np.unique(shapes, return_counts=True)
+    used, counts = np.unique(known.shape[ids], return_counts=True)
     share = np.sqrt(counts / max(1, n))
     return votes, np.r_[numbers, used].astype(np.int32), np.r_[np.ones(len(numbers)), share].astype(np.float32)
 
