@@ -27,7 +27,17 @@ NO_ID = -(1 << 63)
 #: Windows of one text handled at once.
 STRETCH = 1 << 20
 _CACHE_WORDS = 300_000
-_cache: dict[bytes, int] = {}
+
+
+class _Hashes(dict):
+    """XXH64 of words, worked out once."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_cache = _Hashes()
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _POS = np.uint64((1 << 24) - 1)
 
@@ -35,14 +45,7 @@ _POS = np.uint64((1 << 24) - 1)
 def _hash_words(words: list[bytes]) -> np.ndarray:
     if len(_cache) > _CACHE_WORDS:
         _cache.clear()
-    get, digest = _cache.get, xxhash.xxh64_intdigest
-    out = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        h = get(w)
-        if h is None:
-            h = _cache[w] = digest(w)
-        out[i] = h
-    return out
+    return np.fromiter(map(_cache.__getitem__, words), np.uint64, len(words))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -86,6 +89,35 @@ def minimizers(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarr
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
+def minimizers_of(h: np.ndarray, lengths: np.ndarray, window: int, k: int) -> tuple[np.ndarray, ...]:
+    """minimizers() of many short texts laid end to end: (k-mer hash, first window, last window, text), all at once."""
+    counts = np.maximum(lengths - window + 1, 0)
+    total = int(counts.sum())
+    if not total:
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    kmers = _run_hash(h, k)
+    order = (kmers & ~_POS) | np.arange(len(kmers), dtype=np.uint64)
+    least = (_sliding_min(order, window - k + 1) & _POS).astype(np.int64)
+    text = np.repeat(np.arange(len(lengths)), counts)
+    start = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = least[(np.cumsum(lengths) - lengths)[text] + start]  # windows inside one text only
+    first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (text[1:] != text[:-1])])
+    last = np.r_[first[1:] - 1, total - 1]
+    return kmers[at[first]].view(np.int64), start[first], start[last], text[first]
+
+
+def _hashed(words: list[list[bytes]], window: int, k: int) -> tuple[np.ndarray, ...]:
+    """(hashes of all words, where each text begins, k-mer, first, last, text) of texts with their minimizer runs."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    h = _hash_words([w for text in words for w in text])
+    begin = np.cumsum(lengths) - lengths
+    if len(h) <= STRETCH:
+        return h, begin, *minimizers_of(h, lengths, window, k)
+    runs = [minimizers(h[b : b + n], window, k) for b, n in zip(begin, lengths, strict=True)]
+    text = np.repeat(np.arange(len(words)), [len(r[0]) for r in runs])
+    return h, begin, *(np.concatenate([r[i] for r in runs]) for i in range(3)), text
+
+
 def _sequence_key(words: list[bytes]) -> tuple[bytes, int]:
     sha = hashlib.sha256(b" ".join(words)).digest()
     return sha, int.from_bytes(sha[:8], "little", signed=True)
@@ -94,26 +126,23 @@ def _sequence_key(words: list[bytes]) -> tuple[bytes, int]:
 def _sketch_batches(window: int, k: int):
     names = ["id", "hs", "sha", "n_words", "kmers", "ats"]
 
-    def lists(parts: list[np.ndarray]) -> pa.Array:
-        ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, parts[0].dtype if parts else np.int64), *parts])))
-
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                hs, shas, counts, kmers, ats = [], [], [], [], []
-                for text in batch.column(1).to_pylist():
-                    words = (text or b"").split()
-                    sha, key = _sequence_key(words)
-                    kmer, first, last = minimizers(_hash_words(words) if len(words) >= window else np.zeros(0, np.uint64), window, k)
-                    hs.append(key)
-                    shas.append(sha)
-                    counts.append(len(words))
-                    kmers.append(kmer)
-                    ats.append(first * 32 + (last - first))
+                words = [(text or b"").split() for text in batch.column(1).to_pylist()]
+                shas, keys = zip(*map(_sequence_key, words), strict=True)
+                _, _, kmer, first, last, text = _hashed(words, window, k)
+                ends = pa.array(np.searchsorted(text, np.arange(len(words) + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(hs, pa.int64()), pa.array(shas, pa.binary()), pa.array(counts, pa.int64()), lists(kmers), lists(ats)],
+                    [
+                        batch.column(0),
+                        pa.array(keys, pa.int64()),
+                        pa.array(shas, pa.binary()),
+                        pa.array([len(w) for w in words], pa.int64()),
+                        pa.ListArray.from_arrays(ends, pa.array(kmer)),
+                        pa.ListArray.from_arrays(ends, pa.array(first * 32 + (last - first))),
+                    ],
                     names=names,
                 )
 
@@ -126,21 +155,21 @@ def _path_batches(window: int, k: int):
     def run(batches):
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
-                out = [[] for _ in range(6)]
-                for id_, key, words, at in _with_ranges(whole.slice(lo, 500), window):
-                    h = _hash_words(words)
-                    kmer, first, last = minimizers(h, window, k)
-                    chosen = np.isin(first, at >> 5)
-                    kmer, first, n = kmer[chosen], first[chosen], (last - first + 1)[chosen]
-                    path = np.zeros(len(first), np.uint64)
-                    for j in range(int(n.max(initial=0)) + window - 1):
-                        live = np.flatnonzero(j < n + window - 1)
-                        path[live] = path[live] * _MUL + h[first[live] + j]
-                    path = _mixed(path + n.astype(np.uint64))
-                    for c, v in zip(out, (kmer, path.view(np.int64), np.full(len(n), id_), np.full(len(n), key), first, n), strict=True):
-                        c.append(v)
-                cols = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kmer", "path", "id", "hs", "start", "n"])
+                rows = list(_with_ranges(whole.slice(lo, 500), window))
+                if not rows:
+                    continue
+                ids, keys, words, ranges = zip(*rows, strict=True)
+                h, begin, kmer, first, last, text = _hashed(list(words), window, k)
+                wanted = np.concatenate([(np.int64(i) << 40) + (r >> 5) for i, r in enumerate(ranges)])
+                chosen = np.isin((text << 40) + first, wanted)
+                kmer, first, text, n = kmer[chosen], first[chosen], text[chosen], (last - first + 1)[chosen]
+                path, at = np.zeros(len(first), np.uint64), begin[text] + first
+                for j in range(int(n.max(initial=0)) + window - 1):
+                    live = np.flatnonzero(j < n + window - 1)
+                    path[live] = path[live] * _MUL + h[at[live] + j]
+                path = _mixed(path + n.astype(np.uint64)).view(np.int64)
+                cols = [kmer, path, np.array(ids)[text], np.array(keys)[text], first, n]
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["kmer", "path", "id", "hs", "start", "n"])
 
     return run
 

@@ -239,3 +239,24 @@ def test_empty_tables(spark):
     assert exact_dedup.exact_dedup(docs).count() == 0
     assert substring.substring_dedup(docs).count() == 0
     assert embedding.embedding_dedup(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_minimizers_of_many_texts_are_those_of_each(monkeypatch):
+    import numpy as np
+
+    rng = random.Random(9)
+    texts = [[f"w{rng.randrange(40)}".encode() for _ in range(n)] for n in (0, 5, 19, 20, 21, 300, 1, 77, 500)]
+    lengths = np.array([len(t) for t in texts])
+    for stretch in (1 << 20, 64):
+        monkeypatch.setattr(substring, "STRETCH", stretch)
+        h, begin, kmer, first, last, text = substring._hashed(texts, 20, 8)
+        assert begin.tolist() == (np.cumsum(lengths) - lengths).tolist()
+        starts = {}
+        for i, t in enumerate(texts):
+            own = text == i
+            # every window once, whatever the stretches; its minimizer is the same
+            covered = [s for a, b in zip(first[own], last[own], strict=True) for s in range(a, b + 1)]
+            assert covered == list(range(max(0, len(t) - 19)))
+            starts[i] = {s: k for k, a, b in zip(kmer[own], first[own], last[own], strict=True) for s in range(a, b + 1)}
+        want = {i: {s: k for k, a, b in zip(*substring.minimizers(substring._hash_words(t), 20, 8), strict=True) for s in range(a, b + 1)} for i, t in enumerate(texts)}
+        assert starts == want
