@@ -24,6 +24,8 @@ from tessera.llm.common import LOWER_AZ, hash_sample, save
 _HELD_WORDS = 500_000
 #: Tokens that go through one recursion together; bounds memory.
 _GROUP_TOKENS = 600_000
+#: Longer sequences train in pieces of this length, each begun anew, and are scored token by token: bounds memory.
+_LONG = 1_000_000
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -200,6 +202,18 @@ class _Group:
         return gamma[: n[0]].sum(axis=0), moves * m.move, seen, float(logs.sum())
 
 
+def long_forward(seq: np.ndarray, m: Model) -> float:
+    """The natural log likelihood of one sequence of any length, by the scaled forward recursion."""
+    total, a = 0.0, None
+    for lo in range(0, len(seq), _LONG):
+        for emit in m.emit[seq[lo : lo + _LONG]]:
+            now = emit * (m.start if a is None else a @ m.move)
+            c = now.sum()
+            total += float(np.log(c))
+            a = now / c
+    return total
+
+
 def _grouped(seqs: list[np.ndarray], room: int = _GROUP_TOKENS):
     """Lists of indices of sequences of similar length, about `room` tokens each."""
     order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
@@ -226,7 +240,7 @@ def _expect_batches(shared):
         states = len(m.start)
         start, moves, seen, like = np.zeros(states), np.zeros((states, states)), np.zeros((len(m.emit), states)), 0.0
         for batch in batches:
-            seqs = _sequences(batch.column(0))
+            seqs = [s[lo : lo + _LONG] for s in _sequences(batch.column(0)) for lo in range(0, len(s), _LONG)]
             for some in _grouped(seqs):
                 s, mv, em, ll = _Group([seqs[i] for i in some]).expect(m)
                 start, moves, seen, like = start + s, moves + mv, seen + em, like + ll
@@ -272,7 +286,10 @@ def _score_batches(shared, class_logs: np.ndarray):
             seqs = _sequences(batch.column(batch.schema.get_field_index("classes")))
             like, inner = np.zeros(len(seqs)), np.zeros(len(seqs))
             for some in _grouped(seqs):
-                like[some] = _Group([seqs[i] for i in some]).forward(m)[2]
+                if len(seqs[some[0]]) > _LONG:
+                    like[some] = [long_forward(seqs[i], m) for i in some]
+                else:
+                    like[some] = _Group([seqs[i] for i in some]).forward(m)[2]
             for i, s in enumerate(seqs):
                 inner[i] = class_logs[s].sum()
             yield pa.RecordBatch.from_arrays(
@@ -304,6 +321,8 @@ def hmm_scores(
     cache of fixed size); all others meet their counts in a join. Expected counts are summed in Spark, and states x
     classes of them reach the driver.
 
+    Texts of over a million tokens train in pieces and are scored as a whole.
+
     A null text is empty: one token, the end. A null id counts as the empty text for the fold. Repeated rows count
     and are scored each. Other columns of the input are not read. An empty table gives an empty result.
     """

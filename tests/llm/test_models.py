@@ -28,6 +28,7 @@ def test_forward_is_the_exact_likelihood():
                 p *= m.move[a, b]
             total += p * math.prod(m.emit[c, z] for c, z in zip(s, path, strict=True))
         assert math.isclose(log, math.log(total), rel_tol=1e-9)
+        assert math.isclose(hmm_lm.long_forward(s, m), math.log(total), rel_tol=1e-9)
 
 
 def test_expected_counts_match_enumeration_and_raise_the_likelihood():
