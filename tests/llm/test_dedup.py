@@ -99,6 +99,52 @@ def test_simhash_links_like_brute_force(spark):
     assert set(kept) == {r.component_id for r in got}
 
 
+def word_shingles(text, size=5):
+    found = [w.translate(LOWER) for w in words(text)]
+    size = min(size, len(found))
+    return {tuple(found[i : i + size]) for i in range(len(found) - size + 1)} if found else set()
+
+
+def test_near_dedup_links_like_brute_force(spark):
+    """Copies around a similarity of 0.8, chains, texts of one repeated passage, and a group larger than its blocks."""
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    texts = [None, "", " \n", "one two", "One TWO"]
+    for _ in range(60):
+        base = rng.choices(vocabulary, k=rng.choice([8, 40, 100, 300]))
+        texts.append(" ".join(base))
+        for _ in range(3):  # a chain of changes
+            for _ in range(max(1, len(base) // 50)):
+                base[rng.randrange(len(base))] = rng.choice(vocabulary)
+            texts.append(" ".join(base))
+    passage = " ".join(rng.choices(vocabulary, k=10))
+    texts += [" ".join([passage] * 30 + rng.choices(vocabulary, k=60)) for _ in range(5)]
+    centre = rng.choices(vocabulary, k=150)
+    for _ in range(40):
+        texts.append(" ".join(rng.choice(vocabulary) if rng.random() < 0.02 else w for w in centre))
+    data = [(None if i == 7 else i, t, "h", i, "f") for i, t in enumerate(texts)] + [(9, texts[9], "h", 0, "f")]
+    sets = [word_shingles(t) for t in texts]
+    near = lambda a, b: a == b or (len(a & b) > 0 and len(a & b) / len(a | b) >= 0.8)
+    n = range(len(texts))
+    links = [(a, b) for a in n for b in n if a < b and near(sets[a], sets[b])]
+    comp = components(list(n), links)
+    low = defaultdict(list)
+    for i in n:
+        low[comp[i]].append(data[i][0])
+    want = sorted((str(d), min((x for x in low[comp[i]] if x is not None), default=None)) for i, (d, *_) in enumerate(data[:-1]))
+    for block in (7, 2048):
+        got = simhash.near_dedup(spark.createDataFrame(data[:-1], DOCS), block=block).collect()
+        assert sorted((str(r.doc_id), r.component_id) for r in got) == want
+    # one changed word in the middle of a text of 100 is a near copy; op1's radius of 3 bits finds few of them
+    pairs = []
+    for i in range(40):
+        base = rng.choices(vocabulary, k=100)
+        pairs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join([*base[:50], "changed", *base[51:]]))]
+    frame = spark.createDataFrame(pairs, "doc_id long, text string")
+    assert sum(r.kept for r in simhash.near_dedup(frame).collect()) == 40
+    assert simhash.near_dedup(frame.where("false")).count() == 0
+
+
 def test_simhash_blocks_of_a_full_bucket_lose_nothing(spark):
     rng = random.Random(5)
     centre = rng.getrandbits(63)
