@@ -19,7 +19,7 @@ LABELLERS = {
     "symbols": (0.04, 0.01, 5),  # characters that are no letter, digit, white space or common punctuation
     "bare": (0.12, 0.03, 10),  # words without a letter or digit
     "trigrams": (0.35, 0.12, 60),  # word triples that occur again in the text
-    "variety": (-0.30, -0.50, 40),  # minus the share of distinct words among the first 300
+    "variety": (-0.30, -0.50, 40),  # minus the share of distinct words in windows of 300 words, their mean
     "marked": (0.25, 0.08, 10),  # words that end with two or more marks
 }
 _EDGES = {
@@ -34,7 +34,8 @@ _EDGES = {
 _STATS = list(LABELLERS)
 _BINS = 7
 _LENGTHS = (2, 5, 10, 20, 40, 80, 160, 320, 640, 1280)
-_FIXED = len(_STATS) * _BINS + len(_LENGTHS) + 1
+_LOWEST = len(_STATS) * _BINS + len(_LENGTHS) + 1  # bins of the least variety of a window, which has no vote
+_FIXED = _LOWEST + _BINS
 _HELD_WORDS = 400_000
 
 _SPACE, _LOWER, _UPPER, _DIGIT, _COMMON, _OTHER = range(6)
@@ -60,10 +61,10 @@ class _Words(dict):
         n = self[word] = len(self)
         if n >= len(self.shape):
             self.shape, self.bare, self.marked = (np.concatenate([x, np.zeros_like(x)]) for x in (self.shape, self.bare, self.marked))
-        shape = word[:200].translate(_SHAPE)
+        shape = word.translate(_SHAPE)
         self.bare[n] = not (b"a" in shape or b"A" in shape or b"9" in shape)
         self.marked[n] = len(shape) > 1 and shape[-1] not in b"aA9" and shape[-2] not in b"aA9"
-        self.shape[n] = _FIXED + zlib.crc32(_RUN.sub(rb"\1+", shape)[:12]) % (self.dims - _FIXED)
+        self.shape[n] = _FIXED + zlib.crc32(_RUN.sub(rb"\1+", shape[:200])[:12]) % (self.dims - _FIXED)
         return n
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
@@ -72,6 +73,20 @@ class _Words(dict):
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
+def variety(ids: np.ndarray, window: int = 300) -> tuple[float, float]:
+    """Mean and least share of distinct words in windows that cover the whole text; the last one ends with it."""
+    n = len(ids)
+    if n <= window:
+        share = len(np.unique(ids)) / max(1, n)
+        return share, share
+    starts = np.r_[np.arange(0, n - window, window), n - window]
+    distinct = np.empty(len(starts), np.int64)
+    for lo in range(0, len(starts), 1000):
+        rows = np.sort(ids[starts[lo : lo + 1000, None] + np.arange(window)], axis=1)
+        distinct[lo : lo + 1000] = 1 + (rows[:, 1:] != rows[:, :-1]).sum(axis=1)
+    return float(distinct.mean()) / window, int(distinct.min()) / window
+
+
 def describe(text: bytes, known: _Words) -> tuple[int, np.ndarray, np.ndarray]:
     """(votes in base 3, feature numbers, feature values) of a whole text."""
     words = text.split()
@@ -82,25 +97,26 @@ def describe(text: bytes, known: _Words) -> tuple[int, np.ndarray, np.ndarray]:
     ids = known.numbers(words)
     triples = (ids[:-2] * 1_000_003 + ids[1:-1]) * 1_000_003 + ids[2:] if n > 2 else ids[:0]
     _, times = np.unique(triples, return_counts=True)
-    head = ids[:300]
+    mean, least = variety(ids)
     stats = {
         "repeats": float((ids[1:] == ids[:-1]).mean()) if n > 1 else 0.0,
         "capitals": kinds[_UPPER] / max(1, kinds[_UPPER] + kinds[_LOWER]),
         "symbols": kinds[_OTHER] / max(1, len(text)),
         "bare": int(known.bare[ids].sum()) / max(1, n),
         "trigrams": times[times > 1].sum() / max(1, n - 2),
-        "variety": -(len(np.unique(head)) / max(1, len(head))),
+        "variety": -mean,
         "marked": int(known.marked[ids].sum()) / max(1, n),
     }
     votes, numbers = 0, []
     for i, name in enumerate(_STATS):
-        bad, good, least = LABELLERS[name]
+        bad, good, enough = LABELLERS[name]
         x = stats[name]
-        vote = 0 if n < least else 1 if x >= bad else 2 if x < good else 0
+        vote = 0 if n < enough else 1 if x >= bad else 2 if x < good else 0
         votes += vote * 3**i
         # a text too short for a labeller has its best bin
-        numbers.append(i * _BINS + (int(np.searchsorted(_EDGES[name], x, side="right")) if n >= least else 0))
+        numbers.append(i * _BINS + (int(np.searchsorted(_EDGES[name], x, side="right")) if n >= enough else 0))
     numbers.append(len(_STATS) * _BINS + int(np.searchsorted(_LENGTHS, n, side="right")))
+    numbers.append(_LOWEST + (int(np.searchsorted(_EDGES["variety"], -least, side="right")) if n >= LABELLERS["variety"][2] else 0))
     used, counts = np.unique(known.shape[ids], return_counts=True)
     share = np.sqrt(counts / max(1, n))
     return votes, np.r_[numbers, used].astype(np.int32), np.r_[np.ones(len(numbers)), share].astype(np.float32)

@@ -116,6 +116,17 @@ def test_weak_labels_find_the_accuracies():
     assert labels[0] > 0.7  # all abstain: the share of good ones
 
 
+def test_quality_reads_texts_and_words_to_their_ends():
+    rng = random.Random(4)
+    vote = lambda text, name: quality.describe(text.encode(), quality._Words(2048))[0] // 3 ** list(quality.LABELLERS).index(name) % 3
+    clean, few = [f"word{i}" for i in range(5000)], [f"j{i}" for i in range(40)]
+    assert vote(" ".join(rng.choices(clean, k=300) + rng.choices(few, k=3000)), "variety") == 1
+    assert vote(" ".join(rng.choices(few, k=300) + rng.choices(clean, k=3000)), "variety") == 2
+    assert quality.variety(np.arange(1000) % 7)[1] == 7 / 300
+    # the ending and the letters of words of more than 200 bytes
+    assert vote(" ".join(["a" * 250 + "!!"] * 20), "marked") == 1 and vote(" ".join(["-" * 250 + "a"] * 20), "bare") == 2
+
+
 def test_quality_keeps_clean_documents_and_drops_junk(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
