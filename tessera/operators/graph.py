@@ -6,22 +6,28 @@ is written to the checkpoint folder, which cuts the lineage.
 
 from __future__ import annotations
 
+from itertools import count
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def min_depths(edges: DataFrame, roots: DataFrame, graph: str = "graph", max_depth: int = 200) -> DataFrame:
-    """(graph, node, depth): least number of calls from a root. edges (graph, caller, callee); roots (graph, node)."""
+def min_depths(edges: DataFrame, roots: DataFrame, graph: str = "graph") -> DataFrame:
+    """(graph, node, depth): least number of calls from a root. edges (graph, caller, callee); roots (graph, node).
+
+    Ends when a level finds nothing new, however deep. What was found is written out every 20 levels, so that plans stay short.
+    """
     found = roots.select(graph, "node").distinct().withColumn("depth", F.lit(0))
     frontier = found
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         step = frontier.join(edges.withColumnRenamed("caller", "node"), [graph, "node"]).select(graph, F.col("callee").alias("node")).distinct()
         frontier = step.join(found, [graph, "node"], "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
         if frontier.isEmpty():
             return found
         found = found.unionByName(frontier)
-    return found
+        if depth % 20 == 0:
+            found = found.checkpoint()
 
 
 def reachable(edges: DataFrame, roots: DataFrame, graph: str = "graph") -> DataFrame:

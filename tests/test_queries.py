@@ -56,6 +56,23 @@ def test_queries_without_sql_have_rows(spark):
         assert QUERIES[name](spark, SF).count() > 0, name
 
 
+def test_depths_end_with_the_graph_only(spark, tmp_path):
+    from tessera.operators import graph
+
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    edges = spark.createDataFrame([("g", i, i + 1) for i in range(205)] + [("g", 205, 0)], "graph string, caller long, callee long")
+    roots = spark.createDataFrame([("g", 0)], "graph string, node long")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = {r.node: r.depth for r in graph.min_depths(edges.coalesce(1).cache(), roots.coalesce(1)).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == {i: i for i in range(206)}
+
+
 def test_greedy_selection_respects_ancestors_and_cap(spark):
     from tessera.operators.graph import greedy_selection
 
