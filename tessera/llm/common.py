@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,20 @@ def drop_saved(df: DataFrame) -> None:
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def spanning(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """For each of n nodes the smallest index that it reaches through the links (u, v)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, root[u], low)
+        np.minimum.at(new, root[v], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def star_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of (u, v) links between longs: rows (node, component), component the smallest node.
 

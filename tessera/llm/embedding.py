@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import save, star_components
+from tessera.llm.common import save, spanning, star_components
 
 
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,20 +47,6 @@ def tile_links(code: tuple, other: tuple, unit: np.ndarray, unit_other: np.ndarr
     return i[keep], j[keep]
 
 
-def _spanning(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
-    """For each of n nodes the smallest index that it reaches through the links (u, v)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[u], root[v])
-        new = root.copy()
-        np.minimum.at(new, root[u], low)
-        np.minimum.at(new, root[v], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _cell_rows(cell: pa.Table, threshold: float, tile: int):
     """Of one cell (two blocks of a group, or one): per class the number of vectors linked, and spanning links."""
     cid = cell["cid"].to_numpy()
@@ -83,7 +69,7 @@ def _cell_rows(cell: pa.Table, threshold: float, tile: int):
         i, j = tile_links([c[x] for c in code], [c[y] for c in code], unit[x], unit[y], threshold, same)
         i, j = x[i], y[j]
         links += np.bincount(i, n[j], len(cid)).astype(np.int64) + np.bincount(j, n[i], len(cid)).astype(np.int64)
-        root = _spanning(np.r_[i, *us], np.r_[j, *vs], len(cid)) if len(i) else None
+        root = spanning(np.r_[i, *us], np.r_[j, *vs], len(cid)) if len(i) else None
         if root is not None:
             own_root = root != np.arange(len(cid))
             us, vs = [np.flatnonzero(own_root)], [root[own_root]]

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER_AZ, save, star_components
+from tessera.llm.common import LOWER_AZ, save, spanning, star_components
 
 #: Shingles hashed at once; bounds memory for very long texts.
 _CHUNK = 1 << 16
@@ -250,60 +250,79 @@ def _set_batches(shingle: int):
     return run
 
 
-def _pair_batches(reach: int, similarity: float, room: int = 1 << 18):
-    """Over rows (key, cell, node, root, size, fp) sorted by the first two: pairs (u, v) of a cell that have two roots,
-    sizes that allow the similarity, and at most `reach` differing bits."""
-
-    def pairs(key, cell, node, root, size, fp):
-        change = np.ones(len(key), bool)
-        change[1:] = (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])
-        group, left = np.cumsum(change), np.arange(len(key))
-        us, vs, held = [], [], 0
-        for step in range(1, len(key)):
-            left = left[left < len(key) - step]
-            left = left[group[left] == group[left + step]]
-            if not len(left):
-                break
-            to = left + step
-            fit = (root[left] != root[to]) & (np.minimum(size[left], size[to]) >= similarity * np.maximum(size[left], size[to]))
-            at = left[fit]
-            at = at[np.bitwise_count((fp[at] ^ fp[at + step]).view(np.uint64)) <= reach]
-            us.append(np.minimum(node[at], node[at + step]))
-            vs.append(np.maximum(node[at], node[at + step]))
-            held += len(at)
-            if held > room:
-                yield np.concatenate(us), np.concatenate(vs)
-                us, vs, held = [], [], 0
-        if held:
-            yield np.concatenate(us), np.concatenate(vs)
+def _cell_pairs(root: np.ndarray, size: np.ndarray, fp: np.ndarray, sets: pa.ListArray, reach: int, similarity: float, width: int = 4096):
+    """Of one cell, for each node the smallest node that it reaches by links between different roots: exact Jaccard
+    similarities of pairs within `reach` bits, as products of 0/1 matrices over the shingles that several nodes share."""
+    n = len(root)
+    _, group, members = np.unique(root, return_inverse=True, return_counts=True)
+    rest = np.flatnonzero(group != members.argmax())  # of two roots, one is not the largest
+    reached = np.arange(n)
+    near = np.bitwise_count((fp[rest, None] ^ fp[None, :]).view(np.uint64)) <= reach
+    near &= group[rest, None] != group[None, :]
+    near &= np.minimum(size[rest, None], size[None, :]) >= similarity * np.maximum(size[rest, None], size[None, :])
+    if not near.any():
+        return reached
+    owner = np.repeat(np.arange(n), np.diff(sets.offsets.to_numpy()))
+    _, column, times = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column = owner[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(rest), n), np.float32)  # counts below 2**24 are exact
+    for lo in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(column, (lo, lo + width))
+        has = np.zeros((n, width), np.float32)
+        has[owner[a:b], column[a:b] - lo] = 1
+        common += has[rest] @ has.T
+    joint = common.astype(np.float64)
+    i, j = np.nonzero(near & (joint / (size[rest, None] + size[None, :] - joint) >= similarity))
+    return spanning(rest[i], j, n)
+
+
+def _cell_links_batches(reach: int, similarity: float):
+    """Over rows (key, cell, node, root, size, fp, set) sorted by the first two: spanning links (u, v) of each cell."""
+
+    def links(table: pa.Table) -> pa.RecordBatch:
+        node, root, size, fp = (table[c].to_numpy() for c in ("node", "root", "size", "fp"))
+        low = _cell_pairs(root, size, fp, table["set"].combine_chunks(), reach, similarity)
+        linked = np.flatnonzero(low != np.arange(len(low)))
+        return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[low[linked]])], names=["u", "v"])
 
     def run(batches):
-        held = None
+        held: list[pa.Table] = []
+        last = None
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-            cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)] if held else cols
-            if not len(cols[0]):
+            if not batch.num_rows:
                 continue
-            same = (cols[0] == cols[0][-1]) & (cols[1] == cols[1][-1])
-            cut = len(same) - int(same.sum())
-            held = [c[cut:] for c in cols]
-            if cut:
-                for u, v in pairs(*(c[:cut] for c in cols)):
-                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            table = pa.Table.from_batches([batch])
+            key, cell = table["key"].to_numpy(), table["cell"].to_numpy()
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (cell[1:] != cell[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)], strict=True):
+                if held and last != (key[lo], cell[lo]):
+                    yield links(pa.concat_tables(held))
+                    held = []
+                held.append(table.slice(lo, hi - lo))
+                last = key[lo], cell[lo]
         if held:
-            for u, v in pairs(*held):
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            yield links(pa.concat_tables(held))
 
     return run
 
 
+def _sets(nodes: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
+    """(node, set) for rows (node, any_h): the texts are read again."""
+    wanted = save(nodes.select("node", F.col("any_h").alias("h")), "wanted")
+    texts = rows.select("h", "text").join(wanted, "h").select("node", "text")
+    sets = texts.mapInArrow(_set_batches(shingle), "node long, set array<long>")
+    return save(sets.dropDuplicates(["node"]), "sets")
+
+
 def _similar(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets of shingles have the Jaccard similarity or more; texts are read again for them."""
+    """The pairs (u, v) whose sets of shingles have the Jaccard similarity or more."""
     ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = save(nodes.join(ends, "node").select("node", F.col("any_h").alias("h")), "wanted")
-    texts = rows.select("h", "text").join(wanted, "h").select("node", "text")
-    sets = texts.mapInArrow(_set_batches(shingle), "node long, set array<long>").dropDuplicates(["node"])
-    sets = save(sets, "sets")
+    sets = _sets(nodes.join(ends, "node"), rows, shingle)
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("a")), "u")
     both = both.join(sets.select(F.col("node").alias("v"), F.col("set").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
@@ -319,7 +338,8 @@ def near_dedup(
     bands: int = 24,
     per_band: int = 4,
     reach: int = 28,
-    block: int = 2048,
+    block: int = 512,
+    room: int = 2_000_000,
 ) -> DataFrame:
     """Rows as simhash_dedup gives them, with links between texts whose sets of word shingles have a Jaccard similarity
     of `similarity` or more. Every link is checked on the sets; a component is what such links connect.
@@ -327,8 +347,10 @@ def near_dedup(
     64 SimHash bits cannot index 0.8 (about 10 bits differ), so candidates share one of `bands` keys, each over
     per_band minima of hashes, and differ in at most `reach` SimHash bits (of the set, repeats count once). At 0.8 a
     pair is missed by the keys once in 300,000 times, and less often by the bits; every pair of a key's texts is
-    compared, in blocks, but for pairs that are connected already. First each text meets the smallest and the
-    largest of each key, which connects most of a large group with few pairs.
+    compared, but for pairs that are connected already. First each text meets the smallest and the largest of each
+    key, which connects most of a large group with few pairs. What is left of a key is cut into blocks of about `block`
+    texts and `room` shingles; a task compares two blocks at a time on their sets and gives spanning links, never its
+    pairs.
 
     Texts with equal sets (those without words too) are one node. Null ids, repeated rows and other columns are treated
     as by simhash_dedup.
@@ -354,19 +376,22 @@ def near_dedup(
     stars = save(star_components(links), "stars")
     rooted = keyed.join(stars, "node", "left").select("key", "node", "size", "fp", F.coalesce("component", "node").alias("root"))
     rooted = save(rooted, "rooted")
-    open_keys = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_keys = save(open_keys.where("n > 2 and lo <> hi").select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "open")
+    open_keys = rooted.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"), F.min("root").alias("lo"), F.max("root").alias("hi")
+    )
+    blocks = F.ceil(F.greatest(F.col("n") / block, F.col("shingles") / room)).cast("int")
+    open_keys = save(open_keys.where("n > 2 and lo <> hi").select("key", blocks.alias("blocks")), "open")
+    left = save(rooted.join(open_keys, "key"), "left")
+    sets = _sets(nodes.join(left.select("node").distinct(), "node"), rows, shingle)
     cells = (
-        rooted.join(open_keys, "key")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        left.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         .withColumn("cell", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).cast("long"))
-        .select("key", "cell", "node", "root", "size", "fp")
+        .join(sets, "node")
+        .select("key", "cell", "node", "root", "size", "fp", "set")
     )
     dealt = cells.repartition("key", "cell").sortWithinPartitions("key", "cell")
-    more = dealt.mapInArrow(_pair_batches(reach, similarity), "u long, v long").distinct()
-    more = save(more.join(met, ["u", "v"], "left_anti"), "more")
-    links = links.unionByName(_similar(more, nodes, rows, shingle, similarity))
+    links = links.unionByName(save(dealt.mapInArrow(_cell_links_batches(reach, similarity), "u long, v long"), "cell-links"))
     stars = star_components(links)
     rooted = nodes.join(stars, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))
     lowest = save(rooted.groupBy("root").agg(F.min("rep").alias("first")), "lowest")
