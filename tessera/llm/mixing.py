@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import WORD, save
 
-#: 2**31 over the golden ratio, odd: k * GOLDEN mod 2**31 is a Weyl sequence of lowest discrepancy.
-GOLDEN, PERIOD = 1327217885, 1 << 31
+#: 2**31 over the golden ratio, odd: k * GOLDEN mod 2**31 is a Weyl sequence of lowest discrepancy. Its next 31 bits
+#: shift every stretch of PERIOD points, so that the sequence goes on beyond them.
+GOLDEN, SHIFT, PERIOD = 1327217885, 1607638789, 1 << 31
 #: Slots numbered together; a count per stretch and source replaces a global ranking.
 STRETCH = 8192
 
@@ -47,12 +48,19 @@ def _running(over: Window, column: str) -> Column:
     return F.coalesce(F.sum(column).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
+def point(slot: str) -> str:
+    """SQL of the point of a slot, in [0, 1)."""
+    return f"(({slot} % {PERIOD} * {GOLDEN} + {slot} div {PERIOD} * {SHIFT}) % {PERIOD}) / {float(PERIOD)}D"
+
+
 def slots(quotas: DataFrame, block: int) -> DataFrame:
-    """The schedule: (slot, s, rank, pass, block, words) for rows (s, source_size, quota).
+    """The schedule: (slot, s, rank, y, block, part, pass_slots) for rows (s, source_size, quota).
 
-    Slot k takes the point frac(k * golden ratio) through the cumulative slot counts of the sources; ranked in slot
-    order, a source's slots walk its blocks, pass after pass, until its quota of words is used: the last slot may take
-    part of its block. A source that the points give less than its count gets the rest at the end of the schedule.
+    Slot k takes the point frac(k * golden ratio) through the cumulative slot counts of the sources; y is where in its
+    source's interval the point lies. Ranked in slot order, a source's slots walk its blocks, pass after pass, until
+    its quota of words is used: the last slot may take part (`part` words) of its block. A source that the points give
+    fewer slots than it needs gets the rest behind the schedule, with the points of those slots. pass_slots: slots of
+    the schedule that one pass over the source spans.
     """
     spark = quotas.sparkSession
     need = quotas.where("quota > 0").selectExpr(
@@ -63,23 +71,25 @@ def slots(quotas: DataFrame, block: int) -> DataFrame:
         "quota div source_size as passes",
         "quota % source_size as rest",
     )
-    need = need.selectExpr("*", f"passes * blocks + cast(ceil(rest / {block}) as long) as n")
+    need = need.selectExpr("*", f"cast(ceil(rest / {block}) as long) as m").selectExpr("*", "passes * blocks + m as n")
     ordered = Window.orderBy("s")
     need = save(need.withColumn("low", _running(ordered, "n")), "quotas")
     total, sources = need.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, cells = total or 0, 4 * sources + 64
-    ranges = need.selectExpr(
-        "s", f"low / {max(total, 1)} as p", f"(low + n) / {max(total, 1)} as q"
-    ).selectExpr("*", f"explode(sequence(cast(floor(p * {cells}) as int), cast(floor(q * {cells}) as int))) as cell")
-    points = spark.range(total).selectExpr(
-        "id as slot", f"((id % {PERIOD}) * {GOLDEN} % {PERIOD}) / {PERIOD}D as x"
+    whole = max(total, 1)
+    ranges = need.selectExpr("s", f"low / {whole} as p", f"(low + n) / {whole} as q").selectExpr(
+        "*", f"explode(sequence(cast(floor(p * {cells}) as int), cast(floor(q * {cells}) as int))) as cell"
+    )
+    points = spark.range(total).selectExpr("id as slot", f"{point('id')} as x").withColumn("cell", F.floor(F.col("x") * cells).cast("int"))
+    placed = (
+        points.join(ranges, "cell")
+        .where("x >= p and x < q")
+        .selectExpr("slot", "s", "(x - p) / (q - p) as y", f"slot div {STRETCH} as stretch")
     )
-    points = points.withColumn("cell", F.floor(F.col("x") * cells).cast("int"))
-    placed = points.join(ranges, "cell").where("x >= p and x < q").select("slot", "s", F.expr(f"slot div {STRETCH}").alias("stretch"))
     counts = placed.groupBy("s", "stretch").agg(F.count(F.lit(1)).alias("c"))
     before = counts.select("s", "stretch", _running(Window.partitionBy("s").orderBy("stretch"), "c").alias("before"))
     within = F.row_number().over(Window.partitionBy("s", "stretch").orderBy("slot")) - 1
-    ranked = placed.withColumn("r", within).join(before, ["s", "stretch"]).select("slot", "s", (F.col("r") + F.col("before")).alias("rank"))
+    ranked = placed.withColumn("r", within).join(before, ["s", "stretch"]).select("slot", "s", "y", (F.col("r") + F.col("before")).alias("rank"))
     got = counts.groupBy("s").agg(F.sum("c").alias("got"))
     short = (
         need.join(got, "s", "left")
@@ -88,6 +98,7 @@ def slots(quotas: DataFrame, block: int) -> DataFrame:
         .withColumn("at", _running(ordered, "n"))
         .selectExpr("s", "at", "explode(sequence(got, n - 1)) as rank")
         .selectExpr(f"{total} + at + rank as slot", "s", "rank")
+        .selectExpr("slot", "s", f"{point('slot')} as y", "rank")
     )
     return (
         ranked.unionByName(short)
@@ -97,11 +108,10 @@ def slots(quotas: DataFrame, block: int) -> DataFrame:
             "slot",
             "s",
             "rank",
-            "rank div blocks as pass",
+            "y",
             "rank % blocks as block",
-            f"case when rank = n - 1 and rest > 0 then rest - (blocks_of(rest) - 1) * {block} end as part".replace(
-                "blocks_of(rest)", f"cast(ceil(rest / {block}) as long)"
-            ),
+            f"if(m > 0 and rank = n - 1, rest - (m - 1) * {block}, null) as part",
+            f"blocks * {total}D / n as pass_slots",
         )
     )
 
@@ -118,11 +128,14 @@ def mix(
     chunk_rows: int = 2_000,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Mix whole documents to target weights: id, size, source_size, target, taken (and the columns to carry).
+    """Mix whole documents to target weights: id, size, source_size, target, taken, first_slot, pass_slots (and the columns to carry).
 
-    A source's documents are shuffled by MD5 of seed and id and laid end to end; equal blocks of `block` words (the
-    last one shorter) are what the slots of the schedule take. `taken` counts a document's words in all slots that
+    A source's documents are shuffled by MD5 of seed and id and laid end to end in a circle, which begins with the
+    document that the point of the source's first slot hits; equal blocks of `block` words (the last one shorter) are
+    what the slots of the schedule take, so the points say which documents get one more turn than others. `taken` counts a document's words in all slots that
     take its blocks; a source's sum is its target to the nearest word, and no document exceeds cap times its size.
+    first_slot is the first slot that takes a word of the document (null: none does), pass_slots how many slots lie
+    about between two turns of its source's blocks: the mix in order is that of first_slot + turn * pass_slots.
 
     A null text has size 0 and is never taken; a null id sorts first; a null source is a source, the last one. Empty
     tables give an empty result. Repeated rows are laid side by side and share what is taken. The same rows give the
@@ -137,10 +150,17 @@ def mix(
     chunks = max(1, math.ceil(sized.count() / chunk_rows))
     sources = save(source_targets(sized, weights, cap), "sources")
     quotas = sources.selectExpr("s", "source_size", "cast(floor(target + 0.5) as long) as quota")
+    schedule = save(slots(quotas, block), "slots")
+    whole = F.col("part").isNull()
     takes = (
-        slots(quotas, block)
-        .groupBy("s", "block")
-        .agg(F.count_if(F.col("part").isNull()).alias("full"), F.coalesce(F.max("part"), F.lit(0)).alias("part"))
+        schedule.groupBy("s", "block")
+        .agg(
+            F.count_if(whole).alias("full"),
+            F.coalesce(F.max("part"), F.lit(0)).alias("part"),
+            F.min(F.when(whole, F.col("slot"))).alias("full_slot"),
+            F.min(F.when(~whole, F.col("slot"))).alias("part_slot"),
+            F.max("pass_slots").alias("pass_slots"),
+        )
     )
     chunk = F.expr(f"cast(conv(substr(at, 1, 8), 16, 10) as long) * {chunks} div 4294967296")
     laid = (
@@ -156,6 +176,15 @@ def mix(
         .join(offsets, ["s", "chunk"])
         .withColumn("start", F.col("start") + F.col("base"))
     )
+    hit = schedule.where("rank = 0").select("s", "y")
+    turned = (
+        placed.where("size > 0")
+        .join(hit, "s")
+        .where("start <= y * source_size")
+        .groupBy("s")
+        .agg(F.max("start").alias("turn"))
+    )
+    placed = placed.join(turned, "s", "left").withColumn("start", F.expr("if(size > 0 and turn is not null, pmod(start - turn, source_size), start)"))
     blocks = F.when(
         F.col("size") > 0, F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")
     )
@@ -168,6 +197,10 @@ def mix(
     return (
         pieces.join(takes, ["s", "block"], "left")
         .groupBy("s", "chunk", "row", "id", "size", "source_size", "target", *extra)
-        .agg(F.coalesce(F.sum(words), F.lit(0)).alias("taken"))
-        .select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", *[F.col(e).alias(c) for e, c in zip(extra, carry, strict=True)])
+        .agg(
+            F.coalesce(F.sum(words), F.lit(0)).alias("taken"),
+            F.min(F.least("full_slot", F.when(F.col("part") > F.col("lo"), F.col("part_slot")))).alias("first_slot"),
+            F.max("pass_slots").alias("pass_slots"),
+        )
+        .select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "first_slot", "pass_slots", *[F.col(e).alias(c) for e, c in zip(extra, carry, strict=True)])
     )

@@ -183,15 +183,49 @@ ORACLE_SQL = {
             SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), level * weight) AS target,
                    CAST(floor(least(CAST(3 * source_size AS DOUBLE), level * weight) + 0.5) AS BIGINT) AS quota
             FROM per, levels),
+        need AS (
+            SELECT *, sum(n) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) - n AS low, sum(n) OVER () AS total
+            FROM (SELECT *, passes * blocks + m AS n
+                  FROM (SELECT source, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS s, source_size,
+                               quota // source_size AS passes, quota % source_size AS rest,
+                               (source_size + 1023) // 1024 AS blocks, (quota % source_size + 1023) // 1024 AS m
+                        FROM targets WHERE quota > 0))),
+        points AS (
+            SELECT k, ((k % 2147483648 * 1327217885 + k // 2147483648 * 1607638789) % 2147483648) / 2147483648.0::DOUBLE AS x
+            FROM (SELECT unnest(range((SELECT CAST(3 * sum(n) + 1 AS BIGINT) FROM need))) AS k)),
+        dealt AS (
+            SELECT s, k AS slot, (x - p) / (q - p) AS y, row_number() OVER (PARTITION BY s ORDER BY k) - 1 AS rank
+            FROM points JOIN (SELECT s, low / total::DOUBLE AS p, (low + n) / total::DOUBLE AS q, total FROM need) r
+              ON k < total AND x >= p AND x < q),
+        short AS (
+            SELECT *, sum(n) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) - n AS after
+            FROM (SELECT need.s, n, total, count(slot) AS got FROM need LEFT JOIN dealt USING (s) GROUP BY ALL) WHERE got < n),
+        more AS (
+            SELECT s, slot, x AS y, rank
+            FROM (SELECT s, total + after + rank AS slot, rank FROM (SELECT *, unnest(range(got, CAST(n AS BIGINT))) AS rank FROM short)) m
+            JOIN points ON points.k = m.slot),
+        taking AS (
+            SELECT s, slot, y, rank, rank % blocks AS block, CASE WHEN m > 0 AND rank = n - 1 THEN rest - (m - 1) * 1024 END AS part
+            FROM (SELECT * FROM dealt UNION ALL SELECT s, slot, y, rank FROM more) JOIN need USING (s) WHERE rank < n),
         placed AS (
-            SELECT s.doc_id, s.size, t.source_size, t.target, t.quota,
-                   CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.at, s.doc_id, s.size
-                                          ROWS UNBOUNDED PRECEDING) - s.size AS BIGINT) AS start
-            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-        SELECT doc_id, size, source_size, target,
-               CASE WHEN size = 0 THEN 0 ELSE
-                   CAST(quota // source_size * size + greatest(0, least(size, quota % source_size - start)) AS BIGINT)
-               END AS taken
-        FROM placed
+            SELECT d.*, t.source_size, t.target, n.s, n.blocks * n.total::DOUBLE / n.n AS pass_slots,
+                   CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.at, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS start
+            FROM (SELECT *, row_number() OVER () AS row FROM sized) d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+            LEFT JOIN need n ON d.source IS NOT DISTINCT FROM n.source),
+        turned AS (
+            SELECT p.s, max(p.start) AS turn FROM placed p JOIN taking t ON t.s = p.s AND t.rank = 0
+            WHERE p.size > 0 AND p.start <= t.y * p.source_size GROUP BY p.s),
+        laid AS (
+            SELECT p.* REPLACE (CASE WHEN p.size > 0 AND u.turn IS NOT NULL THEN (p.start - u.turn + p.source_size) % p.source_size ELSE p.start END AS start)
+            FROM placed p LEFT JOIN turned u ON u.s = p.s),
+        words AS (
+            SELECT l.row, t.slot,
+                   greatest(0, least(start + size - block * 1024, coalesce(part, 1024)) - greatest(start - block * 1024, 0)) AS w
+            FROM laid l JOIN taking t ON l.s = t.s AND l.size > 0 AND t.block BETWEEN l.start // 1024 AND (l.start + l.size - 1) // 1024)
+        SELECT l.doc_id, l.size, l.source_size, l.target, CAST(coalesce(sum(w.w), 0) AS BIGINT) AS taken,
+               CAST(min(w.slot) FILTER (w.w > 0) AS BIGINT) AS first_slot,
+               max(CASE WHEN w.w IS NOT NULL THEN l.pass_slots END) AS pass_slots
+        FROM laid l LEFT JOIN words w USING (row)
+        GROUP BY l.row, l.doc_id, l.size, l.source_size, l.target
     """,
 }

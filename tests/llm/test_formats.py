@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import mixing, packing, toolcalls
 from tessera.llm.queries import TOKENIZER
-from test_dedup import plain_fingerprint, words
+from test_dedup import components, word_shingles, words
 
 
 def plain_targets(sizes, weights=(5, 2, 1), cap=3):
@@ -75,6 +75,27 @@ def test_schedule_interleaves_sources_evenly(spark):
         assert abs(part[0] - 50) <= 5 and abs(part[1] - 25) <= 5
 
 
+def test_slots_fill_quotas(spark):
+    given = [(0, 4005, 6002), (1, 8000, 2500), (2, 905, 904), (3, 25, 75)]
+    rows = mixing.slots(spark.createDataFrame(given, "s int, source_size long, quota long"), 10).collect()
+    for s, size, quota in given:
+        own = [min(10, size - r.block * 10) if r.part is None else r.part for r in rows if r.s == s]
+        assert sum(own) == quota and all(0 < w <= 10 for w in own)
+    assert len({r.slot for r in rows}) == len(rows)
+
+
+def test_mix_follows_its_points(spark, monkeypatch):
+    """Other points take other words and another order; the targets stay."""
+    docs = spark.createDataFrame([(i, "w " * 50, "abc"[i % 3]) for i in range(300)], "doc_id long, text string, source string")
+    run = lambda: {r.doc_id: (r.taken, r.first_slot) for r in mixing.mix(docs, block=16).collect()}
+    first = run()
+    assert run() == first
+    monkeypatch.setattr(mixing, "GOLDEN", 715827883)
+    other = run()
+    assert sum(t for t, _ in other.values()) == sum(t for t, _ in first.values())
+    assert sum(other[i][0] != first[i][0] for i in first) > 10 and sum(other[i][1] != first[i][1] for i in first) > 100
+
+
 def plain_pieces(tokenizer, data):
     out = []
     for d, t in data:
@@ -240,25 +261,44 @@ def test_exact_stage(stages):
 
 
 def test_near_stage(stages):
-    before, after = stages[2].collect(), stages[3].collect()
-    prints = {(r.doc_id, r.text): plain_fingerprint(r.text) for r in before}
-    values = sorted(set(prints.values()))
-    root = {v: v for v in values}
-
-    def find(v):
-        while root[v] != v:
-            v = root[v]
-        return v
-
-    for a in values:
-        for b in values:
-            if a < b and (a ^ b).bit_count() <= 3:
-                root[find(a)] = find(b)
+    """Five-word shingles at a similarity of 0.8: of linked texts the smallest id stays."""
+    rows = stages[2].collect()
+    sets = [word_shingles(r.text) for r in rows]
+    n = range(len(rows))
+    near = lambda a, b: a == b or (min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and len(a & b) / max(1, len(a | b)) >= 0.8)
+    comp = components(list(n), [(i, j) for i in n for j in range(i) if near(sets[i], sets[j])])
     groups = defaultdict(list)
-    for (d, _), f in prints.items():
-        groups[find(f)].append(d)
+    for i in n:
+        groups[comp[i]].append(rows[i].doc_id)
     want = [min((d for d in g if d is not None), default=None) for g in groups.values()]
-    assert sorted(map(str, want)) == sorted(str(r.doc_id) for r in after)
+    assert sorted(map(str, want)) == sorted(str(r.doc_id) for r in stages[3].collect())
+
+
+def test_mixing_stage_keeps_sources_of_one_text_apart(spark):
+    rows = [(1, "a b c d " * 25, "en", "A", 1), (1, "a b c d " * 25, "en", "B", 1), (2, "u " * 100, "en", "B", 1), (3, "v " * 350, "en", "C", 1), (3, "v " * 350, "de", "C", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    size, taken = Counter(), Counter()
+    for r in rows:
+        size[r[3]] += len(words(r[1]))
+    got = pipeline.mixing(spark, docs, "").collect()
+    for r in got:
+        taken[r.source] += len(words(r.text))
+    assert all(abs(taken[s] - t) <= 1 for s, t in plain_targets(dict(size)).items())
+    assert {r.lang for r in got if r.source == "C"} == {"de"}  # of a repeat the smallest row
+    assert pipeline.mixing(spark, docs.repartition(3), "").collect() == got
+
+
+def test_mixing_stage_writes_in_slot_order(spark, stages):
+    order = [(r.doc_id, r.text) for r in stages[4].collect()]
+    first = {(r.doc_id, r.text): r.first_slot for r in mixing.mix(stages[3].select("doc_id", "text", "source"), carry=("text",)).collect()}
+    slots = [first[key] for i, key in enumerate(order) if key in first and key not in order[:i]]
+    assert len(slots) > 20 and slots == sorted(slots)
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs, "").count() == 0
 
 
 def test_mixing_stage_takes_words_near_targets(stages):
