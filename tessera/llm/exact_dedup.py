@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import save
+from tessera.llm.common import drop_saved, save
 
 
 def _slot(depth: int, h: str = "h") -> Column:
@@ -16,10 +16,11 @@ def _slot(depth: int, h: str = "h") -> Column:
 
 
 def directory(keys: DataFrame, bucket_rows: int, max_depth: int = 40) -> tuple[int, DataFrame]:
-    """Global depth and directory (slot, local_depth, bucket) of an extendible hash over distinct keys `h`.
+    """Global depth and directory (slot, local_depth, bucket) of an extendible hash over keys `h`.
 
     The directory doubles (one more leading bit) while a bucket is overfull; a slot's bucket is the shallowest
-    prefix that holds at most bucket_rows keys. It has about rows / bucket_rows slots and stays a DataFrame.
+    prefix that holds at most bucket_rows keys, named by its first slot. It has about rows / bucket_rows slots and
+    stays a DataFrame. Keys of one hash cannot be split: max_depth ends the doubling.
     """
     depth = max(0, math.ceil(math.log2(max(1, keys.count() / bucket_rows))))
     while True:
@@ -35,26 +36,37 @@ def directory(keys: DataFrame, bucket_rows: int, max_depth: int = 40) -> tuple[i
         .groupBy("slot")
         .agg(F.coalesce(F.min(F.when(F.col("total") <= bucket_rows, F.col("d"))), F.lit(depth)).alias("local_depth"))
     )
-    return depth, local.withColumn("bucket", F.expr(f"shiftright(slot, {depth} - local_depth)"))
+    first = F.expr(f"shiftleft(shiftright(slot, {depth} - local_depth), {depth} - local_depth)")
+    return depth, local.withColumn("bucket", first)
+
+
+def write_index(keys: DataFrame, bucket_rows: int) -> tuple[int, DataFrame]:
+    """Global depth and the index (bucket, local_depth, h, ...) in the shared folder: an owner task writes each range of
+    buckets as a file, sorted by bucket and hash, so that a chain of equal hashes lies together."""
+    depth, slots = directory(keys, bucket_rows)
+    owned = keys.withColumn("slot", _slot(depth)).join(slots, "slot").drop("slot")
+    return depth, save(owned.repartitionByRange("bucket", "h").sortWithinPartitions("bucket", "h"), "index")
 
 
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    bucket_rows: int = 50_000,
+    bucket_rows: int = 512,
     broadcast_keys: int = 500_000,
+    hash_of: Column | None = None,
 ) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256, text_hash (xxhash64 of the text as it came). Of equal texts the largest id stays.
 
-    1. One scan writes an entry (id, 64-bit hash, SHA-256, bytes) per document to the shared folder.
-    2. Entries combine before the shuffle into distinct keys, so that a text with a third of all rows is one key.
-    3. The directory doubles until no bucket is overfull. Owner tasks take ranges of slots; keys with one hash form
-       a chain there.
-    4. Texts whose chain holds more than one document are read again and compared byte by byte: grouping by
-       (hash, text) compares bytes, with map-side combining. Up to broadcast_keys (8 bytes each) such hashes are
-       broadcast; beyond that they are joined by a shuffle.
-    5. Entries look their group up by an equi-join, whose hot keys the adaptive skew join splits.
+    1. One scan writes an entry (id, 64-bit hash, SHA-256) per document to the shared folder. hash_of, over the column
+       `text`, replaces the hash.
+    2. Entries of one hash combine before the shuffle into one key, so that a text with a third of all rows is one key.
+    3. The directory doubles until no bucket holds more than bucket_rows keys; owner tasks write ranges of buckets.
+    4. The texts of every key that stands for several documents are read again and compared byte by byte: grouping by
+       (hash, text), with map-side combining, gives the chain of a bucket's hash, a link for each distinct text. Up to
+       broadcast_keys (8 bytes each) such hashes are broadcast; beyond that they are joined by a shuffle.
+    5. An entry whose chain has one link takes it by the hash. Where different texts share a hash, the document's text
+       is compared with the links of its chain. The SHA-256 decides nothing.
 
     A null text counts as empty. A null id is the smallest; a group of null ids has a null keep_id and each of its
     rows is kept. Rows repeated with the same id and text are each marked kept if that id stays. Other columns of
@@ -62,29 +74,34 @@ def exact_dedup(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     came = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text_col).alias("text_hash"))
-    entry = came.select(
-        "id", "text_hash", F.xxhash64("text").alias("h"), F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").alias("bytes")
-    )
-    entries = save(entry, "entries")
-    keys = save(
-        entries.groupBy("h", "sha", "bytes").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n")), "keys"
+    came = came.withColumn("h", F.xxhash64("text") if hash_of is None else hash_of.cast("long"))
+    entries = save(came.select("id", "text_hash", "h", F.unhex(F.sha2("text", 256)).alias("sha")), "entries")
+    keys = save(entries.groupBy("h").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n")), "keys")
+    _, index = write_index(keys, bucket_rows)
+    drop_saved(keys)
+    hot = save(index.where("n > 1").select("bucket", "h"), "chains")
+    hot = F.broadcast(hot) if hot.count() <= broadcast_keys else hot
+    links = (
+        came.select("id", "text", "h")
+        .join(hot, "h")
+        .groupBy("bucket", "h", "text")
+        .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
     )
-    depth, slots = directory(keys, bucket_rows)
-    owned = keys.withColumn("slot", _slot(depth)).join(slots, "slot").repartitionByRange("bucket", "slot", "h")
-    chains = owned.groupBy("bucket", "slot", "h").agg(F.sum("n").alias("chain_rows"))
-    hot = save(chains.where("chain_rows > 1").select("h"), "chains")
-    shared = F.broadcast(hot) if hot.count() <= broadcast_keys else hot
+    links = links.withColumn("link", F.row_number().over(Window.partitionBy("bucket", "h").orderBy("text")) - 1)
+    links = links.withColumn("links", F.count(F.lit(1)).over(Window.partitionBy("bucket", "h")))
+    # a text is written only where it must be told from others of its hash
+    links = save(links.select("h", "keep_id", "n", "link", "links", F.when(F.col("links") > 1, F.col("text")).alias("text")), "links")
+    forked = links.where("links > 1").select("h", "keep_id", "n", "text")
+    by_hash = index.where("n = 1").select("h", "keep_id", "n").unionByName(links.where("links = 1").select("h", "keep_id", "n"))
+    columns = ["id", "keep_id", "n", "sha", "text_hash"]
+    plain = entries.join(by_hash, "h").select(*columns)
+    several = forked.select("h").distinct()
     compared = (
-        docs.select(F.col(id_col).alias("id"), text.alias("text"))
-        .withColumn("h", F.xxhash64("text"))
-        .join(shared, "h", "left_semi")
-        .groupBy("h", "text")
-        .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-        .select("h", F.unhex(F.sha2("text", 256)).alias("sha"), F.octet_length("text").alias("bytes"), "keep_id", "n")
+        came.join(several, "h", "left_semi")
+        .join(forked, ["h", "text"])
+        .select("id", "keep_id", "n", F.unhex(F.sha2("text", 256)).alias("sha"), "text_hash")
     )
-    alone = keys.join(shared, "h", "left_anti").select("h", "sha", "bytes", "keep_id", "n")
-    groups = alone.unionByName(compared)
-    return entries.join(groups, ["h", "sha", "bytes"]).select(
+    return plain.unionByName(compared).select(
         F.col("id").alias(id_col),
         "keep_id",
         F.col("n").alias("group_size"),

@@ -162,7 +162,9 @@ def test_simhash_blocks_of_a_full_bucket_lose_nothing(spark):
 def test_exact_dedup_is_right_with_tiny_buckets(spark):
     data = rows()
     docs = spark.createDataFrame(data, DOCS)
-    for kw in ({}, {"bucket_rows": 3, "broadcast_keys": 0}):
+    # the last two: a hash of four bits, and one for all; only the bytes tell texts apart
+    weak = F.xxhash64("text").bitwiseAND(F.lit(15))
+    for kw in ({}, {"bucket_rows": 3, "broadcast_keys": 0}, {"hash_of": weak, "bucket_rows": 3}, {"hash_of": F.lit(7)}):
         got = exact_dedup.exact_dedup(docs, **kw).collect()
         groups = defaultdict(list)
         for d, t, *_ in data:
@@ -181,6 +183,12 @@ def test_directory_splits_only_overfull_buckets(spark):
     per_bucket = keys.withColumn("slot", exact_dedup._slot(depth)).join(slots, "slot").groupBy("local_depth", "bucket").count().collect()
     assert sum(r["count"] for r in per_bucket) == 1000 and max(r["count"] for r in per_bucket) <= 40
     assert slots.count() <= 2**depth
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.xxhash64("text").alias("h"))
+    depth, index = exact_dedup.write_index(docs.distinct(), 512)
+    sizes = [r["count"] for r in index.groupBy("bucket").count().collect()]
+    assert depth > 0 and len(sizes) > 1 and max(sizes) <= 512
+    shares = [{r.bucket for r in index.where(F.input_file_name() == f).collect()} for f in index.inputFiles()]
+    assert sum(map(len, shares)) <= len(sizes) + len(shares)  # an owner has a range of buckets
 
 
 def plain_substrings(data, window=20):
