@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER_AZ, hash_sample, save
+from tessera.llm.common import LOWER_AZ, save
 
 #: Distinct words that a counting task holds before it passes its counts on.
 _HELD_WORDS = 500_000
 #: Tokens that go through one recursion together; bounds memory.
 _GROUP_TOKENS = 600_000
-#: Longer sequences train in pieces of this length, each begun anew, and are scored token by token: bounds memory.
+#: Longer sequences go through the recursions alone, in stretches of this length: bounds memory.
 _LONG = 1_000_000
 
 
@@ -89,8 +89,8 @@ def frequent_words(counts: DataFrame, most: int, own: int, classes: int) -> Lexi
 
 
 def _code_batches(shared, end_log: float):
-    """Rows (row, id, held_out, text) to the documents' class sequences; words outside the cache are listed."""
-    names = ["row", "id", "held_out", "n_tokens", "classes", "log_all", "log_shared", "known", "rare", "times"]
+    """Rows (row, id, held_out, part, text) to the documents' class sequences; words outside the cache are listed."""
+    names = ["row", "id", "held_out", "part", "n_tokens", "classes", "log_all", "log_shared", "known", "rare", "times"]
 
     def run(batches):
         lex: Lexicon = shared.value
@@ -104,7 +104,7 @@ def _code_batches(shared, end_log: float):
             for lo in range(0, whole.num_rows, 1000):
                 batch = whole.slice(lo, 1000)
                 rows = []
-                for text in batch.column(3).to_pylist():
+                for text in batch.column(4).to_pylist():
                     words = words_of(text)
                     ranks = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
                     in_cache = ranks >= 0
@@ -132,7 +132,7 @@ def _code_batches(shared, end_log: float):
                     )
                 cols = list(zip(*rows, strict=True)) or [[]] * 7
                 types = [pa.int64(), pa.binary(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:4], *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=names)
 
     return run
 
@@ -202,18 +202,53 @@ class _Group:
         return gamma[: n[0]].sum(axis=0), moves * m.move, seen, float(logs.sum())
 
 
+def _steps(a: np.ndarray | None, seq: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled forward variables and scales of a stretch that follows the forward variable a (none: the sequence begins)."""
+    alpha, scale = m.emit[seq], np.empty(len(seq))
+    for t, now in enumerate(alpha):
+        now *= m.start if a is None else a @ m.move
+        scale[t] = now.sum()
+        now /= scale[t]
+        a = now
+    return alpha, scale
+
+
 def long_forward(seq: np.ndarray, m: Model) -> float:
     """The natural log likelihood of one sequence of any length, by the scaled forward recursion."""
     total, a = 0.0, None
     for lo in range(0, len(seq), _LONG):
-        for emit in m.emit[seq[lo : lo + _LONG]]:
-            now = emit * (m.start if a is None else a @ m.move)
-            c = now.sum()
-            total += float(np.log(c))
-            a = now / c
+        alpha, scale = _steps(a, seq[lo : lo + _LONG], m)
+        total, a = total + float(np.log(scale).sum()), alpha[-1].copy()
     return total
 
 
+def long_expect(seq: np.ndarray, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """_Group.expect() of one sequence of any length: forward variables are kept at the borders of stretches only, and
+    each stretch's are worked out again on the way back."""
+    borders: list[np.ndarray | None] = [None]
+    like = 0.0
+    for lo in range(0, len(seq), _LONG):
+        alpha, scale = _steps(borders[-1], seq[lo : lo + _LONG], m)
+        like += float(np.log(scale).sum())
+        borders.append(alpha[-1].copy())
+    moves, seen = np.zeros_like(m.move), np.zeros_like(m.emit)
+    beta = np.ones(len(m.start))
+    for k in range(len(borders) - 2, -1, -1):
+        part = seq[k * _LONG : (k + 1) * _LONG]
+        alpha, scale = _steps(borders[k], part, m)
+        emit = m.emit[part] / scale[:, None]
+        before = borders[k]
+        for t in range(len(part) - 1, -1, -1):
+            x = emit[t] * beta
+            alpha[t] *= beta
+            a = alpha[t - 1] if t else before
+            if a is not None:
+                moves += np.outer(a, x)
+                beta = m.move @ x
+        np.add.at(seen, part, alpha)
+    return alpha[0].copy(), moves * m.move, seen, like
+
+
 def _grouped(seqs: list[np.ndarray], room: int = _GROUP_TOKENS):
     """Lists of indices of sequences of similar length, about `room` tokens each."""
     order = sorted(range(len(seqs)), key=lambda i: -len(seqs[i]))
@@ -232,6 +267,16 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(b, "<u2") for b in column.to_pylist()]
 
 
+def _expected(seqs: list[np.ndarray], m: Model):
+    """Expected counts of all sequences, some at a time."""
+    short = [s for s in seqs if len(s) <= _LONG]
+    for some in _grouped(short):
+        yield _Group([short[i] for i in some]).expect(m)
+    for s in seqs:
+        if len(s) > _LONG:
+            yield long_expect(s, m)
+
+
 def _expect_batches(shared):
     """One task's expected counts as rows (kind, k, v): emissions by class, moves by state, starts with the likelihood."""
 
@@ -240,9 +285,8 @@ def _expect_batches(shared):
         states = len(m.start)
         start, moves, seen, like = np.zeros(states), np.zeros((states, states)), np.zeros((len(m.emit), states)), 0.0
         for batch in batches:
-            seqs = [s[lo : lo + _LONG] for s in _sequences(batch.column(0)) for lo in range(0, len(s), _LONG)]
-            for some in _grouped(seqs):
-                s, mv, em, ll = _Group([seqs[i] for i in some]).expect(m)
+            seqs = _sequences(batch.column(0))
+            for s, mv, em, ll in _expected(seqs, m):
                 start, moves, seen, like = start + s, moves + mv, seen + em, like + ll
         used = np.flatnonzero(seen.any(axis=1))
         values = np.concatenate([seen[used], moves, start[None], np.r_[like, np.zeros(states - 1)][None]])
@@ -264,19 +308,30 @@ def _maximised(start: np.ndarray, moves: np.ndarray, seen: np.ndarray, class_sha
     return Model((start + 0.5) / (start + 0.5).sum(), move, emit)
 
 
-def _first_model(seqs: list[np.ndarray], class_share: np.ndarray, states: int, rounds: int) -> Model:
-    """Where Baum-Welch starts: a few rounds on a bounded number of sequences, from random emissions."""
+def _first_model(class_share: np.ndarray, states: int) -> Model:
+    """Where Baum-Welch starts: the corpus' class shares, varied at random (a fixed seed) from state to state."""
     rng = np.random.default_rng(7)
     seen = class_share[:, None] * rng.gamma(2.0, size=(len(class_share), states)) * 1000
     move = np.full((states, states), 0.02) + 0.9 * np.eye(states)
-    m = _maximised(np.ones(states), move * 1000, seen, class_share)
-    for _ in range(rounds if seqs else 0):
-        total = None
-        for some in _grouped(seqs, 100_000):
-            got = _Group([seqs[i] for i in some]).expect(m)[:3]
-            total = got if total is None else tuple(a + b for a, b in zip(total, got, strict=True))
-        m = _maximised(*total, class_share)
-    return m
+    return _maximised(np.ones(states), move * 1000, seen, class_share)
+
+
+def _round(train: DataFrame, m: Model, class_share: np.ndarray) -> Model:
+    """One round of Baum-Welch over the rows (classes) of train; the same model where there are none."""
+    states = len(m.start)
+    schema = "kind int, k int, " + ", ".join(f"v{i} double" for i in range(states))
+    shared = train.sparkSession.sparkContext.broadcast(m)
+    summed = train.mapInArrow(_expect_batches(shared), schema).groupBy("kind", "k").agg(*[F.sum(f"v{i}").alias(f"v{i}") for i in range(states)])
+    got = np.array([list(r) for r in summed.collect()])
+    if not len(got):
+        return m
+    kind, k, v = got[:, 0].astype(int), got[:, 1].astype(int), got[:, 2:]
+    if not v[kind == 2].sum():
+        return m
+    seen, moves = np.zeros((len(class_share), states)), np.zeros((states, states))
+    seen[k[kind == 0]] = v[kind == 0]
+    moves[k[kind == 1]] = v[kind == 1]
+    return _maximised(v[kind == 2][0], moves, seen, class_share)
 
 
 def _score_batches(shared, class_logs: np.ndarray):
@@ -308,21 +363,17 @@ def hmm_scores(
     own_classes: int = 10_000,
     cached_words: int = 150_000,
     rounds: int = 3,
-    start_docs: int = 1_500,
-    start_words: int = 2_000,
-    start_rounds: int = 15,
+    start_parts: int = 8,
     fold: tuple[int, int] = (7, 2),
 ) -> DataFrame:
     """Score whole documents: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities).
 
     Documents whose crc32 of the id as text, modulo fold[0], is fold[1] are held out; all others train. Counts, the
-    vocabulary and `rounds` rounds of Baum-Welch cover every training document; only the starting point comes from
-    start_docs documents of at most start_words words. The cached_words most frequent words are looked up in tasks (a
+    vocabulary and Baum-Welch cover every training document: first stepwise, over one of start_parts parts (by hash) after
+    the other, then `rounds` rounds over all. The cached_words most frequent words are looked up in tasks (a
     cache of fixed size); all others meet their counts in a join. Expected counts are summed in Spark, and states x
     classes of them reach the driver.
 
-    Texts of over a million tokens train in pieces and are scored as a whole.
-
     A null text is empty: one token, the end. A null id counts as the empty text for the fold. Repeated rows count
     and are scored each. Other columns of the input are not read. An empty table gives an empty result.
     """
@@ -355,26 +406,18 @@ def hmm_scores(
     class_logs = np.log10(size + kinds + 1)
     class_logs[: 1 + own_classes] = 0.0
 
-    coded = rows.select(F.monotonically_increasing_id().alias("row"), "id", "held_out", "text").mapInArrow(
+    part = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("id", "text"), F.lit(start_parts))).cast("int")
+    coded = rows.select(F.monotonically_increasing_id().alias("row"), "id", "held_out", part.alias("part"), "text").mapInArrow(
         _code_batches(shared_lex, float(np.log10(ends + 1))),
-        f"row long, id {docs.schema[id_col].dataType.simpleString()}, held_out boolean, n_tokens long, classes binary, "
+        f"row long, id {docs.schema[id_col].dataType.simpleString()}, held_out boolean, part int, n_tokens long, classes binary, "
         "log_all double, log_shared double, known long, rare array<binary>, times array<long>",
     )
-    coded = save(coded, "coded")
-    train = coded.where("not held_out").select("classes")
-    short = coded.where(f"not held_out and n_tokens <= {start_words}")
-    begin = hash_sample(short.select("row", "classes"), ["row"], start_docs, short.count()).collect()
-    m = _first_model([np.frombuffer(bytes(r.classes), "<u2") for r in begin], class_share, states, start_rounds)
-    schema = "kind int, k int, " + ", ".join(f"v{i} double" for i in range(states))
+    coded = save(coded, "coded", "part")
+    m = _first_model(class_share, states)
+    for part in range(start_parts if ends else 0):
+        m = _round(coded.where(F.col("part") == part).select("classes"), m, class_share)
     for _ in range(rounds if ends else 0):
-        shared = spark.sparkContext.broadcast(m)
-        summed = train.mapInArrow(_expect_batches(shared), schema).groupBy("kind", "k").agg(*[F.sum(f"v{i}").alias(f"v{i}") for i in range(states)])
-        got = np.array([list(r) for r in summed.collect()])
-        kind, k, v = got[:, 0].astype(int), got[:, 1].astype(int), got[:, 2:]
-        seen, moves = np.zeros((classes, states)), np.zeros((states, states))
-        seen[k[kind == 0]] = v[kind == 0]
-        moves[k[kind == 1]] = v[kind == 1]
-        m = _maximised(v[kind == 2][0], moves, seen, class_share)
+        m = _round(coded.where("part >= 0").select("classes"), m, class_share)
     shared = spark.sparkContext.broadcast(m)
     paths = coded.select("row", "classes").mapInArrow(_score_batches(shared, class_logs), "row long, path_score double, class_logs double")
     rare = (
@@ -390,7 +433,7 @@ def hmm_scores(
     rare_log = F.coalesce("rare_log", F.lit(0.0))
     divisor = float(np.log10(tokens + distinct + 1))
     return (
-        coded.drop("classes", "rare", "times")
+        coded.drop("classes", "rare", "times", "part")
         .join(paths, "row")
         .join(rare, "row", "left")
         .select(

@@ -55,6 +55,58 @@ def test_expected_counts_match_enumeration_and_raise_the_likelihood():
     assert hmm_lm._Group(seqs).expect(better)[3] >= like - 1e-9
 
 
+def test_long_texts_train_and_score_like_short_ones(monkeypatch):
+    """Forward variables kept at borders give the counts of the unsplit text."""
+    rng = np.random.default_rng(3)
+    norm = lambda x: x / x.sum(axis=-1, keepdims=True)
+    m = hmm_lm.Model(norm(rng.random(4)), norm(rng.random((4, 4))), norm(rng.random((4, 9))).T.copy())
+    for n in (1, 6, 7, 8, 14, 500):
+        seq = rng.integers(0, 9, n).astype("<u2")
+        want = hmm_lm._Group([seq]).expect(m)
+        monkeypatch.setattr(hmm_lm, "_LONG", 7)
+        got = hmm_lm.long_expect(seq, m)
+        assert all(np.allclose(a, b) for a, b in zip(got, want, strict=True))
+        assert math.isclose(hmm_lm.long_forward(seq, m), want[3], rel_tol=1e-9)
+
+
+def test_scores_of_a_tiny_corpus_match_a_plain_model(spark):
+    """End to end: stepwise and full Baum-Welch rounds and the likelihood, by enumeration of all state paths."""
+    rng = random.Random(8)
+    data = [(i, " ".join(rng.choices(["aa", "bb", "cc", "dd"], k=rng.randint(0, 3)))) for i in range(30)]
+    got = {r.doc_id: r.score for r in hmm_lm.hmm_scores(spark.createDataFrame(data, "doc_id long, text string"), states=2, classes=16, own_classes=8, rounds=2, start_parts=1).collect()}
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    count = Counter(w for d, t in data if not held(d) for w in t.split())
+    ends = sum(not held(d) for d, _ in data)
+    number = {w: 1 + i for i, (w, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], x[0])))}  # all own classes
+    size = np.zeros(16)
+    size[0] = ends
+    for w, c in count.items():
+        size[number[w]] = c
+    share = (size + 1) / (size + 1).sum()
+    seqs = {d: [number[w] for w in t.split()] + [0] for d, t in data}
+    m = hmm_lm._first_model(share, 2)
+
+    def paths(seq):
+        for path in itertools.product(range(2), repeat=len(seq)):
+            yield path, m.start[path[0]] * math.prod(m.move[a, b] for a, b in itertools.pairwise(path)) * math.prod(m.emit[c, z] for c, z in zip(seq, path, strict=True))
+
+    for _ in range(3):
+        start, moves, seen = np.zeros(2), np.zeros((2, 2)), np.zeros((16, 2))
+        for d, seq in seqs.items():
+            if held(d):
+                continue
+            total = sum(p for _, p in paths(seq))
+            for path, p in paths(seq):
+                start[path[0]] += p / total
+                for a, b in itertools.pairwise(path):
+                    moves[a, b] += p / total
+                for c, z in zip(seq, path, strict=True):
+                    seen[c, z] += p / total
+        m = hmm_lm._maximised(start, moves, seen, share)
+    for d, seq in seqs.items():
+        assert math.isclose(got[d], math.log10(sum(p for _, p in paths(seq))), rel_tol=1e-6)
+
+
 def plain_base(data):
     rows = [(d, (t or "").encode().translate(LOWER).split() + [None]) for d, t in data]
     held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
@@ -76,7 +128,7 @@ def test_base_scores_and_model_probabilities(spark, sf):
     frame = spark.createDataFrame([(*d, "c", 1) for d in docs], "doc_id long, text string, classes string, row int")
     # a tiny cache: nearly all words meet their counts in the join
     for kw in ({}, {"cached_words": 5, "own_classes": 3, "classes": 64, "states": 3}):
-        got = hmm_lm.hmm_scores(frame, rounds=2, start_rounds=5, **kw).collect()
+        got = hmm_lm.hmm_scores(frame, rounds=2, start_parts=2, **kw).collect()
         have = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got)
         assert have == sorted((*x[:5], round(x[5], 5)) for x in plain_base(docs))
         assert all(math.isfinite(r.score) and r.score < 0 for r in got)
