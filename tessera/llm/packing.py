@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import os
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -135,40 +136,49 @@ def _dominates(big: tuple[int, ...], small: tuple[int, ...]) -> bool:
     return put(list(big), small)
 
 
-def _fillings(have: list[int], counts: dict[int, int], free: int, slack: int, most: int, tries: int) -> list[tuple[int, ...]]:
-    """Undominated ways to fill `free` with at most `slack` waste, least waste first.
+def _fillings(have: list[int], counts: dict[int, int], free: int, slack: int, work: list[int]) -> Iterator[tuple[int, ...]]:
+    """All undominated ways to fill `free` with at most `slack` waste, least waste first, as they are asked for.
 
-    have: lengths still there, ascending. Searches larger items first; stops at `most` fillings or `tries` steps.
+    have: lengths still there, ascending. sums[i] has a bit for every sum of the first i lengths, so that only branches
+    that can still meet the waste are entered. work[0] counts down by bit sets made and lengths looked at; at zero the
+    enumeration ends.
     """
-    import bisect
-
-    found: list[tuple[int, ...]] = []
-    steps = 0
-
-    def grow(chosen: tuple[int, ...], left: int, top: int) -> None:
-        nonlocal steps
-        at = bisect.bisect_right(have, min(left, top)) - 1
-        if at < 0:
-            if left <= slack:
-                found.append(chosen)
+    usable = have[: bisect.bisect_right(have, free)]
+    mask, sums = (1 << (free + 1)) - 1, [1]
+    for x in usable:
+        reach, step = sums[-1], x
+        while step <= free:
+            reach |= reach << step
+            step *= 2
+        sums.append(reach & mask)
+    work[0] -= len(usable)
+
+    def grow(chosen: tuple[int, ...], left: int, top: int) -> Iterator[tuple[int, ...]]:
+        if not left:
+            yield chosen
             return
-        exact = have[at] == left
-        while at >= 0 and len(found) < most and steps < tries:
-            steps += 1
-            x = have[at]
+        for at in range(min(top, bisect.bisect_right(usable, left) - 1), -1, -1):
+            work[0] -= 1
+            if work[0] <= 0 or not sums[at + 1] >> left & 1:
+                return
+            x = usable[at]
             if counts[x] > chosen.count(x):
-                grow((*chosen, x), left - x, x)
-                if exact and have[at] == left:
-                    return  # an exact single item dominates every other filling of the same room
-            at -= 1
+                yield from grow((*chosen, x), left - x, at)
 
-    grow((), free, free)
-    found.sort(key=lambda f: (free - sum(f), len(f)))
     kept: list[tuple[int, ...]] = []
-    for f in found:
-        if not any(_dominates(k, f) for k in kept):
-            kept.append(f)
-    return kept
+    for waste in range(min(slack, free) + 1):
+        if work[0] <= 0:
+            return
+        if not sums[-1] >> (free - waste) & 1:
+            continue
+        for filling in grow((), free - waste, len(usable) - 1):
+            # a filling with room for one more is dominated, as is one whose items fit into those of another
+            if any(x <= waste and counts[x] > filling.count(x) for x in usable[:1]) or any(_dominates(k, filling) for k in kept):
+                continue
+            kept.append(filling)
+            yield filling
+            if len(filling) == 1 and not waste:
+                return  # an exact single item dominates every other filling of the same room
 
 
 def lower_bound(lengths: dict[int, int], room: int) -> int:
@@ -188,8 +198,6 @@ def lower_bound(lengths: dict[int, int], room: int) -> int:
 
 def _greedy(lengths: dict[int, int], room: int) -> list[tuple[int, tuple[int, ...]]]:
     """Best-fit decreasing: the largest item, then again and again the largest that fits; equal bins at once."""
-    import bisect
-
     counts, have, plan = dict(lengths), sorted(lengths), []
     while have:
         bin_: list[int] = []
@@ -209,38 +217,35 @@ def _greedy(lengths: dict[int, int], room: int) -> list[tuple[int, tuple[int, ..
     return plan
 
 
-def pack_lengths(lengths: dict[int, int], room: int = 2048, nodes: int = 3_000, branch: int = 6, tries: int = 400) -> list[tuple[int, tuple[int, ...]]]:
+def pack_lengths(lengths: dict[int, int], room: int = 2048, work: int = 3_000_000) -> list[tuple[int, tuple[int, ...]]]:
     """Fill bins of `room` with the multiset {length: count}: a list of (times, lengths in one bin).
 
     Bin completion (Korf, 2003): each bin is built around the largest item left; its undominated fillings are tried,
     least waste first, and a branch is cut when its waste exceeds what a better solution than the incumbent may
     waste. The first incumbent is best-fit decreasing. A filling is used as often as the counts allow, so the depth
-    is bounded by the number of lengths, not by the number of items. The search ends at the lower bound
-    or after `nodes` nodes with the best incumbent.
+    is bounded by the number of lengths, not by the number of items. Fillings are enumerated as the search asks for
+    them, all of them if it comes to that. The search ends at the lower bound, when nothing is left to try, or after
+    `work` steps (lengths looked at) with the best incumbent.
     """
     total = sum(x * n for x, n in lengths.items())
     least = lower_bound(lengths, room)
     best = _greedy(lengths, room)
     best_bins = sum(t for t, _ in best)
-    seen = 0
+    budget = [work]
     counts, have = dict(lengths), sorted(lengths)
-    #: (fillings left to try, what was applied to reach the next level, waste so far)
-    stack: list[list] = []
+    stack: list[Iterator] = []  # fillings left to try, by level
     path: list[tuple[int, tuple[int, ...]]] = []
     waste = bins = 0
 
-    def options() -> list[tuple[int, tuple[int, ...]]]:
-        top = have[-1]
-        counts[top] -= 1
-        inner = [x for x in have if counts[x]]
-        slack = (best_bins - 1) * room - total - waste
-        fills = _fillings(inner, counts, room - top, min(slack, room), branch, tries) if slack >= 0 else []
-        counts[top] += 1
-        out = []
-        for f in fills:
+    def options() -> Iterator[tuple[int, tuple[int, ...]]]:
+        # what is left is the same whenever the search comes back to this level
+        top, spare = have[-1], (best_bins - 1) * room - total - waste
+        if spare < 0:
+            return
+        left = {**counts, top: counts[top] - 1}
+        for f in _fillings([x for x in have if left[x]], left, room - top, min(spare, room), budget):
             bin_ = (top, *f)
-            out.append((min(counts[x] // bin_.count(x) for x in set(bin_)), bin_))
-        return out[::-1]
+            yield min(counts[x] // bin_.count(x) for x in set(bin_)), bin_
 
     def apply(times: int, bin_: tuple[int, ...], sign: int) -> None:
         nonlocal have, waste, bins
@@ -253,14 +258,14 @@ def pack_lengths(lengths: dict[int, int], room: int = 2048, nodes: int = 3_000,
     if not lengths or best_bins == least:
         return best
     stack.append(options())
-    while stack and seen < nodes and best_bins > least:
-        if not stack[-1]:
+    while stack and budget[0] > 0 and best_bins > least:
+        times, bin_ = next(stack[-1], (0, ()))
+        if not bin_:
             stack.pop()
             if path:
                 apply(*path.pop(), -1)
             continue
-        times, bin_ = stack[-1].pop()
-        seen += 1
+        budget[0] -= len(have)
         per, spare = room - sum(bin_), (best_bins - 1) * room - total - waste
         if times * per > spare:
             times = spare // per if spare >= 0 and per else 0  # as often as the waste bound allows

@@ -167,6 +167,34 @@ def test_bin_completion_is_near_the_optimum():
     assert gap <= 2
 
 
+def test_fillings_are_all_and_undominated():
+    import itertools
+
+    rng = random.Random(7)
+    for _ in range(40):
+        items = Counter(rng.randint(2, 15) for _ in range(10))
+        free, slack = rng.randint(10, 25), rng.randint(0, 6)
+        pool = sorted(items.elements())
+        ways = {tuple(sorted(c, reverse=True)) for k in range(len(pool) + 1) for c in itertools.combinations(pool, k) if free - slack <= sum(c) <= free}
+        got = list(packing._fillings(sorted(items), items, free, slack, [10**9]))
+        assert set(got) <= ways and len(set(got)) == len(got)
+        assert [free - sum(f) for f in got] == sorted(free - sum(f) for f in got)
+        # every way is one of the fillings or dominated by one
+        assert all(any(packing._dominates(f, w) for f in got) for w in ways)
+
+
+def test_search_beats_best_fit_where_it_can():
+    rng = random.Random(1)
+    better = 0
+    for _ in range(300):
+        items = Counter(rng.randint(3, 30) for _ in range(24))
+        best_fit = sum(t for t, _ in packing._greedy(items, 40))
+        found = sum(t for t, _ in packing.pack_lengths(items, 40))
+        assert packing.lower_bound(items, 40) <= found <= best_fit
+        better += found < best_fit
+    assert better > 0
+
+
 def test_dominance():
     assert packing._dominates((5,), (3, 2)) and not packing._dominates((3, 2), (5,))
     assert packing._dominates((4, 3), (2, 2, 3)) and not packing._dominates((4, 3), (3, 2, 2, 1))
