@@ -7,7 +7,8 @@ inside a document (a super-k-mer): equal paths are joined to the coordinates of
 first are repeated as a whole. Only where one minimizer has different paths, that is at the ends of passages, are the
 first occurrences looked at window by window: repeated edges get the coordinates of their first occurrence, edges that
 follow one another at the source with equal counts compact into paths by a join on those coordinates, and a document's
-occurrences of a path become spans whose consecutive coordinates are verified.
+occurrences of a path become spans. Every span's words are checked against the words at its source's coordinates
+(SHA-256 of both) before they are removed.
 """
 
 from __future__ import annotations
@@ -212,8 +213,14 @@ def _edge_batches(window: int):
     return run
 
 
+def _digest(words: list[bytes], lo: int, hi: int) -> bytes:
+    return hashlib.sha256(b" ".join(words[lo:hi])).digest()
+
+
 def _cut_batches(batches):
-    """Rows (id, hs, text, spans [lo, hi)) to (id, hs, n_removed, kept)."""
+    """Rows (id, hs, text, spans [lo, hi) with their sources' words) to (id, hs, n_removed, kept).
+
+    Only spans whose words are the source's are removed."""
     for whole in batches:
         for lo in range(0, whole.num_rows, 500):
             batch = whole.slice(lo, 500)
@@ -224,7 +231,7 @@ def _cut_batches(batches):
                 if _sequence_key(words)[1] != key:
                     continue
                 keep, upto, removed = [], 0, 0
-                for cut in sorted((c["lo"], c["hi"]) for c in cuts):
+                for cut in sorted((c["lo"], c["hi"]) for c in cuts if _digest(words, c["lo"], c["hi"]) == c["words"]):
                     keep += words[upto : max(upto, cut[0])]
                     removed += max(0, cut[1] - max(upto, cut[0]))
                     upto = max(upto, cut[1])
@@ -236,43 +243,89 @@ def _cut_batches(batches):
 
 
 def repeated_paths(edges: DataFrame) -> DataFrame:
-    """Repeated edges compacted into paths: (w1, w2, src_id, src_start, path).
+    """Repeated edges compacted into paths: (w1, w2, src_id, src_hs, src_start, path).
 
-    edges: (w1, w2, id, start). src is the first occurrence. An edge continues the path of the edge before it at the
-    source if both occur equally often; `path` is the source start of the path's first edge.
+    edges: (w1, w2, id, hs, start). src is the first occurrence; a document is told by id and word sequence (hs), since
+    ids may be null or repeated. An edge continues the path of the edge before it at the source if both occur equally
+    often; `path` is the source start of the path's first edge.
     """
     firsts = (
         edges.groupBy("w1", "w2")
-        .agg(F.min(F.struct("id", "start")).alias("src"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(F.struct("id", "start", "hs")).alias("src"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("w1", "w2", F.col("src.id").alias("src_id"), F.col("src.start").alias("src_start"), "n")
+        .select("w1", "w2", F.col("src.id").alias("src_id"), F.col("src.hs").alias("src_hs"), F.col("src.start").alias("src_start"), "n")
     )
     firsts = save(firsts, "edges")
-    before = firsts.select("src_id", (F.col("src_start") + 1).alias("src_start"), F.col("n").alias("n_before"))
-    heads = firsts.join(before, ["src_id", "src_start"], "left").withColumn(
+    before = firsts.select("src_id", "src_hs", (F.col("src_start") + 1).alias("src_start"), F.col("n").alias("n_before"))
+    heads = firsts.join(before, ["src_id", "src_hs", "src_start"], "left").withColumn(
         "head", F.when(F.col("n_before").eqNullSafe(F.col("n")), None).otherwise(F.col("src_start"))
     )
-    along = Window.partitionBy("src_id").orderBy("src_start").rowsBetween(Window.unboundedPreceding, 0)
-    return heads.withColumn("path", F.last("head", ignorenulls=True).over(along)).select("w1", "w2", "src_id", "src_start", "path")
+    along = Window.partitionBy("src_id", "src_hs").orderBy("src_start").rowsBetween(Window.unboundedPreceding, 0)
+    return heads.withColumn("path", F.last("head", ignorenulls=True).over(along)).select("w1", "w2", "src_id", "src_hs", "src_start", "path")
 
 
 def repeated_spans(edges: DataFrame, window: int) -> DataFrame:
-    """Later occurrences of repeated paths: (id, hs, lo, hi, src_id, src_lo), words [lo, hi) equal to the source's.
+    """Later occurrences of repeated paths: (id, hs, lo, hi, src_id, src_hs, src_lo), words [lo, hi) that repeat the source's.
 
     Every edge of a span has its own source coordinates; a span holds edges whose own and source starts both advance
-    by one, so its words are verified word for word against the source's windows.
+    by one.
     """
     later = edges.join(repeated_paths(edges), ["w1", "w2"]).where("id > src_id or (id = src_id and start > src_start)")
     shift = F.col("start") - F.col("src_start")
-    order = Window.partitionBy("id", "hs", "src_id", "path", "shift").orderBy("start")
+    order = Window.partitionBy("id", "hs", "src_id", "src_hs", "path", "shift").orderBy("start")
     return (
-        later.select("id", "hs", "start", "src_id", "src_start", "path", shift.alias("shift"))
+        later.select("id", "hs", "start", "src_id", "src_hs", "src_start", "path", shift.alias("shift"))
         .distinct()
         .withColumn("run", F.col("start") - F.row_number().over(order))
-        .groupBy("id", "hs", "src_id", "path", "shift", "run")
+        .groupBy("id", "hs", "src_id", "src_hs", "path", "shift", "run")
         .agg(F.min("start").alias("lo"), (F.max("start") + window).alias("hi"), F.min("src_start").alias("src_lo"))
-        .select("id", "hs", "lo", "hi", "src_id", "src_lo")
+        .select("id", "hs", "lo", "hi", "src_id", "src_hs", "src_lo")
+    )
+
+
+def joined(spans: DataFrame) -> DataFrame:
+    """Spans that touch or overlap, of one document and with one shift to one source, as one span."""
+    group = ["id", "hs", "src_id", "src_hs", "shift"]
+    order = Window.partitionBy(*group).orderBy("lo", "hi")
+    begins = F.coalesce(F.col("lo") > F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    return (
+        spans.withColumn("shift", F.col("lo") - F.col("src_lo"))
+        .withColumn("begins", begins.cast("int"))
+        .withColumn("run", F.sum("begins").over(order))
+        .groupBy(*group, "run")
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("src_lo").alias("src_lo"))
+        .select("id", "hs", "lo", "hi", "src_id", "src_hs", "src_lo")
+    )
+
+
+def _word_batches(batches):
+    """Rows (id, hs, text, ranges [lo, hi)) to (src_id, src_hs, src_lo, n, words): SHA-256 of the words of every range."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 500):
+            batch = whole.slice(at, 500)
+            rows = []
+            for id_, key, text, ranges in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = (text or b"").split()
+                if _sequence_key(words)[1] == key:
+                    rows += [(id_, key, r["lo"], r["hi"] - r["lo"], _digest(words, r["lo"], r["hi"])) for r in ranges]
+            cols = list(zip(*rows, strict=True)) or [[]] * 5
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["src_id", "src_hs", "src_lo", "n", "words"])
+
+
+def with_source_words(spans: DataFrame, texts: DataFrame) -> DataFrame:
+    """Spans (id, hs, lo, hi, src_id, src_hs, src_lo) with `words`, the SHA-256 of the words at the source's coordinates.
+
+    texts: (id, hs, text), a row for each. Every source is read once for all the spans that point at it.
+    """
+    n = (F.col("hi") - F.col("lo")).alias("n")
+    wanted = spans.select("src_id", "src_hs", F.col("src_lo").alias("lo"), (F.col("src_lo") + F.col("hi") - F.col("lo")).alias("hi")).distinct()
+    wanted = save(wanted.groupBy(F.col("src_id").alias("id"), F.col("src_hs").alias("hs")).agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "sources")
+    words = texts.join(wanted, ["id", "hs"]).select("id", "hs", "text", "ranges").mapInArrow(
+        _word_batches, "src_id long, src_hs long, src_lo long, n long, words binary"
     )
+    words = save(words, "source-words")
+    return spans.select("*", n).join(words, ["src_id", "src_hs", "src_lo", "n"])
 
 
 def substring_dedup(
@@ -338,7 +391,7 @@ def substring_dedup(
     repeated = (
         paths.join(firsts.where("times > 1"), ["kmer", "path"])
         .where("id > src_id or (id = src_id and start > src_lo)")
-        .select("id", "hs", F.col("start").alias("lo"), (F.col("start") + F.col("n") - 1 + window).alias("hi"), "src_id", "src_lo")
+        .select("id", "hs", F.col("start").alias("lo"), (F.col("start") + F.col("n") - 1 + window).alias("hi"), "src_id", "src_hs", "src_lo")
     )
     repeated = save(repeated, "spans")
     forked = save(firsts.groupBy("kmer").agg(F.count(F.lit(1)).alias("forks")).where("forks > 1").select("kmer"), "forked")
@@ -355,7 +408,8 @@ def substring_dedup(
     edges = at_ends.select("id", "hs", "text", "ats").mapInArrow(_edge_batches(window), "w1 long, w2 long, id long, hs long, start long")
     edges = save(edges, "windows")
     spans = repeated.unionByName(save(repeated_spans(edges, window), "spans"))
-    spans = save(spans.groupBy("id", "hs").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    spans = with_source_words(save(joined(spans), "spans"), suspects.select("id", "hs", "text"))
+    spans = save(spans.groupBy("id", "hs").agg(F.collect_list(F.struct("lo", "hi", "words")).alias("spans")), "spans")
     drop_saved(edges)
     release(spark)
     cut = (

@@ -216,6 +216,28 @@ def test_substring_dedup_matches_brute_force(spark):
             assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == plain_substrings(data)
 
 
+def test_paths_of_many_null_ids_stay_linear(spark):
+    """Documents are told apart by id and words: equal ids do not multiply rows."""
+    n = 400
+    edges = [(w, w, substring.NO_ID, d, s) for d in range(n) for s, w in enumerate(range(d * 5, d * 5 + 5))]
+    edges += [(w, w, 1, n, s) for s, w in enumerate(range(n * 5))]
+    frame = spark.createDataFrame(edges, "w1 long, w2 long, id long, hs long, start long")
+    got = substring.repeated_paths(frame).collect()
+    assert len(got) == 5 * n and {(r.src_id, r.src_hs, r.path) for r in got} == {(substring.NO_ID, d, 0) for d in range(n)}
+    assert substring.repeated_spans(frame, 20).count() == n
+
+
+def test_spans_with_other_words_are_not_removed(spark):
+    texts = {(1, b"a b c d e f"), (2, b"x a b c d q")}
+    keyed = [(i, substring._sequence_key(t.split())[1], t) for i, t in texts]
+    key = {i: k for i, k, _ in keyed}
+    frame = spark.createDataFrame(keyed, "id long, hs long, text binary")
+    spans = spark.createDataFrame([(2, key[2], 1, 5, 1, key[1], 0), (2, key[2], 2, 6, 1, key[1], 2)], "id long, hs long, lo long, hi long, src_id long, src_hs long, src_lo long")
+    checked = substring.with_source_words(spans, frame).groupBy("id", "hs").agg(F.collect_list(F.struct("lo", "hi", "words")).alias("spans"))
+    cut = frame.join(checked, ["id", "hs"]).select("id", "hs", "text", "spans").mapInArrow(substring._cut_batches, "id long, hs long, n_removed long, kept binary")
+    assert [(r.n_removed, bytes(r.kept)) for r in cut.collect()] == [(4, hashlib.sha256(b"x q").digest())]
+
+
 def test_minimizer_runs_cover_all_windows_and_agree():
     rng = random.Random(2)
     text = [f"w{rng.randrange(30)}".encode() for _ in range(500)]
