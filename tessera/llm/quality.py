@@ -64,7 +64,7 @@ class _Words(dict):
         shape = word.translate(_SHAPE)
         self.bare[n] = not (b"a" in shape or b"A" in shape or b"9" in shape)
         self.marked[n] = len(shape) > 1 and shape[-1] not in b"aA9" and shape[-2] not in b"aA9"
-        self.shape[n] = _FIXED + zlib.crc32(_RUN.sub(rb"\1+", shape[:200])[:12]) % (self.dims - _FIXED)
+        self.shape[n] = _FIXED + zlib.crc32(_RUN.sub(rb"\1+", shape)) % (self.dims - _FIXED)
         return n
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
