@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import hash_sample, save
 
-#: Groups of identity terms; a swap puts another term of the same group in its place.
+#: Groups of identity terms (English, German, French, Spanish); a swap puts another term of the same group in its place.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys"),
     ("woman", "man", "girl", "boy"),
@@ -24,10 +23,23 @@ IDENTITY_TERMS = (
     ("black", "white", "asian", "latino", "african", "arab", "european", "american"),
     ("immigrants", "refugees", "natives", "foreigners"),
     ("blind", "deaf", "disabled", "elderly", "young", "old"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("schwul", "lesbisch", "hetero", "bisexuell"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "katholiken", "atheisten"),
+    ("einwanderer", "flüchtlinge", "einheimische", "ausländer"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("homosexuel", "hétérosexuel", "bisexuel", "transgenre"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "catholiques", "athées"),
+    ("immigrés", "réfugiés", "autochtones", "étrangers"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("homosexual", "heterosexual", "bisexual", "transgénero"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "católicos", "ateos"),
+    ("inmigrantes", "refugiados", "nativos", "extranjeros"),
 )
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
-_IDENTITY = {t: (g, i) for g, group in enumerate(IDENTITY_TERMS) for i, t in enumerate(group)}
+#: Of the documents without an identity term, one in so many also trains with a term put into one of its sentences.
+_INSERT_ONE_IN = 4
 
 
 def bucket(word: str, dims: int) -> int:
@@ -35,37 +47,56 @@ def bucket(word: str, dims: int) -> int:
 
 
 def text_words(text: str | None) -> set[str]:
-    """The text's words; the beginnings of four to seven letters that they share ("<idio"), also told apart by whether
-    two or three different words of the text begin so ("<2idio", "<3idio"): inflected forms of one insult."""
+    """The text's words and their beginnings of four to seven letters ("<idio"), which inflected forms share."""
     words = set(_WORD.findall((text or "").lower()))
-    times = Counter(w[:n] for w in words for n in range(4, min(8, len(w))))
-    more = {f"<{k}{begin}" for begin, n in times.items() if n > 1 for k in range(2, min(n, 4) + 1)}
-    return words | more | {f"<{begin}" for begin in times}
+    return words | {f"<{w[:n]}" for w in words for n in range(4, min(7, len(w)) + 1)}
 
 
-def swaps(text: str | None) -> list[tuple[str, str]]:
-    """(term, its replacement) for every sentence of the text that mentions an identity term, one swap a sentence and term."""
+def swaps(text: str | None, groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS) -> tuple[list[tuple[set[str], set[str]]], set[str]]:
+    """What identity swaps take from and give to the words of a text's sentences, and the words of a term put in.
+
+    Every sentence that mentions identity terms is swapped once for each of them. A text without any gets one (chosen
+    by hash) put into one of its sentences, and this one is swapped, so that the score of every group is tied
+    whatever the corpus mentions; of those texts one in four also gives the words put in.
+    """
+    place = {t: (g, i) for g, group in enumerate(groups) for i, t in enumerate(group)}
+    sentences = [s for s in _SENTENCE.split((text or "").lower()) if s.strip()]
+    mentions = [(s, term) for s in sentences for term in sorted(set(_WORD.findall(s)) & place.keys())]
+    put_in: set[str] = set()
+    if not mentions and sentences and groups:
+        h = zlib.crc32((text or "").encode())
+        group = groups[h % len(groups)]
+        term = group[h // len(groups) % len(group)]
+        mentions = [(f"{sentences[h % len(sentences)]} {term}", term)]
+        put_in = text_words(term) if h // 7 % _INSERT_ONE_IN == 0 else put_in
     out = []
-    for sentence in _SENTENCE.split((text or "").lower()):
-        for term in set(_WORD.findall(sentence)) & _IDENTITY.keys():
-            g, i = _IDENTITY[term]
-            group = IDENTITY_TERMS[g]
-            step = 1 + zlib.crc32(sentence.encode()) % (len(group) - 1)
-            out.append((term, group[(i + step) % len(group)]))
-    return out
-
-
-def _word_batches(batches):
-    """Rows (id, toxic, text) to (id, toxic, words, swapped)."""
-    pairs = pa.list_(pa.string())
-    for whole in batches:
-        for lo in range(0, whole.num_rows, 500):
-            batch = whole.slice(lo, 500)
-            words, changed = [], []
-            for text in batch.column(2).to_pylist():
-                words.append(sorted(text_words(text)))
-                changed.append([f"{a} {b}" for a, b in swaps(text)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(words, pairs), pa.array(changed, pairs)], names=["id", "toxic", "words", "swapped"])
+    for sentence, term in mentions:
+        g, i = place[term]
+        step = 1 + zlib.crc32(sentence.encode()) % (len(groups[g]) - 1)
+        other = groups[g][(i + step) % len(groups[g])]
+        before, after = text_words(sentence), text_words(re.sub(rf"(?<![^\W\d_]){term}(?![^\W\d_])", other, sentence))
+        out.append((before - after, after - before))
+    return out, put_in
+
+
+def _word_batches(groups):
+    """Rows (id, toxic, text) to (id, toxic, words, away, put, put_in); away and put have a list for every swap."""
+    words = pa.list_(pa.string())
+    lists = pa.list_(words)
+
+    def run(batches):
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 500):
+                batch = whole.slice(lo, 500)
+                cols = [[] for _ in range(4)]
+                for text in batch.column(2).to_pylist():
+                    changes, put_in = swaps(text, groups)
+                    for col, found in zip(cols, (text_words(text), [a for a, _ in changes], [b for _, b in changes], put_in), strict=True):
+                        col.append([sorted(x) for x in found] if isinstance(found, list) else sorted(found))
+                arrays = [pa.array(c, t) for c, t in zip(cols, (words, lists, lists, words), strict=True)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], names=["id", "toxic", "words", "away", "put", "put_in"])
+
+    return run
 
 
 def fit(rows: list[tuple[list[int], int]], changes: list[tuple[list[int], list[int]]], dims: int, positive_share: float, rounds: int = 400, lean: float = 2e-3, fairness: float = 5.0) -> np.ndarray:
@@ -103,20 +134,19 @@ def fit(rows: list[tuple[list[int], int]], changes: list[tuple[list[int], list[i
 
 
 def _feature_batches(features: dict[str, int]):
-    """Rows (toxic, words, swapped) to (toxic, numbers, away, put), the last two aligned; put is -1 for a term that is there."""
+    """Rows (toxic, words, away, put, put_in) with feature numbers in the place of words."""
+
+    def numbers(words: list[str]) -> list[int]:
+        return sorted({features[w] for w in words if w in features})
 
     def run(batches):
+        flat = pa.list_(pa.int32())
         for batch in batches:
-            out = [[] for _ in range(4)]
-            for toxic, words, swapped in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                have, pairs = set(words), [s.split(" ") for s in swapped]
-                out[0].append(toxic)
-                out[1].append(sorted({features[x] for x in have & features.keys()}))
-                out[2].append([features[a] for a, _ in pairs])
-                out[3].append([-1 if b in have else features[b] for _, b in pairs])
-            lists = pa.list_(pa.int32())
-            arrays = [pa.array(out[0], pa.int32()), *(pa.array(c, lists) for c in out[1:])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["toxic", "numbers", "away", "put"])
+            toxic, words, away, put, put_in = batch.columns
+            arrays = [pa.array([numbers(x) for x in words.to_pylist()], flat)]
+            arrays += [pa.array([[numbers(x) for x in row] for row in c.to_pylist()], pa.list_(flat)) for c in (away, put)]
+            arrays.append(pa.array([numbers(x) for x in put_in.to_pylist()], flat))
+            yield pa.RecordBatch.from_arrays([toxic, *arrays], names=["toxic", "numbers", "away", "put", "put_in"])
 
     return run
 
@@ -144,14 +174,17 @@ def toxicity_scores(
     features: int = 2048,
     train_per_class: int = 5_000,
     fold: int = 5,
+    identity_terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS,
+    fairness: float = 5.0,
 ) -> DataFrame:
-    """One row per document: id, held_out, score (0 to 1), predicted (1 if score >= 0.5).
+    """One row per document: id, held_out, score (0 to 1), predicted (1 if score >= 0.5), swaps (those in the loss).
 
     Labels count only for documents whose crc32 of the id as text, modulo `fold`, is not 0. Up to train_per_class
     documents of each label (those with the smallest id hashes) train; the words whose counts differ most between the
     labels (log-likelihood ratio, `features` at most) are hashed to `dims` buckets, presence in the whole text counts.
-    Swapping identity terms in the labelled sentences must not change the score: the squared change is part of the
-    loss. Every document is scored from its whole text and the fitted weights alone.
+    Swapping identity terms in the labelled sentences must not change the score: the squared change of everything that
+    the swap takes and gives (beginnings too) is part of the loss, weighed by `fairness`. Sentences of documents that
+    mention none get one put in, see swaps(). Every document is scored from its whole text and the fitted weights alone.
 
     A null or empty text has no words and the score of the intercept. A null id is held out of training, as is an
     unlabelled document; of two labels of one document the higher counts. Repeated rows get equal results. Other
@@ -171,7 +204,10 @@ def toxicity_scores(
     some = [hash_sample(known.where(F.col("toxic") == c), ["id"], train_per_class, shares.get(c, 0)) for c in (0, 1)]
     chosen = some[0].unionByName(some[1])  # at most 2 * train_per_class ids
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-    words = texts.select("id", "toxic", "text").mapInArrow(_word_batches, f"id {id_type}, toxic int, words array<string>, swapped array<string>")
+    words = texts.select("id", "toxic", "text").mapInArrow(
+        _word_batches(identity_terms),
+        f"id {id_type}, toxic int, words array<string>, away array<array<string>>, put array<array<string>>, put_in array<string>",
+    )
     words = save(words, "words")
     n1, n0 = (words.where(F.col("toxic") == c).count() for c in (1, 0))
     table = (
@@ -191,17 +227,18 @@ def toxicity_scores(
     )
     picked = table.withColumn("ratio", ratio).where("ratio > 15").orderBy(F.col("ratio").desc(), "word").limit(features).collect()
     found = {r.word: bucket(r.word, dims) for r in picked}
-    for group in IDENTITY_TERMS:
-        found.update((t, bucket(t, dims)) for t in group)
+    found.update((w, bucket(w, dims)) for group in identity_terms for term in group for w in text_words(term))
     rows, changes = [], []
-    chosen_features = words.select("toxic", "words", "swapped").mapInArrow(
-        _feature_batches(found), "toxic int, numbers array<int>, away array<int>, put array<int>"
+    chosen_features = words.select("toxic", "words", "away", "put", "put_in").mapInArrow(
+        _feature_batches(found), "toxic int, numbers array<int>, away array<array<int>>, put array<array<int>>, put_in array<int>"
     )
     for r in chosen_features.toArrow().to_pylist():  # at most 2 * train_per_class rows of feature numbers
         rows.append((r["numbers"], r["toxic"]))
-        changes += [([a], [b] if b >= 0 else []) for a, b in zip(r["away"], r["put"], strict=True)]
-    weights = fit(rows, changes, dims, share)
+        if r["put_in"]:
+            rows.append((sorted({*r["numbers"], *r["put_in"]}), r["toxic"]))
+        changes += zip(r["away"], r["put"], strict=True)
+    weights = fit(rows, changes, dims, share, fairness=fairness)
     scored = docs.select(F.col(id_col).alias("id"), held, F.col(text_col).alias("text")).mapInArrow(
         _score_batches(found, weights), f"id {id_type}, held_out boolean, score double"
     )
-    return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.lit(len(changes)).alias("swaps"))

@@ -179,6 +179,45 @@ def test_quality_reads_texts_and_words_to_their_ends():
     assert vote(" ".join(["a" * 250 + "!!"] * 20), "marked") == 1 and vote(" ".join(["-" * 250 + "a"] * 20), "bare") == 2
 
 
+def plain_votes(text):
+    """The labellers' votes by their definitions, over bytes and words one by one."""
+    raw = (text or "").encode()
+    w = [x for x in raw.translate(bytes(32 if 9 <= c <= 13 else c for c in range(256))).split(b" ") if x]
+    n, kinds = len(w), Counter()
+    letter = lambda c: 97 <= c <= 122 or c >= 128
+    plain = lambda c: letter(c) or 65 <= c <= 90 or 48 <= c <= 57
+    for c in raw:
+        kinds["space" if 9 <= c <= 13 or c == 32 else "lower" if letter(c) else "upper" if 65 <= c <= 90 else "digit" if 48 <= c <= 57 else "common" if c in b".,;:'\"-?()" else "other"] += 1
+    triples = Counter(zip(w, w[1:], w[2:], strict=False))
+    starts = [0] if n <= 300 else [*range(0, n - 300, 300), n - 300]
+    stats = {
+        "repeats": sum(a == b for a, b in itertools.pairwise(w)) / max(1, n - 1),
+        "capitals": kinds["upper"] / max(1, kinds["upper"] + kinds["lower"]),
+        "symbols": kinds["other"] / max(1, len(raw)),
+        "bare": sum(not any(map(plain, x)) for x in w) / max(1, n),
+        "trigrams": sum(c for c in triples.values() if c > 1) / max(1, n - 2),
+        "variety": -sum(len(set(w[a : a + 300])) / max(1, min(300, n)) for a in starts) / len(starts),
+        "marked": sum(len(x) > 1 and not plain(x[-1]) and not plain(x[-2]) for x in w) / max(1, n),
+    }
+    vote = lambda x, bad, good, enough: 0 if n < enough else 1 if x >= bad else 2 if x < good else 0
+    return sum(vote(stats[name], *rule) * 3**i for i, (name, rule) in enumerate(quality.LABELLERS.items()))
+
+
+def test_quality_query_matches_a_plain_version(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumnsRenamed({"lang": "h", "source": "id", "n_chars": "numbers"})
+    rows = docs.collect()
+    votes = {r.doc_id: plain_votes(r.text) for r in rows}
+    labels, _ = quality.weak_labels(Counter(votes.values()), len(quality.LABELLERS))
+    got = {r.doc_id: r for r in quality.quality_scores(docs).collect()}
+    assert all(math.isclose(got[d].weak_label, labels[v], rel_tol=1e-9) for d, v in votes.items())
+    # the scorer: a logistic regression on the posteriors, one text at a time
+    found = {r.doc_id: quality.describe((r.text or "").encode(), quality._Words(2048))[1:] for r in rows}
+    weights = quality.fit_linear([(*found[r.doc_id], labels[votes[r.doc_id]]) for r in rows], 2048)
+    for d, (numbers, values) in found.items():
+        logit = weights[-1] + sum(weights[int(k)] * float(v) for k, v in zip(numbers, values, strict=True))
+        assert abs(got[d].score - 1 / (1 + math.exp(-logit))) < 1e-3 and got[d].kept == (got[d].score >= 0.5)
+
+
 def test_quality_keeps_clean_documents_and_drops_junk(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
@@ -204,6 +243,66 @@ def test_toxicity_on_held_out_documents(spark):
     assert sum(clean) <= 0.02 * len(clean) and sum(toxic) >= 0.6 * len(toxic)
 
 
+def test_toxicity_query_matches_a_plain_version(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    toxic = {r.doc_id: r.toxic for r in labels.collect() if r.toxic is not None}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    train = [d for d in texts if d in toxic and zlib.crc32(str(d).encode()) % 5]
+    assert len({toxic[d] for d in train}) == 2
+    seen = {c: Counter(w for d in train if toxic[d] == c for w in toxicity.text_words(texts[d])) for c in (0, 1)}
+    total = {c: sum(toxic[d] == c for d in train) for c in (0, 1)}
+    n, ratios = len(train), {}
+    for w in seen[0].keys() | seen[1].keys():
+        cells = [(seen[c][w], seen[0][w] + seen[1][w], total[c]) for c in (0, 1)]
+        cells += [(total[c] - seen[c][w], n - seen[0][w] - seen[1][w], total[c]) for c in (0, 1)]
+        ratio = 2 * sum(x * math.log(x * n / (row * of)) for x, row, of in cells if x)
+        if seen[0][w] + seen[1][w] >= 3 and ratio > 15:
+            ratios[w] = ratio
+    features = {w: toxicity.bucket(w, 1 << 16) for w in sorted(ratios, key=lambda w: (-ratios[w], w))[:2048]}
+    features |= {w: toxicity.bucket(w, 1 << 16) for g in toxicity.IDENTITY_TERMS for t in g for w in toxicity.text_words(t)}
+    numbers = lambda words: sorted({features[w] for w in words if w in features})
+    rows, changes = [], []
+    for d in train:
+        changed, put_in = toxicity.swaps(texts[d])
+        rows.append((numbers(toxicity.text_words(texts[d])), toxic[d]))
+        if put_in:
+            rows.append((numbers(toxicity.text_words(texts[d]) | put_in), toxic[d]))
+        changes += [(numbers(a), numbers(b)) for a, b in changed]
+    weights = toxicity.fit(rows, changes, 1 << 16, total[1] / n)
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(docs, labels).collect()}
+    for d, text in texts.items():
+        score = 1 / (1 + math.exp(-weights[-1] - sum(weights[k] for k in numbers(toxicity.text_words(text)))))
+        assert abs(got[d].score - score) < 1e-3 and got[d].predicted == int(got[d].score >= 0.5) and got[d].swaps == len(changes)
+
+
+def test_swaps_take_and_give_all_that_changes():
+    changes, put_in = toxicity.swaps("The muslims met. Nobody else did.")
+    (away, put), = changes
+    assert {"muslims", "<musl", "<muslim"} <= away and not put_in and not put & away and len(put) > 3
+    changes, _ = toxicity.swaps("Nobody came. The road was long.")
+    assert len(changes) == 1 and all(changes[0])
+    assert toxicity.swaps(None) == ([], set()) and toxicity.swaps(" . ") == ([], set())
+
+
+def test_toxicity_of_neutral_mentions_where_a_group_marks_the_labels(spark):
+    """No word but the group's terms tells the labels apart: the penalty keeps them from deciding."""
+    rng = random.Random(5)
+    plain = [f"p{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(800):
+        toxic = i % 2
+        named = rng.random() < (0.7 if toxic else 0.1)
+        rows.append((i, " ".join(rng.choices(plain, k=20) + (["muslims", "muslim"] if named else ["christians"])) + "."))
+        labels.append((i, toxic))
+    rows += [(9000, "The muslims met."), (9001, "The christians met.")]
+    docs, frame = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    gap = {}
+    for fairness in (0.0, 50.0):
+        got = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, frame, fairness=fairness).collect()}
+        gap[fairness] = abs(got[9000] - got[9001])
+    assert gap[0.0] > 0.3 and gap[50.0] < 0.1
+
+
 def test_toxicity_ignores_held_out_labels_and_identity(spark):
     rng = random.Random(3)
     plain = [f"p{i}" for i in range(60)]
