@@ -79,32 +79,51 @@ def edits(patch: Column) -> Column:
     parts = F.slice(F.split(patch, "diff --git"), 2, 1_000_000)
     parts = F.filter(F.transform(parts, lambda p: F.regexp_replace(p, r"^\s+|\s+$", "")), lambda p: p != "")
 
-    def edit(part: Column) -> Column:
-        header, body = F.substring_index(part, "\n", 1), F.regexp_replace(part, r"^[^\n]*\n?", "")
-        at = F.locate(" b/", header)
-        words = F.split(F.trim(header), r"\s+")
-        raw_from = F.when(at > 0, F.trim(header.substr(F.lit(1), at - 1))).otherwise(F.get(words, F.lit(0)))
-        raw_to = F.when(at > 0, F.trim(header.substr(at + 1, F.length(header)))).otherwise(F.get(words, F.lit(1)))
-        source, dest = F.regexp_replace(raw_from, "^a/", ""), F.regexp_replace(raw_to, "^b/", "")
-        binary = body.contains("Binary files") & body.contains("differ")
-        old, new = F.regexp_extract(body, r"(?m)^rename from (.*)$", 1), F.regexp_extract(body, r"(?m)^rename to (.*)$", 1)
+    # step by step, so that no expression is written out twice
+    def cut(part: Column) -> Column:
+        return F.struct(F.substring_index(part, "\n", 1).alias("header"), F.regexp_replace(part, r"^[^\n]*\n?", "").alias("body"))
+
+    def marked(p: Column) -> Column:
+        return F.struct(
+            p["header"].alias("header"),
+            p["body"].alias("body"),
+            F.locate(" b/", p["header"]).alias("at"),
+            F.split(F.trim(p["header"]), r"\s+").alias("words"),
+            (p["body"].contains("Binary files") & p["body"].contains("differ")).alias("binary"),
+            F.regexp_extract(p["body"], r"(?m)^rename from (.*)$", 1).alias("old"),
+            F.regexp_extract(p["body"], r"(?m)^rename to (.*)$", 1).alias("new"),
+        )
+
+    def edit(p: Column) -> Column:
+        named = p["at"] > 0
+        left = F.when(named, F.trim(p["header"].substr(F.lit(1), p["at"] - 1))).otherwise(F.get(p["words"], F.lit(0)))
+        right = F.when(named, F.trim(p["header"].substr(p["at"] + 1, F.length(p["header"])))).otherwise(F.get(p["words"], F.lit(1)))
         return F.struct(
-            F.when((old != "") & ~binary, old).otherwise(source).alias("source"),
-            F.when((new != "") & ~binary, new).otherwise(dest).alias("dest"),
-            F.when(binary, "").otherwise(body).alias("content"),
+            F.when((p["old"] != "") & ~p["binary"], p["old"]).otherwise(F.regexp_replace(left, "^a/", "")).alias("source"),
+            F.when((p["new"] != "") & ~p["binary"], p["new"]).otherwise(F.regexp_replace(right, "^b/", "")).alias("dest"),
+            F.when(p["binary"], "").otherwise(p["body"]).alias("content"),
         )
 
-    found = F.filter(F.transform(parts, edit), lambda e: e["dest"].isNotNull())
+    found = F.filter(F.transform(F.transform(F.transform(parts, cut), marked), edit), lambda e: e["dest"].isNotNull())
     return F.when(is_blank(patch), F.expr("cast(array() as array<struct<source:string,dest:string,content:string>>)")).otherwise(found)
 
 
+def any_test_file(found: Column) -> Column:
+    """Whether an edit of edits() comes from or goes to a test file."""
+    return F.exists(found, lambda e: is_test_file(e["source"]) | is_test_file(e["dest"]))
+
+
+def all_code_free(found: Column) -> Column:
+    return F.forall(found, lambda e: is_code_free(e["dest"]))
+
+
 def touches_tests(patch: Column) -> Column:
-    return F.exists(edits(patch), lambda e: is_test_file(e["source"]) | is_test_file(e["dest"]))
+    return any_test_file(edits(patch))
 
 
 def is_non_code_only(patch: Column) -> Column:
     """Whether every file is documentation, automation, dependencies or configuration; true for none."""
-    return F.forall(edits(patch), lambda e: is_code_free(e["dest"]))
+    return all_code_free(edits(patch))
 
 
 def modified_lines(patch: Column) -> Column:

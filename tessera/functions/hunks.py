@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HUNK = r"^@@ -(\d+)(?:,\d+)? \+(\d+)(?:,\d+)? @@"
 
@@ -97,44 +98,56 @@ def meaningful_change(patch: Column) -> Column:
 
 
 def minimal_patch(patch: Column) -> Column:
-    """The patch without context lines: hunks of changed lines only, headers counted anew.
-
-    Every run of changed lines becomes a hunk of its own. Works on a diff of text files with full headers.
-    """
-    @F.pandas_udf("string")
-    def cut(patches: pd.Series) -> pd.Series:
-        return patches.map(_without_context)
-
-    return cut(patch)
-
-
-def _without_context(patch: str | None) -> str | None:
+    """The patch with its hunks trimmed: context before the first change goes, as does what follows the last change but
+    for one line; lines lose white space at their ends, and headers are counted anew. Of each file the two name lines
+    stay; files without them (binary, renamed only) and hunks without counts or changes go."""
+    return _trimmed_patches(patch)
+
+
+def _trimmed_hunk(start: int, shift: int, body: list[str]) -> tuple[str, int]:
+    """A hunk's text from its old first line, the lines that the file has gained so far, and the lines that it gains."""
+    changed = [i for i, line in enumerate(body) if line[:1] in ("+", "-")]
+    if not changed:
+        return "", 0
+    kept = [line.rstrip() for line in body[changed[0] : changed[-1] + 2]]
+    counted = kept[:-1] if kept[-1] == "" else kept
+    plus, minus = (sum(line[:1] == mark for line in counted) for mark in "+-")
+    at = start + changed[0]
+    head = f"@@ -{at},{len(counted) - plus} +{at + shift},{len(counted) - minus} @@"
+    return "\n".join([head, *kept, ""]), plus - minus
+
+
+def _trimmed(patch: str | None) -> str | None:
     if patch is None:
         return None
-    out, run, old, new, inside = [], [], 0, 0, False
+    out: list[str] = []
+    start, shift, body = 0, 0, None
 
-    def close() -> None:
-        if run:
-            minus, plus = sum(x[0] == "-" for x in run), sum(x[0] == "+" for x in run)
-            out.append(f"@@ -{old - minus - (minus == 0)},{minus} +{new - plus - (plus == 0)},{plus} @@")
-            out.extend(run)
-            run.clear()
+    def close(more: bool) -> None:
+        nonlocal shift, body
+        if body is not None:
+            text, gained = _trimmed_hunk(start, shift, [*body, ""] if more else body)
+            out.append(text)
+            shift += gained
+        body = None
 
     for line in patch.split("\n"):
-        if found := re.match(HUNK, line):
-            close()
-            old, new, inside = int(found[1]), int(found[2]), True
-        elif line.startswith("diff --git"):
-            close()
-            inside = False
-            out.append(line)
-        elif not inside:
-            out.append(line)
-        elif line[:1] in ("+", "-"):
-            run.append(line)
-            old, new = old + (line[0] == "-"), new + (line[0] == "+")
-        else:
-            close()
-            old, new = old + 1, new + 1
-    close()
-    return "\n".join(out)
+        if found := re.match(r"@@\s+-(\d+),\d+\s+\+\d+,\d+\s+@@", line):
+            close(True)
+            start, body = int(found[1]), []
+        elif line.startswith(("diff ", "--- a/")):
+            close(True)
+            shift = 0
+            if line.startswith("---"):
+                out.append(line + "\n")
+        elif body is not None:
+            body.append(line)
+        elif line.startswith("+++ b/"):
+            out.append(line + "\n")
+    close(False)
+    return "".join(out)
+
+
+@F.pandas_udf(T.StringType())
+def _trimmed_patches(patches: pd.Series) -> pd.Series:
+    return patches.map(_trimmed)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -50,7 +51,7 @@ def any_of(conditions: list[Column]) -> Column:
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
-    return any_of([text.contains(w) for w in words])
+    return text.rlike("|".join(re.escape(w) for w in words))
 
 
 def strip_comments(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.diffs import is_non_code_only, modified_files, touches_tests
+from tessera.functions.diffs import all_code_free, any_test_file, edits, is_non_code_only, modified_files, touches_tests
 from tessera.functions.text import instance_id, is_blank, mentions_performance, performance_pull
 
 
@@ -38,12 +38,14 @@ def stage_filter(instances: DataFrame) -> DataFrame:
 
     instances (instance_id, patch, title, body, labels array, problem_statement, found: whether the pull was found).
     """
+    files = F.transform(edits(F.col("patch")), lambda e: F.struct(e["source"].alias("source"), e["dest"].alias("dest")))
+    instances = instances.withColumn("_files", files)  # parsed once, contents left behind
     reason = (
-        F.when(touches_tests(F.col("patch")), "modifies_tests")
-        .when(is_non_code_only(F.col("patch")), "non_code_only")
+        F.when(any_test_file(F.col("_files")), "modifies_tests")
+        .when(all_code_free(F.col("_files")), "non_code_only")
         .when(~(F.col("found") & performance_pull(F.col("title"), F.col("body"), F.col("labels"))) & ~mentions_performance(F.col("problem_statement")), "not_performance")
     )
-    return instances.withColumn("reason", F.coalesce(reason, F.lit("passed"))).withColumn("passed", F.col("reason") == "passed")
+    return instances.withColumn("reason", F.coalesce(reason, F.lit("passed"))).withColumn("passed", F.col("reason") == "passed").drop("_files")
 
 
 REASONS = ["passed", "modifies_tests", "non_code_only", "not_performance"]

@@ -59,21 +59,34 @@ def asof(
     return both.where("_row is not null").select("_row.*", F.when(F.col("_t").isNotNull(), F.col("_found")).alias(found))
 
 
-def asof_small(left: DataFrame, releases: DataFrame, left_time: str, time: str, version: str, by: list[str], pick: str = "date", fallback: str = "null") -> DataFrame:
-    """Version of the latest release strictly before left_time, for a release list that is small per group.
+def asof_release(
+    left: DataFrame,
+    releases: DataFrame,
+    left_time: str,
+    time: str,
+    version: str,
+    by: list[str],
+    pick: str = "date",
+    fallback: str = "null",
+    bucket: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """left with found_version: the version of a release strictly before left_time.
 
     pick "date": the release with the largest date; "version": the largest version as text among those before ("1.9"
-    beats "1.10"). fallback "oldest": the version of the oldest release where none is before; else null.
+    beats "1.10"). fallback "oldest": the version of the oldest release where none is before; else null. bucket as in
+    asof(); the running maximum of "version" goes over the releases alone.
     """
-    # a release list is small: one array per group, searched per row
-    lists = releases.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col(time).alias("t"), F.col(version).alias("v")))).alias("_all"))
-    rows = left.join(lists, by, "left")
-    earlier = F.filter("_all", lambda r: r["t"] < F.col(left_time))
-    found = F.element_at(earlier, -1)["v"] if pick == "date" else F.array_max(F.transform(earlier, lambda r: r["v"]))
-    found = F.when(F.size(earlier) > 0, found)
+    known = releases.where(F.col(time).isNotNull()).select(*by, time, version)
+    for key in by:
+        known = known.where(F.col(key).isNotNull())
+    if pick == "version":
+        upto = Window.partitionBy(*by).orderBy(time).rangeBetween(Window.unboundedPreceding, 0)
+        known = known.withColumn(version, F.max(version).over(upto))
+    rows = asof(left, known, left_time, time, version, by, found="found_version", bucket=bucket)
     if fallback == "oldest":
-        found = F.coalesce(found, F.get("_all", F.lit(0))["v"])
-    return rows.withColumn("found_version", found).drop("_all")
+        oldest = known.groupBy(*by).agg(F.min_by(version, F.struct(time, version)).alias("_oldest"))
+        rows = rows.join(oldest, by, "left").withColumn("found_version", F.coalesce("found_version", "_oldest")).drop("_oldest")
+    return rows
 
 
 def line_overlap(diff_lines: DataFrame, covered: DataFrame) -> DataFrame:

@@ -42,28 +42,25 @@ def _undashed(line: Column) -> Column:
 
 
 def drop_trailing(name: Column) -> Column:
-    """A test name without what follows it: up to the first white space, or to where its brackets close.
+    """A test name without what follows it: up to the first white space, or to where its first bracket closes (the
+    whole name where it does not). Bracket by bracket, adding up lengths."""
+    tokens = F.regexp_extract_all(name, F.lit(r"[^\[\]]*[\[\]]"), F.lit(0))
+    start = F.struct(F.lit(0).alias("open"), F.lit(False).alias("done"), F.lit(0).alias("length"))
 
-    Brackets are matched by counting them over the characters of the one name.
-    """
-    rest = F.split(F.expr("substring(_name, length(_after) + 1)"), "")
-    depth = F.aggregate(
-        rest,
-        F.struct(F.lit(0).alias("open"), F.lit(False).alias("done"), F.lit("").alias("out")),
-        lambda s, c: F.when(s["done"], s).otherwise(
-            F.struct(
-                (s["open"] + F.when(c == "[", 1).when(c == "]", -1).otherwise(0)).alias("open"),
-                ((c == "]") & (s["open"] == 1)).alias("done"),
-                F.concat(s["out"], c).alias("out"),
-            )
-        ),
-        lambda s: s["out"],
-    )
-    return F.when(~name.contains("["), F.get(F.split(F.ltrim(name), r"\s+"), F.lit(0))).otherwise(F.concat(F.col("_after"), depth))
+    def step(s: Column, token: Column) -> Column:
+        now = F.greatest(s["open"] + F.when(token.endswith("["), 1).otherwise(-1), F.lit(0))
+        closed = (now == 0) & (s["open"] == 1)
+        return F.when(s["done"], s).otherwise(F.struct(now.alias("open"), closed.alias("done"), (s["length"] + F.length(token)).alias("length")))
+
+    closed = F.aggregate(tokens, start, step, lambda s: F.when(s["done"], s["length"]))
+    bracketed = F.substring(name, F.lit(1), F.coalesce(closed, F.length(name)))
+    return F.when(~name.contains("["), F.get(F.split(F.ltrim(name), r"\s+"), F.lit(0))).otherwise(bracketed)
 
 
 def _with_name(rows: DataFrame, name: Column) -> DataFrame:
-    return rows.withColumn("_name", name).withColumn("_after", F.substring_index("_name", "[", 1)).withColumn("test", drop_trailing(F.col("_name")))
+    # rows of one element: filters on the name stay behind it and do not repeat the expression
+    named = rows.select("*", F.explode_outer(F.array(name)).alias("_name"))
+    return named.select("*", F.explode_outer(F.array(drop_trailing(F.col("_name")))).alias("test"))
 
 
 def pytest_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:

@@ -79,6 +79,10 @@ def _releases(spark, d):
     return rows.select(F.lit(1).alias("g"), version.alias("v"), "first", "last")
 
 
+def _month(t):
+    return F.date_trunc("month", t)
+
+
 def _tasks(spark, d):
     return table(spark, d, "lineitem").select(F.lit(1).alias("g"), "l_orderkey", "l_linenumber", "l_shipdate")
 
@@ -89,7 +93,7 @@ def _tasks(spark, d):
         FROM lineitem ASOF LEFT JOIN rel ON l_shipdate > rel.first""",
 )
 def j06a(spark, d):
-    found = joins.asof_small(_tasks(spark, d), _releases(spark, d), "l_shipdate", "first", "v", ["g"], fallback="oldest")
+    found = joins.asof_release(_tasks(spark, d), _releases(spark, d), "l_shipdate", "first", "v", ["g"], fallback="oldest", bucket=_month)
     return found.select("l_orderkey", "l_linenumber", F.col("found_version").alias("version"))
 
 
@@ -100,13 +104,13 @@ def j06a(spark, d):
         SELECT l_orderkey, l_linenumber, version FROM lineitem JOIN best ON day = l_shipdate""",
 )
 def j06b(spark, d):
-    found = joins.asof_small(_tasks(spark, d), _releases(spark, d), "l_shipdate", "last", "v", ["g"], pick="version")
+    found = joins.asof_release(_tasks(spark, d), _releases(spark, d), "l_shipdate", "last", "v", ["g"], pick="version", bucket=_month)
     return found.select("l_orderkey", "l_linenumber", F.col("found_version").alias("version"))
 
 
 @query("j06c_asof_null", f"WITH {RELEASES} SELECT l_orderkey, l_linenumber, rel.v AS version FROM lineitem ASOF LEFT JOIN rel ON l_shipdate > rel.first")
 def j06c(spark, d):
-    found = joins.asof_small(_tasks(spark, d), _releases(spark, d), "l_shipdate", "first", "v", ["g"])
+    found = joins.asof_release(_tasks(spark, d), _releases(spark, d), "l_shipdate", "first", "v", ["g"], bucket=_month)
     return found.select("l_orderkey", "l_linenumber", F.col("found_version").alias("version"))
 
 
@@ -116,13 +120,13 @@ def j06c(spark, d):
         FROM lineitem ASOF LEFT JOIN rel ON l_shipdate > rel.last""",
 )
 def j06d(spark, d):
-    found = joins.asof_small(_tasks(spark, d), _releases(spark, d), "l_shipdate", "last", "v", ["g"], fallback="oldest")
+    found = joins.asof_release(_tasks(spark, d), _releases(spark, d), "l_shipdate", "last", "v", ["g"], fallback="oldest", bucket=_month)
     return found.select("l_orderkey", "l_linenumber", F.col("found_version").alias("version"))
 
 
 @query("j06e_asof_max_null", f"WITH {RELEASES} SELECT l_orderkey, l_linenumber, rel.v AS version FROM lineitem ASOF LEFT JOIN rel ON l_shipdate > rel.last")
 def j06e(spark, d):
-    found = joins.asof_small(_tasks(spark, d), _releases(spark, d), "l_shipdate", "last", "v", ["g"])
+    found = joins.asof_release(_tasks(spark, d), _releases(spark, d), "l_shipdate", "last", "v", ["g"], bucket=_month)
     return found.select("l_orderkey", "l_linenumber", F.col("found_version").alias("version"))
 
 

@@ -17,7 +17,7 @@ def shared(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share; in local mode without one, in a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
@@ -243,13 +243,13 @@ def r01(spark, d):
 @query("r02_stream_dedup", "SELECT user_id, event_type FROM events GROUP BY 1, 2")
 def r02(spark, d):
     once = _event_stream(spark, d).dropDuplicates(["user_id", "event_type"]).select("user_id", "event_type")
-    return jobs.run_to_table(once, f"r02_{uuid.uuid4().hex}", shared(spark, "state"))
+    return jobs.run_to_table(once, shared(spark, "r02"), shared(spark, "state"))
 
 
 @query("r06_windowed_counts", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def r06(spark, d):
     counted = jobs.windowed_counts(_event_stream(spark, d), "ts", ["event_type"], "1 day", "1000 days", "value")
-    out = jobs.run_to_table(counted, f"r06_{uuid.uuid4().hex}", shared(spark, "state"), "complete")
+    out = jobs.run_to_table(counted, shared(spark, "r06"), shared(spark, "state"), "complete")
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
@@ -261,7 +261,7 @@ def r06(spark, d):
 )
 def r07(spark, d):
     found = jobs.sessions(_event_stream(spark, d), "ts", ["user_id"], "6 hours", "1000 days")
-    out = jobs.run_to_table(found, f"r07_{uuid.uuid4().hex}", shared(spark, "state"), "complete")
+    out = jobs.run_to_table(found, shared(spark, "r07"), shared(spark, "state"), "complete")
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "n")
 
 
@@ -269,5 +269,5 @@ def r07(spark, d):
 def r03(spark, d):
     """The rate is the stream's files per trigger; keys expire with the event time."""
     once = jobs.dedup_with_expiry(_event_stream(spark, d), ["user_id", "event_type"], "ts", "1000 days")
-    out = jobs.run_to_table(once.select("user_id", "event_type", "ts"), f"r03_{uuid.uuid4().hex}", shared(spark, "state"))
+    out = jobs.run_to_table(once.select("user_id", "event_type", "ts"), shared(spark, "r03"), shared(spark, "state"))
     return out.select("user_id", "event_type", F.col("ts").isNotNull().alias("seen"))

@@ -126,18 +126,25 @@ def x01(spark, d):
 @query(
     "f04_f07_f22_stage_rules",
     f"""WITH {PATCHES} SELECT doc_id, NOT regexp_matches(path, '{_BENCH}') AND regexp_matches(path, '{_TEST}') AS tests,
-            doc_id % 12 IN (2, 3, 4, 5, 6, 11) AND doc_id % 3 <> 0 AS no_code, doc_id % 12 IN (0, 1, 7, 8, 9, 10) IS NOT NULL AS meaningful FROM patches""",
+            doc_id % 12 IN (2, 3, 4, 5, 6, 11) AND doc_id % 3 <> 0 AS no_code, doc_id % 4 <> 1 OR NOT ends_with(path, '.py') AS meaningful FROM patches""",
 )
 def f04(spark, d):
     p = F.col("patch")
-    return patches(spark, d).select("doc_id", diffs.touches_tests(p).alias("tests"), diffs.is_non_code_only(p).alias("no_code"), hunks.meaningful_change(p).alias("meaningful"))
+    # every fourth changes comments, blank lines and docstrings only, which means something outside Python
+    quiet = F.concat(F.lit("diff --git a/x b/"), F.col("path"), F.lit('\n--- a/x\n+++ b/x\n@@ -1,2 +1,4 @@\n-# old\n-\n+# new\n+"""One\n+two."""\n+'))
+    said = F.when(F.col("doc_id") % 4 == 1, quiet).otherwise(p)
+    return patches(spark, d).select("doc_id", diffs.touches_tests(p).alias("tests"), diffs.is_non_code_only(p).alias("no_code"), hunks.meaningful_change(said).alias("meaningful"))
 
 
-@query("x08_split_patch", f"WITH {PATCHES} SELECT doc_id, contains(path, 'test') AS in_tests, length(patch) AS total FROM patches")
+@query(
+    "x08_split_patch",
+    f"""WITH {PATCHES}, f AS (SELECT doc_id, path, patch, CASE WHEN doc_id % 3 = 0 THEN instr(patch, 'diff --git a/img.png') - 1 ELSE length(patch) END AS n FROM patches)
+        SELECT doc_id, CASE WHEN contains(path, 'test') OR contains(path, 'e2e') THEN patch[n + 1:] ELSE patch END AS patch,
+               CASE WHEN contains(path, 'test') OR contains(path, 'e2e') THEN patch[:n] ELSE '' END AS test_patch FROM f""",
+)
 def x08(spark, d):
     s = patches(spark, d).select("doc_id", diffs.split_patch(F.col("patch")).alias("s"))
-    total = F.length("s.patch") + F.length("s.test_patch")
-    return s.select("doc_id", F.col("s.test_patch").contains("@@").alias("in_tests"), total.cast("long").alias("total"))
+    return s.select("doc_id", "s.patch", "s.test_patch")
 
 
 @query(
@@ -153,10 +160,15 @@ def x06(spark, d):
     )
 
 
-@query("x09_minimal_patch", f"WITH {PATCHES} SELECT doc_id, CAST(len(list_filter(string_split(patch, chr(10)), lambda l: (l[1] = '+' AND l[:3] <> '+++') OR (l[1] = '-' AND l[:3] <> '---'))) AS INT) AS lines FROM patches")
+@query(
+    "x09_minimal_patch",
+    f"""WITH {PATHS}, lines AS (SELECT doc_id, path, list_transform(string_split(text, chr(10)), lambda l: regexp_replace('+' || l, '\\s+$', '')) AS l FROM documents JOIN paths USING (doc_id))
+        SELECT doc_id, '--- a/' || path || chr(10) || '+++ b/' || path || chr(10) || '@@ -2,1 +2,' || len(l) || ' @@' || chr(10) || '-old' || chr(10) || array_to_string(l, chr(10)) || chr(10)
+               || CASE WHEN doc_id % 3 = 0 THEN chr(10) ELSE '' END AS patch FROM lines""",
+)
 def x09(spark, d):
     context = F.replace("patch", F.lit("\n-old\n"), F.lit("\n kept\n-old\n"))
-    return patches(spark, d).select("doc_id", diffs.modified_lines(hunks.minimal_patch(context)).alias("lines"))
+    return patches(spark, d).select("doc_id", hunks.minimal_patch(context).alias("patch"))
 
 
 @query("a25_extension_counts", f"WITH {PATCHES} SELECT regexp_extract(lower(f), '\\.([^./]+)$', 1) AS extension, count(*) AS n FROM (SELECT unnest(CASE WHEN doc_id % 3 = 0 THEN [path, 'img.png'] ELSE [path] END) AS f FROM patches) GROUP BY 1")
@@ -178,9 +190,9 @@ def a17(spark, d):
     return curate.reason_counts(curate.stage_filter(rows))
 
 
-@query("x10_strip_comments", f"WITH {PULLS} SELECT number, length(b) AS n FROM said")
+@query("x10_strip_comments", f"WITH {PULLS} SELECT number, regexp_replace(body, '(?s)<!--.*?-->', '', 'g') AS body FROM pulls")
 def x10(spark, d):
-    return pulls(spark, d).select("number", F.length(text.strip_comments(F.col("body"))).cast("long").alias("n"))
+    return pulls(spark, d).select("number", text.strip_comments(F.col("body")).alias("body"))
 
 
 @query(

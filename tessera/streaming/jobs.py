@@ -46,9 +46,14 @@ def sessions(stream: DataFrame, time: str, by: list[str], gap: str, late: str) -
     )
 
 
-def run_to_table(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
-    """Runs a streaming frame over what is there and returns the result as a table of the session."""
-    spark = df.sparkSession
-    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """Runs a streaming frame over what is there and returns the result, read from Parquet at `path`.
+
+    Appended rows go through the file sink; a complete result replaces the one of the batch before.
+    """
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "append":
+        writer.format("parquet").start(path).awaitTermination()
+    else:
+        writer.foreachBatch(lambda rows, _: rows.write.mode("overwrite").parquet(path)).start().awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(path)
