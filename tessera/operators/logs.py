@@ -19,13 +19,17 @@ STATUSES = ["FAILED", "PASSED", "SKIPPED", "ERROR", "XFAIL"]
 ANSI = r"\x1B(?:[@-Z\\-_]|\[[0-?]*[ -/]*[@-~])"
 
 
-def _lines(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    return logs.select(*keys, F.posexplode(F.split(text, "\r\n|\n|\r")).alias("pos", "line"))
+def _lines(logs: DataFrame, keys: list[str], text: str, clean: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The lines of each log, cleaned before they become rows: a filter on lines does not repeat the expression."""
+    lines = F.split(text, "\r\n|\n|\r")
+    lines = F.transform(lines, clean) if clean else lines
+    return logs.select(*keys, F.posexplode_outer(lines).alias("pos", "line")).where("pos is not null")
 
 
 def _last(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Of the lines of one test the last one's status."""
-    named = rows.where("test is not null and test <> '' and status is not null")
+    # rows of one element, so that the filter stays behind the expressions of test and status
+    named = rows.select(*keys, "pos", F.inline_outer(F.array(F.struct("test", "status")))).where("test is not null and test <> '' and status is not null")
     return named.groupBy(*keys, "test").agg(F.max_by("status", "pos").alias("status"))
 
 
@@ -65,7 +69,7 @@ def _with_name(rows: DataFrame, name: Column) -> DataFrame:
 
 def pytest_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Lines that begin with a status; options in brackets stay in the name, what follows goes."""
-    rows = _lines(logs, keys, text).where(_starts(F.col("line"))).withColumn("line", _undashed(F.col("line")))
+    rows = _lines(logs, keys, text, _undashed).where(_starts(F.col("line")))
     parts = F.split(F.regexp_replace("line", r"\s+$", ""), r"\s+", 2)
     rows = rows.withColumn("status", parts[0]).withColumn("_rest", F.get(parts, F.lit(1))).where("_rest is not null")
     return _last(_with_name(rows, F.col("_rest")), keys)
@@ -73,7 +77,7 @@ def pytest_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 def pytest_options_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """As pytest, the name being the second word; an option that is a path keeps its last part only."""
-    rows = _lines(logs, keys, text).where(_starts(F.col("line"))).withColumn("line", _undashed(F.col("line")))
+    rows = _lines(logs, keys, text, _undashed).where(_starts(F.col("line")))
     words = F.split(F.trim("line"), r"\s+")
     name = F.get(words, F.lit(1))
     main, option = F.regexp_extract(name, r"^(.*?)\[(.*)\]", 1), F.regexp_extract(name, r"^(.*?)\[(.*)\]", 2)
@@ -85,7 +89,7 @@ def pytest_options_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame
 
 def pytest_later_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Terminal codes are removed; older lines end with the status. The whole rest of a line is the name."""
-    rows = _lines(logs, keys, text).withColumn("line", _undashed(F.regexp_replace("line", ANSI, "")))
+    rows = _lines(logs, keys, text, lambda line: _undashed(F.regexp_replace(line, ANSI, "")))
     front = F.split("line", r"\s+", 2)
     back = F.struct(F.regexp_extract("line", r"^\s*(.*?)\s+(\S+)\s*$", 1).alias("t"), F.regexp_extract("line", r"^\s*(.*?)\s+(\S+)\s*$", 2).alias("s"))
     starts, ends = _starts(F.col("line")), _ends(F.col("line"))
@@ -96,8 +100,8 @@ def pytest_later_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 def pydantic_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Colours and control characters are removed, and the bracket behind FAILED."""
-    clean = F.regexp_replace(F.regexp_replace(F.regexp_replace("line", r"\[(\d+)m", ""), r"[\x01-\x1f]", ""), r"FAILED\s*\[.*?\]", "FAILED")
-    rows = _lines(logs, keys, text).withColumn("line", _undashed(clean))
+    plain = lambda line: F.regexp_replace(F.regexp_replace(line, r"\[(\d+)m", ""), r"[\x01-\x1f]", "")
+    rows = _lines(logs, keys, text, lambda line: _undashed(F.regexp_replace(plain(line), r"FAILED\s*\[.*?\]", "FAILED")))
     words = F.split(F.trim("line"), r"\s+")
     starts, ends = _starts(F.col("line")), _ends(F.col("line"))
     first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
@@ -118,8 +122,8 @@ def seaborn_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 def matplotlib_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """The second word is the name; mouse buttons are numbers."""
-    line = F.replace(F.replace("line", F.lit("MouseButton.LEFT"), F.lit("1")), F.lit("MouseButton.RIGHT"), F.lit("3"))
-    rows = _lines(logs, keys, text).withColumn("line", line).where(_starts(F.col("line"))).withColumn("line", _undashed(F.col("line")))
+    buttons = lambda line: F.replace(F.replace(line, F.lit("MouseButton.LEFT"), F.lit("1")), F.lit("MouseButton.RIGHT"), F.lit("3"))
+    rows = _lines(logs, keys, text, lambda line: _undashed(buttons(line))).where(_starts(F.col("line")))
     words = F.split(F.trim("line"), r"\s+")
     return _last(rows.withColumn("test", F.get(words, F.lit(1))).withColumn("status", words[0]), keys)
 
