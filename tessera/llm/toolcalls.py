@@ -63,11 +63,26 @@ def _json_kind(value: Column) -> Column:
     )
 
 
+def _at(name: str) -> str:
+    """The variant path of a parameter, whatever dots or brackets its name holds."""
+    if '"' in name and "'" in name:
+        raise ValueError(f"no path to a name with both kinds of quotes: {name}")
+    return f"$['{name}']" if '"' in name else f'$["{name}"]'
+
+
+def _is_integral(name: str) -> Column:
+    """Whether a number has no fraction: 1.0, 1e2 and integers beyond 64 bits are integers in JSON Schema."""
+    exact = F.try_variant_get("args", _at(name), "string").rlike(r"^-?\d+(\.0*)?$")
+    wide = F.try_variant_get("args", _at(name), "double")
+    return F.coalesce(exact, F.lit(False)) | F.coalesce(wide == F.floor(wide), F.lit(False)) & F.schema_of_variant(F.try_variant_get("args", _at(name), "variant")).isin("DOUBLE", "FLOAT")
+
+
 def checked_arguments(calls: DataFrame, schemas: dict[str, dict[str, tuple[str, bool]]]) -> DataFrame:
     """Adds `args` (variant, null if the text is not a JSON object) and `errors` (array, empty if valid).
 
     schemas: {tool: {parameter: (JSON type, required)}}. A required parameter must be there and not null; a parameter
-    that is there must have its type (an integer is also a number; null stands for an optional one). Unknown tools
+    that is there must have its type (an integer is also a number, a number without a fraction an integer; null stands
+    for an optional one). Schemas have one level: what is inside objects and arrays is not checked. Unknown tools
     and arguments that are no object are errors; parameters that the schema does not know are ignored.
     """
     calls = calls.withColumn("args", F.try_parse_json("arguments"))
@@ -75,9 +90,11 @@ def checked_arguments(calls: DataFrame, schemas: dict[str, dict[str, tuple[str,
     rules = []
     for tool, parameters in sorted(schemas.items()):
         for name, (kind, required) in sorted(parameters.items()):
-            found = _json_kind(F.try_variant_get("args", f"$.{name}", "variant"))
+            found = _json_kind(F.try_variant_get("args", _at(name), "variant"))
             absent = found.isin("missing", "null")
             fits = found.isin(kind, "integer") if kind == "number" else found == kind
+            if kind == "integer":
+                fits = fits | (found == "number") & _is_integral(name)
             wrong = F.when(absent, F.lit(f"{name}: required") if required else F.lit(None)).when(~fits, F.lit(f"{name}: not {kind}"))
             rules.append(F.when(F.col("name").eqNullSafe(tool), wrong))
     known = F.coalesce(F.col("name").isin(*schemas), F.lit(False)) if schemas else F.lit(False)
@@ -139,7 +156,8 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A user turn calls the tool "reply" under the identifier "conv_id:turn" with the arguments text, turn and after (the
     user turn two before, where the chat alternates); the assistant turn behind it carries its result. Turns of other
-    roles neither call nor answer. An assistant turn without a user turn before it becomes an orphan result.
+    roles (system) neither call nor answer and give no row; of several texts at one turn the smallest is carried, the
+    others are counted. An assistant turn without a user turn before it becomes an orphan result.
     """
     ident = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
     users = turns.where("role = 'user' and conv_id is not null and turn is not null")

@@ -226,6 +226,20 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert json.loads(r["dup"].message)["result"] == "é\n\"q\"" and json.loads(r["c1"].message)["result"] == "three"
 
 
+def test_names_with_dots_and_integral_numbers(spark):
+    schemas = {"f": {"a.b": ("integer", True), "c": ("integer", False), "d['x']": ("number", False)}}
+    said = {
+        "1": ('{"a.b": 1}', ""), "2": ('{"a.b": 1.0, "c": 1e2}', ""), "3": ('{"a.b": 1.5}', "a.b: not integer"), "4": ('{"a": {"b": 1}}', "a.b: required"),
+        "5": ('{"a.b": 123456789012345678901234567890}', ""), "6": ('{"a.b": 1e-2}', "a.b: not integer"), "7": ('{"a.b": "1", "c": "2"}', "a.b: not integer; c: not integer"),
+        "8": ('{"a.b": true}', "a.b: not integer"), "9": ('{"a.b": 2, "d[\'x\']": "z"}', "d['x']: not number"),
+    }
+    calls = spark.createDataFrame([(1, 1, k, "f", a, None) for k, (a, _) in said.items()], "conv_id long, turn long, call_id string, name string, arguments string, after string")
+    results = spark.createDataFrame([(1, 2, "1", "é" * 500_000, 3, "x")], "conv_id long, turn long, call_id string, content string, copies int, x string")
+    got = {r.call_id: r for r in toolcalls.link_tool_calls(calls, results, schemas).collect()}
+    assert {k: r.errors for k, r in got.items()} == {k: e for k, (_, e) in said.items()}
+    assert json.loads(got["1"].message)["result"] == "é" * 500_000 and got["1"].results == 1
+
+
 def test_long_chains_take_few_rounds(spark):
     n = 3000
     calls = spark.range(n).select(F.col("id").cast("string").alias("call_id"), F.when(F.col("id") > 0, (F.col("id") - 1).cast("string")).alias("after"))
