@@ -23,11 +23,10 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def tile_links(code: tuple, other: tuple, unit: np.ndarray, unit_other: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j) with cosine >= threshold of two tiles (i < j if both are the same tile).
+def _bounds(code: tuple, other: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Quantised cosines of two tiles and how far the true ones may be from them.
 
-    |u.v - s_u s_v q_u.q_v| <= e_u (1 + e_v) + e_v (1 + e_u) + e_u e_v, so a pair whose quantised product plus bound
-    stays below the threshold cannot link; the others are computed in double precision.
+    |u.v - s_u s_v q_u.q_v| <= e_u (1 + e_v) + e_v (1 + e_u) + e_u e_v.
     """
     (q, s, e), (p, t, f) = code, other
     # integer-valued floats: exact in single precision up to 2**24 / 127**2 = 1040 dimensions
@@ -35,54 +34,102 @@ def tile_links(code: tuple, other: tuple, unit: np.ndarray, unit_other: np.ndarr
     approx = (q.astype(kind) @ p.astype(kind).T).astype(np.float64)
     approx *= s[:, None]
     approx *= t[None, :]
-    approx += e[:, None] * (1 + f)[None, :] + f[None, :] * (1 + 2 * e)[:, None]
-    if same:
-        approx[np.tril_indices(len(s))] = -9
-    i, j = np.nonzero(approx >= threshold - 1e-12)
-    keep = [np.zeros(0, bool)]
-    for at in range(0, len(i), 100_000):
-        a, b = i[at : at + 100_000], j[at : at + 100_000]
-        keep.append(np.einsum("ij,ij->i", unit[a], unit_other[b]) >= threshold)
-    keep = np.concatenate(keep)
-    return i[keep], j[keep]
-
-
-def _cell_rows(cell: pa.Table, threshold: float, tile: int):
-    """Of one cell (two blocks of a group, or one): per class the number of vectors linked, and spanning links."""
-    cid = cell["cid"].to_numpy()
-    own = cell["own"].to_numpy()
-    n = cell["n"].to_numpy()
-    flat = cell["vector"].combine_chunks()
-    unit = _unit(flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(cid), -1))
-    code = quantise(unit)
-    blocks = [np.flatnonzero(own == b) for b in np.unique(own)]
-    one = cell["a"][0].as_py() == cell["b"][0].as_py()
-    links, us, vs = np.zeros(len(cid), np.int64), [], []
-    pairs = []
-    if one:
-        parts = [blocks[0][k : k + tile] for k in range(0, len(blocks[0]), tile)]
-        pairs = [(parts[x], parts[y], x == y) for x in range(len(parts)) for y in range(x, len(parts))]
-    elif len(blocks) == 2:
-        cut = [[b[k : k + tile] for k in range(0, len(b), tile)] for b in blocks]
-        pairs = [(x, y, False) for x in cut[0] for y in cut[1]]
-    for x, y, same in pairs:
-        i, j = tile_links([c[x] for c in code], [c[y] for c in code], unit[x], unit[y], threshold, same)
-        i, j = x[i], y[j]
-        links += np.bincount(i, n[j], len(cid)).astype(np.int64) + np.bincount(j, n[i], len(cid)).astype(np.int64)
-        root = spanning(np.r_[i, *us], np.r_[j, *vs], len(cid)) if len(i) else None
-        if root is not None:
-            own_root = root != np.arange(len(cid))
-            us, vs = [np.flatnonzero(own_root)], [root[own_root]]
-    got = links > 0
-    u, v = (cid[us[0]], cid[vs[0]]) if us else (cid[:0], cid[:0])
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.r_[cid[got], u]), pa.array(np.r_[np.zeros(got.sum(), np.int64), v], mask=np.r_[np.ones(got.sum(), bool), np.zeros(len(u), bool)]), pa.array(np.r_[links[got], np.zeros(len(u), np.int64)])],
-        names=["u", "v", "links"],
-    )
+    return approx, e[:, None] * (1 + f)[None, :] + f[None, :] * (1 + 2 * e)[:, None] + 1e-12
 
 
-def _cell_batches(threshold: float, tile: int):
-    """Over rows sorted by (group, dim, a, b): whole cells, one at a time."""
+def _tiles(own: np.ndarray, one: bool, tile: int):
+    """Pairs of index arrays (and whether they are one tile) that cover the pairs of a cell of one or two blocks."""
+    blocks = [np.flatnonzero(own == b) for b in np.unique(own)]
+    cut = [[b[k : k + tile] for k in range(0, len(b), tile)] for b in blocks]
+    if one:
+        yield from ((x, y, i == j) for i, x in enumerate(cut[0]) for j, y in enumerate(cut[0]) if i <= j)
+    elif len(cut) == 2:
+        yield from ((x, y, False) for x in cut[0] for y in cut[1])
+
+
+class _Links:
+    """Links of a cell: for each class the vectors linked, and spanning links."""
+
+    def __init__(self, n: np.ndarray):
+        self.n, self.links = n, np.zeros(len(n), np.int64)
+        self.u = self.v = np.zeros(0, np.int64)
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        if not len(i):
+            return
+        size = len(self.n)
+        self.links += (np.bincount(i, self.n[j], size) + np.bincount(j, self.n[i], size)).astype(np.int64)
+        root = spanning(np.r_[i, self.u], np.r_[j, self.v], size)
+        self.u = np.flatnonzero(root != np.arange(size))
+        self.v = root[self.u]
+
+    def rows(self, cid: np.ndarray, own: np.ndarray, open_: np.ndarray, a: int, b: int) -> pa.RecordBatch:
+        """(u, v, links, own, a, b): counts, spanning links, and the classes of the cell that pairs are still open for."""
+        got = np.flatnonzero(self.links)
+        parts = (len(got), len(self.u), len(open_))
+        which = np.repeat([0, 1, 2], parts)
+        at = np.r_[got, self.u, open_].astype(np.int64)
+        v = np.r_[np.zeros(len(got), np.int64), cid[self.v], np.zeros(len(open_), np.int64)]
+        links = np.where(which == 0, self.links[at], 0)
+        full = lambda x: pa.array(np.full(len(at), x, np.int32), mask=which != 2)
+        arrays = [pa.array(cid[at]), pa.array(v, mask=which != 1), pa.array(links), pa.array(own[at].astype(np.int32), mask=which != 2), full(a), full(b)]
+        return pa.RecordBatch.from_arrays(arrays, names=["u", "v", "links", "own", "a", "b"])
+
+
+def _code_rows(cell: pa.Table, threshold: float, tile: int):
+    """A cell of int8 codes: links that are sure, and the classes with pairs that may link or not."""
+    cid, own, n = (cell[c].to_numpy() for c in ("cid", "own", "n"))
+    q = np.frombuffer(b"".join(cell["code"].to_pylist()), np.int8).reshape(len(cid), -1)
+    code = q, cell["scale"].to_numpy(), cell["err"].to_numpy()
+    a, b = cell["a"][0].as_py(), cell["b"][0].as_py()
+    found, open_ = _Links(n), np.zeros(len(cid), bool)
+    for x, y, same in _tiles(own, a == b, tile):
+        approx, bound = _bounds([c[x] for c in code], [c[y] for c in code])
+        if same:
+            approx[np.tril_indices(len(x))] = -9
+        i, j = np.nonzero(approx >= threshold - bound)
+        sure = approx[i, j] - bound[i, j] >= threshold
+        found.add(x[i[sure]], y[j[sure]])
+        open_[x[i[~sure]]] = open_[y[j[~sure]]] = True
+    yield found.rows(cid, own, np.flatnonzero(open_), a, b)
+
+
+def _exact_rows(cell: pa.Table, threshold: float, tile: int):
+    """The open pairs of a cell, with vectors in double precision."""
+    cid, own, n = (cell[c].to_numpy() for c in ("cid", "own", "n"))
+    unit = _unit(cell["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(cid), -1))
+    code = quantise(unit)
+    a, b = cell["a"][0].as_py(), cell["b"][0].as_py()
+    found = _Links(n)
+    for x, y, same in _tiles(own, a == b, tile):
+        approx, bound = _bounds([c[x] for c in code], [c[y] for c in code])
+        if same:
+            approx[np.tril_indices(len(x))] = -9
+        i, j = np.nonzero((approx >= threshold - bound) & (approx - bound < threshold))
+        for at in range(0, len(i), 100_000):
+            k, m = x[i[at : at + 100_000]], y[j[at : at + 100_000]]
+            linked = np.einsum("ij,ij->i", unit[k], unit[m]) >= threshold
+            found.add(k[linked], m[linked])
+    yield found.rows(cid, own, np.zeros(0, np.int64), a, b)
+
+
+def _code_batches(batches):
+    """Rows (cid, vector) to (cid, code, scale, err)."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 1000):
+            batch = whole.slice(lo, 1000)
+            codes, scales, errs = [], [], []
+            for vector in batch.column(1).to_pylist():
+                q, s, e = quantise(_unit(np.array([vector], np.float64)))
+                codes.append(q.tobytes())
+                scales.append(s[0])
+                errs.append(e[0])
+            arrays = [batch.column(0), pa.array(codes, pa.binary()), pa.array(scales, pa.float64()), pa.array(errs, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["cid", "code", "scale", "err"])
+
+
+def _cell_batches(work, threshold: float, tile: int):
+    """Over rows sorted by (group, dim, a, b): whole cells, one at a time, through `work`."""
 
     def key(table: pa.Table, i: int) -> tuple:
         return tuple(table[c][i].as_py() for c in ("grp", "dim", "a", "b"))
@@ -99,12 +146,12 @@ def _cell_batches(threshold: float, tile: int):
             for lo, hi in zip([0, *change], [*change, table.num_rows], strict=True):
                 k = key(table, int(lo))
                 if held and k != last:
-                    yield from _cell_rows(pa.concat_tables(held), threshold, tile)
+                    yield from work(pa.concat_tables(held), threshold, tile)
                     held = []
                 held.append(table.slice(int(lo), int(hi - lo)))
                 last = k
         if held:
-            yield from _cell_rows(pa.concat_tables(held), threshold, tile)
+            yield from work(pa.concat_tables(held), threshold, tile)
 
     return run
 
@@ -120,10 +167,12 @@ def embedding_dedup(
 ) -> DataFrame:
     """One row per vector: id, n_links, component_id, kept; vectors link if their groups are equal and cosine >= threshold.
 
-    Equal vectors of a group collapse to one class by a grouped count first. A group is dealt into blocks of about
-    `block` classes, and each pair of its blocks is one cell of work: a task holds two blocks, and a cell gives link
-    counts and spanning links, never its pairs. The result is exact; the work is the pairs of classes of a group, so
-    it grows with the square of the largest group.
+    Equal vectors of a group collapse to one class by a grouped count first. A group of n classes is dealt into blocks
+    of sqrt(n * block) (block at least, 65,536 at most), and each pair of its blocks is one cell of work: a task holds
+    the int8 codes of two blocks, and a cell gives link counts and spanning links, never its pairs. Codes are dealt
+    once for every block of their group, so their copies grow with the root of n up to 4 million classes. Classes with
+    pairs that the codes cannot decide meet again in their cell in double precision, and only they. The result is
+    exact; the work is the pairs of classes of a group, so it grows with the square of the largest group.
 
     Null or zero vectors, those with null or non-finite components, and rows with a null group link with nothing and
     are kept as their own component. Vectors of different lengths do not link. Repeated rows are vectors of their
@@ -134,22 +183,32 @@ def embedding_dedup(
     fine = F.expr("grp_value is not null and size(vector) > 0 and forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(vector, x -> x <> 0)")
     rows = rows.withColumn("fine", F.coalesce(fine, F.lit(False)))
     classes = rows.where("fine").groupBy("grp_value", "vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    classes = save(
-        classes.select(
-            F.monotonically_increasing_id().alias("cid"), F.xxhash64("grp_value").alias("grp"), "grp_value", "vector", "rep", "n"
-        ),
-        "classes",
-    )
-    sizes = classes.groupBy("grp_value", F.size("vector").alias("dim")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    classes = classes.select(F.monotonically_increasing_id().alias("cid"), "grp_value", F.size("vector").alias("dim"), "vector", "rep", "n")
+    classes = save(classes, "classes")
+    rows_a_block = F.least(F.lit(65_536), F.greatest(F.lit(block), F.sqrt(F.count(F.lit(1)) * block)))
+    sizes = classes.groupBy("grp_value", "dim").agg(F.ceil(F.count(F.lit(1)) / rows_a_block).cast("int").alias("blocks"))
+    codes = save(classes.select("cid", "vector").mapInArrow(_code_batches, "cid long, code binary, scale double, err double"), "codes")
     dealt = (
-        classes.withColumn("dim", F.size("vector"))
+        classes.select("cid", "grp_value", "dim", "n")
+        .join(codes, "cid")
         .join(sizes, ["grp_value", "dim"])
         .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .select("grp", "dim", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "cid", "n", "vector")
+        .select(F.col("grp_value").alias("grp"), "dim", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "cid", "n", "code", "scale", "err")
+    )
+    cell = ["grp", "dim", "a", "b"]
+    schema = "u long, v long, links long, own int, a int, b int"
+    dealt = dealt.repartition(*cell).sortWithinPartitions(*cell)
+    sure = save(dealt.mapInArrow(_cell_batches(_code_rows, threshold, tile), schema), "links")
+    open_ = (
+        sure.where("a is not null")
+        .select(F.col("u").alias("cid"), "own", "a", "b")
+        .join(classes, "cid")
+        .select(F.col("grp_value").alias("grp"), "dim", "a", "b", "own", "cid", "n", "vector")
     )
-    cells = dealt.repartition("grp", "dim", "a", "b").sortWithinPartitions("grp", "dim", "a", "b")
-    found = save(cells.mapInArrow(_cell_batches(threshold, tile), "u long, v long, links long"), "links")
+    open_ = open_.repartition(*cell).sortWithinPartitions(*cell)
+    exact = save(open_.mapInArrow(_cell_batches(_exact_rows, threshold, tile), schema), "links")
+    found = sure.where("a is null").unionByName(exact)
     counts = found.where("v is null").groupBy(F.col("u").alias("cid")).agg(F.sum("links").alias("links"))
     stars = star_components(found.where("v is not null").select("u", "v"))
     rooted = (
