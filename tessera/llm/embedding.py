@@ -118,13 +118,15 @@ def _code_batches(batches):
     for whole in batches:
         for lo in range(0, whole.num_rows, 1000):
             batch = whole.slice(lo, 1000)
-            codes, scales, errs = [], [], []
-            for vector in batch.column(1).to_pylist():
-                q, s, e = quantise(_unit(np.array([vector], np.float64)))
-                codes.append(q.tobytes())
-                scales.append(s[0])
-                errs.append(e[0])
-            arrays = [batch.column(0), pa.array(codes, pa.binary()), pa.array(scales, pa.float64()), pa.array(errs, pa.float64())]
+            vectors = batch.column(1)
+            sizes, flat = np.diff(vectors.offsets.to_numpy()), vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            begin, codes = np.cumsum(sizes) - sizes, np.empty(len(sizes), object)
+            scale, err = np.empty(len(sizes)), np.empty(len(sizes))
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                q, scale[at], err[at] = quantise(_unit(flat[begin[at, None] + np.arange(size)]))
+                codes[at] = [row.tobytes() for row in q]
+            arrays = [batch.column(0), pa.array(codes.tolist(), pa.binary()), pa.array(scale), pa.array(err)]
             yield pa.RecordBatch.from_arrays(arrays, names=["cid", "code", "scale", "err"])
 
 
