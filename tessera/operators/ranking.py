@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,9 +23,41 @@ def harmonic_curve(df: DataFrame, x: str, ratio: str, by: list[str]) -> DataFram
     return per.select(*by, x, F.sum("_n").over(upto).alias("n"), (F.sum("_n").over(upto) / F.sum("_s").over(upto)).alias("hm"))
 
 
+def exact_quantiles(df: DataFrame, x: str, quantiles: dict[str, float], by: Sequence[str] = (), parts: int = 128) -> DataFrame:
+    """(by..., one double column per name of `quantiles`): exact quantiles of x, interpolated between neighbours.
+
+    Equal values combine first. Approximate quantiles cut a group's distinct values into about `parts` ranges, whose
+    counts tell which ranges hold the wanted ranks; only those are sorted, so no task holds all values of a group.
+    Nulls of x do not count; a group without values has no row.
+    """
+    key = F.struct(F.lit(0).alias("_one"), *by).alias("_k")
+    values = df.select(key, F.col(x).cast("double").alias("_v")).where("_v is not null").groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    cuts = F.percentile_approx("_v", [i / parts for i in range(1, parts)], 10 * parts)
+    marks = values.groupBy("_k").agg(F.sum("_n").alias("_total"), cuts.alias("_marks"))
+    ranged = values.join(marks, "_k").withColumn("_range", F.size(F.filter("_marks", lambda m: m < F.col("_v")))).drop("_marks")
+    sums = ranged.groupBy("_k", "_range").agg(F.sum("_n").alias("_in"), F.max("_total").alias("_total"))
+    upto = Window.partitionBy("_k").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    sums = sums.withColumn("_end", F.sum("_in").over(upto)).withColumn("_start", F.col("_end") - F.col("_in"))
+    place = {name: (F.col("_total") - 1) * F.lit(float(q)) for name, q in quantiles.items()}
+    holds = lambda rank: (F.col("_start") <= rank) & (rank < F.col("_end"))
+    some = reduce(or_, [holds(end(p)) for p in place.values() for end in (F.floor, F.ceil)])
+    near = ranged.join(sums.where(some).select("_k", "_range", F.col("_start").alias("_base")), ["_k", "_range"])
+    within = Window.partitionBy("_k", "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_end", F.col("_base") + F.sum("_n").over(within)).withColumn("_start", F.col("_end") - F.col("_n"))
+    at = lambda rank: F.max(F.when(holds(rank), F.col("_v")))
+    ends = [at(end(p)).alias(f"_{side}_{name}") for name, p in place.items() for side, end in (("lo", F.floor), ("hi", F.ceil))]
+    found = near.groupBy("_k").agg(F.max("_total").alias("_total"), *ends)
+
+    def between(name: str) -> Column:
+        lo, hi, p = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), place[name]
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (p - F.floor(p))).alias(name)
+
+    return found.select(*[F.col(f"_k.{c}").alias(c) for c in by], *map(between, quantiles))
+
+
 def log_grid(df: DataFrame, x: str, low: float, high: float, points: int) -> DataFrame:
     """`points` thresholds at equal distances of the logarithm between two quantiles of x: (i, threshold)."""
-    ends = df.where(positive_finite(F.col(x))).agg(F.percentile(x, low).alias("lo"), F.percentile(x, high).alias("hi"))
+    ends = exact_quantiles(df.where(positive_finite(F.col(x))), x, {"lo": low, "hi": high})
     i = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
     step = F.pow(F.col("hi") / F.col("lo"), F.col("i") / (points - 1))
     return ends.select("lo", "hi", i.alias("i")).select("i", (F.col("lo") * step).alias("threshold"))
@@ -29,9 +65,10 @@ def log_grid(df: DataFrame, x: str, low: float, high: float, points: int) -> Dat
 
 def quantile_bins(df: DataFrame, x: str, bins: int) -> DataFrame:
     """df with `bin`: right-closed bins between the distinct quantiles of x, the lowest edge inside."""
-    edges = df.agg(F.array_distinct(F.percentile(x, [i / bins for i in range(bins + 1)])).alias("_edges"))
+    names = [f"q{i}" for i in range(bins + 1)]
+    edges = exact_quantiles(df, x, {n: i / bins for i, n in enumerate(names)}).select(F.array_distinct(F.array(*names)).alias("_edges"))
     below = F.size(F.filter("_edges", lambda e: e < F.col(x)))
-    return df.join(F.broadcast(edges)).withColumn("bin", F.greatest(below - 1, F.lit(0))).drop("_edges")  # one row
+    return df.join(F.broadcast(edges), how="left").withColumn("bin", F.greatest(below - 1, F.lit(0))).drop("_edges")  # one row
 
 
 def zero_filled_counts(df: DataFrame, bin_column: str, bins: int, by: list[str]) -> DataFrame:

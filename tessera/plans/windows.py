@@ -11,7 +11,8 @@ from tessera.plans.registry import query, table
 
 @query("a12_grouped_median", "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.5), 4) AS median FROM lineitem GROUP BY 1")
 def a12(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.round(F.median("l_extendedprice"), 4).alias("median"))
+    found = ranking.exact_quantiles(table(spark, d, "lineitem"), "l_extendedprice", {"median": 0.5}, ["l_returnflag"])
+    return found.withColumn("median", F.round("median", 4))
 
 
 @query("a13_value_counts", "SELECT source, count(*) AS n FROM documents GROUP BY 1")
@@ -32,9 +33,11 @@ def a14(spark, d):
           round(quantile_cont(n_chars, 0.5), 4) AS q2, round(quantile_cont(n_chars, 0.75), 4) AS q3, max(n_chars) AS hi FROM documents""",
 )
 def a15(spark, d):
-    x = F.col("n_chars")
-    q = [F.round(F.percentile(x, p), 4).alias(n) for n, p in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))]
-    return table(spark, d, "documents").agg(F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_samp(x), 6).alias("sd"), F.min(x).alias("lo"), *q, F.max(x).alias("hi"))
+    x, docs = F.col("n_chars"), table(spark, d, "documents")
+    plain = docs.agg(F.count(x).alias("n"), F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_samp(x), 6).alias("sd"), F.min(x).alias("lo"), F.max(x).alias("hi"))
+    found = ranking.exact_quantiles(docs, "n_chars", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    both = plain.join(F.broadcast(found), how="left")  # one row each
+    return both.select("n", "mean", "sd", "lo", *[F.round(q, 4).alias(q) for q in found.columns], "hi")
 
 
 @query("a16_p08_token_sums", "SELECT l_orderkey, CAST(sum(l_linenumber) AS BIGINT) AS prompt, CAST(sum(l_quantity) AS BIGINT) AS completion, count(*) AS calls FROM lineitem GROUP BY 1")
@@ -122,7 +125,9 @@ def w03(spark, d):
 @query("w04_bins_right", f"WITH b AS (SELECT CASE WHEN l_quantity = 1 THEN 0 {_RIGHT} END AS bin, l_tax FROM lineitem) SELECT bin, count(*) AS n, round(quantile_cont(l_tax, 0.5), 6) AS median FROM b WHERE bin IS NOT NULL GROUP BY 1")
 def w04(spark, d):
     b = bins.bin_index(F.col("l_quantity"), EDGES, "right", keep_ends=True)
-    return table(spark, d, "lineitem").groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.round(F.median("l_tax"), 6).alias("median")).where("bin is not null")
+    rows = table(spark, d, "lineitem").select(b.alias("bin"), "l_tax").where("bin is not null")
+    medians = ranking.exact_quantiles(rows, "l_tax", {"median": 0.5}, ["bin"]).withColumn("median", F.round("median", 6))
+    return rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).join(medians, "bin", "left")
 
 
 @query(

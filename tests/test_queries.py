@@ -82,6 +82,25 @@ def test_greedy_selection_respects_ancestors_and_cap(spark):
     assert [r.node for r in greedy_selection(nodes, "graph", 0.1).collect()] == ["c"]
 
 
+def test_exact_quantiles_equal_sorted_values(spark):
+    import numpy as np
+
+    from tessera.operators.ranking import exact_quantiles, quantile_bins
+
+    rng = np.random.default_rng(3)
+    groups = {"hot": rng.normal(0, 100, 3000), "ties": rng.integers(0, 4, 500).astype(float), "one": np.array([2.5]), None: rng.random(11)}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("hot", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    wanted = {"low": 0.0, "a": 0.05, "mid": 0.5, "b": 0.95, "high": 1.0}
+    got = {r.g: [r[n] for n in wanted] for r in exact_quantiles(df, "x", wanted, ["g"], parts=8).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        assert got[g] == pytest.approx(list(np.quantile(vs, list(wanted.values()))))
+    whole = exact_quantiles(df, "x", wanted, parts=8).collect()
+    assert list(whole[0]) == pytest.approx(list(np.quantile(np.concatenate(list(groups.values())), list(wanted.values()))))
+    assert exact_quantiles(df.limit(0), "x", wanted).isEmpty() and quantile_bins(df.limit(0), "x", 3).isEmpty()
+
+
 def test_sample_is_without_repeats_and_covers_strata(spark):
     from tessera.operators.ranking import stratified_sample
 
