@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a run of characters other than ASCII white space.
@@ -52,6 +52,24 @@ def hash_sample(df: DataFrame, keys: list[str], size: int, total: int) -> DataFr
     return df.orderBy(F.pmod(h, F.lit(1 << 40)), *keys).limit(size)
 
 
+def ranked(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """rows with `pos`, 0-based by `order` (nulls first) within each group, and `n`, the rows of the group.
+
+    One range sort numbers rows by task, and the counts of each (group, task) give the bases, so that a hot group is
+    spread over tasks; the only windows are over a group's tasks. Ties are cut anywhere. rows are read twice (bounds,
+    then sort): let them be a table. Columns of `group` hold no nulls.
+    """
+    by = [*group, *order, "_tie"]
+    rows = rows.withColumn("_tie", F.monotonically_increasing_id())
+    rows = save(rows.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie").withColumn("_at", F.monotonically_increasing_id()), name)
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))
+    per = Window.partitionBy(*group)
+    parts = rows.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_in"))
+    parts = parts.withColumn("n", F.sum("_in").over(per)).withColumn("_base", F.sum("_in").over(per.orderBy("_part")) - F.col("_in"))
+    parts = save(parts.drop("_in"), f"{name}-parts")
+    return rows.join(parts, [*group, "_part"]).withColumn("pos", F.col("_base") + F.col("_at") - F.col("_first")).drop("_part", "_at", "_first", "_base")
+
+
 def release(spark: SparkSession) -> None:
     """Let the context cleaner delete the shuffle files of finished steps, which stay while the driver's JVM keeps their plans."""
     gc.collect()

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.embedding import embedding_dedup
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.hmm_lm import hmm_scores
+from tessera.llm.merkle import folded, merkle_manifest, proof_digest, row_digest
 from tessera.llm.mixing import mix
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import quality_scores
@@ -69,6 +71,17 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of documents by language, held against a copy in which n_chars of some rows is one too large."""
+    docs = _table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    copy = row_digest(*[F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns])
+    touched = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0) & F.col("n_chars").isNotNull()
+    found = merkle_manifest(docs, columns, "lang", claimed=F.when(touched, copy))
+    out = found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), folded(F.coalesce("claimed", "leaf"), F.col("proof")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_hmm_language_model": op2_hmm_language_model,
@@ -80,8 +93,27 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
+#: CRC-32 of ASCII texts: the table t of one byte's remainders, and the remainder of a text in its terms.
+CRC_TABLE = """
+        crc AS (
+            SELECT range AS i, 0 AS k, range AS c FROM range(256)
+            UNION ALL
+            SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8),
+        crc_table AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE k = 8)"""
+
+
+def _crc32(text: str) -> str:
+    bytes_ = f"list_transform(str_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce([4294967295] || {bytes_}, lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _length_coded(*values: str) -> str:
+    return " || ".join(f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || CAST({v} AS VARCHAR), '-')" for v in values)
+
+
 ORACLE_SQL = {
     "op3_exact_dedup": """
         SELECT doc_id,
@@ -228,4 +260,36 @@ ORACLE_SQL = {
         FROM laid l LEFT JOIN words w USING (row)
         GROUP BY l.row, l.doc_id, l.size, l.source_size, l.target
     """,
+    "op11_merkle_manifest": f"""
+        WITH RECURSIVE {CRC_TABLE},
+        rows AS (
+            SELECT doc_id, coalesce('=' || lang, '-') AS k, sha256({_length_coded("doc_id", "source", "lang", "n_chars", "text")}) AS leaf,
+                   CASE WHEN n_chars IS NOT NULL AND {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0
+                        THEN sha256({_length_coded("doc_id", "source", "lang", "n_chars + 1", "text")}) END AS claimed
+            FROM documents, crc_table),
+        leaves AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM rows),
+        trees AS (
+            SELECT k, 0 AS l, list(leaf ORDER BY i) AS a FROM leaves GROUP BY k
+            UNION ALL
+            SELECT k, l + 1, list_transform(range(0, len(a), 2), lambda j: sha256(a[j + 1] || coalesce(a[j + 2], ''))) FROM trees WHERE len(a) > 1),
+        subroots AS (SELECT k, a[1] AS subroot, row_number() OVER (ORDER BY k) - 1 AS i FROM trees WHERE len(a) = 1),
+        crown AS (
+            SELECT 0 AS l, list(subroot ORDER BY i) AS a FROM subroots HAVING count(*) > 0
+            UNION ALL
+            SELECT l + 1, list_transform(range(0, len(a), 2), lambda j: sha256(a[j + 1] || coalesce(a[j + 2], ''))) FROM crown WHERE len(a) > 1),
+        upper AS (
+            SELECT k, subroot, coalesce(list(CASE WHEN s IS NULL THEN '-' WHEN (i >> l) & 1 = 1 THEN 'L' || s ELSE 'R' || s END ORDER BY l) FILTER (l IS NOT NULL), []) AS steps
+            FROM (SELECT k, subroot, i, l, a[CAST(xor(i >> l, 1) AS BIGINT) + 1] AS s FROM subroots LEFT JOIN crown ON len(a) > 1) GROUP BY k, subroot),
+        proofs AS (
+            SELECT k, i, coalesce(list(CASE WHEN s IS NULL THEN '-' WHEN (i >> l) & 1 = 1 THEN 'L' || s ELSE 'R' || s END ORDER BY l) FILTER (l IS NOT NULL), []) AS steps
+            FROM (SELECT x.k, i, l, a[CAST(xor(i >> l, 1) AS BIGINT) + 1] AS s FROM leaves x LEFT JOIN trees t ON t.k = x.k AND len(a) > 1) GROUP BY k, i),
+        every AS (
+            SELECT doc_id, leaf, subroot, (SELECT a[1] FROM crown WHERE len(a) = 1) AS root, coalesce(claimed, leaf) AS start, p.steps || u.steps AS steps
+            FROM leaves x JOIN proofs p ON p.k = x.k AND p.i = x.i JOIN upper u ON u.k = x.k),
+        done AS (
+            SELECT *, sha256(array_to_string(list_transform(list_filter(steps, lambda s: s <> '-'), lambda s: s[2:]), '')) AS proof_sha256,
+                   list_reduce([start] || steps, lambda d, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || d WHEN 'R' THEN d || s[2:] ELSE d END)) AS folded_root
+            FROM every)
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done
+    """,
 }
