@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.common import save
 from tessera.llm.embedding import embedding_dedup
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.hmm_lm import hmm_scores
@@ -16,6 +17,7 @@ from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring import substring_dedup
 from tessera.llm.toolcalls import REPLY_SCHEMAS, conversation_calls, link_tool_calls
 from tessera.llm.toxicity import toxicity_scores
+from tessera.llm.warc import new_folder, read_packages, resolve, write_packages
 
 try:
     import public_tokenizers
@@ -82,6 +84,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes pages as WARC records in ZIP packages and reads every record back by its range."""
+    path = new_folder(spark)
+    write_packages(_table(spark, sf_dir, "pages"), path)
+    return resolve(save(read_packages(spark, path, payloads=False), "warc-records"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_hmm_language_model": op2_hmm_language_model,
@@ -94,6 +103,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_warc_packages": op12_warc_packages,
 }
 
 #: CRC-32 of ASCII texts: the table t of one byte's remainders, and the remainder of a text in its terms.
@@ -292,4 +302,16 @@ ORACLE_SQL = {
             FROM every)
         SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done
     """,
+    "op12_warc_packages": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        d AS (
+            SELECT *, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS latest, count(*) OVER (PARTITION BY payload) AS n FROM p),
+        digits AS (SELECT *, list_transform(range(8), lambda i: CAST('0x' || hex[i * 5 + 1:i * 5 + 5] AS BIGINT)) AS five FROM d)
+        SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(five, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+                   lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> k) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM latest THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM latest THEN latest END AS refers_to
+        FROM digits
+    """,
 }
