@@ -17,6 +17,7 @@ from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring import substring_dedup
 from tessera.llm.toolcalls import REPLY_SCHEMAS, conversation_calls, link_tool_calls
 from tessera.llm.toxicity import toxicity_scores
+from tessera.llm.trie import forked, ordered_turns, prefix_trie
 from tessera.llm.warc import new_folder, read_packages, resolve, write_packages
 
 try:
@@ -91,6 +92,14 @@ def op12_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve(save(read_packages(spark, path, payloads=False), "warc-records"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with up to eight turns of the one whose number is the next lower multiple of five."""
+    numbered = ordered_turns(_table(spark, sf_dir, "conversations"))
+    conv = F.col("conv")
+    turns, conversations = forked(numbered, conv - conv % 5, (F.crc32(conv.cast("string").cast("binary")) % 9).cast("int"), 8)
+    return prefix_trie(turns, conversations).withColumnRenamed("saved_bytes", "saved_tokens").drop("digest")
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_hmm_language_model": op2_hmm_language_model,
@@ -104,6 +113,7 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_warc_packages": op12_warc_packages,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 #: CRC-32 of ASCII texts: the table t of one byte's remainders, and the remainder of a text in its terms.
@@ -314,4 +324,29 @@ ORACLE_SQL = {
                CASE WHEN page_id IS DISTINCT FROM latest THEN latest END AS refers_to
         FROM digits
     """,
+    "op13_prefix_trie": f"""
+        WITH RECURSIVE {CRC_TABLE},
+        convs AS (
+            SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        heads AS (SELECT c, turns, {_crc32("CAST(c AS VARCHAR)")} % 9 AS h FROM convs, crc_table),
+        rebuilt AS (
+            SELECT x.c, coalesce(b.turns[1:x.h], []) || x.turns[x.h + 1:] AS turns FROM heads x LEFT JOIN convs b ON b.c = x.c - x.c % 5),
+        paths AS (SELECT c, len(turns) AS n, d, turns[1:d] AS prefix FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)),
+        nodes AS (
+            SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs, list(c ORDER BY c) FILTER (n = d) AS ends FROM paths GROUP BY prefix, d),
+        linked AS (SELECT x.*, p.conv_id AS parent FROM nodes x LEFT JOIN nodes p ON x.d > 0 AND p.d = x.d - 1 AND p.prefix = x.prefix[1:x.d - 1]),
+        children AS (SELECT prefix[1:d - 1] AS prefix, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+        full_nodes AS (
+            SELECT x.*, coalesce(k.n, 0) AS n_children, CASE WHEN x.d > 0 THEN (n_convs - 1) * strlen(x.prefix[x.d].t) ELSE 0 END AS saved
+            FROM linked x LEFT JOIN children k ON k.d = x.d AND k.prefix = x.prefix),
+        sums AS (
+            SELECT a.prefix, a.d, count(*) FILTER (b.n_children = 0) AS n_leaves, sum(b.saved) AS saved
+            FROM (SELECT prefix[1:k] AS prefix, k AS d, n_children, saved FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM full_nodes)) b
+            JOIN nodes a ON a.d = b.d AND a.prefix = b.prefix GROUP BY a.prefix, a.d)
+        SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, x.parent AS parent_conv_id, x.n_convs, x.n_children, s.n_leaves,
+               CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(array_to_string(x.ends, ','), '')) AS ends_sha256
+        FROM full_nodes x JOIN sums s ON s.d = x.d AND s.prefix = x.prefix
+    """,
 }
