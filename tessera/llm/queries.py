@@ -15,7 +15,7 @@ from tessera.llm.packing import pack_documents
 from tessera.llm.quality import quality_scores
 from tessera.llm.simhash import simhash_dedup
 from tessera.llm.substring import substring_dedup
-from tessera.llm.toolcalls import REPLY_SCHEMAS, conversation_calls, link_tool_calls
+from tessera.llm.toolcalls import conversation_messages
 from tessera.llm.toxicity import toxicity_scores
 from tessera.llm.trie import forked, ordered_turns, prefix_trie
 from tessera.llm.warc import new_folder, read_packages, resolve, write_packages
@@ -50,8 +50,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = conversation_calls(_table(spark, sf_dir, "conversations"))
-    return link_tool_calls(calls, results, REPLY_SCHEMAS)
+    return conversation_messages(_table(spark, sf_dir, "conversations"))
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,36 +162,38 @@ ORACLE_SQL = {
         FROM w LEFT JOIN cut c ON c.doc_id = w.doc_id
     """,
     "op5_tool_call_linking": """
-        WITH RECURSIVE calls AS (
-            SELECT conv_id || ':' || turn AS call_id, conv_id, min(turn) AS turn,
-                   min(text) AS text, count(*) AS calls
-            FROM conversations WHERE role = 'user' AND conv_id IS NOT NULL AND turn IS NOT NULL
-            GROUP BY conv_id, conversations.turn),
+        WITH RECURSIVE each AS (
+            SELECT conv_id, turn, role, text, count(*) AS copies, CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE 0 END AS rank
+            FROM conversations GROUP BY conv_id, turn, role, text),
+        placed AS (
+            SELECT *, row_number() OVER w - 1 AS pos, count(*) FILTER (rank = 1) OVER w AS asked
+            FROM each WHERE conv_id IS NOT NULL
+            WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, rank, role NULLS FIRST, coalesce(sha256(text), '') ROWS UNBOUNDED PRECEDING)),
+        calls AS (
+            SELECT *, conv_id || ':' || asked AS call_id, CASE WHEN asked > 1 THEN conv_id || ':' || (asked - 1) END AS after FROM placed WHERE rank = 1),
         answers AS (
-            SELECT conv_id || ':' || (turn - 1) AS call_id, conv_id, min(text) AS content, count(*) AS results
-            FROM conversations WHERE role = 'assistant' AND conv_id IS NOT NULL AND turn IS NOT NULL
-            GROUP BY conv_id, turn),
-        linked AS (
-            SELECT c.*, b.call_id AS after FROM calls c LEFT JOIN calls b ON b.call_id = c.conv_id || ':' || (c.turn - 2)),
+            SELECT *, conv_id || ':' || asked AS call_id, row_number() OVER (PARTITION BY conv_id, asked ORDER BY pos) AS r FROM placed WHERE rank = 2),
         depths AS (
-            SELECT call_id, CAST(0 AS BIGINT) AS depth FROM linked WHERE after IS NULL
+            SELECT call_id, CAST(0 AS BIGINT) AS depth FROM calls WHERE after IS NULL
             UNION ALL
-            SELECT l.call_id, d.depth + 1 FROM linked l JOIN depths d ON l.after = d.call_id)
-        SELECT coalesce(c.call_id, a.call_id) AS call_id, coalesce(c.conv_id, a.conv_id) AS conv_id,
-               CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
-               d.depth,
-               c.call_id IS NOT NULL AND c.text IS NOT NULL AS valid,
-               CASE WHEN c.call_id IS NOT NULL AND c.text IS NULL THEN 'text: required' ELSE '' END AS errors,
-               coalesce(c.calls, 0) AS calls, coalesce(a.results, 0) AS results,
-               '{"arguments":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '{'
-                   || CASE WHEN l.after IS NULL THEN '' ELSE '"after":' || to_json(l.after) || ',' END
-                   || CASE WHEN c.text IS NULL THEN '' ELSE '"text":' || to_json(c.text) || ',' END
-                   || '"turn":' || c.turn || '}' END
-                   || ',"id":' || to_json(coalesce(c.call_id, a.call_id))
-                   || ',"name":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '"reply"' END
-                   || ',"result":' || CASE WHEN a.content IS NULL THEN 'null' ELSE to_json(a.content) END || '}' AS message
-        FROM calls c FULL JOIN answers a ON c.call_id = a.call_id
-        LEFT JOIN linked l ON l.call_id = c.call_id LEFT JOIN depths d ON d.call_id = c.call_id
+            SELECT c.call_id, d.depth + 1 FROM calls c JOIN depths d ON c.after = d.call_id),
+        linked AS (
+            SELECT coalesce(c.call_id, a.call_id) AS call_id, coalesce(c.conv_id, a.conv_id) AS conv_id,
+                   CASE WHEN a.r > 1 THEN 'repeated result' WHEN c.call_id IS NULL THEN 'orphan' WHEN a.call_id IS NULL THEN 'unanswered' ELSE 'answered' END AS status,
+                   c.call_id IS NOT NULL AS called, c.turn, c.text, c.after, coalesce(c.copies, 0) AS calls, coalesce(a.copies, 0) AS results, a.text AS content
+            FROM calls c FULL JOIN answers a ON c.call_id = a.call_id AND a.r = 1)
+        SELECT l.call_id, l.conv_id, l.status, d.depth, l.called AND l.text IS NOT NULL AS valid,
+               CASE WHEN l.called AND l.text IS NULL THEN 'text: required' ELSE '' END AS errors, l.calls, l.results, 0 AS contexts,
+               '{"arguments":' || CASE WHEN l.called THEN '{' || concat_ws(',', '"after":' || to_json(l.after), '"text":' || to_json(l.text), '"turn":' || l.turn) || '}' ELSE 'null' END
+                   || ',"id":' || to_json(l.call_id) || ',"name":' || CASE WHEN l.called THEN '"reply"' ELSE 'null' END
+                   || ',"result":' || CASE WHEN l.content IS NULL THEN 'null' ELSE to_json(l.content) END || '}' AS message
+        FROM linked l LEFT JOIN depths d ON d.call_id = l.call_id AND l.called
+        UNION ALL
+        SELECT id, conv_id, 'context', NULL, true, '', 0, 0, copies,
+               '{"content":' || CASE WHEN text IS NULL THEN 'null' ELSE to_json(text) END || ',"id":' || CASE WHEN id IS NULL THEN 'null' ELSE to_json(id) END
+                   || ',"role":' || CASE WHEN role IS NULL THEN 'null' ELSE to_json(role) END || ',"turn":' || coalesce(CAST(turn AS VARCHAR), 'null') || '}'
+        FROM (SELECT conv_id, turn, role, text, copies, conv_id || ':context:' || pos AS id FROM placed WHERE rank = 0
+              UNION ALL SELECT conv_id, turn, role, text, copies, NULL FROM each WHERE conv_id IS NULL)
     """,
     "op6_embedding_dedup": """
         WITH RECURSIVE v AS (

@@ -1,5 +1,6 @@
 """Mixing, packing, tool calls and the pipeline."""
 
+import hashlib
 import json
 import random
 import zlib
@@ -213,11 +214,17 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     ]
     results = [(1, 5, "c1", "three"), (1, 6, "c1", "again"), (9, 0, "lost", None), (3, 4, "dup", "é\n\"q\"")]
     got = toolcalls.link_tool_calls(spark.createDataFrame([(*c, 1) for c in calls], CALLS), spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string"), SCHEMAS)
-    r = {x.call_id: x for x in got.collect()}
+    rows = got.collect()
+    alone = sorted((x.call_id or "", x.status, x.calls, x.results) for x in rows if x.status.startswith(("repeated", "unidentified")))
+    assert alone == [("", "unidentified", 1, 0), ("c1", "repeated result", 0, 1), ("dup", "repeated call", 1, 0)]
+    assert sum(x.calls for x in rows) == len(calls) and sum(x.results for x in rows) == len(results)
+    again = {x.call_id: json.loads(x.message) for x in rows if x.status.startswith("repeated")}
+    assert again["c1"] == {"arguments": None, "id": "c1", "name": None, "result": "again"} and again["dup"]["arguments"] == {"a": 2, "b": 2}
+    r = {x.call_id: x for x in rows if not x.status.startswith(("repeated", "unidentified"))}
     assert set(r) == {"c1", "c2", "c3", "c4", "x", "y", "z", "dup", "lost", "n"}
     assert [r[k].depth for k in ("c1", "c2", "c3", "c4", "x", "y", "z", "dup", "lost")] == [0, 1, 2, 0, None, None, None, 0, None]
     assert [r[k].status for k in ("c1", "c2", "lost")] == ["answered", "unanswered", "orphan"]
-    assert r["c1"].valid and r["c1"].results == 2 and r["y"].valid and r["dup"].valid and r["dup"].calls == 2
+    assert r["c1"].valid and r["c1"].results == 1 and r["y"].valid and r["dup"].valid and r["dup"].calls == 1
     assert r["c2"].errors == "b: not integer" and r["c3"].errors == "b: required" and r["c4"].errors == "unknown tool"
     assert r["x"].errors == "arguments: not an object" and r["z"].errors == "note: not string" and not r["n"].valid
     for x in r.values():
@@ -247,13 +254,55 @@ def test_long_chains_take_few_rounds(spark):
     assert got == {str(i): i for i in range(n)}
 
 
-def test_conversations_without_partners(spark):
-    turns = spark.createDataFrame([(1, 0, "assistant", "hi"), (1, 1, "user", None), (2, 0, "user", ""), (None, 0, "user", "x"), (3, None, "user", "x"), (2, 0, "user", ""), (2, 1, None, "x")], "conv_id long, turn long, role string, text string")
-    calls, results = toolcalls.conversation_calls(turns)
-    r = {x.call_id: x for x in toolcalls.link_tool_calls(calls, results, toolcalls.REPLY_SCHEMAS).collect()}
-    assert r["1:-1"].status == "orphan" and r["1:1"].errors == "text: required" and r["2:0"].calls == 2 and len(r) == 3
-    calls, results = toolcalls.conversation_calls(turns.where("false"))
-    assert toolcalls.link_tool_calls(calls, results, toolcalls.REPLY_SCHEMAS).count() == 0
+def plain_messages(turns):
+    """{(status, id): (depth, calls, results, contexts, parsed message)} of rows (conv_id, turn, role, text)."""
+    found, talks = {}, {}
+    for c, t, r, x in sorted(set(turns), key=str):
+        n = turns.count((c, t, r, x))
+        if c is None:
+            found["context", f"None {t} {r} {x}"] = (None, 0, 0, n, {"content": x, "id": None, "role": r, "turn": t})
+        else:
+            talks.setdefault(c, []).append((t, r, x, n))
+    for c, rows in talks.items():
+        rank = {"user": 1, "assistant": 2}
+        digest = lambda x: "" if x is None else hashlib.sha256(x.encode()).hexdigest()
+        rows.sort(key=lambda v: (v[0] is not None, v[0] or 0, rank.get(v[1], 0), v[1] or "", digest(v[2])))
+        k, answered = 0, set()
+        for pos, (t, r, x, n) in enumerate(rows):
+            if r == "user":
+                k += 1
+                said = {"after": f"{c}:{k - 1}" if k > 1 else None, "text": x, "turn": t}
+                found["unanswered", f"{c}:{k}"] = (k - 1, n, 0, 0, {"arguments": {a: v for a, v in said.items() if v is not None}, "id": f"{c}:{k}", "name": "reply", "result": None})
+            elif r == "assistant" and k not in answered:
+                answered.add(k)
+                depth, calls, _, _, message = found.pop(("unanswered", f"{c}:{k}"), (None, 0, 0, 0, {"arguments": None, "id": f"{c}:{k}", "name": None}))
+                found["answered" if calls else "orphan", f"{c}:{k}"] = (depth, calls, n, 0, message | {"result": x})
+            elif r == "assistant":
+                found["repeated result", f"{c}:{k} {x}"] = (None, 0, n, 0, {"arguments": None, "id": f"{c}:{k}", "name": None, "result": x})
+            else:
+                found["context", f"{c}:context:{pos}"] = (None, 0, 0, n, {"content": x, "id": f"{c}:context:{pos}", "role": r, "turn": t})
+    return found
+
+
+@pytest.mark.parametrize("chunk", [1024, 2])
+def test_every_turn_of_a_conversation_is_in_a_message(spark, monkeypatch, chunk):
+    monkeypatch.setattr(toolcalls, "CHUNK", chunk)
+    rng = random.Random(2)
+    turns = [(c, t, rng.choice(["user", "assistant", "user", "system", None]), rng.choice(["a", "b", "", None, "é\"q\n"])) for c in range(12) for t in range(rng.randint(0, 9))]
+    turns += [(20, 0, "system", "s"), (20, 1, "user", "u"), (20, 5, "assistant", "gap"), (20, 6, "user", "two"), (20, 7, "user", "in a row"), (20, 8, "assistant", "a" * 200_000)]
+    turns += [(21, 1, "user", "x"), (21, 1, "user", "y"), (21, 1, "assistant", "same turn"), (21, None, "user", "before"), (None, 1, "user", "nobody"), (None, 1, "user", "nobody"), turns[0], turns[0], (22, 1, "tool", None)]
+    frame = spark.createDataFrame([(*t, 1, "z") for t in turns], "conv_id long, turn long, role string, text string, copies int, message string").repartition(4)
+    rows = toolcalls.conversation_messages(frame).collect()
+    assert sum(r.calls + r.results + r.contexts for r in rows) == len(turns)
+    got = {}
+    for r in rows:
+        m = json.loads(r.message)
+        assert r.message == json.dumps(m, separators=(",", ":"), ensure_ascii=False, sort_keys=True)
+        key = f"{r.call_id} {m['result']}" if r.status == "repeated result" else r.call_id if r.conv_id is not None else f"None {m['turn']} {m['role']} {m['content']}"
+        got[r.status, key] = (r.depth, r.calls, r.results, r.contexts, m)
+        assert r.errors == ("text: required" if r.calls and "text" not in m["arguments"] else "")
+    assert got == plain_messages(turns)
+    assert toolcalls.conversation_messages(frame.where("false")).count() == 0
 
 
 # the pipeline, each stage against a plain version on its own input
