@@ -237,56 +237,80 @@ def _band_batches(shingle: int, bands: int, per_band: int):
     return run
 
 
-def _set_batches(shingle: int):
-    """Rows (node, text) to (node, set of shingle hashes)."""
+def _set_batches(shingle: int, room: int = 1 << 19):
+    """Rows (node, text) to (node, set of shingle hashes); a batch holds one set or about `room` hashes."""
+
+    def out(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
 
     def run(batches):
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
-                sets = [_shingle_set(t, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "set"])
+        for batch in batches:
+            nodes, sets, held = [], [], 0
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                nodes.append(node)
+                sets.append(_shingle_set(text.as_py(), shingle).view(np.int64))
+                held += len(sets[-1])
+                if held >= room:
+                    yield out(nodes, sets)
+                    nodes, sets, held = [], [], 0
+            if nodes:
+                yield out(nodes, sets)
 
     return run
 
 
-def _cell_pairs(root: np.ndarray, size: np.ndarray, fp: np.ndarray, sets: pa.ListArray, reach: int, similarity: float, width: int = 4096):
-    """Of one cell, for each node the smallest node that it reaches by links between different roots: exact Jaccard
-    similarities of pairs within `reach` bits, as products of 0/1 matrices over the shingles that several nodes share."""
-    n = len(root)
-    _, group, members = np.unique(root, return_inverse=True, return_counts=True)
-    rest = np.flatnonzero(group != members.argmax())  # of two roots, one is not the largest
-    reached = np.arange(n)
-    near = np.bitwise_count((fp[rest, None] ^ fp[None, :]).view(np.uint64)) <= reach
-    near &= group[rest, None] != group[None, :]
-    near &= np.minimum(size[rest, None], size[None, :]) >= similarity * np.maximum(size[rest, None], size[None, :])
-    if not near.any():
-        return reached
-    owner = np.repeat(np.arange(n), np.diff(sets.offsets.to_numpy()))
-    _, column, times = np.unique(sets.flatten().to_numpy(), return_inverse=True, return_counts=True)
+def _tile_pairs(a: np.ndarray, b: np.ndarray, root: np.ndarray, size: np.ndarray, fp: np.ndarray, sets: pa.ListArray, reach: int, similarity: float, width: int = 4096):
+    """The links (i, j) between nodes i of a and j of b with different roots: exact Jaccard similarities of pairs within
+    `reach` bits, as products of 0/1 matrices over the shingles that several of the nodes have."""
+    near = root[a][:, None] != root[b][None, :]
+    near &= np.bitwise_count((fp[a][:, None] ^ fp[b][None, :]).view(np.uint64)) <= reach
+    near &= np.minimum(size[a][:, None], size[b][None, :]) >= similarity * np.maximum(size[a][:, None], size[b][None, :])
+    a, b, near = a[near.any(axis=1)], b[near.any(axis=0)], near[np.ix_(near.any(axis=1), near.any(axis=0))]
+    if not len(a):
+        return a, b
+    both = np.unique(np.concatenate([a, b]))
+    held = sets.take(pa.array(both))
+    owner = np.repeat(np.arange(len(both)), np.diff(held.offsets.to_numpy()))
+    _, column, times = np.unique(held.flatten().to_numpy(), return_inverse=True, return_counts=True)
     shared = times > 1
     number = np.cumsum(shared) - 1
     keep = shared[column]
     owner, column = owner[keep], number[column[keep]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    common = np.zeros((len(rest), n), np.float32)  # counts below 2**24 are exact
+    left, right = np.searchsorted(both, a), np.searchsorted(both, b)
+    common = np.zeros((len(a), len(b)), np.float32)  # counts below 2**24 are exact
     for lo in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(column, (lo, lo + width))
-        has = np.zeros((n, width), np.float32)
-        has[owner[a:b], column[a:b] - lo] = 1
-        common += has[rest] @ has.T
+        start, end = np.searchsorted(column, (lo, lo + width))
+        has = np.zeros((len(both), width), np.float32)
+        has[owner[start:end], column[start:end] - lo] = 1
+        common += has[left] @ has[right].T
     joint = common.astype(np.float64)
-    i, j = np.nonzero(near & (joint / (size[rest, None] + size[None, :] - joint) >= similarity))
-    return spanning(rest[i], j, n)
+    i, j = np.nonzero(near & (joint / (size[a][:, None] + size[b][None, :] - joint) >= similarity))
+    return a[i], b[j]
+
+
+def _cell_pairs(side: np.ndarray, root: np.ndarray, size: np.ndarray, fp: np.ndarray, sets: pa.ListArray, reach: int, similarity: float, tile: int = 512):
+    """Of one cell, for each node the smallest node that it reaches by links: of nodes of side 0 with those of side 1, and
+    of those of side 2 with one another. Tile by tile; links go at once into a forest."""
+    n = len(side)
+    cut = lambda k: [x for lo in range(0, n, tile) if len(x := np.flatnonzero(side == k)[lo : lo + tile])]
+    own = cut(2)
+    pairs = [(a, b) for a in cut(0) for b in cut(1)] + [(a, b) for k, a in enumerate(own) for b in own[k:]]
+    low = np.arange(n)
+    for a, b in pairs:
+        i, j = _tile_pairs(a, b, root, size, fp, sets, reach, similarity)
+        if len(i):
+            low = spanning(np.concatenate([i, np.arange(n)]), np.concatenate([j, low]), n)
+    return low
 
 
 def _cell_links_batches(reach: int, similarity: float):
-    """Over rows (key, cell, node, root, size, fp, set) sorted by the first two: spanning links (u, v) of each cell."""
+    """Over rows (key, cell, side, node, root, size, fp, set) sorted by the first two: spanning links (u, v) of each cell."""
 
     def links(table: pa.Table) -> pa.RecordBatch:
-        node, root, size, fp = (table[c].to_numpy() for c in ("node", "root", "size", "fp"))
-        low = _cell_pairs(root, size, fp, table["set"].combine_chunks(), reach, similarity)
+        side, node, root, size, fp = (table[c].to_numpy() for c in ("side", "node", "root", "size", "fp"))
+        low = _cell_pairs(side, root, size, fp, table["set"].combine_chunks(), reach, similarity)
         linked = np.flatnonzero(low != np.arange(len(low)))
         return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[low[linked]])], names=["u", "v"])
 
@@ -348,9 +372,11 @@ def near_dedup(
     per_band minima of hashes, and differ in at most `reach` SimHash bits (of the set, repeats count once). At 0.8 a
     pair is missed by the keys once in 300,000 times, and less often by the bits; every pair of a key's texts is
     compared, but for pairs that are connected already. First each text meets the smallest and the largest of each
-    key, which connects most of a large group with few pairs. What is left of a key is cut into blocks of about `block`
-    texts and `room` shingles; a task compares two blocks at a time on their sets and gives spanning links, never its
-    pairs.
+    key, which connects most of a large group with few pairs. What is left of a key is compared in cells of two blocks
+    that give spanning links, never pairs: the texts outside the key's largest root with one another and with those of
+    that root, which need no comparing among themselves. Blocks grow with the root of their number (from `block` texts
+    on), so that the sets dealt to cells grow with the power 1.5 of a key and not with its square, up to `room` shingles a
+    block, which bounds a task's memory; a key beyond room * room / block shingles is dealt in more blocks of that size.
 
     Texts with equal sets (those without words too) are one node. Null ids, repeated rows and other columns are treated
     as by simhash_dedup.
@@ -376,20 +402,21 @@ def near_dedup(
     stars = save(star_components(links), "stars")
     rooted = keyed.join(stars, "node", "left").select("key", "node", "size", "fp", F.coalesce("component", "node").alias("root"))
     rooted = save(rooted, "rooted")
-    open_keys = rooted.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"), F.min("root").alias("lo"), F.max("root").alias("hi")
-    )
-    blocks = F.ceil(F.greatest(F.col("n") / block, F.col("shingles") / room)).cast("int")
-    open_keys = save(open_keys.where("n > 2 and lo <> hi").select("key", blocks.alias("blocks")), "open")
-    left = save(rooted.join(open_keys, "key"), "left")
+    per_root = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
+    main = F.max(F.struct("n", "shingles", "root")).alias("main")
+    open_keys = per_root.groupBy("key").agg(F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.count(F.lit(1)).alias("roots"), main)
+    blocks = lambda n, shingles: F.greatest(F.ceil(F.sqrt(n / block)), F.ceil(shingles / room), F.lit(1)).cast("int")
+    rest = blocks(F.col("n") - F.col("main.n"), F.col("shingles") - F.col("main.shingles"))
+    open_keys = open_keys.where("n > 2 and roots > 1").select("key", F.col("main.root").alias("main"), rest.alias("a"), blocks(F.col("main.n"), F.col("main.shingles")).alias("p"))
+    left = save(rooted.join(save(open_keys, "open"), "key"), "left")
     sets = _sets(nodes.join(left.select("node").distinct(), "node"), rows, shingle)
-    cells = (
-        left.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-        .withColumn("cell", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).cast("long"))
-        .join(sets, "node")
-        .select("key", "cell", "node", "root", "size", "fp", "set")
-    )
+    left = left.withColumn("active", F.col("root") != F.col("main"))
+    left = left.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("active"), F.col("a")).otherwise(F.col("p"))).cast("int"))
+    left = left.withColumn("other", F.explode(F.expr("sequence(0, if(active, a + p, a) - 1)")))
+    # cells of two active blocks come first, then those of an active one with one of the largest root
+    cell = F.expr("if(not active, a * a + other * p + own, if(other < a, least(own, other) * a + greatest(own, other), a * a + own * p + other - a))")
+    side = F.expr("if(not active, 1, if(other >= a, 0, if(own = other, 2, if(own < other, 0, 1))))")
+    cells = left.withColumn("cell", cell.cast("long")).withColumn("side", side).join(sets, "node").select("key", "cell", "side", "node", "root", "size", "fp", "set")
     dealt = cells.repartition("key", "cell").sortWithinPartitions("key", "cell")
     links = links.unionByName(save(dealt.mapInArrow(_cell_links_batches(reach, similarity), "u long, v long"), "cell-links"))
     stars = star_components(links)
