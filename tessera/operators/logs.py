@@ -1,29 +1,77 @@
-"""Test logs to rows (keys..., test, status): one DataFrame rule per format, a registry by repository.
+"""Test logs to rows (keys..., test, status): one rule per format, a registry by repository, functions for SQL.
 
 Every parser takes (logs, keys, text) and gives one row per key and test; where a log names a test twice, the rule of
-the format (mostly: the last line) decides, by line position.
+the format (mostly: the last line) decides, by line position. Formats that are read line by line are LineParser: a table
+whose logs have many of them is read once, each log by its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeResult
 
 Parser = Callable[[DataFrame, list[str], str], DataFrame]
 
+# fixed values: the statuses of test runs and the pattern of terminal codes
 STATUSES = ["FAILED", "PASSED", "SKIPPED", "ERROR", "XFAIL"]
 ANSI = r"\x1B(?:[@-Z\\-_]|\[[0-?]*[ -/]*[@-~])"
 
 
-def _lines(logs: DataFrame, keys: list[str], text: str, clean: Callable[[Column], Column] | None = None) -> DataFrame:
-    """The lines of each log, cleaned before they become rows: a filter on lines does not repeat the expression."""
+def _split(text: Column, clean: Callable[[Column], Column] | None = None, prev: Column | None = None) -> Column:
+    """The lines of a text, cleaned, as structs (line, prev)."""
     lines = F.split(text, "\r\n|\n|\r")
-    lines = F.transform(lines, clean) if clean else lines
-    return logs.select(*keys, F.posexplode_outer(lines).alias("pos", "line")).where("pos is not null")
+    prev = F.lit(None).cast("string") if prev is None else prev
+    return F.transform(lines, lambda line: F.struct((clean(line) if clean else line).alias("line"), prev.alias("prev")))
+
+
+def _case(test: Column, status: Column, place: int = 0) -> Column:
+    return F.struct(test.alias("test"), status.alias("status"), F.lit(place).alias("place"))
+
+
+@dataclass(frozen=True, eq=False)
+class LineParser:
+    """A format that names tests line by line; called as any parser.
+
+    lines: text to an array of (line, prev), prev being what a line must know of those before it. keep: which lines are
+    looked at. found: what a line says, an array of cases; of the cases of one test the largest (place, position) counts.
+    alone: tests count under their name before "[", and only where one test has it.
+    """
+
+    found: Callable[[Column, Column], Column]
+    keep: Callable[[Column], Column]
+    lines: Callable[[Column], Column] = _split
+    alone: bool = False
+
+    def __call__(self, logs: DataFrame, keys: list[str], text: str) -> DataFrame:
+        return _parsed(logs, keys, text, [(self, F.lit(True))])
+
+
+def _parsed(logs: DataFrame, keys: list[str], text: str, chosen: list[tuple[LineParser, Column]]) -> DataFrame:
+    """Every log by the first parser whose condition it meets, in one scan and one grouped pass."""
+
+    def by_tag(of: Callable[[LineParser], Column]) -> Column:
+        if len(chosen) == 1:
+            return of(chosen[0][0])
+        return reduce(lambda case, i: case.when(F.col("_tag") == i, of(chosen[i][0])), range(1, len(chosen)), F.when(F.col("_tag") == 0, of(chosen[0][0])))
+
+    tag = reduce(lambda case, i: case.when(chosen[i][1], i), range(1, len(chosen)), F.when(chosen[0][1], 0))
+    tagged = logs.select(*keys, F.col(text).alias("_text"), tag.alias("_tag")).where("_tag is not null")
+    rows = tagged.select(*keys, "_tag", F.posexplode(by_tag(lambda p: p.lines(F.col("_text")))).alias("_pos", "_l")).select(*keys, "_tag", "_pos", "_l.line", "_l.prev")
+    rows = rows.where(by_tag(lambda p: p.keep(F.col("line"))))
+    cases = rows.select(*keys, "_tag", "_pos", F.posexplode(by_tag(lambda p: p.found(F.col("line"), F.col("prev")))).alias("_k", "_x"))
+    cases = cases.select(*keys, "_tag", "_pos", "_k", "_x.*").where("test is not null and test <> '' and status is not null")
+    alone = F.col("_tag").isin([i for i, (p, _) in enumerate(chosen) if p.alone])
+    unit = F.when(alone, F.substring_index("test", "[", 1)).otherwise(F.col("test"))
+    last = F.max_by("status", F.struct("place", "_pos", "_k")).alias("status")
+    units = cases.groupBy(*keys, "_tag", unit.alias("_unit")).agg(last, F.min("test").alias("_low"), F.max("test").alias("_high"))
+    return units.where(~alone | (F.col("_low") == F.col("_high"))).select(*keys, F.col("_unit").alias("test"), "status")
 
 
 def _last(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,139 +109,161 @@ def drop_trailing(name: Column) -> Column:
     return F.when(~name.contains("["), F.get(F.split(F.ltrim(name), r"\s+"), F.lit(0))).otherwise(bracketed)
 
 
-def _with_name(rows: DataFrame, name: Column) -> DataFrame:
-    # rows of one element: filters on the name stay behind it and do not repeat the expression
-    named = rows.select("*", F.explode_outer(F.array(name)).alias("_name"))
-    return named.select("*", F.explode_outer(F.array(drop_trailing(F.col("_name")))).alias("test"))
+def _words(line: Column) -> Column:
+    return F.split(F.trim(line), r"\s+")
+
+
+def _either_end(line: Column) -> Column:
+    return _starts(line) | _ends(line)
 
 
-def pytest_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Lines that begin with a status; options in brackets stay in the name, what follows goes."""
-    rows = _lines(logs, keys, text, _undashed).where(_starts(F.col("line")))
-    parts = F.split(F.regexp_replace("line", r"\s+$", ""), r"\s+", 2)
-    rows = rows.withColumn("status", parts[0]).withColumn("_rest", F.get(parts, F.lit(1))).where("_rest is not null")
-    return _last(_with_name(rows, F.col("_rest")), keys)
+def _pytest_case(line: Column, _: Column) -> Column:
+    parts = F.split(F.regexp_replace(line, r"\s+$", ""), r"\s+", 2)
+    return F.transform(F.array(parts), lambda p: _case(drop_trailing(F.get(p, F.lit(1))), p[0]))  # bound once
 
 
-def pytest_options_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """As pytest, the name being the second word; an option that is a path keeps its last part only."""
-    rows = _lines(logs, keys, text, _undashed).where(_starts(F.col("line")))
-    words = F.split(F.trim("line"), r"\s+")
-    name = F.get(words, F.lit(1))
+#: Lines that begin with a status; options in brackets stay in the name, what follows goes.
+pytest_log = LineParser(_pytest_case, _starts, lambda text: _split(text, _undashed))
+
+#: As pytest, only tests whose name before the bracket is the only one, under that name.
+numpy_log = LineParser(_pytest_case, _starts, lambda text: _split(text, _undashed), alone=True)
+
+
+def _options_case(line: Column, _: Column) -> Column:
+    name = F.get(_words(line), F.lit(1))
     main, option = F.regexp_extract(name, r"^(.*?)\[(.*)\]", 1), F.regexp_extract(name, r"^(.*?)\[(.*)\]", 2)
     path = option.startswith("/") & ~option.startswith("//") & ~option.contains("*")
     short = F.when(path, F.concat(F.lit("/"), F.substring_index(option, "/", -1))).otherwise(option)
     test = F.when(name.rlike(r"^(.*?)\[(.*)\]"), F.concat(main, F.lit("["), short, F.lit("]"))).otherwise(name)
-    return _last(rows.withColumn("status", words[0]).withColumn("test", test), keys)
-
-
-def pytest_later_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Terminal codes are removed; older lines end with the status. The whole rest of a line is the name."""
-    rows = _lines(logs, keys, text, lambda line: _undashed(F.regexp_replace(line, ANSI, "")))
-    front = F.split("line", r"\s+", 2)
-    back = F.struct(F.regexp_extract("line", r"^\s*(.*?)\s+(\S+)\s*$", 1).alias("t"), F.regexp_extract("line", r"^\s*(.*?)\s+(\S+)\s*$", 2).alias("s"))
-    starts, ends = _starts(F.col("line")), _ends(F.col("line"))
-    rows = rows.where(starts | ends)
-    test = F.when(starts, F.regexp_replace(F.get(front, F.lit(1)), r"\s+$", "")).otherwise(back["t"])
-    return _last(rows.withColumn("test", test).withColumn("status", F.when(starts, front[0]).otherwise(back["s"])), keys)
-
-
-def pydantic_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Colours and control characters are removed, and the bracket behind FAILED."""
-    plain = lambda line: F.regexp_replace(F.regexp_replace(line, r"\[(\d+)m", ""), r"[\x01-\x1f]", "")
-    rows = _lines(logs, keys, text, lambda line: _undashed(F.regexp_replace(plain(line), r"FAILED\s*\[.*?\]", "FAILED")))
-    words = F.split(F.trim("line"), r"\s+")
-    starts, ends = _starts(F.col("line")), _ends(F.col("line"))
-    first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
-    rows = rows.where(starts | ends)
-    return _last(rows.withColumn("test", F.when(starts, second).otherwise(first)).withColumn("status", F.when(starts, first).otherwise(second)), keys)
-
-
-def seaborn_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    rows = _lines(logs, keys, text)
-    words = F.split(F.trim("line"), r"\s+")
-    first, second = F.get(words, F.lit(0)), F.get(words, F.lit(1))
-    failed = F.col("line").startswith("FAILED")
-    middle = F.col("line").contains(" PASSED ")
-    passed = F.col("line").startswith("PASSED")
-    test = F.when(failed, second).when(middle, F.when(second == "PASSED", first)).when(passed, second)
-    return _last(rows.withColumn("test", test).withColumn("status", F.when(failed, "FAILED").otherwise("PASSED")), keys)
-
-
-def matplotlib_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """The second word is the name; mouse buttons are numbers."""
-    buttons = lambda line: F.replace(F.replace(line, F.lit("MouseButton.LEFT"), F.lit("1")), F.lit("MouseButton.RIGHT"), F.lit("3"))
-    rows = _lines(logs, keys, text, lambda line: _undashed(buttons(line))).where(_starts(F.col("line")))
-    words = F.split(F.trim("line"), r"\s+")
-    return _last(rows.withColumn("test", F.get(words, F.lit(1))).withColumn("status", words[0]), keys)
-
-
-def sympy_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Under pytest the lines of sympy/ files with at least three words; else headers of failures and lines of test_."""
-    by_pytest = logs.where(F.col(text).contains("pytest"))
-    plain = logs.where(~F.col(text).contains("pytest"))
-    words = F.split(F.trim("line"), r"\s+")
-    modern = _lines(by_pytest, keys, text).where(F.trim("line").startswith("sympy/") & (F.size(words) >= 3))
-    modern = modern.select(*keys, "pos", words[0].alias("test"), words[1].alias("status"))
-    rows = _lines(plain, keys, text).withColumn("line", F.trim("line"))
-    header = r"(_*) (.*)\.py:(.*) (_*)"
-    failed = rows.where(F.col("line").rlike(header)).select(
-        *keys, F.lit(-1).alias("pos"), F.concat(F.regexp_extract("line", header, 2), F.lit(".py:"), F.regexp_extract("line", header, 3)).alias("test"), F.lit("FAILED").alias("status")
-    )
-    bare = F.regexp_replace("line", r"\s*\[(FAIL|OK)\]$", "")
-    status = F.when(bare.endswith(" E"), "ERROR").when(bare.endswith(" F"), "FAILED").when(bare.endswith(" ok"), "PASSED")
-    named = rows.where(F.col("line").startswith("test_")).select(*keys, "pos", F.substring_index(bare, " ", 1).alias("test"), status.alias("status"))
-    return _last(modern.unionByName(failed).unionByName(named), keys)
+    return F.array(_case(test, _words(line)[0]))
+
+
+#: As pytest, the name being the second word; an option that is a path keeps its last part only.
+pytest_options_log = LineParser(_options_case, _starts, lambda text: _split(text, _undashed))
+
+
+def _later_case(line: Column, _: Column) -> Column:
+    front = F.split(line, r"\s+", 2)
+    back = [F.regexp_extract(line, r"^\s*(.*?)\s+(\S+)\s*$", i) for i in (1, 2)]
+    test = F.when(_starts(line), F.regexp_replace(F.get(front, F.lit(1)), r"\s+$", "")).otherwise(back[0])
+    return F.array(_case(test, F.when(_starts(line), front[0]).otherwise(back[1])))
+
+
+#: Terminal codes are removed; older lines end with the status. The whole rest of a line is the name.
+pytest_later_log = LineParser(_later_case, _either_end, lambda text: _split(text, lambda line: _undashed(F.regexp_replace(line, ANSI, ""))))
+
+
+def _pydantic_clean(line: Column) -> Column:
+    plain = F.regexp_replace(F.regexp_replace(line, r"\[(\d+)m", ""), r"[\x01-\x1f]", "")
+    return _undashed(F.regexp_replace(plain, r"FAILED\s*\[.*?\]", "FAILED"))
+
 
+def _pydantic_case(line: Column, _: Column) -> Column:
+    first, second = F.get(_words(line), F.lit(0)), F.get(_words(line), F.lit(1))
+    return F.array(_case(F.when(_starts(line), second).otherwise(first), F.when(_starts(line), first).otherwise(second)))
 
-def django_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Suffixes of "name ... ok" lines, FAIL: and ERROR: headers; a later bare "ok" passes the last test named before."""
-    from pyspark.sql import Window
 
-    rows = _lines(logs, keys, text).withColumn("line", F.regexp_replace("line", r"^\s+|\s+$", ""))
-    named = F.when(F.col("line").contains(" ... "), F.substring_index("line", " ... ", 1))
-    order = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("prev", F.last(named, ignorenulls=True).over(order))
-    line = F.col("line")
-    moved = F.when(line.startswith("Applying sites.0002_alter_domain_unique...test_no_migrations"), F.trim(F.regexp_replace(line, r"^.*?\.\.\.", ""))).otherwise(line)
+#: Colours and control characters are removed, and the bracket behind FAILED.
+pydantic_log = LineParser(_pydantic_case, _either_end, lambda text: _split(text, _pydantic_clean))
+
+
+def _seaborn_case(line: Column, _: Column) -> Column:
+    first, second = F.get(_words(line), F.lit(0)), F.get(_words(line), F.lit(1))
+    failed = line.startswith("FAILED")
+    passed = F.when(line.contains(" PASSED "), F.when(second == "PASSED", first)).when(line.startswith("PASSED"), second)
+    return F.array(_case(F.when(failed, second).otherwise(passed), F.when(failed, "FAILED").otherwise("PASSED")))
+
+
+seaborn_log = LineParser(_seaborn_case, lambda line: line.startswith("FAILED") | line.contains(" PASSED ") | line.startswith("PASSED"))
+
+
+def _buttons(line: Column) -> Column:
+    return F.replace(F.replace(line, F.lit("MouseButton.LEFT"), F.lit("1")), F.lit("MouseButton.RIGHT"), F.lit("3"))
+
+
+#: The second word is the name; mouse buttons are numbers.
+matplotlib_log = LineParser(
+    lambda line, _: F.array(_case(F.get(_words(line), F.lit(1)), _words(line)[0])), _starts, lambda text: _split(text, lambda line: _undashed(_buttons(line)))
+)
+
+SYMPY_HEADER = r"(_*) (.*)\.py:(.*) (_*)"
+
+
+def _sympy_case(line: Column, prev: Column) -> Column:
+    words = F.split(line, r"\s+")
+    bare = F.regexp_replace(line, r"\s*\[(FAIL|OK)\]$", "")
+    status = F.when(bare.endswith(" E"), "ERROR").when(bare.endswith(" F"), "FAILED").when(bare.endswith(" ok"), "PASSED")
+    file = F.concat(F.regexp_extract(line, SYMPY_HEADER, 2), F.lit(".py:"), F.regexp_extract(line, SYMPY_HEADER, 3))
+    modern = F.array(_case(words[0], F.get(words, F.lit(1))))
+    named = F.when(line.startswith("test_"), _case(F.substring_index(bare, " ", 1), status))
+    header = F.when(line.rlike(SYMPY_HEADER), _case(file, F.lit("FAILED"), -1))
+    return F.when(prev == "pytest", F.when(line.startswith("sympy/") & (F.size(words) >= 3), modern)).otherwise(F.filter(F.array(named, header), lambda c: c.isNotNull()))
+
+
+#: Under pytest the lines of sympy/ files with at least three words; else headers of failures (any line of a test says
+#: more) and lines of test_.
+sympy_log = LineParser(
+    _sympy_case,
+    lambda line: line.startswith("sympy/") | line.startswith("test_") | line.rlike(SYMPY_HEADER),
+    lambda text: F.when(text.contains("pytest"), _split(text, F.trim, F.lit("pytest"))).otherwise(_split(text, F.trim)),
+)
+
+
+def _django_lines(text: Column) -> Column:
+    """Trimmed lines in stretches that begin with a line that names a test, which is `prev` for all of the stretch."""
+    trimmed = F.regexp_replace(text, r"(?m)^[^\S\r\n]+|[^\S\r\n]+$", "")
+    stretches = F.split(trimmed, r"(?m)^(?=[^\r\n]* \.\.\. )")
+    return F.flatten(F.transform(stretches, lambda s: _split(s, None, F.when(F.substring_index(s, "\n", 1).contains(" ... "), F.substring_index(s, " ... ", 1)))))
+
+
+def _django_case(line: Column, prev: Column) -> Column:
+    def says(condition: Column, test: Column, status: str) -> Column:
+        return F.when(condition, _case(test, F.lit(status)))
+
+    before = lambda mark: F.substring_index(line, mark, 1)
+    word = F.get(F.split(line, r"\s+"), F.lit(1))
+    odd = "Applying sites.0002_alter_domain_unique...test_no_migrations"
+    moved = F.when(line.startswith(odd), F.trim(F.regexp_replace(line, r"^.*?\.\.\.", ""))).otherwise(line)
+    version = "--version is equivalent to version"
     found = F.array(
-        F.when(line.contains("--version is equivalent to version"), F.struct(F.lit("--version is equivalent to version").alias("test"), F.lit("PASSED").alias("status"))),
-        F.when(line.rlike(r" \.\.\. {1,2}(ok|OK)$") & ~line.rlike(r" \.\.\.  ok$"), F.struct(F.regexp_replace(moved, r" \.\.\. {1,2}(ok|OK)$", "").alias("test"), F.lit("PASSED").alias("status"))),
-        F.when(line.contains(" ... skipped"), F.struct(F.substring_index(line, " ... skipped", 1).alias("test"), F.lit("SKIPPED").alias("status"))),
-        F.when(line.endswith(" ... FAIL"), F.struct(F.substring_index(line, " ... FAIL", 1).alias("test"), F.lit("FAILED").alias("status"))),
-        F.when(line.startswith("FAIL:"), F.struct(F.get(F.split(line, r"\s+"), F.lit(1)).alias("test"), F.lit("FAILED").alias("status"))),
-        F.when(line.endswith(" ... ERROR"), F.struct(F.substring_index(line, " ... ERROR", 1).alias("test"), F.lit("ERROR").alias("status"))),
-        F.when(line.startswith("ERROR:"), F.struct(F.get(F.split(line, r"\s+"), F.lit(1)).alias("test"), F.lit("ERROR").alias("status"))),
-        F.when(line.startswith("ok") & F.col("prev").isNotNull(), F.struct(F.col("prev").alias("test"), F.lit("PASSED").alias("status"))),
+        says(line.contains(version), F.lit(version), "PASSED"),
+        says(line.rlike(r" \.\.\. {1,2}(ok|OK)$") & ~line.rlike(r" \.\.\.  ok$"), F.regexp_replace(moved, r" \.\.\. {1,2}(ok|OK)$", ""), "PASSED"),
+        says(line.contains(" ... skipped"), before(" ... skipped"), "SKIPPED"),
+        says(line.endswith(" ... FAIL"), before(" ... FAIL"), "FAILED"),
+        says(line.startswith("FAIL:"), word, "FAILED"),
+        says(line.endswith(" ... ERROR"), before(" ... ERROR"), "ERROR"),
+        says(line.startswith("ERROR:"), word, "ERROR"),
+        says(line.startswith("ok") & prev.isNotNull(), prev, "PASSED"),
     )
-    each = rows.select(*keys, "pos", F.posexplode(F.filter(found, lambda x: x.isNotNull())).alias("_k", "_x"))
-    return _last(each.select(*keys, (F.col("pos") * 10 + F.col("_k")).alias("pos"), "_x.test", "_x.status"), keys)
+    return F.filter(found, lambda x: x.isNotNull())
+
+
+#: Suffixes of "name ... ok" lines, FAIL: and ERROR: headers; a later bare "ok" passes the last test named before.
+django_log = LineParser(_django_case, lambda line: line.contains(" ... ") | line.contains("--version") | line.rlike("^(FAIL:|ERROR:|ok)"), _django_lines)
 
+# fixed values: the lines of two test runners
+GTEST_LINE = r"^\[\s+(RUN|OK|FAILED|SKIPPED|DISABLED|PASSED)\s+\]\s+(\S+\.\S+)"
+CTEST_LINE = r"(?i)^\s*Test\s+#\d+:\s+(\S+)\s+\.+\s*(\*\*\*)?\s*(Passed|Failed|Skipped|Timeout|Not Run)"
 
-def numpy_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """As pytest, only tests whose name before the bracket is the only one, under that name."""
-    from tessera.operators.ranking import unique_prefix
 
-    return unique_prefix(pytest_log(logs, keys, text), "test", keys).select(*keys, F.col("prefix").alias("test"), "status")
+def _gtest_case(line: Column, _: Column) -> Column:
+    verb, test = F.regexp_extract(line, GTEST_LINE, 1), F.regexp_extract(line, GTEST_LINE, 2)
+    status = F.when(verb.isin("OK", "PASSED"), "PASSED").when(verb == "FAILED", "FAILED").otherwise("SKIPPED")
+    return F.when(verb == "RUN", F.array(_case(test, F.lit("ERROR"), -1))).otherwise(F.array(_case(test, status)))
 
 
-def gtest_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """gtest lines; a RUN without a verdict before or behind it is an error."""
-    pattern = r"^\[\s+(RUN|OK|FAILED|SKIPPED|DISABLED|PASSED)\s+\]\s+(\S+\.\S+)"
-    rows = _lines(logs, keys, text).where(F.col("line").rlike(pattern))
-    rows = rows.withColumn("verb", F.regexp_extract("line", pattern, 1)).withColumn("test", F.regexp_extract("line", pattern, 2))
-    status = F.when(F.col("verb").isin("OK", "PASSED"), "PASSED").when(F.col("verb") == "FAILED", "FAILED").when(F.col("verb").isin("SKIPPED", "DISABLED"), "SKIPPED")
-    verdict = F.max_by(F.when(F.col("verb") != "RUN", status), F.when(F.col("verb") != "RUN", F.col("pos")))
-    return rows.groupBy(*keys, "test").agg(F.coalesce(verdict, F.lit("ERROR")).alias("status"))
+#: gtest lines; a RUN without a verdict before or behind it is an error.
+gtest_log = LineParser(_gtest_case, lambda line: line.rlike(GTEST_LINE))
 
 
-def ctest_log(logs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """CTest summary lines; a timeout fails, what did not run is skipped."""
-    pattern = r"(?i)^\s*Test\s+#\d+:\s+(\S+)\s+\.+\s*(\*\*\*)?\s*(Passed|Failed|Skipped|Timeout|Not Run)"
-    rows = _lines(logs, keys, text).where(F.col("line").rlike(pattern))
-    word = F.lower(F.regexp_extract("line", pattern, 3))
+def _ctest_case(line: Column, _: Column) -> Column:
+    word = F.lower(F.regexp_extract(line, CTEST_LINE, 3))
     status = F.when(word == "passed", "PASSED").when(word.isin("failed", "timeout"), "FAILED").otherwise("SKIPPED")
-    return _last(rows.withColumn("test", F.regexp_extract("line", pattern, 1)).withColumn("status", status), keys)
+    return F.array(_case(F.regexp_extract(line, CTEST_LINE, 1), status))
+
+
+#: CTest summary lines; a timeout fails, what did not run is skipped.
+ctest_log = LineParser(_ctest_case, lambda line: line.rlike(CTEST_LINE))
 
 
 GTEST_JSON = "struct<testsuites:array<struct<name:string,testsuite:array<struct<name:string,classname:string,status:string,result:string,failures:array<struct<failure:string>>>>>>>"
@@ -298,14 +368,73 @@ def register_parser(repo: str, parser: Parser) -> None:
 def parse_logs(logs: DataFrame, keys: list[str], text: str, repo: str, default: Parser = pytest_log) -> DataFrame:
     """Rows of every log by its repository's parser (column `repo`, case apart), others by the default.
 
-    Logs are read once for each distinct parser, filtered by repository; partition large log tables by repository.
+    Logs are tagged with their parser and read once for all that are LineParser; each other registered parser reads the
+    logs of its repositories once more.
     """
     low = F.lower(F.coalesce(F.col(repo), F.lit("")))
     groups: dict[Parser, list[str]] = {}
     for name, parser in PARSERS.items():
         groups.setdefault(parser, []).append(name)
-    parts = [parser(logs.where(low.isin(names)), keys, text) for parser, names in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b), [*parts, default(logs.where(~low.isin(*PARSERS)), keys, text)])
+    by_line = [(p, low.isin(names)) for p, names in groups.items() if isinstance(p, LineParser)]
+    parts = [p(logs.where(low.isin(names)), keys, text) for p, names in groups.items() if not isinstance(p, LineParser)]
+    rest = ~low.isin(*PARSERS)
+    if isinstance(default, LineParser):
+        by_line.append((default, rest))
+    else:
+        parts.append(default(logs.where(rest), keys, text))
+    if by_line:
+        parts.append(_parsed(logs, keys, text, by_line))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+#: What a parser that SQL can call gives for a log: (test, status) in order, the last of a test counts.
+Reader = Callable[[str], Iterable[tuple[str, str]]]
+
+
+def pattern_reader(pattern: str, words: dict[str, str], other: str | None = None) -> Reader:
+    """A reader of lines that a pattern finds, with groups named test and status; words: from what a log says (case
+    apart) to a status. Words that are not there have the status `other`, or are left out."""
+    known, line = {k.lower(): v for k, v in words.items()}, re.compile(pattern, re.MULTILINE)
+    if not {"test", "status"} <= set(line.groupindex):
+        raise ValueError("the pattern has no groups test and status")
+
+    def read(log: str) -> Iterable[tuple[str, str]]:
+        for found in line.finditer(log):
+            status = known.get(found["status"].lower(), other)
+            if status is not None:
+                yield found["test"], status
+
+    return read
+
+
+def register_log_function(spark: SparkSession, readers: dict[str, Reader], name: str = "parse_log", default: str | None = None) -> None:
+    """A table function for SQL: name(log, parser) gives (test, status), a row for each test of the log, by the reader
+    that is registered as `parser` (case apart), else by the default one, else none.
+
+        SELECT l.id, t.test, t.status FROM logs l, LATERAL parse_log(l.log, l.parser) t
+
+    Registering again under the same name replaces the readers, so formats can be added while a session runs. Null logs
+    have no rows. Other arguments than two strings are refused when the query is analysed. Rows pass in Arrow batches.
+    """
+    known = {k.lower(): r for k, r in readers.items()}
+    fallback = known[default.lower()] if default is not None else None
+    schema = T.StructType([T.StructField("test", T.StringType()), T.StructField("status", T.StringType())])
+
+    class ParseLog:
+        @staticmethod
+        def analyze(log, parser):
+            for argument in (log, parser):
+                if not isinstance(argument.dataType, (T.StringType, T.NullType)):
+                    raise ValueError(f"{name}(log, parser) takes two strings, not {argument.dataType.simpleString()}")
+            return AnalyzeResult(schema)
+
+        def eval(self, log, parser):
+            read = known.get((parser or "").lower(), fallback)
+            if log is None or read is None:
+                return
+            yield from {test: status for test, status in read(log) if test and status is not None}.items()
+
+    spark.udtf.register(name, F.udtf(ParseLog, useArrow=True))
 
 
 def eval_section(log: Column, start: str, failures: list[str]) -> Column:

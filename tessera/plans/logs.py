@@ -152,6 +152,45 @@ def u03(spark, d):
     return best(_log(_rows(spark, d), _c("status", " ", "test")), ["l_orderkey"], "log")
 
 
+MIXED = f"""WITH {ROWS},
+    numpy AS (SELECT l_orderkey, string_split(test, '[')[1] AS test, min(status) AS status FROM last WHERE l_orderkey % 5 = 4 GROUP BY 1, 2 HAVING count(*) = 1)
+    SELECT l_orderkey, CASE l_orderkey % 5 WHEN 1 THEN replace(test, '[', '[/') ELSE test END AS test, status FROM last WHERE l_orderkey % 5 < 4 UNION ALL SELECT * FROM numpy"""
+
+
+@query("u03_l07_mixed_repositories", MIXED)
+def u03_mixed(spark, d):
+    """Logs of five formats in one table, read once."""
+    kind = F.col("l_orderkey") % 5
+    word = F.when(F.col("status") == "FAILED", "FAIL").when(F.col("status") == "PASSED", "ok").otherwise("skipped 'why'")
+    line = (
+        F.when(kind == 1, _c("status", " ", F.replace("test", F.lit("["), F.lit("[/tmp/x/")), " more"))
+        .when(kind == 2, _c("  ", "test", " ... ", word))
+        .when(kind == 3, F.when(F.col("pos") % 2 == 0, _c("\x1b[32m", "status", "\x1b[0m ", "test")).otherwise(_c("test", " ", "status")))
+        .otherwise(_c("status", " ", "test", F.when(F.col("status") == "FAILED", " - assert [1] == 2").otherwise(" 3%")))
+    )
+    repo = F.when(kind == 1, "psf/Requests").when(kind == 2, "django/django").when(kind == 3, "astropy/astropy").when(kind == 4, "numpy/numpy")
+    return logs.parse_logs(_log(_rows(spark, d), line).withColumn("repo", repo), ["l_orderkey"], "log", "repo")
+
+
+@query("u03_parser_function", LAST)
+def u03_function(spark, d):
+    """Two formats that the library does not know, registered in this session and called from SQL."""
+
+    def arrows(log):
+        for line in log.splitlines():
+            name, arrow, verdict = line.partition(" => ")
+            if arrow:
+                yield name, {"good": "PASSED", "bad": "FAILED"}.get(verdict, "SKIPPED")
+
+    table_lines = logs.pattern_reader(r"^\| (?P<test>\S+) *\| *(?P<status>\w+) \|$", {"Yes": "PASSED", "No": "FAILED"}, "SKIPPED")
+    logs.register_log_function(spark, {"arrows": arrows, "Table": table_lines}, "parse_own_log", default="arrows")
+    even = F.col("l_orderkey") % 2 == 0
+    word = lambda good, bad: F.when(F.col("status") == "PASSED", good).when(F.col("status") == "FAILED", bad).otherwise("?")
+    line = F.when(even, _c("| ", "test", " | ", F.when(F.col("status") == "SKIPPED", "Never").otherwise(word("yes", "NO")), " |")).otherwise(_c("test", " => ", word("good", "bad")))
+    own = _log(_rows(spark, d), line, "begin\n").withColumn("parser", F.when(even, "table"))
+    return spark.sql("SELECT o.l_orderkey, t.test, t.status FROM {own} o, LATERAL parse_own_log(o.log, o.parser) t", own=own)
+
+
 @query("x39_drop_trailing", "SELECT l_orderkey, l_linenumber, 'a::b[x[' || l_partkey || ']y]' AS test FROM lineitem")
 def x39(spark, d):
     name = F.concat(F.lit("a::b[x["), F.col("l_partkey").cast("string"), F.lit("]y] tail ]"))
