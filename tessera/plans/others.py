@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import graph
 from tessera.plans.registry import numbered_lines, query, table
 from tessera.sources import readers, writers
-from tessera.streaming import jobs
+from tessera.streaming import jobs, stateful
 
 
 def shared(spark: SparkSession, name: str) -> str:
@@ -265,6 +266,105 @@ def r07(spark, d):
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "n")
 
 
+def _slices(spark, d, n: int = 4):
+    """Events in n slices of time, each a few files written behind those of the one before: a stream that moves on."""
+    rows = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    ends = rows.select(F.unix_micros("ts").alias("at")).agg(F.percentile_approx("at", [i / n for i in range(1, n)], 1000).alias("q")).first().q or []
+    for low, high in zip([None, *ends], [*ends, None], strict=True):
+        at = F.unix_micros("ts")
+        yield rows.where((at > low if low is not None else F.lit(True)) & (at <= high if high is not None else F.lit(True)))
+
+
+EVENT_TYPES = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
+
+
+def _moving_stream(spark, d):
+    path, files = shared(spark, "slices"), 2
+    for part in _slices(spark, d):
+        part.repartition(files).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
+    return jobs.json_stream(spark, path, EVENT_TYPES, files)
+
+
+#: The watermark that a stream of events ends with: milliseconds, an hour behind its last row.
+WATERMARK = "(SELECT max(epoch_us(ts)) // 1000 * 1000 - 3600000000 AS now FROM events)"
+
+
+@query(
+    "r03_token_bucket",
+    f"""WITH s AS (SELECT user_id, event_id, epoch_us(ts) AS arrived, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), event_id) AS i FROM events),
+        f AS (SELECT *, max(arrived - (i - 1) * 21600000000) OVER (PARTITION BY user_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + (i - 1) * 21600000000 AS filled FROM s),
+        r AS (SELECT user_id, event_id, arrived, greatest(arrived, filled - 2 * 21600000000) AS released FROM f)
+        SELECT user_id, event_id, arrived, released, released > arrived AS waited FROM r, {WATERMARK} WHERE released <= now""",
+)
+def r03_bucket(spark, d):
+    """Three tokens a user, one more every six hours; all that the stream's watermark has let go."""
+    limited = stateful.token_bucket(_moving_stream(spark, d), "user_id", "event_id", "ts", "1 hour", 3, 6 * 3600 * 10**6)
+    with stateful.rocksdb(spark):
+        out = jobs.run_to_table(limited, shared(spark, "r03"), shared(spark, "state"))
+    return out.select(F.col("key").alias("user_id"), F.col("id").alias("event_id"), "arrived", "released", (F.col("released") > F.col("arrived")).alias("waited"))
+
+
+@query(
+    "r03_paced_table",
+    """WITH RECURSIVE s AS (SELECT user_id, event_id, epoch_us(ts) AS t, 1 + event_id % 3 AS cost, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), event_id) AS i FROM events),
+        b AS (
+            SELECT user_id, event_id, i, t AS arrived, t AS released, t + cost * 3600000000 AS filled FROM s WHERE i = 1
+            UNION ALL
+            SELECT s.user_id, s.event_id, s.i, s.t, greatest(s.t, b.filled - (5 - s.cost) * 3600000000), greatest(s.t, b.filled) + s.cost * 3600000000 FROM b JOIN s ON s.user_id = b.user_id AND s.i = b.i + 1)
+        SELECT user_id, event_id, arrived, released FROM b""",
+)
+def r03_paced(spark, d):
+    """The same over a whole table by windows, rows costing one to three of five tokens; the SQL goes row by row."""
+    rows = table(spark, d, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    out = stateful.paced(rows, "user_id", "event_id", "ts", 5, 3600 * 10**6, F.col("event_id") % 3 + 1)
+    return out.select(F.col("key").alias("user_id"), F.col("id").alias("event_id"), "arrived", "released")
+
+
+@query(
+    "r04_expiring_keys",
+    f"""WITH RECURSIVE s AS (SELECT user_id || '/' || event_type AS key, event_id, epoch_us(ts) AS t FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL),
+        lives AS (
+            SELECT key, min(t) AS t, 1 AS life FROM s GROUP BY key
+            UNION ALL
+            SELECT s.key, min(s.t), l.life + 1 FROM lives l JOIN s ON s.key = l.key AND s.t >= l.t + 432000000000 GROUP BY s.key, l.life)
+        SELECT key, 'new' AS event, l.t AS "at", (SELECT min(event_id) FROM s WHERE s.key = l.key AND s.t = l.t) AS id, 0 AS hits FROM lives l, {WATERMARK} WHERE l.t <= now
+        UNION ALL
+        SELECT key, 'expired', l.t + 432000000000, NULL, (SELECT count(*) - 1 FROM s WHERE s.key = l.key AND s.t >= l.t AND s.t < l.t + 432000000000) FROM lives l, {WATERMARK} WHERE l.t + 432000000000 <= now""",
+)
+def r04_expiring(spark, d):
+    """Keys that are known for five days, are forgotten, and come again."""
+    key = F.concat_ws("/", F.col("user_id").cast("string"), "event_type")
+    found = stateful.expiring_keys(_moving_stream(spark, d), F.when(F.col("user_id").isNotNull() & F.col("event_type").isNotNull(), key), "event_id", "ts", "1 hour", 5 * 24 * 3600 * 10**6)
+    with stateful.rocksdb(spark):
+        return jobs.run_to_table(found, shared(spark, "r04"), shared(spark, "state"))
+
+
+@query("r01_r05_live_tail", "SELECT event_id, event_type, 1 AS copies FROM events WHERE value > 50")
+def r01_tail(spark, d):
+    """Slices arrive while the query runs; it is stopped between output and ledger of its second batch and started again."""
+    path, out, state = shared(spark, "arriving"), shared(spark, "tail"), shared(spark, "state")
+    sink = jobs.IdempotentSink(out, shared(spark, "ledger"), crash_at=1)
+    slices = list(_slices(spark, d))
+    slices[0].write.json(path)
+    passed = jobs.json_stream(spark, path, EVENT_TYPES).where("value > 50").select("event_id", "event_type")
+    tail = jobs.live_tail(passed, sink, state, "100 milliseconds")
+    try:
+        for part in slices[1:]:
+            try:
+                tail.processAllAvailable()
+            except StreamingQueryException:
+                tail = jobs.live_tail(passed, sink, state, "100 milliseconds")
+            part.write.mode("append").json(path)
+        tail.processAllAvailable()
+    except StreamingQueryException:
+        tail = jobs.live_tail(passed, sink, state, "100 milliseconds")
+        tail.processAllAvailable()
+    finally:
+        tail.stop()
+    known = sink.rows(spark, "event_id bigint, event_type string").join(sink.ledger(spark).select("batch"), "batch", "left_semi")
+    return known.groupBy("event_id", "event_type").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+
+
 @query("r03_r04_stream_expiry", "SELECT user_id, event_type, min(ts) IS NOT NULL AS seen FROM events GROUP BY 1, 2")
 def r03(spark, d):
     """The rate is the stream's files per trigger; keys expire with the event time."""
