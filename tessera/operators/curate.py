@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.diffs import all_code_free, any_test_file, edits, is_non_code_only, modified_files, touches_tests
 from tessera.functions.text import instance_id, is_blank, mentions_performance, performance_pull
+from tessera.operators.sweep import carried, plain, swept
 
 
 def build_instances(pulls: DataFrame, language: str = "python") -> DataFrame:
@@ -145,12 +146,9 @@ def keyword_counts(df: DataFrame, keywords: list[str], fields: list[str]) -> Dat
 
 
 def running_cost(df: DataFrame, order: list[str], cost: str, cap: float, by: list[str]) -> DataFrame:
-    """Adds spent (with this row) and allowed: rows up to and with the first that passes the cap."""
-    from pyspark.sql import Window
-
-    upto = Window.partitionBy(*by).orderBy(*order)
-    spent = F.sum(cost).over(upto.rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("spent", spent).withColumn("allowed", F.col("spent") - F.col(cost) <= cap)
+    """Adds spent (with this row) and allowed: rows up to and with the first that passes the cap. A sweep in order."""
+    rows = carried(swept(df, by, order), {"spent": ("sum", F.col(cost))})
+    return plain(rows).withColumn("allowed", F.col("spent") - F.col(cost) <= cap)
 
 
 def run_report(instances: DataFrame, predictions: DataFrame, reports: DataFrame) -> DataFrame:

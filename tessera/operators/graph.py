@@ -1,33 +1,67 @@
 """Call graphs: reachable parts, depths, ancestors; edges and flame layouts; greedy selection.
 
-Searches advance one level of all graphs at a time by equi-joins, with a visited set, so cycles end. A level's frontier
-is written to the checkpoint folder, which cuts the lineage.
+Searches go by equi-joins over all graphs at a time and write each round to the shared folder, which cuts the lineage.
+Functions that have one caller and one callee are passed in one step, however many stand in a row.
 """
 
 from __future__ import annotations
 
+import math
 from itertools import count
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.sweep import carried, swept
+from tessera.sources.shared import save
+
+
+def _chains(edges: DataFrame, ends: DataFrame, graph: str) -> DataFrame:
+    """(graph, node, start, steps): for each node inside a chain the node that the chain comes from, and how far.
+
+    Inside are nodes with one caller and one callee that are none of `ends`. Pointers to callers double each round, so a
+    chain takes as many rounds as the logarithm of its length. Rings that nothing enters never reach a start; they are
+    left out.
+    """
+    one = lambda end, other: edges.groupBy(graph, F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min(other).alias(other)).where("n = 1").drop("n")
+    inside = one("callee", "caller").join(one("caller", "callee").select(graph, "node"), [graph, "node"]).join(ends.select(graph, "node"), [graph, "node"], "left_anti")
+    state = save(inside.select(graph, "node", F.col("caller").alias("start"), F.lit(1).alias("steps")), "chains")
+    longest = math.ceil(math.log2(state.count() + 1)) + 1
+    for _ in range(longest):
+        mid = state.select(graph, F.col("node").alias("start"), F.col("start").alias("_next"), F.col("steps").alias("_more"))
+        open_ = state.join(mid.select(graph, "start"), [graph, "start"], "left_semi")
+        if open_.isEmpty():
+            break
+        jumped = state.join(mid, [graph, "start"], "left")
+        state = save(jumped.select(graph, "node", F.coalesce("_next", "start").alias("start"), (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps")), "chains")
+    return state.join(state.select(graph, F.col("node").alias("start")), [graph, "start"], "left_anti")
+
 
 def min_depths(edges: DataFrame, roots: DataFrame, graph: str = "graph") -> DataFrame:
     """(graph, node, depth): least number of calls from a root. edges (graph, caller, callee); roots (graph, node).
 
-    Ends when a level finds nothing new, however deep. What was found is written out every 20 levels, so that plans stay short.
+    Chains of single calls are edges with a length; a round takes all of them one edge on from what it has found or
+    shortened, until nothing is. So the rounds are the calls between branches, and a chain of any length counts as one.
     """
-    found = roots.select(graph, "node").distinct().withColumn("depth", F.lit(0))
-    frontier = found
-    for depth in count(1):
-        step = frontier.join(edges.withColumnRenamed("caller", "node"), [graph, "node"]).select(graph, F.col("callee").alias("node")).distinct()
-        frontier = step.join(found, [graph, "node"], "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
+    edges = save(edges.where("caller <> callee").select(graph, "caller", "callee").distinct(), "edges")
+    roots = roots.select(graph, "node").distinct()
+    chains = save(_chains(edges, roots, graph), "chains")
+    # an edge out of a chain begins where the chain does; edges into chains need not be walked
+    out = edges.join(chains.select(graph, F.col("node").alias("caller"), "start", "steps"), [graph, "caller"], "left")
+    hops = out.select(graph, F.coalesce("start", "caller").alias("node"), "callee", (F.coalesce("steps", F.lit(0)) + 1).alias("length"))
+    hops = save(hops.join(chains.select(graph, F.col("node").alias("callee")), [graph, "callee"], "left_anti"), "hops")
+    frontier = found = save(roots.withColumn("depth", F.lit(0)), "depths")
+    for level in count(1):
+        step = frontier.join(hops, [graph, "node"]).groupBy(graph, F.col("callee").alias("node")).agg(F.min(F.col("depth") + F.col("length")).alias("depth"))
+        known = found.select(graph, "node", F.col("depth").alias("_known"))
+        frontier = save(step.join(known, [graph, "node"], "left").where("_known is null or depth < _known").drop("_known"), "depths")
         if frontier.isEmpty():
-            return found
-        found = found.unionByName(frontier)
-        if depth % 20 == 0:
-            found = found.checkpoint()
+            break
+        found = found.unionByName(frontier).groupBy(graph, "node").agg(F.min("depth").alias("depth"))
+        if level % 10 == 0:
+            found = save(found, "depths")
+    inside = chains.join(found.select(graph, F.col("node").alias("start"), "depth"), [graph, "start"])
+    return found.unionByName(inside.select(graph, "node", (F.col("depth") + F.col("steps")).alias("depth")))
 
 
 def reachable(edges: DataFrame, roots: DataFrame, graph: str = "graph") -> DataFrame:
@@ -76,48 +110,61 @@ def captured_gain(gold: DataFrame, pred: DataFrame, graph: str) -> DataFrame:
 def flame_layout(edges: DataFrame, graph: str = "graph", root: str = "root") -> DataFrame:
     """Boxes (graph, node, depth, left, width): children share their parent's width by weight, in node order.
 
-    edges (graph, parent, node, weight) form a tree under `root`. One level is laid out at a time; widths are products
-    along the path, so a level is one join and one window.
+    edges (graph, parent, node, weight) form a tree under `root`; a node with several parents, or a root that has one,
+    raises. One level is laid out at a time, to whatever depth; widths are products along the path, so a level is one
+    join. What is not under the root has no box.
     """
-    from pyspark.sql import Window
-
+    several = edges.groupBy(graph, "node").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | (F.col("node") == root)).first()
+    if several:
+        raise ValueError(f"the edges are no tree: {several['node']!r} has a parent too many")
     per = Window.partitionBy(graph, "parent")
     order = per.orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
     share = edges.withColumn("part", F.col("weight") / F.sum("weight").over(per)).withColumn("before", F.coalesce(F.sum("weight").over(order), F.lit(0.0)) / F.sum("weight").over(per))
+    share = save(share.select(graph, "parent", "node", "part", "before"), "shares")
     level = edges.select(graph).distinct().select(graph, F.lit(root).alias("node"), F.lit(0).alias("depth"), F.lit(0.0).alias("left"), F.lit(1.0).alias("width"))
     out = level
-    for depth in range(1, 200):
+    for depth in count(1):
         above = level.select(graph, F.col("node").alias("parent"), F.col("left").alias("_l"), F.col("width").alias("_w"))
-        level = (
-            share.join(above, [graph, "parent"])
-            .select(graph, "node", F.lit(depth).alias("depth"), (F.col("_l") + F.col("_w") * F.col("before")).alias("left"), (F.col("_w") * F.col("part")).alias("width"))
-            .checkpoint()
-        )
+        placed = share.join(above, [graph, "parent"])
+        level = save(placed.select(graph, "node", F.lit(depth).alias("depth"), (F.col("_l") + F.col("_w") * F.col("before")).alias("left"), (F.col("_w") * F.col("part")).alias("width")), "boxes")
         if level.isEmpty():
             return out
         out = out.unionByName(level)
-    raise ValueError("the edges are no tree")
+        if depth % 20 == 0:
+            out = save(out, "boxes")
 
 
 def greedy_selection(nodes: DataFrame, graph: str, cap: float) -> DataFrame:
-    """Deepest-first choice of functions, none under a chosen one's ancestors, until the share of mass passes cap.
+    """(graph, node): the choice of functions made from the deepest on, skipping callers of chosen ones, until their mass
+    reaches `cap` of the graph's.
 
-    nodes (graph, node, depth, mass, ancestors array). The rule is sequential within one call graph, which is the size
-    of one program's profile; graphs run in parallel.
-    """
+    nodes (graph, node, depth, mass, ancestors array, and share if there is one), a node once a graph. The order is by
+    depth, share and mass, the largest first, then by node; nulls count as 0. The node that reaches the cap is still
+    chosen, so a graph with nodes has one at least. Ancestors that are no nodes are ignored.
 
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["depth", "mass", "node"], ascending=[False, False, True])
-        total, taken, banned, rows = pdf["mass"].sum(), 0.0, set(), []
-        for r in pdf.itertuples():
-            if total <= 0 or taken / total >= cap:
-                break
-            if r.node in banned:
-                continue
-            rows.append(r.node)
-            taken += r.mass
-            banned.update(r.ancestors)
-        return pd.DataFrame({graph: [pdf[graph].iloc[0]] * len(rows), "node": rows})
-
-    kind, node = nodes.schema[graph].dataType.simpleString(), nodes.schema["node"].dataType.simpleString()
-    return nodes.groupBy(graph).applyInPandas(choose, f"{graph} {kind}, node {node}")
+    The sequential rule in rounds for all graphs at a time: a node before which no undecided node can bar it is chosen, and
+    bars its ancestors behind it. Sums up to the cap go by a sweep; no graph meets in one task.
+    """
+    zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    share = zero("share") if "share" in nodes.columns else F.lit(0.0)
+    rank = F.struct((-zero("depth")).alias("d"), (-share).alias("s"), (-zero("mass")).alias("m"), F.col("node").alias("n"))
+    ranked = save(nodes.select(graph, "node", zero("mass").alias("mass"), rank.alias("rank"), "ancestors"), "candidates")
+    bars = ranked.select(graph, "node", "rank", F.explode("ancestors").alias("barred")).join(ranked.select(graph, F.col("node").alias("barred"), F.col("rank").alias("_behind")), [graph, "barred"])
+    bars = save(bars.where("rank < _behind").select(graph, "node", "barred").distinct(), "bars")
+    left, chosen = ranked.select(graph, "node"), None
+    while True:
+        free = save(left.join(bars.select(graph, F.col("barred").alias("node")), [graph, "node"], "left_anti"), "chosen")
+        if free.isEmpty():
+            break
+        chosen = free if chosen is None else chosen.unionByName(free)
+        out = bars.join(free, [graph, "node"], "left_semi").select(graph, F.col("barred").alias("node")).unionByName(free)
+        left = save(left.join(out, [graph, "node"], "left_anti"), "undecided")
+        bars = bars.join(left, [graph, "node"], "left_semi").join(left.select(graph, F.col("node").alias("barred")), [graph, "barred"], "left_semi")
+        bars = save(bars, "bars")
+    if chosen is None:
+        return ranked.select(graph, "node")
+    caps = ranked.groupBy(graph).agg((F.sum("mass") * cap - 1e-12).alias("_cap"))
+    rows = swept(ranked.drop("ancestors").join(chosen, [graph, "node"]).join(caps, graph), [graph], ["rank"])
+    rows = carried(rows, {"_mass": ("sum", F.col("mass"))})
+    rows = carried(rows, {"_most": ("max", F.col("_mass"))}, behind=True)
+    return rows.where("_most is null or _most < _cap").select(graph, "node")

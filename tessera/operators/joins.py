@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.sweep import carried, swept
+
 
 def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the largest `order` for each key, by one grouped maximum."""
@@ -115,17 +117,17 @@ def suffix_matches(absolute: DataFrame, relative: DataFrame) -> DataFrame:
     )
 
 
-def covering_ranges(outer: DataFrame, inner: DataFrame, by: list[str], width: int) -> DataFrame:
-    """Inner ranges [begin, end) that an outer range of their group contains, by an equi-join on buckets of `width`.
+def covering_ranges(outer: DataFrame, inner: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct ranges of inner (by..., begin, end) that one range of outer holds whole; ends are exclusive, empty outer ranges hold nothing.
 
-    An inner range lies in every outer range's bucket that holds its begin, so outer ranges are listed once per bucket
-    that they touch; the cost follows their length, not the pairs.
+    A sweep by begin: a range is held if, of the outer ranges that begin no later, the largest end is no smaller. Every
+    range is one row, however long it is.
     """
-    cells = F.explode(F.sequence(F.floor(F.col("begin") / width), F.floor((F.col("end") - 1) / width)))
-    a = outer.where("end > begin").select(*by, F.col("begin").alias("o_begin"), F.col("end").alias("o_end"), cells.alias("_cell"))
-    b = inner.withColumn("_cell", F.floor(F.col("begin") / width))
-    hit = b.join(a, [*by, "_cell"]).where("o_begin <= begin and o_end >= end")
-    return hit.select(*inner.columns).distinct()
+    a = outer.where("end > begin").select(*by, "begin", "end", F.lit(0).alias("_inner"))
+    b = inner.select(*by, "begin", "end", F.lit(1).alias("_inner"))
+    rows = swept(a.unionByName(b), by, ["begin", "_inner"])
+    rows = carried(rows, {"_reach": ("max", F.when(F.col("_inner") == 0, F.col("end")))})
+    return rows.where("_inner = 1 and _reach >= end").select(*by, "begin", "end").distinct()
 
 
 def update_non_null(left: DataFrame, right: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -171,11 +173,13 @@ def share_work(rows: DataFrame, keys: list[str], compute, keep_keyless: bool = T
     return out.unionByName(rows.where(~has), allowMissingColumns=True) if keep_keyless else out
 
 
-def comments_before(items: DataFrame, comments: DataFrame, key: str, cutoff: str, time: str, text: str) -> DataFrame:
-    """Texts of the comments of each item before its cutoff, in order, stopping at the first that is not before."""
-    order = Window.partitionBy(key).orderBy(time, text).rowsBetween(Window.unboundedPreceding, 0)
-    late = F.max((F.col(time) >= F.col(cutoff)).cast("int")).over(order)
-    kept = comments.join(items.select(key, cutoff), key).withColumn("_late", late).where("_late = 0")
-    texts = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(time, text))).alias("_c"))
-    return items.join(texts, key, "left").withColumn("hints", F.array_join(F.transform("_c", lambda c: c[text]), "\n")).drop("_c")
-
+def comments_before(items: DataFrame, comments: DataFrame, key: str, cutoff: str, time: str, text: str, place: str | None = None) -> DataFrame:
+    """Texts of the comments of each item before its cutoff, in the order of `place` (time and text if none is given),
+    stopping at the first that is not before. Where that is, is a grouped minimum; comments without a time are left out."""
+    order = F.struct(place) if place else F.struct(time, text)
+    rows = comments.join(items.select(key, cutoff), key).where(F.col(time).isNotNull() & F.col(cutoff).isNotNull()).withColumn("_o", order)
+    late = F.col(time) >= F.col(cutoff)
+    ends = rows.where(late).groupBy(key).agg(F.min("_o").alias("_end"))
+    kept = rows.where(~late).join(ends, key, "left").where("_end is null or _o < _end")
+    texts = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_o", F.col(text).alias("_t")))).alias("_c"))
+    return items.join(texts, key, "left").withColumn("hints", F.array_join(F.transform("_c", lambda c: c["_t"]), "\n")).drop("_c")

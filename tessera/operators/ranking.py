@@ -10,17 +10,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.perf import positive_finite
+from tessera.operators.sweep import carried, swept
 
 
 def harmonic_curve(df: DataFrame, x: str, ratio: str, by: list[str]) -> DataFrame:
     """Running harmonic mean of ratio over the rows with x at most this x, positive finite rows only; a row per x.
 
-    Rows combine by x before the window, which then holds one row per distinct x of a group.
+    Rows combine by x first; the distinct x of a group are swept part by part.
     """
     good = df.where(positive_finite(F.col(x)) & positive_finite(F.col(ratio)))
     per = good.groupBy(*by, x).agg(F.count(F.lit(1)).alias("_n"), F.sum(1 / F.col(ratio)).alias("_s"))
-    upto = Window.partitionBy(*by).orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
-    return per.select(*by, x, F.sum("_n").over(upto).alias("n"), (F.sum("_n").over(upto) / F.sum("_s").over(upto)).alias("hm"))
+    rows = carried(swept(per, by, [x]), {"n": ("sum", F.col("_n")), "_sum": ("sum", F.col("_s"))})
+    return rows.select(*by, x, "n", (F.col("n") / F.col("_sum")).alias("hm"))
 
 
 def exact_quantiles(df: DataFrame, x: str, quantiles: dict[str, float], by: Sequence[str] = (), parts: int = 128) -> DataFrame:
@@ -99,13 +100,13 @@ def unique_prefix(df: DataFrame, name: str, by: list[str]) -> DataFrame:
 
 
 def merge_intervals(df: DataFrame, by: list[str], begin: str = "begin", end: str = "end") -> DataFrame:
-    """Half-open intervals merged where they overlap or touch."""
-    order = Window.partitionBy(*by).orderBy(begin, end)
-    upto = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = (upto.isNull() | (F.col(begin) > upto)).cast("int")
-    marked = df.where(F.col(end) > F.col(begin)).withColumn("_new", new)
-    island = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return marked.withColumn("_island", island).groupBy(*by, "_island").agg(F.min(begin).alias(begin), F.max(end).alias(end)).drop("_island")
+    """Half-open intervals merged where they overlap or touch. A sweep by begin: an interval behind all ends so far begins
+    an island; islands are numbered by a second pass over the same order."""
+    rows = swept(df.where(F.col(end) > F.col(begin)).select(*by, begin, end), by, [begin, end])
+    rows = carried(rows, {"_upto": ("max", F.col(end))}, behind=True)
+    new = (F.col("_upto").isNull() | (F.col(begin) > F.col("_upto"))).cast("long")
+    rows = carried(rows, {"_island": ("sum", new)})
+    return rows.groupBy("_k", "_island").agg(*[F.first(c).alias(c) for c in by], F.min(begin).alias(begin), F.max(end).alias(end)).drop("_k", "_island")
 
 
 def running_numbers(df: DataFrame, order: Column, chunk: Column, by: list[str]) -> DataFrame:

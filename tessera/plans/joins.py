@@ -167,7 +167,7 @@ RANGES = """
 def j09(spark, d):
     rows = table(spark, d, "orders")
     part = lambda m, n: rows.select("o_custkey", (F.col("o_orderkey") % m).alias("begin"), (F.col("o_orderkey") % m + n).alias("end"))
-    return joins.covering_ranges(part(1000, 40), part(977, 10), ["o_custkey"], 50)
+    return joins.covering_ranges(part(1000, 40), part(977, 10), ["o_custkey"])
 
 
 @query("j10_j11_semi", "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")

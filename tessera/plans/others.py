@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -11,22 +9,15 @@ from pyspark.sql import functions as F
 from tessera.operators import graph
 from tessera.plans.registry import numbered_lines, query, table
 from tessera.sources import readers, writers
+from tessera.sources.shared import new_path, shared_dir
 from tessera.streaming import jobs, stateful
 
 
 def shared(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; in local mode without one, in a temporary folder."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        import tempfile
-
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", found)
+    """A new path in the shared folder, which is the checkpoint folder too."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
-    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return new_path(spark, name)
 
 
 @query("s01_s02_k01_jsonl_round_trip", "SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS c_mktsegment FROM customer")
@@ -129,30 +120,49 @@ def s16b(spark, d):
     return readers.gcovr_lines(text, "json", ["l_orderkey"])
 
 
+# ten graphs over all lines; a part calls seven others, or as many as it has suppliers and lines
 EDGES = """
-    e AS (SELECT DISTINCT l_suppkey % 10 AS g, l_partkey % 60 AS caller, (l_partkey * 7 + l_linenumber) % 90 AS callee FROM lineitem WHERE l_partkey % 60 < 25),
-    r AS (SELECT g, 0 AS node FROM (SELECT DISTINCT l_suppkey % 10 AS g FROM lineitem))
+    p AS (SELECT max(l_partkey) + 1 AS n FROM lineitem),
+    e AS (SELECT DISTINCT l_suppkey % 10 AS g, l_partkey AS caller, (l_partkey * 7 + l_linenumber) % n AS callee FROM lineitem, p),
+    r AS (SELECT g, min(caller) AS node FROM e GROUP BY g)
 """
 
 
 def _edges(spark, d):
     shared(spark, "graph")
-    p = F.col("l_partkey")
-    return table(spark, d, "lineitem").where("l_partkey % 60 < 25").select((F.col("l_suppkey") % 10).alias("graph"), (p % 60).alias("caller"), ((p * 7 + F.col("l_linenumber")) % 90).alias("callee")).distinct()
+    rows = table(spark, d, "lineitem")
+    p, n = F.col("l_partkey"), rows.agg(F.max("l_partkey") + 1).first()[0]
+    return rows.select((F.col("l_suppkey") % 10).alias("graph"), p.alias("caller"), ((p * 7 + F.col("l_linenumber")) % n).alias("callee")).distinct()
 
 
-def _roots(spark, d):
-    return table(spark, d, "lineitem").select((F.col("l_suppkey") % 10).alias("graph")).distinct().withColumn("node", F.lit(0).cast("long"))
+def _roots(edges):
+    return edges.groupBy("graph").agg(F.min("caller").alias("node"))
 
 
-@query("g01_g02_min_depths", f"WITH RECURSIVE {EDGES}, w AS (SELECT g, CAST(node AS BIGINT) AS node, 0 AS depth FROM r UNION SELECT w.g, e.callee, w.depth + 1 FROM w JOIN e ON e.g = w.g AND e.caller = w.node WHERE w.depth < 25) SELECT g AS graph, node, min(depth) AS depth FROM w GROUP BY 1, 2")
+@query(
+    "g01_g02_min_depths",
+    f"""WITH RECURSIVE {EDGES}, w(g, node, depth) USING KEY (g, node) AS (
+            SELECT g, node, 0 FROM r
+            UNION
+            SELECT w.g, e.callee, min(w.depth) + 1 FROM w JOIN e ON e.g = w.g AND e.caller = w.node LEFT JOIN recurring.w AS k ON k.g = e.g AND k.node = e.callee WHERE k.node IS NULL GROUP BY 1, 2)
+        SELECT g AS graph, node, depth FROM w""",
+)
 def g01(spark, d):
-    return graph.min_depths(_edges(spark, d), _roots(spark, d))
+    edges = _edges(spark, d)
+    return graph.min_depths(edges, _roots(edges))
 
 
-@query("g03_ancestors", f"WITH RECURSIVE {EDGES}, w AS (SELECT g, caller AS node FROM e WHERE callee = 5 UNION SELECT w.g, e.caller FROM w JOIN e ON e.g = w.g AND e.callee = w.node) SELECT g AS graph, node FROM w")
+@query(
+    "g03_ancestors",
+    f"""WITH RECURSIVE {EDGES}, t AS (SELECT g, max(callee) AS node FROM e GROUP BY g), w(g, node) USING KEY (g, node) AS (
+            SELECT e.g, e.caller FROM e JOIN t ON t.g = e.g AND e.callee = t.node
+            UNION
+            SELECT DISTINCT w.g, e.caller FROM w JOIN e ON e.g = w.g AND e.callee = w.node LEFT JOIN recurring.w AS k ON k.g = e.g AND k.node = e.caller WHERE k.node IS NULL)
+        SELECT g AS graph, node FROM w""",
+)
 def g03(spark, d):
-    return graph.ancestors(_edges(spark, d), _roots(spark, d).withColumn("node", F.lit(5).cast("long")))
+    edges = _edges(spark, d)
+    return graph.ancestors(edges, edges.groupBy("graph").agg(F.max("callee").alias("node")))
 
 
 @query("g04_edge_inversion", "SELECT l_suppkey AS caller, l_partkey AS callee, count(*) AS calls, round(sum(l_tax), 6) AS tot_time, round(sum(l_quantity), 6) AS cum_time FROM lineitem GROUP BY 1, 2")
@@ -220,12 +230,24 @@ def a21(spark, d):
 @query("w12_greedy_selection")
 def w12(spark, d):
     nodes = numbered_lines(spark, d).select(
-        F.col("l_suppkey").alias("graph"), F.concat_ws("-", "l_orderkey", "pos").alias("node"), F.col("l_linenumber").alias("depth"), F.col("l_quantity").alias("mass"),
+        F.col("l_suppkey").alias("graph"), F.concat_ws("-", "l_orderkey", "pos").alias("node"), F.col("l_linenumber").alias("depth"), F.col("l_quantity").alias("mass"), F.col("l_tax").alias("share"),
         F.transform(F.sequence(F.lit(1), F.greatest(F.col("l_linenumber") - 1, F.lit(1))), lambda i: F.concat_ws("-", "l_orderkey", i)).alias("ancestors"),
     )
     return graph.greedy_selection(nodes, "graph", 0.8)
 
 
+@query(
+    "w12_deepest_orders",
+    """WITH n AS (SELECT o_custkey AS g, o_orderkey AS node, o_orderkey % 8 AS depth, o_totalprice AS mass FROM orders),
+        s AS (SELECT *, sum(mass) OVER w - mass AS before, 0.5 * sum(mass) OVER (PARTITION BY g) AS cap FROM n WINDOW w AS (PARTITION BY g ORDER BY depth DESC, mass DESC, node ROWS UNBOUNDED PRECEDING))
+        SELECT g AS graph, node FROM s WHERE before < cap - 1e-12""",
+)
+def w12_flat(spark, d):
+    """Without ancestors: the order and the cap alone."""
+    nodes = table(spark, d, "orders").select(F.col("o_custkey").alias("graph"), F.col("o_orderkey").alias("node"), (F.col("o_orderkey") % 8).alias("depth"), F.col("o_totalprice").alias("mass"), F.array().cast("array<bigint>").alias("ancestors"))
+    return graph.greedy_selection(nodes, "graph", 0.5)
+
+
 def _event_stream(spark, d):
     files = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
     path = shared(spark, "events")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import bins
-from tessera.operators import curate, ranking
+from tessera.operators import curate, ranking, sampling
 from tessera.plans.registry import query, table
 
 
@@ -221,6 +221,13 @@ def t07(spark, d):
     return ranking.stratified_sample(table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), ["o_orderstatus", "o_orderpriority"], 200, 7, "o_orderkey")
 
 
+@query("t07_quota_sample")
+def t07_quotas(spark, d):
+    """600 orders, spread as all are by lines, price and time to ship, and rare combinations of them."""
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("double").alias("lines"), F.sum("l_extendedprice").alias("price"), F.max(F.col("l_quantity") / (F.col("l_tax") + 0.01)).alias("load"))
+    return sampling.quota_sample(lines, "l_orderkey", ["lines", "price", "load"], 600, bins=12, seed=7)
+
+
 @query("t09_capped_list", "SELECT o_custkey, list_slice(list_sort(list(o_orderkey)), 1, 10) AS some FROM orders GROUP BY 1")
 def t09(spark, d):
     return table(spark, d, "orders").groupBy("o_custkey").agg(F.slice(F.sort_array(F.collect_list("o_orderkey")), 1, 10).alias("some"))
