@@ -161,11 +161,15 @@ def full_version(raw: Column) -> Column:
     return F.nullif(strip(F.regexp_replace(strip(raw), r"^[vV]", "")), F.lit(""))
 
 
+# fixed values: what a Python requirement looks like, and the version where there is none
+LOWEST_PYTHON, EXACT_PYTHON, ANY_PYTHON = r">=?\s*(\d+\.\d+)", r"==\s*(\d+\.\d+)", "3.10"
+
+
 def min_python(spec: Column) -> Column:
-    """The version of the first >= or >, else of ==, else 3.10."""
-    lower = F.nullif(F.regexp_extract(spec, r">=?\s*(\d+\.\d+)", 1), F.lit(""))
-    exact = F.nullif(F.regexp_extract(spec, r"==\s*(\d+\.\d+)", 1), F.lit(""))
-    return F.coalesce(lower, exact, F.lit("3.10"))
+    """The version of the first >= or >, else of ==, else ANY_PYTHON."""
+    lower = F.nullif(F.regexp_extract(spec, LOWEST_PYTHON, 1), F.lit(""))
+    exact = F.nullif(F.regexp_extract(spec, EXACT_PYTHON, 1), F.lit(""))
+    return F.coalesce(lower, exact, F.lit(ANY_PYTHON))
 
 
 def license_of(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import graph
 from tessera.plans.registry import numbered_lines, query, table
-from tessera.sources import readers, writers
+from tessera.sources import datasets, readers, writers
 from tessera.sources.shared import new_path, shared_dir
 from tessera.streaming import jobs, stateful
 
@@ -30,11 +30,39 @@ def s01(spark, d):
     return good
 
 
-@query("s01_k05_bad_lines", "SELECT '{broken' AS line")
+@query("s01_k05_bad_lines", """SELECT '{"name":"' || c_name AS line FROM customer WHERE c_custkey % 4 = 1 UNION ALL SELECT c_name FROM customer WHERE c_custkey % 4 = 2 UNION ALL SELECT '{broken'""")
 def s01b(spark, d):
+    """Every other line is cut off or no JSON; blank ones are not bad."""
     path = shared(spark, "bad")
-    table(spark, d, "nation").select(F.to_json(F.struct("n_name")).alias("value")).union(spark.createDataFrame([("",), ("{broken",)], "value string")).write.text(path)
-    return readers.jsonl(spark, path, "n_name string")[1]
+    k = F.col("c_custkey") % 4
+    line = F.when(k == 0, F.to_json(F.struct(F.col("c_name").alias("name")))).when(k == 1, F.concat(F.lit('{"name":"'), F.col("c_name"))).when(k == 2, F.col("c_name")).otherwise("  ")
+    table(spark, d, "customer").select(line.alias("value")).union(spark.createDataFrame([("",), ("{broken",)], "value string")).write.text(path)
+    return readers.jsonl(spark, path, "name string")[1]
+
+
+@query(
+    "s04_k09_revisions",
+    """WITH one AS (SELECT c_custkey AS k, c_mktsegment AS v FROM customer WHERE c_custkey % 7 > 0), two AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'new' ELSE c_mktsegment END AS v FROM customer WHERE c_custkey % 6 > 0)
+        SELECT 'at 1' AS part, CAST(k AS VARCHAR) AS id, v FROM one UNION ALL SELECT 'at 3', CAST(k AS VARCHAR), v FROM two UNION ALL SELECT 'dev', CAST(c_custkey AS VARCHAR), 'dev' FROM customer WHERE c_custkey % 7 = 0
+        UNION ALL SELECT 'some', CAST(k AS VARCHAR), v FROM one WHERE k % 10 = 1
+        UNION ALL SELECT 'change', CAST(coalesce(one.k, two.k) AS VARCHAR), CASE WHEN one.k IS NULL THEN 'added' WHEN two.k IS NULL THEN 'removed' ELSE 'changed' END FROM one FULL JOIN two ON one.k = two.k WHERE one.v IS DISTINCT FROM two.v""",
+)
+def s04(spark, d):
+    """Three commits to two splits; two revisions, another split, some ids of the first revision, and what changed."""
+    root, k = shared(spark, "dataset"), F.col("c_custkey")
+    rows = table(spark, d, "customer")
+    made = lambda some, v: rows.where(some).select(k.cast("string").alias("instance_id"), v.alias("v"))
+    first = datasets.commit(made(k % 7 > 0, F.col("c_mktsegment")), root, "test")
+    datasets.commit(made(k % 7 == 0, F.lit("dev")), root, "dev")
+    datasets.commit(made((k % 6 > 0) & (k % 2 == 0), F.when(k % 5 == 0, "new").otherwise(F.col("c_mktsegment"))), root, "test")
+    last = datasets.commit(made((k % 6 > 0) & (k % 2 == 1), F.when(k % 5 == 0, "new").otherwise(F.col("c_mktsegment"))), root, "test", mode="append")
+    read = lambda part, split, **kw: datasets.load(spark, root, "instance_id string, v string", split, **kw).select(F.lit(part).alias("part"), F.col("instance_id").alias("id"), "v")
+    some = rows.where((k % 7 > 0) & (k % 10 == 1)).select(k)
+    parts = [read("at 1", "test", revision=first), read("at 3", "test"), read("dev", "dev", revision=last), read("some", "test", ids=some, revision=first)]
+    found = datasets.changes(spark, root, "test", first, last).select(F.lit("change").alias("part"), "id", F.col("change").alias("v"))
+    for part in parts:
+        found = found.unionByName(part)
+    return found
 
 
 @query("s03_s04_s06_strict_instances", "SELECT 'acme__r-' || n_nationkey AS instance_id, n_name AS version FROM nation WHERE n_nationkey IN (3, 7)")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import diffs, hunks, text
-from tessera.operators import curate, specs
+from tessera.operators import curate, rules, specs
 from tessera.plans.registry import query, table
 
 
@@ -374,6 +374,35 @@ def f11r(spark, d):
     return pulls(spark, d).select("number", specs.repo_pull(name, F.col("title"), F.col("body"), F.col("labels")).alias("perf"))
 
 
+@query(
+    "u04_rule_table",
+    """WITH d AS (SELECT doc_id, lower(coalesce(substr(text, 1, 80), '')) AS t, doc_id % 30 AS r, source FROM documents),
+        n AS (SELECT n_nationkey AS r, lower(substr(n_name, 1, 1)) AS w FROM nation)
+        SELECT d.doc_id, CASE WHEN n.r IS NULL THEN contains(d.t, 'qu') WHEN starts_with(d.t, 'a') THEN false ELSE contains(d.t, n.w) OR d.source = 'src' || (n.r % 4) END AS passes
+        FROM d LEFT JOIN n ON n.r = d.r""",
+)
+def u04(spark, d):
+    """A table of rules that is made of another table: three rules of each of 25 repositories, one for all others."""
+    repo = F.concat(F.lit("Repo"), F.col("n_nationkey").cast("string"))
+    nations = table(spark, d, "nation")
+    rule = lambda field, operator, words, accept: nations.select(repo.alias("repo"), F.lit(field).alias("field"), F.lit(operator).alias("operator"), F.array(words).alias("words"), F.lit(accept).alias("accept"))
+    own = rule("title", "contains", F.substring("n_name", 1, 1), True).unionByName(rule("title", "starts", F.lit("A"), False))
+    own = own.unionByName(rule("labels", "equals", F.concat(F.lit("SRC"), (F.col("n_nationkey") % 4).cast("string")), True))
+    every = own.unionByName(spark.createDataFrame([(None, "title", "matches", ["(?i)q[u]"], True)], rules.RULE))
+    docs = table(spark, d, "documents")
+    name = F.concat(F.lit("owner/repo"), (F.col("doc_id") % 30).cast("string"))
+    said = docs.select("doc_id", name.alias("repo"), F.coalesce(F.substring("text", 1, 80), F.lit("")).alias("title"), F.lit(None).cast("string").alias("body"), F.array("source").alias("labels"))
+    return rules.apply_rules(said, every).select("doc_id", "passes")
+
+
+@query("t06_first_of_union", "SELECT name, place FROM (SELECT name, min(place) AS place FROM (SELECT c_name AS name, 0 AS place FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_name, 1 FROM customer WHERE c_custkey % 2 = 0) GROUP BY 1) ORDER BY place, name LIMIT 700")
+def t06(spark, d):
+    """Validated ones first, then those of an older list that are not among them, 700 in all."""
+    rows = table(spark, d, "customer")
+    part = lambda n, place: rows.where(F.col("c_custkey") % n == 0).select(F.col("c_name").alias("name"), F.lit(place).alias("place"))
+    return rules.first_of_union([part(3, 0), part(2, 1)], "name", ["name"], 700)
+
+
 @query("f12b_f21_typed_repo_filter", "SELECT c_nationkey, CASE WHEN c_nationkey % 3 = 0 THEN 'license' WHEN c_nationkey % 4 = 0 THEN 'no_root_files' WHEN c_nationkey % 5 = 0 THEN 'no_tests' WHEN count(*) < 60 THEN 'few_pulls' ELSE 'kept' END AS reason FROM customer GROUP BY 1")
 def f12b(spark, d):
     k = F.col("c_nationkey")

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import graph, joins, logs, ranking, sampling, sweep
+from tessera.operators import graph, joins, logs, ranking, rules, sampling, specs, sweep
+from tessera.sources import datasets
 
 
 def scans(df):
@@ -273,3 +274,72 @@ def test_quota_sample_equals_its_steps(spark, size):
 def test_sample_of_nothing(spark):
     frame = spark.createDataFrame([], "id long, a double, b double, c double")
     assert sampling.quota_sample(frame, "id", ["a", "b", "c"], 5).collect() == []
+
+
+# ---- rules and datasets as tables ----
+
+PULLS = [
+    (1, "astropy/astropy", "Speed up the eff of x", "b", ["docs"]), (2, "Astropy", "typo", None, ["Performance!"]), (3, "x/astropy", "a", "perf in the body", None), (4, "o/dask", "avoid copies", "", []),
+    (5, "o/other", "perf", "", ["performance"]), (6, None, "perf", "", []), (7, "o/xarray", None, None, [None, "topic-performance"]), (8, "o/numpy", "Fix typo: efficiency", "", []),
+]
+
+
+def test_rules_are_rows(spark):
+    types = "n int, repo string, title string, body string, labels array<string>"
+    pulls = spark.createDataFrame(PULLS, types)
+    known = rules.known_rules(spark)
+    got = {r.n: (r.passes, r.by) for r in rules.apply_rules(pulls, known).collect()}
+    short = F.lower(F.substring_index("repo", "/", -1))
+    want = {r.n: r.w for r in pulls.where("n <> 5 and n <> 6").select("n", specs.repo_pull(short, F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")), F.coalesce("labels", F.array().cast("array<string>"))).alias("w")).collect()}
+    assert {n: got[n][0] for n in want} == want and got[1][0] and got[5] == got[6] == (False, 0)
+    # a row more, no code: of one repository, and of all without their own
+    more = spark.createDataFrame([("O/OTHER", "labels", "equals", ["PERFORMANCE", None], None), ("o/other", "title", "matches", ["^q"], False), (None, "body", "contains", [""], True)], rules.RULE)
+    again = {r.n: r.passes for r in rules.apply_rules(pulls, known.unionByName(more)).collect()}
+    assert again == {n: p for n, (p, _) in got.items()} | {5: True, 6: True}
+    assert {r.n: r.passes for r in rules.apply_rules(pulls, known.where("false"), otherwise=F.col("n") == 3).collect()} == {n: n == 3 for n, *_ in PULLS}
+    with pytest.raises(Exception, match="no rule on title by guess"):
+        rules.apply_rules(pulls, spark.createDataFrame([(None, "title", "guess", ["x"], True)], rules.RULE)).collect()
+
+
+def test_first_of_union(spark):
+    make = lambda *rows: spark.createDataFrame(rows, "k string, o int, v string")
+    got = rules.first_of_union([make(("b", 2, "1"), ("a", 1, "1")), make(("a", 0, "2"), ("c", 0, "2"), ("d", 1, "2"), (None, 2, "2"))], "k", ["o"], 4).collect()
+    assert [tuple(r) for r in got] == [("a", 1, "1"), ("b", 2, "1"), ("c", 0, "2"), ("d", 1, "2")]
+
+
+def test_dataset_revisions(spark, tmp_path):
+    root, types = str(tmp_path / "set"), "instance_id string, v int"
+    make = lambda *rows: spark.createDataFrame(rows, types).repartitionByRange(2, "instance_id")
+    read = lambda split="test", **kw: sorted(map(tuple, datasets.load(spark, root, types, split, **kw).collect()))
+    with pytest.raises(ValueError, match="no split"):
+        read()
+    assert datasets.commit(make(("a", 1), ("b", 2), ("c", 3), ("d", 4)), root, "test") == 1
+    assert datasets.commit(make(("x", 9)), root, "dev") == 2
+    assert datasets.commit(make(("e", 5)), root, "test", mode="append") == 3
+    assert datasets.commit(make(("a", 1), ("b", 7)), root, "test") == 4
+    assert datasets.commit(make(), root, "dev") == 5
+    assert read(revision=1) == read(revision=2) == [("a", 1), ("b", 2), ("c", 3), ("d", 4)] and read(revision=3)[-1] == ("e", 5)
+    assert read() == [("a", 1), ("b", 7)] and read("dev") == [] and read("dev", revision=4) == [("x", 9)]
+    some = datasets.load(spark, root, types, "test", ids=["a"], revision=1)
+    assert [tuple(r) for r in some.collect()] == [("a", 1)] and len(some.inputFiles()) == 1  # of two files
+    for ask, what in (({"ids": ["a", "gone"]}, "gone"), ({"revision": 9}, "no revision 9"), ({"split": "none"}, "no split none"), ({"split": "dev", "revision": 1}, "no split dev")):
+        with pytest.raises(ValueError, match=what):
+            read(**ask)
+    assert sorted(map(tuple, datasets.changes(spark, root, "test", 1, 4).collect())) == [("b", "changed"), ("c", "removed"), ("d", "removed")]
+    assert [tuple(r) for r in datasets.changes(spark, root, "test", 1, 3).collect()] == [("e", "added")]
+    for bad in ([("a", 1), ("a", 2)], [(None, 1)]):
+        with pytest.raises(ValueError, match="null or stand twice"):
+            datasets.commit(make(*bad), root, "test")
+    with pytest.raises(ValueError, match="stand twice"):
+        datasets.commit(make(("b", 2)), root, "test", mode="append")
+    assert read() == [("a", 1), ("b", 7)]  # failed commits left no revision
+
+
+def test_of_two_writers_one_fails(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "set")
+    frame = spark.createDataFrame([("a",)], "instance_id string")
+    datasets.commit(frame, root, "test")
+    real = datasets._revision
+    monkeypatch.setattr(datasets, "_revision", lambda s, r, k: 0 if k is None else real(s, r, k))  # it has not seen the other's commit
+    with pytest.raises(Exception, match="(?i)already exists"):
+        datasets.commit(frame, root, "test")
