@@ -335,9 +335,14 @@ def _cell_links_batches(reach: int, similarity: float):
     return run
 
 
+#: Up to so many (node, hash) pairs, 16 bytes each, are broadcast; more are joined by a shuffle of the texts.
+BROADCAST_HASHES = 1_000_000
+
+
 def _sets(nodes: DataFrame, rows: DataFrame, shingle: int) -> DataFrame:
     """(node, set) for rows (node, any_h): the texts are read again."""
     wanted = save(nodes.select("node", F.col("any_h").alias("h")), "wanted")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_HASHES else wanted
     texts = rows.select("h", "text").join(wanted, "h").select("node", "text")
     sets = texts.mapInArrow(_set_batches(shingle), "node long, set array<long>")
     return save(sets.dropDuplicates(["node"]), "sets")
