@@ -40,12 +40,59 @@ def directory(keys: DataFrame, bucket_rows: int, max_depth: int = 40) -> tuple[i
     return depth, local.withColumn("bucket", first)
 
 
-def write_index(keys: DataFrame, bucket_rows: int) -> tuple[int, DataFrame]:
-    """Global depth and the index (bucket, local_depth, h, ...) in the shared folder: an owner task writes each range of
-    buckets as a file, sorted by bucket and hash, so that a chain of equal hashes lies together."""
-    depth, slots = directory(keys, bucket_rows)
-    owned = keys.withColumn("slot", _slot(depth)).join(slots, "slot").drop("slot")
-    return depth, save(owned.repartitionByRange("bucket", "h").sortWithinPartitions("bucket", "h"), "index")
+def route(rows: DataFrame, depth: int, slots: DataFrame) -> DataFrame:
+    """rows with the bucket (and its local depth) that the directory names for the leading bits of their hash `h`.
+
+    A slot without a directory entry leaves a null bucket, which no chain has.
+    """
+    return rows.withColumn("slot", _slot(depth)).join(slots, "slot", "left").drop("slot")
+
+
+def write_index(keys: DataFrame, texts: DataFrame, depth: int, slots: DataFrame, broadcast_keys: int = 500_000) -> DataFrame:
+    """The index in the shared folder: bucket, local_depth, h, link, links, keep_id, n, text.
+
+    keys are (h, keep_id, n), one row a hash; texts are (id, text, h), one row a document. Keys go to their bucket by
+    the directory. A key of one document is a chain of one link and needs no text. The texts of other keys combine
+    before the shuffle into one row each. An owner task takes a range of (bucket, hash), sorts it, walks each chain,
+    compares the bytes of a text with those of the one before, numbers the links and writes its file. The file keeps
+    a text only where it must be told from others of its hash.
+    """
+    routed = save(route(keys, depth, slots), "routed")
+    hot = routed.where("n > 1").select("bucket", "local_depth", "h")
+    hot = F.broadcast(hot) if hot.count() <= broadcast_keys else hot
+    several = (
+        texts.join(hot, "h")
+        .groupBy("bucket", "local_depth", "h", "text")
+        .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
+    )
+    columns = ["bucket", "local_depth", "h", "keep_id", "n"]
+    alone = routed.where("n = 1").select(*columns, F.lit(None).cast("string").alias("text"))
+    owned = several.select(*columns, "text").unionByName(alone).repartitionByRange("bucket", "h")
+    chain = Window.partitionBy("bucket", "h")
+    walk = chain.orderBy("text")
+    differs = ~F.col("text").eqNullSafe(F.lag("text").over(walk)) & (F.row_number().over(walk) > 1)
+    owned = owned.withColumn("differs", differs.cast("long")).withColumn("link", F.sum("differs").over(walk))
+    owned = owned.withColumn("links", F.max("link").over(chain) + 1)
+    kept = F.when(F.col("links") > 1, F.col("text")).alias("text")
+    index = save(owned.select("bucket", "local_depth", "h", "link", "links", "keep_id", "n", kept), "index")
+    drop_saved(routed)
+    return index
+
+
+def look_up(entries: DataFrame, texts: DataFrame, depth: int, slots: DataFrame, index: DataFrame) -> DataFrame:
+    """entries (with `h`) with keep_id and n of their link, found by directory, bucket, hash and, in a chain of several
+    links, the bytes of the text. An entry that its bucket does not hold is an error.
+
+    texts are (id, text, h) and the entries' other columns; only those of hashes with several links are read.
+    """
+    columns = [c for c in entries.columns if c != "h"]
+    heads = index.where("link = 0").select("bucket", "h", "links", "keep_id", "n")
+    found = route(entries, depth, slots).join(heads, ["bucket", "h"], "left").where("links is null or links = 1")
+    lost = F.when(F.col("links").isNull(), F.raise_error(F.lit("an entry is not in the bucket that the directory names")))
+    plain = found.select(*columns, lost.otherwise(F.col("keep_id")).alias("keep_id"), "n")
+    chains = index.where("links > 1").select("bucket", "h", "text", "keep_id", "n")
+    forked = route(texts.join(chains.select("h").distinct(), "h", "left_semi"), depth, slots)
+    return plain.unionByName(forked.join(chains, ["bucket", "h", "text"]).select(*columns, "keep_id", "n"))
 
 
 def exact_dedup(
@@ -61,12 +108,13 @@ def exact_dedup(
     1. One scan writes an entry (id, 64-bit hash, SHA-256) per document to the shared folder. hash_of, over the column
        `text`, replaces the hash.
     2. Entries of one hash combine before the shuffle into one key, so that a text with a third of all rows is one key.
-    3. The directory doubles until no bucket holds more than bucket_rows keys; owner tasks write ranges of buckets.
-    4. The texts of every key that stands for several documents are read again and compared byte by byte: grouping by
-       (hash, text), with map-side combining, gives the chain of a bucket's hash, a link for each distinct text. Up to
-       broadcast_keys (8 bytes each) such hashes are broadcast; beyond that they are joined by a shuffle.
-    5. An entry whose chain has one link takes it by the hash. Where different texts share a hash, the document's text
-       is compared with the links of its chain. The SHA-256 decides nothing.
+    3. The directory doubles until no bucket holds more than bucket_rows keys.
+    4. Keys are routed to buckets by the directory; the texts of every key that stands for several documents are read
+       again. Owner tasks take ranges of buckets, chain the texts of each hash, compare bytes and write the index
+       (write_index). Up to broadcast_keys such hashes (24 bytes each) are broadcast; beyond that they are joined by a
+       shuffle.
+    5. Each entry is routed by the directory and takes its link from its bucket (look_up); where different texts share
+       a hash, the document's text is compared with the links of the chain. The SHA-256 decides nothing.
 
     A null text counts as empty. A null id is the smallest; a group of null ids has a null keep_id and each of its
     rows is kept. Rows repeated with the same id and text are each marked kept if that id stays. Other columns of
@@ -75,33 +123,14 @@ def exact_dedup(
     text = F.coalesce(F.col(text_col), F.lit(""))
     came = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text_col).alias("text_hash"))
     came = came.withColumn("h", F.xxhash64("text") if hash_of is None else hash_of.cast("long"))
-    entries = save(came.select("id", "text_hash", "h", F.unhex(F.sha2("text", 256)).alias("sha")), "entries")
+    came = came.withColumn("sha", F.unhex(F.sha2("text", 256)))
+    entries = save(came.drop("text"), "entries")
     keys = save(entries.groupBy("h").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n")), "keys")
-    _, index = write_index(keys, bucket_rows)
+    depth, slots = directory(keys, bucket_rows)
+    slots = save(slots, "directory")
+    index = write_index(keys, came, depth, slots, broadcast_keys)
     drop_saved(keys)
-    hot = save(index.where("n > 1").select("bucket", "h"), "chains")
-    hot = F.broadcast(hot) if hot.count() <= broadcast_keys else hot
-    links = (
-        came.select("id", "text", "h")
-        .join(hot, "h")
-        .groupBy("bucket", "h", "text")
-        .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-    )
-    links = links.withColumn("link", F.row_number().over(Window.partitionBy("bucket", "h").orderBy("text")) - 1)
-    links = links.withColumn("links", F.count(F.lit(1)).over(Window.partitionBy("bucket", "h")))
-    # a text is written only where it must be told from others of its hash
-    links = save(links.select("h", "keep_id", "n", "link", "links", F.when(F.col("links") > 1, F.col("text")).alias("text")), "links")
-    forked = links.where("links > 1").select("h", "keep_id", "n", "text")
-    by_hash = index.where("n = 1").select("h", "keep_id", "n").unionByName(links.where("links = 1").select("h", "keep_id", "n"))
-    columns = ["id", "keep_id", "n", "sha", "text_hash"]
-    plain = entries.join(by_hash, "h").select(*columns)
-    several = forked.select("h").distinct()
-    compared = (
-        came.join(several, "h", "left_semi")
-        .join(forked, ["h", "text"])
-        .select("id", "keep_id", "n", F.unhex(F.sha2("text", 256)).alias("sha"), "text_hash")
-    )
-    return plain.unionByName(compared).select(
+    return look_up(entries, came, depth, slots, index).select(
         F.col("id").alias(id_col),
         "keep_id",
         F.col("n").alias("group_size"),

@@ -5,6 +5,7 @@ import math
 import random
 from collections import defaultdict
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -183,14 +184,37 @@ def test_directory_splits_only_overfull_buckets(spark):
     per_bucket = keys.withColumn("slot", exact_dedup._slot(depth)).join(slots, "slot").groupBy("local_depth", "bucket").count().collect()
     assert sum(r["count"] for r in per_bucket) == 1000 and max(r["count"] for r in per_bucket) <= 40
     assert slots.count() <= 2**depth
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.xxhash64("text").alias("h"))
-    depth, index = exact_dedup.write_index(docs.distinct(), 512)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.withColumn("h", F.xxhash64("text"))
+    keys = common.save(texts.groupBy("h").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n")), "keys")
+    depth, slots = exact_dedup.directory(keys, 512)
+    index = exact_dedup.write_index(keys, texts, depth, slots)
     sizes = [r["count"] for r in index.groupBy("bucket").count().collect()]
     assert depth > 0 and len(sizes) > 1 and max(sizes) <= 512
     shares = [{r.bucket for r in index.where(F.input_file_name() == f).collect()} for f in index.inputFiles()]
     assert sum(map(len, shares)) <= len(sizes) + len(shares)  # an owner has a range of buckets
 
 
+def test_entries_are_found_by_the_directory_alone(spark):
+    """A slot that names another bucket, or that is missing, is an error for the entries behind it."""
+    texts = spark.createDataFrame([(i, f"text {i % 150}") for i in range(200)], "id long, text string")
+    texts = common.save(texts.withColumn("h", F.xxhash64("text")), "texts")
+    keys = texts.groupBy("h").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
+    depth, slots = exact_dedup.directory(keys, 20)
+    slots = common.save(slots, "slots")
+    index = exact_dedup.write_index(keys, texts, depth, slots)
+    entries = texts.select("id", "h")
+    found = exact_dedup.look_up(entries, texts, depth, slots, index).collect()
+    assert {(r.id, r.keep_id, r.n) for r in found} == {(i, i + 150 if i < 50 else i, 2 if i % 150 < 50 else 1) for i in range(200)}
+    one = slots.orderBy("slot").first()
+    other = slots.orderBy(F.desc("slot")).first().bucket
+    assert one.bucket != other
+    wrong = slots.withColumn("bucket", F.when(F.col("slot") == one.slot, other).otherwise(F.col("bucket")))
+    for bad in (wrong, slots.where(F.col("slot") != one.slot)):
+        with pytest.raises(Exception, match="not in the bucket"):
+            exact_dedup.look_up(entries, texts, depth, bad, index).collect()
+
+
 def plain_substrings(data, window=20):
     first, docs = {}, sorted(((-(1 << 63) if d is None else d, words(t)) for d, t, *_ in data), key=lambda x: x[0])
     for d, w in docs:
