@@ -79,11 +79,14 @@ def write_index(keys: DataFrame, texts: DataFrame, depth: int, slots: DataFrame,
     return index
 
 
-def look_up(entries: DataFrame, texts: DataFrame, depth: int, slots: DataFrame, index: DataFrame) -> DataFrame:
+def look_up(
+    entries: DataFrame, texts: DataFrame, depth: int, slots: DataFrame, index: DataFrame, broadcast_keys: int = 500_000
+) -> DataFrame:
     """entries (with `h`) with keep_id and n of their link, found by directory, bucket, hash and, in a chain of several
     links, the bytes of the text. An entry that its bucket does not hold is an error.
 
-    texts are (id, text, h) and the entries' other columns; only those of hashes with several links are read.
+    texts are (id, text, h) and the entries' other columns; of these, those of hashes with several links are compared.
+    Up to broadcast_keys such hashes are broadcast, so that other texts are not shuffled.
     """
     columns = [c for c in entries.columns if c != "h"]
     heads = index.where("link = 0").select("bucket", "h", "links", "keep_id", "n")
@@ -91,7 +94,9 @@ def look_up(entries: DataFrame, texts: DataFrame, depth: int, slots: DataFrame,
     lost = F.when(F.col("links").isNull(), F.raise_error(F.lit("an entry is not in the bucket that the directory names")))
     plain = found.select(*columns, lost.otherwise(F.col("keep_id")).alias("keep_id"), "n")
     chains = index.where("links > 1").select("bucket", "h", "text", "keep_id", "n")
-    forked = route(texts.join(chains.select("h").distinct(), "h", "left_semi"), depth, slots)
+    several = save(chains.select("h").distinct(), "several")
+    several = F.broadcast(several) if several.count() <= broadcast_keys else several
+    forked = route(texts.join(several, "h", "left_semi"), depth, slots)
     return plain.unionByName(forked.join(chains, ["bucket", "h", "text"]).select(*columns, "keep_id", "n"))
 
 
@@ -130,7 +135,7 @@ def exact_dedup(
     slots = save(slots, "directory")
     index = write_index(keys, came, depth, slots, broadcast_keys)
     drop_saved(keys)
-    return look_up(entries, came, depth, slots, index).select(
+    return look_up(entries, came, depth, slots, index, broadcast_keys).select(
         F.col("id").alias(id_col),
         "keep_id",
         F.col("n").alias("group_size"),
