@@ -100,7 +100,8 @@ def _word_batches(groups):
 
 
 def fit(rows: list[tuple[list[int], int]], changes: list[tuple[list[int], list[int]]], dims: int, positive_share: float, rounds: int = 400, lean: float = 2e-3, fairness: float = 5.0) -> np.ndarray:
-    """Weights (the intercept last) that minimise weighted logistic loss + lean |w|^2 + fairness * mean (w . change)^2.
+    """Weights (the intercept last) that minimise weighted logistic loss + lean / (2 sqrt(rows)) |w|^2 +
+    fairness * mean (w . change)^2.
 
     rows: (feature numbers, label). changes: feature numbers that a swap takes away and puts in. Each class weighs
     as its share of the labelled documents.

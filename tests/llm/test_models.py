@@ -168,6 +168,87 @@ def test_weak_labels_find_the_accuracies():
     assert labels[0] > 0.7  # all abstain: the share of good ones
 
 
+def slopes(loss, w, step=1e-4):
+    """Gradient of a loss by differences."""
+    out = []
+    for i in range(len(w)):
+        up, down = list(w), list(w)
+        up[i] += step
+        down[i] -= step
+        out.append((loss(up) - loss(down)) / (2 * step))
+    return out
+
+
+def cross_entropy(logit, label):
+    return math.log1p(math.exp(-abs(logit))) + max(logit, 0) - label * logit
+
+
+def test_weak_labels_settle_where_bayes_and_the_counts_agree():
+    """One round written out: accuracies from the posteriors, posteriors from the accuracies, change nothing."""
+    rng = random.Random(8)
+    patterns = Counter()
+    for _ in range(4000):
+        good = rng.random() < 0.7
+        votes = [0 if rng.random() < 0.3 else 1 + (good == (rng.random() < right)) for right in (0.9, 0.8, 0.7, 0.85)]
+        patterns[sum(v * 3**i for i, v in enumerate(votes))] += 1
+    posterior, _ = quality.weak_labels(dict(patterns), 4, rounds=2000)
+    share, table = [1.0, 1.0], [[[0, 2.0, 1.0] for _ in range(4)], [[0, 1.0, 2.0] for _ in range(4)]]
+    for code, n in patterns.items():
+        for c, p in enumerate((1 - posterior[code], posterior[code])):
+            share[c] += n * p
+            for i in range(4):
+                table[c][i][code // 3**i % 3] += n * p
+    for code in patterns:
+        odds = list(share)
+        for c in (0, 1):
+            for i in range(4):
+                vote = code // 3**i % 3
+                odds[c] *= table[c][i][vote] / (table[c][i][1] + table[c][i][2]) if vote else 1
+        assert abs(posterior[code] - odds[1] / sum(odds)) < 1e-6
+
+
+def test_linear_scorer_minimises_its_loss():
+    rng = random.Random(4)
+    rows = []
+    for _ in range(200):
+        numbers = rng.sample(range(5), 2)
+        rows.append((numbers, [rng.uniform(0.5, 1.5) for _ in numbers], min(0.95, max(0.05, 0.3 + 0.4 * (0 in numbers) + rng.uniform(-0.2, 0.2)))))
+
+    def loss(w):
+        total = sum(cross_entropy(w[-1] + sum(w[k] * x for k, x in zip(ks, xs, strict=True)), y) for ks, xs, y in rows)
+        return total / len(rows) + 1e-4 / 2 * sum(x * x for x in w)
+
+    got = quality.fit_linear(rows, 5, lean=1e-4)
+    assert max(map(abs, slopes(loss, got.tolist()))) < 2e-3
+    assert loss(got.tolist()) < loss([0.0] * 6) - 0.01 and got[0] == max(got[:5])
+
+
+def test_toxicity_scorer_minimises_loss_and_score_changes():
+    rng = random.Random(6)
+    rows = []
+    for _ in range(300):
+        label = int(rng.random() < 0.3)
+        rows.append(([k for k in range(4) if rng.random() < (0.7 if k == label else 0.3)], label))
+    changes = [([1], [2]), ([2], [1]), ([1, 3], [2])]
+    positive = 0.2
+
+    def loss(w, fairness):
+        share = {1: positive / sum(y for _, y in rows), 0: (1 - positive) / sum(1 - y for _, y in rows)}
+        total = sum(share[y] * cross_entropy(w[-1] + sum(w[k] for k in ks), y) for ks, y in rows)
+        moved = [sum(w[k] for k in put) - sum(w[k] for k in away) for away, put in changes]
+        return total + 2e-3 / (2 * math.sqrt(len(rows))) * sum(x * x for x in w[:-1]) + fairness * sum(m * m for m in moved) / len(moved)
+
+    gaps = {}
+    for fairness in (0.0, 5.0):
+        got = toxicity.fit(rows, changes, 4, positive, rounds=3000, fairness=fairness).tolist()
+        here = lambda w, f=fairness: loss(w, f)
+        # a Newton step from the fit: how far the weights are from the minimum (steps of a fixed size end near it)
+        bend = [(np.array(slopes(here, (np.array(got) + d).tolist())) - slopes(here, (np.array(got) - d).tolist())) / 2e-2 for d in np.eye(5) * 1e-2]
+        assert np.abs(np.linalg.solve(np.array(bend), slopes(here, got))).max() < 0.02
+        gaps[fairness] = abs(got[1] - got[2])
+    assert gaps[5.0] < 0.1 * gaps[0.0]
+
+
 def test_quality_reads_texts_and_words_to_their_ends():
     rng = random.Random(4)
     vote = lambda text, name: quality.describe(text.encode(), quality._Words(2048))[0] // 3 ** list(quality.LABELLERS).index(name) % 3
