@@ -5,8 +5,11 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +44,15 @@ def save(df: DataFrame, name: str, *by: str) -> DataFrame:
     return out
 
 
+def text_slices(batch: pa.RecordBatch, column: int, room: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about `room` bytes of a binary column, or of one row: what a task holds does not grow with its texts' number."""
+    block = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)) // room
+    cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if lo < hi:
+            yield batch.slice(lo, hi - lo)
+
+
 def hash_sample(df: DataFrame, keys: list[str], size: int, total: int) -> DataFrame:
     """`size` rows of a frame of `total` (all if it has no more): those with the smallest hashes of their keys.
 

@@ -6,6 +6,7 @@ import bisect
 import math
 import os
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,10 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER_AZ, save
+from tessera.llm.common import LOWER_AZ, save, text_slices
 
-#: Words kept in a Python worker's cache of token ids; the frequent ones come early.
-CACHE_WORDS = 500_000
+#: Words kept in a Python worker's cache of token ids: the first ones that several places of a group of texts have.
+CACHE_WORDS = 100_000
 _loaded: dict[str, tuple] = {}
 
 
@@ -55,7 +56,8 @@ def word_ids(tokenizer_file: str) -> Callable[[list[bytes]], list[bytes]]:
         return [np.array(c.ids, "<u4").tobytes() for c in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def ids(words: list[bytes]) -> list[bytes]:
-        new = list({w for w in words if w not in cache})
+        times = Counter(w for w in words if w not in cache)
+        new = list(times)
         found = {}
         for at in range(0, len(new), 1000):
             plain, parts, odd = [], [], []
@@ -71,12 +73,9 @@ def word_ids(tokenizer_file: str) -> Callable[[list[bytes]], list[bytes]]:
                 coded = alone([w for _, w in plain])
             found.update(zip([raw for raw, _ in plain], coded, strict=True))
             found.update(zip([raw for raw, _ in odd], alone([w for _, w in odd]), strict=True))
-        if len(cache) + len(found) <= CACHE_WORDS:
-            cache.update(found)
-            found = {}
-        if not found:
-            return [cache[w] for w in words]
-        return [found[w] if w in found else cache[w] for w in words]
+        often = [w for w in new if times[w] > 1][: CACHE_WORDS - len(cache)]
+        cache.update((w, found.pop(w)) for w in often)
+        return [cache[w] if w in cache else found[w] for w in words]
 
     return ids
 
@@ -87,14 +86,13 @@ def text_words(text: bytes | None) -> list[bytes]:
     return (text if b"<|" in text else text.translate(LOWER_AZ)).split()
 
 
-def _piece_batches(tokenizer_file: str, room: int, end_id: int, group: int = 2000):
+def _piece_batches(tokenizer_file: str, room: int, end_id: int):
     names = ["id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches):
         ids, end = word_ids(tokenizer_file), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, group):
-                part = batch.slice(at, group)
+            for part in text_slices(batch, 1):
                 split = [text_words(t) for t in part.column(1).to_pylist()]
                 coded = ids([w for words in split for w in words])
                 whose, rows, base = [], [], 0

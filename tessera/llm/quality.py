@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import hash_sample, save
+from tessera.llm.common import hash_sample, save, text_slices
 
 #: Labeller: (bad from, good below, words needed). In between, and on shorter texts, it abstains.
 LABELLERS = {
@@ -126,8 +126,7 @@ def _describe_batches(dims: int):
     def run(batches):
         known = _Words(dims)
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
+            for batch in text_slices(whole, 2):
                 rows = [describe(t or b"", known) for t in batch.column(2).to_pylist()]
                 cols = list(zip(*rows, strict=True)) or [[]] * 3
                 arrays = [pa.array(cols[0], pa.int32()), pa.array(list(cols[1]), pa.list_(pa.int32())), pa.array(list(cols[2]), pa.list_(pa.float32()))]

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER_AZ, save, spanning, star_components
+from tessera.llm.common import LOWER_AZ, save, spanning, star_components, text_slices
 
 #: Shingles hashed at once; bounds memory for very long texts.
 _CHUNK = 1 << 16
@@ -227,8 +227,7 @@ def _band_batches(shingle: int, bands: int, per_band: int):
 
     def run(batches):
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
+            for batch in text_slices(whole, 2):
                 node, size, fp, keys = zip(*map(describe, batch.column(2).to_pylist()), strict=True)
                 longs = (pa.array(np.array(c, np.uint64).view(np.int64)) for c in (node, size, fp))
                 arrays = [*batch.columns[:2], *longs, pa.array(list(keys), pa.list_(pa.int64()))]
