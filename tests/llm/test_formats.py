@@ -6,10 +6,12 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import mixing, packing, toolcalls
+from tessera.llm.common import text_slices
 from tessera.llm.queries import TOKENIZER
 from test_dedup import components, word_shingles, words
 
@@ -420,3 +422,27 @@ def test_packing_stage(stages):
 def test_run_equals_its_stages(spark, stages):
     again = pipeline.run(spark, "/root/testdata/sf0.001")
     assert again.columns == stages[5].columns and again.count() > 0
+
+
+@pytest.mark.parametrize("sizes", [[], [0], [None, 0, None], [5, 5, 5, 5], [100, 0, 0, 1, 9, 9, None, 30], [3] * 50])
+def test_text_slices_keep_rows_and_bound_bytes(sizes):
+    texts = [None if n is None else b"x" * n for n in sizes]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.binary())], names=["id", "text"])
+    parts = list(text_slices(whole, 1, room=10))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
+    for p in parts:
+        lengths = [len(t or b"") for t in p.column(1).to_pylist()]
+        assert lengths and sum(lengths) < 10 + max(lengths)  # at most one row begins below the bound and ends above it
+
+
+def test_word_ids_are_the_same_with_any_cache(monkeypatch):
+    words = [b"plain", b"words", b"plain", b"odd-1", b"stop.", b"odd-1", "über".encode()] * 3 + [b"once"]
+    found = []
+    for room in (0, 1, 100_000):
+        monkeypatch.setattr(packing, "CACHE_WORDS", room)
+        monkeypatch.setattr(packing, "_loaded", {})
+        ids = packing.word_ids(TOKENIZER)
+        found.append((ids(words), ids(words[::-1])[::-1]))
+        assert len(packing._loaded[TOKENIZER][2]) <= room
+    assert found[0] == found[1] == found[2] and found[0][0] == found[0][1]
