@@ -33,9 +33,19 @@ NUMBERED = """
 """
 
 
+#: Lines that a task numbers and makes logs of; it sorts them several times over and holds all of them.
+LINES_A_TASK = 250_000
+
+
 def numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem with pos. Orders are dealt to as many tasks as the table's size asks for, whatever the session's number of
+    partitions, so that a task's memory does not grow with the table; what goes on by order stays in these tasks."""
+    rows = table(spark, sf_dir, "lineitem")
+    tasks = rows.count() // LINES_A_TASK + 1  # from the footers
+    if tasks > 4:
+        rows = rows.repartition(tasks, "l_orderkey")
     order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_discount")
-    return table(spark, sf_dir, "lineitem").withColumn("pos", F.row_number().over(order))
+    return rows.withColumn("pos", F.row_number().over(order))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
