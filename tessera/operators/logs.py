@@ -414,7 +414,8 @@ def register_log_function(spark: SparkSession, readers: dict[str, Reader], name:
         SELECT l.id, t.test, t.status FROM logs l, LATERAL parse_log(l.log, l.parser) t
 
     Registering again under the same name replaces the readers, so formats can be added while a session runs. Null logs
-    have no rows. Other arguments than two strings are refused when the query is analysed. Rows pass in Arrow batches.
+    have no rows. Other arguments than two strings are refused when the query is analysed. Rows pass pickled, many at a
+    time; with Arrow each log would be a frame of its own.
     """
     known = {k.lower(): r for k, r in readers.items()}
     fallback = known[default.lower()] if default is not None else None
@@ -434,7 +435,7 @@ def register_log_function(spark: SparkSession, readers: dict[str, Reader], name:
                 return
             yield from {test: status for test, status in read(log) if test and status is not None}.items()
 
-    spark.udtf.register(name, F.udtf(ParseLog, useArrow=True))
+    spark.udtf.register(name, F.udtf(ParseLog, useArrow=False))
 
 
 def eval_section(log: Column, start: str, failures: list[str]) -> Column:
