@@ -10,8 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -43,22 +42,20 @@ class _InOrder(StatefulProcessor):
         self.rows = handle.getListState("rows", "at bigint, id bigint, cost bigint")
         self.next = handle.getValueState("next", "ms bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for part in rows:
-            found = [tuple(map(int, x)) for x in zip(part["at"], part["id"], part["cost"], strict=True)]
-            if found:
-                self.rows.appendList(found)
-                first = min(x[0] for x in found) if first is None else min(first, *(x[0] for x in found))
-        if first is not None:
-            self._wake(_ms(first))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        found = [(x.at, x.id, x.cost) for x in rows]
+        if found:
+            self.rows.appendList(found)
+            self._wake(_ms(min(found)[0]), self.next.get())
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        if self.next.exists() and self.next.get()[0] * 1000 <= now:
+        waiting = self.next.get()
+        if waiting is not None and waiting[0] * 1000 <= now:
             self.next.clear()
-        held = sorted(tuple(x) for x in self.rows.get()) if self.rows.exists() else []
+            waiting = None
+        held = sorted(tuple(x) for x in self.rows.get())
         ready = [x for x in held if x[0] <= now]
         if ready:
             rest = held[len(ready) :]
@@ -66,20 +63,18 @@ class _InOrder(StatefulProcessor):
         out, due = self.take(key, ready, now)
         due = [x for x in (due, held[len(ready)][0] if len(ready) < len(held) else None) if x is not None]
         if due:
-            self._wake(_ms(min(due)))
-        if out:
-            yield pd.DataFrame(out)
+            self._wake(_ms(min(due)), waiting)
+        return iter(out)
 
-    def _wake(self, ms: int) -> None:
+    def _wake(self, ms: int, waiting: tuple[int] | None) -> None:
         """One timer is open at a time: the earliest."""
-        waiting = self.next.get()[0] if self.next.exists() else None
-        if waiting is None or ms < waiting:
+        if waiting is None or ms < waiting[0]:
             if waiting is not None:
-                self.handle.deleteTimer(waiting)
+                self.handle.deleteTimer(waiting[0])
             self.handle.registerTimer(ms)
             self.next.update((ms,))
 
-    def take(self, key, ready: list[tuple[int, int, int]], now: int) -> tuple[list[dict], int | None]:
+    def take(self, key, ready: list[tuple[int, int, int]], now: int) -> tuple[list[Row], int | None]:
         """What comes out once all up to `now` is known, and when something else is due."""
         raise NotImplementedError
 
@@ -98,17 +93,22 @@ class _Buckets(_InOrder):
         self.queue = handle.getListState("queue", "free bigint, at bigint, id bigint")
 
     def take(self, key, ready, now):
-        queue = [tuple(x) for x in self.queue.get()] if self.queue.exists() else []
-        full = self.full.get()[0] if self.full.exists() else None
+        before = [tuple(x) for x in self.queue.get()]
+        queue = list(before)
+        known = self.full.get()
+        full = None if known is None else known[0]
         for at, ident, cost in ready:
             free = at if full is None else max(at, full - (self.capacity - cost) * self.period)
             full = max(at, at if full is None else full) + cost * self.period
             queue.append((free, at, ident))
-        if full is not None:
-            self.full.update((full,)) if full > now or ready else self.full.clear()  # a full bucket needs no state
-        out = [{"key": key[0], "id": i, "arrived": at, "released": free} for free, at, i in queue if free <= now]
+        if ready:
+            self.full.update((full,))
+        elif full is not None and full <= now:
+            self.full.clear()  # a full bucket needs no state
+        out = [Row(key=key[0], id=i, arrived=at, released=free) for free, at, i in queue if free <= now]
         rest = [x for x in queue if x[0] > now]
-        self.queue.put(rest) if rest else self.queue.clear()
+        if rest != before:
+            self.queue.put(rest) if rest else self.queue.clear()
         # once more when the bucket is full again, to forget it
         return out, min(x[0] for x in rest) if rest else full if full is not None and full > now else None
 
@@ -128,7 +128,7 @@ def token_bucket(stream: DataFrame, key: str, id_col: str, time: str, late: str,
     checked = F.when((cost >= 0) & (cost <= capacity), cost.cast("long")).otherwise(F.raise_error(F.concat(F.lit(f"a row must cost 0 to {capacity} tokens, not "), cost.cast("string"))).cast("long"))
     rows = stream.withWatermark(time, late).where(F.col(key).isNotNull() & F.col(id_col).isNotNull() & F.col(time).isNotNull())
     rows = rows.select(F.col(key).cast("long").alias("key"), F.col(id_col).cast("long").alias("id"), F.unix_micros(time).alias("at"), checked.alias("cost"), F.col(time).alias("time"))
-    return rows.groupBy("key").transformWithStateInPandas(_Buckets(capacity, period_us), "key bigint, id bigint, arrived bigint, released bigint", "append", "eventTime")
+    return rows.groupBy("key").transformWithState(_Buckets(capacity, period_us), "key bigint, id bigint, arrived bigint, released bigint", "append", "eventTime")
 
 
 def paced(rows: DataFrame, key: str, id_col: str, time: str, capacity: int, period_us: int, cost: Column | None = None) -> DataFrame:
@@ -153,10 +153,11 @@ class _Expiring(_InOrder):
 
     def take(self, key, ready, now):
         out = []
-        until, hits = self.known.get() if self.known.exists() else (None, 0)
+        known = self.known.get()
+        until, hits = (None, 0) if known is None else known
 
         def row(event: str, at: int, ident: int | None, n: int) -> None:
-            out.append({"key": key[0], "event": event, "at": at, "id": ident, "hits": n})
+            out.append(Row(key=key[0], event=event, at=at, id=ident, hits=n))
 
         for at, ident, _ in ready:
             if until is not None and at < until:
@@ -169,7 +170,11 @@ class _Expiring(_InOrder):
         if until is not None and until <= now:
             row("expired", until, None, hits)
             until = None
-        self.known.clear() if until is None else self.known.update((until, hits))
+        after = None if until is None else (until, hits)
+        if after is None and known is not None:
+            self.known.clear()
+        elif after is not None and after != known:
+            self.known.update(after)
         return out, until
 
 
@@ -184,4 +189,4 @@ def expiring_keys(stream: DataFrame, key: Column, id_col: str, time: str, late:
     rows = stream.withWatermark(time, late).withColumn("_key", key.cast("string"))
     rows = rows.where(F.col("_key").isNotNull() & F.col(id_col).isNotNull() & F.col(time).isNotNull())
     rows = rows.select(F.col("_key").alias("key"), F.col(id_col).cast("long").alias("id"), F.unix_micros(time).alias("at"), F.lit(0).cast("long").alias("cost"), F.col(time).alias("time"))
-    return rows.groupBy("key").transformWithStateInPandas(_Expiring(age_us), "key string, event string, at bigint, id bigint, hits bigint", "append", "eventTime")
+    return rows.groupBy("key").transformWithState(_Expiring(age_us), "key string, event string, at bigint, id bigint, hits bigint", "append", "eventTime")
