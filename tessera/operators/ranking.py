@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.perf import positive_finite
 from tessera.operators.sweep import carried, swept
+from tessera.sources.shared import save
 
 
 def harmonic_curve(df: DataFrame, x: str, ratio: str, by: list[str]) -> DataFrame:
@@ -24,6 +25,10 @@ def harmonic_curve(df: DataFrame, x: str, ratio: str, by: list[str]) -> DataFram
     return rows.select(*by, x, "n", (F.col("n") / F.col("_sum")).alias("hm"))
 
 
+#: Marks of up to so many groups, a kilobyte each, are broadcast; more groups are joined by a shuffle.
+BROADCAST_GROUPS = 10_000
+
+
 def exact_quantiles(df: DataFrame, x: str, quantiles: dict[str, float], by: Sequence[str] = (), parts: int = 128) -> DataFrame:
     """(by..., one double column per name of `quantiles`): exact quantiles of x, interpolated between neighbours.
 
@@ -34,7 +39,9 @@ def exact_quantiles(df: DataFrame, x: str, quantiles: dict[str, float], by: Sequ
     key = F.struct(F.lit(0).alias("_one"), *by).alias("_k")
     values = df.select(key, F.col(x).cast("double").alias("_v")).where("_v is not null").groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n"))
     cuts = F.percentile_approx("_v", [i / parts for i in range(1, parts)], 10 * parts)
-    marks = values.groupBy("_k").agg(F.sum("_n").alias("_total"), cuts.alias("_marks"))
+    values = save(values, "values")
+    marks = save(values.groupBy("_k").agg(F.sum("_n").alias("_total"), cuts.alias("_marks")), "marks")
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_GROUPS else marks  # few groups would be as many tasks
     ranged = values.join(marks, "_k").withColumn("_range", F.size(F.filter("_marks", lambda m: m < F.col("_v")))).drop("_marks")
     sums = ranged.groupBy("_k", "_range").agg(F.sum("_n").alias("_in"), F.max("_total").alias("_total"))
     upto = Window.partitionBy("_k").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
