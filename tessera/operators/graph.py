@@ -6,7 +6,6 @@ Functions that have one caller and one callee are passed in one step, however ma
 
 from __future__ import annotations
 
-import math
 from itertools import count
 
 from pyspark.sql import DataFrame, Window
@@ -25,16 +24,21 @@ def _chains(edges: DataFrame, ends: DataFrame, graph: str) -> DataFrame:
     """
     one = lambda end, other: edges.groupBy(graph, F.col(end).alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min(other).alias(other)).where("n = 1").drop("n")
     inside = one("callee", "caller").join(one("caller", "callee").select(graph, "node"), [graph, "node"]).join(ends.select(graph, "node"), [graph, "node"], "left_anti")
-    state = save(inside.select(graph, "node", F.col("caller").alias("start"), F.lit(1).alias("steps")), "chains")
-    longest = math.ceil(math.log2(state.count() + 1)) + 1
-    for _ in range(longest):
-        mid = state.select(graph, F.col("node").alias("start"), F.col("start").alias("_next"), F.col("steps").alias("_more"))
-        open_ = state.join(mid.select(graph, "start"), [graph, "start"], "left_semi")
-        if open_.isEmpty():
-            break
-        jumped = state.join(mid, [graph, "start"], "left")
-        state = save(jumped.select(graph, "node", F.coalesce("_next", "start").alias("start"), (F.col("steps") + F.coalesce("_more", F.lit(0))).alias("steps")), "chains")
-    return state.join(state.select(graph, F.col("node").alias("start")), [graph, "start"], "left_anti")
+    inside = save(inside.select(graph, "node", F.col("caller").alias("start")), "inside")
+    ends_of = inside.select(graph, F.col("node").alias("start"), F.lit(True).alias("more"))
+    state = inside.join(ends_of, [graph, "start"], "left").select(graph, "node", "start", F.lit(1).alias("steps"), F.coalesce("more", F.lit(False)).alias("more"))
+    state = save(state, "chains")
+    done = state.where("not more")
+    while True:
+        # only what has not reached its start goes on; a chain settles some nodes each round, a ring none
+        open_ = state.where("more")
+        mid = done.unionByName(open_).select(graph, F.col("node").alias("start"), F.col("start").alias("_next"), F.col("steps").alias("_more"), F.col("more").alias("_open"))
+        jumped = open_.join(mid, [graph, "start"])
+        state = save(jumped.select(graph, "node", F.col("_next").alias("start"), (F.col("steps") + F.col("_more")).alias("steps"), F.col("_open").alias("more")), "chains")
+        settled = state.where("not more")
+        if settled.isEmpty():
+            return done.drop("more")
+        done = done.unionByName(settled)
 
 
 def min_depths(edges: DataFrame, roots: DataFrame, graph: str = "graph") -> DataFrame:
@@ -50,16 +54,17 @@ def min_depths(edges: DataFrame, roots: DataFrame, graph: str = "graph") -> Data
     out = edges.join(chains.select(graph, F.col("node").alias("caller"), "start", "steps"), [graph, "caller"], "left")
     hops = out.select(graph, F.coalesce("start", "caller").alias("node"), "callee", (F.coalesce("steps", F.lit(0)) + 1).alias("length"))
     hops = save(hops.join(chains.select(graph, F.col("node").alias("callee")), [graph, "callee"], "left_anti"), "hops")
-    frontier = found = save(roots.withColumn("depth", F.lit(0)), "depths")
+    frontier = found = every = save(roots.withColumn("depth", F.lit(0)), "depths")
     for level in count(1):
         step = frontier.join(hops, [graph, "node"]).groupBy(graph, F.col("callee").alias("node")).agg(F.min(F.col("depth") + F.col("length")).alias("depth"))
         known = found.select(graph, "node", F.col("depth").alias("_known"))
         frontier = save(step.join(known, [graph, "node"], "left").where("_known is null or depth < _known").drop("_known"), "depths")
         if frontier.isEmpty():
             break
-        found = found.unionByName(frontier).groupBy(graph, "node").agg(F.min("depth").alias("depth"))
+        every = every.unionByName(frontier)
+        found = every.groupBy(graph, "node").agg(F.min("depth").alias("depth"))
         if level % 10 == 0:
-            found = save(found, "depths")
+            every = found = save(found, "depths")
     inside = chains.join(found.select(graph, F.col("node").alias("start"), "depth"), [graph, "start"])
     return found.unionByName(inside.select(graph, "node", (F.col("depth") + F.col("steps")).alias("depth")))
 
