@@ -215,7 +215,7 @@ def _greedy(lengths: dict[int, int], room: int) -> list[tuple[int, tuple[int, ..
     return plan
 
 
-def pack_lengths(lengths: dict[int, int], room: int = 2048, work: int = 3_000_000) -> list[tuple[int, tuple[int, ...]]]:
+def pack_lengths(lengths: dict[int, int], room: int = 2048, work: int = 3_000_000, held: int = 16) -> list[tuple[int, tuple[int, ...]]]:
     """Fill bins of `room` with the multiset {length: count}: a list of (times, lengths in one bin).
 
     Bin completion (Korf, 2003): each bin is built around the largest item left; its undominated fillings are tried,
@@ -223,7 +223,8 @@ def pack_lengths(lengths: dict[int, int], room: int = 2048, work: int = 3_000_00
     waste. The first incumbent is best-fit decreasing. A filling is used as often as the counts allow, so the depth
     is bounded by the number of lengths, not by the number of items. Fillings are enumerated as the search asks for
     them, all of them if it comes to that. The search ends at the lower bound, when nothing is left to try, or after
-    `work` steps (lengths looked at) with the best incumbent.
+    `work` steps (lengths looked at) with the best incumbent. An enumeration takes up to a megabyte, so only those of
+    the `held` deepest levels stay; others are made again, up to where they were, when the search comes back.
     """
     total = sum(x * n for x, n in lengths.items())
     least = lower_bound(lengths, room)
@@ -231,7 +232,7 @@ def pack_lengths(lengths: dict[int, int], room: int = 2048, work: int = 3_000_00
     best_bins = sum(t for t, _ in best)
     budget = [work]
     counts, have = dict(lengths), sorted(lengths)
-    stack: list[Iterator] = []  # fillings left to try, by level
+    stack: list[list] = []  # by level: fillings left to try (None: let go), and how many were taken
     path: list[tuple[int, tuple[int, ...]]] = []
     waste = bins = 0
 
@@ -245,6 +246,21 @@ def pack_lengths(lengths: dict[int, int], room: int = 2048, work: int = 3_000_00
             bin_ = (top, *f)
             yield min(counts[x] // bin_.count(x) for x in set(bin_)), bin_
 
+    def enter() -> None:
+        stack.append([options(), 0])
+        if len(stack) > held:
+            stack[-1 - held][0] = None
+
+    def following() -> tuple[int, tuple[int, ...]]:
+        level = stack[-1]
+        if level[0] is None:
+            level[0], left, budget[0] = options(), budget[0], work  # these steps were counted the first time
+            for _ in range(level[1]):
+                next(level[0], None)
+            budget[0] = left
+        level[1] += 1
+        return next(level[0], (0, ()))
+
     def apply(times: int, bin_: tuple[int, ...], sign: int) -> None:
         nonlocal have, waste, bins
         for x in set(bin_):
@@ -255,9 +271,9 @@ def pack_lengths(lengths: dict[int, int], room: int = 2048, work: int = 3_000_00
 
     if not lengths or best_bins == least:
         return best
-    stack.append(options())
+    enter()
     while stack and budget[0] > 0 and best_bins > least:
-        times, bin_ = next(stack[-1], (0, ()))
+        times, bin_ = following()
         if not bin_:
             stack.pop()
             if path:
@@ -277,7 +293,7 @@ def pack_lengths(lengths: dict[int, int], room: int = 2048, work: int = 3_000_00
                 best, best_bins = list(path), last
             apply(*path.pop(), -1)
             continue
-        stack.append(options())
+        enter()
     return best
 
 

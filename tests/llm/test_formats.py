@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -198,6 +199,21 @@ def test_search_beats_best_fit_where_it_can():
     assert better > 0
 
 
+def test_search_holds_the_fillings_of_few_levels():
+    """A plan of 2,000 lengths once left 300 MB in the driver; letting levels go changes no plan."""
+    rng = random.Random(2)
+    items = Counter(rng.randint(30, 1500) for _ in range(20_000))
+    tracemalloc.start()
+    plan = packing.pack_lengths(items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    assert plan == packing.pack_lengths(items, held=10**9)
+    for _ in range(20):
+        items = Counter(rng.randint(5, 60) for _ in range(60))
+        assert packing.pack_lengths(items, 100, 50_000, held=2) == packing.pack_lengths(items, 100, 50_000, held=10**9)
+
+
 def test_dominance():
     assert packing._dominates((5,), (3, 2)) and not packing._dominates((3, 2), (5,))
     assert packing._dominates((4, 3), (2, 2, 3)) and not packing._dominates((4, 3), (3, 2, 2, 1))
