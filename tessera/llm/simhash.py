@@ -1,13 +1,18 @@
-"""SimHash near-dedup with a covering locality-sensitive hash.
+"""SimHash near-dedup: by few bits with a covering locality-sensitive hash, by similarity with tables of wider fingerprints.
 
-Every distinct 64-bit fingerprint is masked by the 15 words of a covering code of radius 3: bit i belongs to mask v
+simhash_dedup: every distinct 64-bit fingerprint is masked by the 15 words of a covering code of radius 3: bit i belongs to mask v
 if the inner product over GF(2) of v and a fixed nonzero 4-bit label of i is one. Up to three differing bits span at
 most three of four dimensions, so some v is orthogonal to all their labels: its mask hides every differing bit and the
 pair shares that table's key. Recall is therefore 1, and candidates are checked on all 64 bits.
+
+near_dedup: fingerprints of 256 bits meet in 48 tables of eight bits (`wide_links`), links are checked on the texts.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import product
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -211,31 +216,141 @@ def _node(shingles: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(shingles.tobytes()) if len(shingles) else 0
 
 
-def _band_batches(shingle: int, bands: int, per_band: int):
-    """Rows (id, h, text) to (id, h, node, size, fp, keys): node is a hash of the set of shingles, keys of its minima."""
-    rng = np.random.default_rng(7)
-    flip, times = rng.integers(0, 1 << 64, (2, bands * per_band), np.uint64)
-    times |= np.uint64(1)
+#: 64-bit words of the fingerprint by which near_dedup searches.
+_WIDE = ["fp", "fp1", "fp2", "fp3"]
+#: The masks of its tables on each word: the eight bytes, then every eighth bit from the first four on.
+_WIDE_MASKS = [255 << 8 * i for i in range(8)] + [0x0101010101010101 << i for i in range(4)]
+#: Share of the bits that agree at a similarity of 0.8.
+_AGREE = 0.8485
+
+
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k-th 64 bits of each shingle; the first are its hash, others are drawn from it (SplitMix64)."""
+    if not k:
+        return hashes
+    x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def wide_fingerprint(shingles: np.ndarray) -> list[int]:
+    """SimHash of a set of shingle hashes in four words of 64 bits."""
+    return [_majority([_mixed(shingles, k)]) for k in range(len(_WIDE))]
+
+
+def _wide_batches(shingle: int):
+    """Rows (id, h, text) to (id, h, node, size, words of the fingerprint): node is a hash of the set of shingles."""
 
     def describe(text: bytes | None):
         found = _shingle_set(text, shingle)
-        least = np.full(bands * per_band, np.uint64((1 << 64) - 1))
-        for at in range(0, len(found), 512):
-            least = np.minimum(least, ((found[at : at + 512, None] ^ flip) * times).min(axis=0))
-        keys = [xxhash.xxh64_intdigest(m.tobytes(), t) for t, m in enumerate(least.reshape(bands, per_band))] if len(found) else []
-        return _node(found), len(found), _majority([found]), np.array(keys, np.uint64).view(np.int64)
+        return _node(found), len(found), *wide_fingerprint(found)
 
     def run(batches):
         for whole in batches:
             for batch in text_slices(whole, 2):
-                node, size, fp, keys = zip(*map(describe, batch.column(2).to_pylist()), strict=True)
-                longs = (pa.array(np.array(c, np.uint64).view(np.int64)) for c in (node, size, fp))
-                arrays = [*batch.columns[:2], *longs, pa.array(list(keys), pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "h", "node", "size", "fp", "keys"])
+                cols = zip(*map(describe, batch.column(2).to_pylist()), strict=True)
+                longs = (pa.array(np.array(c, np.uint64).view(np.int64)) for c in cols)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], *longs], names=["id", "h", "node", "size", *_WIDE])
+
+    return run
+
+
+def _near_prints(prints: np.ndarray, reach: int, small: int = 1024, tile: int = 128) -> np.ndarray:
+    """For each column of `prints` (words x n) the smallest column that it reaches by links of `reach` or fewer bits.
+
+    Up to `small` columns are compared with one another. More are dealt to buckets by further bits, drawn again and again, so
+    that a pair at 0.8 is missed once in 200 times. Columns that are connected already are not compared.
+    """
+    n = prints.shape[1]
+    low = np.arange(n)
+
+    def compare(rest: np.ndarray) -> None:
+        nonlocal low
+        while len(rest) > 1:
+            a, b = rest[:tile], rest
+            if (low[a] == low[a[0]]).all():
+                b = rest[low[rest] != low[a[0]]]
+            for lo in range(0, len(b), 8 * tile):
+                c = b[lo : lo + 8 * tile]
+                # half of the words leave few pairs open
+                bits = np.bitwise_count(prints[0][a][:, None] ^ prints[0][c])
+                bits += np.bitwise_count(prints[1][a][:, None] ^ prints[1][c])
+                i, j = np.divmod(np.flatnonzero(bits <= reach // 2 + 10), len(c))
+                i, j = a[i], c[j]
+                open_ = low[i] != low[j]
+                i, j = i[open_], j[open_]
+                linked = np.bitwise_count(prints[:, i] ^ prints[:, j]).sum(axis=0, dtype=np.int64) <= reach
+                if linked.any():
+                    low = spanning(np.concatenate([i[linked], np.arange(n)]), np.concatenate([j[linked], low]), n)
+            rest = rest[tile:]
+            rest = rest[np.argsort(low[rest], kind="stable")]
+
+    if n <= small:
+        compare(np.arange(n))
+        return low
+    more = math.ceil(math.log2(n / small))
+    for k in range(math.ceil(math.log(200) / -math.log1p(-(_AGREE**more)))):
+        key = np.zeros(n, np.int64)
+        for bit in np.random.default_rng(k).choice(64 * len(prints), more, replace=False).tolist():
+            key = key * 2 + (prints[bit // 64] >> np.uint64(bit % 64) & np.uint64(1)).astype(np.int64)
+        order = np.argsort(key, kind="stable")
+        for bucket in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
+            compare(bucket)
+    return low
+
+
+def _wide_link_batches(reach: int):
+    """Over rows (cell, words) sorted by cell: spanning links between the first words of each cell's fingerprints."""
+
+    def links(rows: np.ndarray) -> pa.RecordBatch:
+        low = _near_prints(rows[1:].view(np.uint64), reach)
+        own = low != np.arange(len(low))
+        return pa.RecordBatch.from_arrays([pa.array(rows[1][own]), pa.array(rows[1][low[own]])], names=["u", "v"])
+
+    def run(batches):
+        held: list[np.ndarray] = []
+        for batch in batches:
+            rows = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            cuts = (np.flatnonzero(np.diff(rows[0])) + 1).tolist()
+            for lo, hi in zip([0, *cuts], [*cuts, rows.shape[1]]):
+                if lo == hi:
+                    continue
+                if held and held[-1][0, 0] != rows[0, lo]:
+                    yield links(np.concatenate(held, axis=1))
+                    held = []
+                held.append(rows[:, lo:hi])
+        if held:
+            yield links(np.concatenate(held, axis=1))
 
     return run
 
 
+def wide_links(prints: DataFrame, reach: int = 72, block: int = 1 << 16) -> DataFrame:
+    """Links (u, v) between the first words `fp` of distinct fingerprints (columns _WIDE) that connect those at `reach` or
+    fewer differing bits which share a table.
+
+    48 tables each take eight bits of the fingerprint. At a similarity of 0.8 a bit agrees with 0.8485, eight bits with 0.27,
+    so a pair shares no table once in three million times (sets of four and five shingles, the worst case: 0.8125, once in
+    25,000); 39 of 256 bits differ, 48 for those, while unrelated ones differ in 128 (deviation 8). A bucket of more than
+    `block` fingerprints is dealt in cells of two blocks, which grow with the root of their number; a cell gives a forest.
+    """
+    masks = [m - (1 << 64) if m >> 63 else m for m in _WIDE_MASKS]
+    tables = [F.struct(F.lit(t).alias("t"), F.col(w).bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, (w, m) in enumerate(product(_WIDE, masks))]
+    keyed = prints.select(*_WIDE, F.explode(F.array(*tables)).alias("k")).select(*_WIDE, "k.t", "k.key")
+    # at most 256 keys a table
+    sizes = save(keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    blocks = F.ceil(F.sqrt(F.col("n") / block)).cast("int")
+    cells = (
+        keyed.join(F.broadcast(sizes.select("t", "key", blocks.alias("blocks"))), ["t", "key"])
+        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .select(F.xxhash64("t", "key", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), *_WIDE)
+    )
+    dealt = cells.repartition("cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(_wide_link_batches(reach), "u long, v long")
+
+
 def _set_batches(shingle: int, room: int = 1 << 19):
     """Rows (node, text) to (node, set of shingle hashes); a batch holds one set or about `room` hashes."""
 
@@ -363,8 +478,6 @@ def near_dedup(
     text_col: str = "text",
     shingle: int = 5,
     similarity: float = 0.8,
-    bands: int = 24,
-    per_band: int = 4,
     reach: int = 28,
     block: int = 512,
     room: int = 2_000_000,
@@ -372,15 +485,15 @@ def near_dedup(
     """Rows as simhash_dedup gives them, with links between texts whose sets of word shingles have a Jaccard similarity
     of `similarity` or more. Every link is checked on the sets; a component is what such links connect.
 
-    64 SimHash bits cannot index 0.8 (about 10 bits differ), so candidates share one of `bands` keys, each over
-    per_band minima of hashes, and differ in at most `reach` SimHash bits (of the set, repeats count once). At 0.8 a
-    pair is missed by the keys once in 300,000 times, and less often by the bits; every pair of a key's texts is
-    compared, but for pairs that are connected already. First each text meets the smallest and the largest of each
-    key, which connects most of a large group with few pairs. What is left of a key is compared in cells of two blocks
-    that give spanning links, never pairs: the texts outside the key's largest root with one another and with those of
+    SimHash finds the candidates: fingerprints of 256 bits, of which 39 differ at 0.8, meet in tables of eight bits and
+    are linked at 72 or fewer (`wide_links`; what that misses is said there). What such links connect is a group, and the
+    Jaccard similarity of every pair of a group's texts is checked where `reach` or fewer of the first 64 bits differ, but for
+    pairs that are connected already. First each text meets the smallest and the largest of its group, which connects most of
+    a large group with few pairs. What is left of a group is compared in cells of two blocks
+    that give spanning links, never pairs: the texts outside the group's largest root with one another and with those of
     that root, which need no comparing among themselves. Blocks grow with the root of their number (from `block` texts
-    on), so that the sets dealt to cells grow with the power 1.5 of a key and not with its square, up to `room` shingles a
-    block, which bounds a task's memory; a key beyond room * room / block shingles is dealt in more blocks of that size.
+    on), so that the sets dealt to cells grow with the power 1.5 of a group and not with its square, up to `room` shingles a
+    block, which bounds a task's memory; a group beyond room * room / block shingles is dealt in more blocks of that size.
 
     Texts with equal sets (those without words too) are one node. Null ids, repeated rows and other columns are treated
     as by simhash_dedup.
@@ -388,16 +501,17 @@ def near_dedup(
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).cast("binary").alias("text")
     )
-    found = rows.mapInArrow(_band_batches(shingle, bands, per_band), "id long, h long, node long, size long, fp long, keys array<long>")
-    found = save(found, "bands")
-    nodes = found.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("rep"), F.min("h").alias("any_h"))
+    words = ", ".join(f"{w} long" for w in _WIDE)
+    found = save(rows.mapInArrow(_wide_batches(shingle), f"id long, h long, node long, size long, {words}"), "prints")
+    nodes = found.groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("rep"), F.min("h").alias("any_h"), *[F.min(c).alias(c) for c in ("size", *_WIDE)])
     nodes = save(nodes, "nodes")
-    keyed = found.select("node", "size", "fp", F.explode("keys").alias("key"))
+    stars = star_components(wide_links(nodes.where("size > 0").select(*_WIDE).distinct()))
+    keyed = nodes.where("size > 0").join(stars.withColumnRenamed("node", "fp"), "fp", "left").select("node", "size", "fp", F.coalesce("component", "fp").alias("key"))
     end = F.struct("node", "size", "fp")
-    # written out, so that a hot key's join can be split
+    # written out, so that a hot group's join can be split
     groups = keyed.groupBy("key").agg(F.min(end).alias("lo"), F.max(end).alias("hi")).where("lo.node <> hi.node")
     groups = save(groups, "groups")
-    keyed = save(keyed.join(groups.select("key"), "key", "left_semi").distinct(), "keyed")
+    keyed = save(keyed.join(groups.select("key"), "key", "left_semi"), "keyed")
     met = keyed.join(groups, "key").select("node", "size", "fp", F.explode(F.array("lo", "hi")).alias("o")).where("node <> o.node")
     met = met.where(F.least("size", "o.size") >= similarity * F.greatest("size", "o.size"))
     met = met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("o.fp"))) <= reach)

@@ -5,6 +5,7 @@ import math
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -146,6 +147,40 @@ def test_near_dedup_links_like_brute_force(spark):
     assert simhash.near_dedup(frame.where("false")).count() == 0
 
 
+def test_near_candidates_are_simhash_neighbours(spark):
+    """Near-dedup takes its candidates from SimHash tables: those that differ in 72 of 256 bits or fewer, in buckets cut into blocks too."""
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(150):
+        base = rng.integers(0, 1 << 63, int(rng.choice([5, 9, 90])), np.uint64)
+        copy = base.copy()
+        copy[: len(base) // 9] = rng.integers(0, 1 << 63, len(base) // 9, np.uint64)
+        sets += [base, copy if len(base) > 5 else base[:4]]
+    prints = [simhash.wide_fingerprint(s) for s in sets]
+    bits = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(a, b, strict=True))
+    assert all(bits(a, b) <= 72 for a, b in zip(prints[::2], prints[1::2], strict=True))  # similarity 0.8 each
+    n = range(len(prints))
+    want = components(list(n), [(i, j) for i in n for j in n if i < j and bits(prints[i], prints[j]) <= 72])
+    groups = lambda root: sorted(sorted(i for i in n if root[i] == r) for r in set(root.values()))
+    frame = spark.createDataFrame(np.array(prints, np.uint64).view(np.int64).tolist(), ", ".join(f"{w} long" for w in simhash._WIDE))
+    signed = np.array(prints, np.uint64).view(np.int64)[:, 0].tolist()
+    for block in (3, 1 << 16):
+        stars = {r.node: r.component for r in common.star_components(simhash.wide_links(frame, block=block)).collect()}
+        assert groups({i: stars.get(signed[i], signed[i]) for i in n}) == groups(want)
+
+
+def test_simhash_search_of_a_large_cell_and_of_a_hot_group():
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 1 << 63, (4, 5000), np.uint64)
+    near = lambda count, share: np.packbits((rng.random((4, count, 64)) < share).astype(np.uint8), axis=2, bitorder="little").view(np.uint64)[:, :, 0]
+    prints[:, 1:1000:2] = prints[:, :1000:2] ^ near(500, 0.1515)
+    prints[:, 3000:] = prints[:, 3000:3001] ^ near(2000, 0.03)
+    low = simhash._near_prints(prints, 72)
+    assert (low[1:1000:2] == low[:1000:2]).sum() >= 490  # one in 200 is missed, for other tables to find
+    assert (low[1000:3000] == np.arange(1000, 3000)).all() and (low[3000:] == 3000).all()
+    assert (simhash._near_prints(prints, 72, small=1 << 20)[1:1000:2] == np.arange(0, 1000, 2)).all()
+
+
 def test_simhash_blocks_of_a_full_bucket_lose_nothing(spark):
     rng = random.Random(5)
     centre = rng.getrandbits(63)
