@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from itertools import count
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.sweep import carried, swept
 from tessera.sources.shared import save
 
 
@@ -148,28 +150,76 @@ def greedy_selection(nodes: DataFrame, graph: str, cap: float) -> DataFrame:
     chosen, so a graph with nodes has one at least. Ancestors that are no nodes are ignored.
 
     The sequential rule in rounds for all graphs at a time: a node before which no undecided node can bar it is chosen, and
-    bars its ancestors behind it. Sums up to the cap go by a sweep; no graph meets in one task.
+    bars its ancestors behind it. Only nodes with an ancestor that is a node, and these, take part in rounds; what is
+    shuffled to find them is a hash and a row number for each ancestor. One range sort deals the chosen to tasks, which add
+    up their parts; totals of the parts give the rest. No graph meets in one task.
     """
     zero = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     share = zero("share") if "share" in nodes.columns else F.lit(0.0)
-    rank = F.struct((-zero("depth")).alias("d"), (-share).alias("s"), (-zero("mass")).alias("m"), F.col("node").alias("n"))
-    ranked = save(nodes.select(graph, "node", zero("mass").alias("mass"), rank.alias("rank"), "ancestors"), "candidates")
-    bars = ranked.select(graph, "node", "rank", F.explode("ancestors").alias("barred")).join(ranked.select(graph, F.col("node").alias("barred"), F.col("rank").alias("_behind")), [graph, "barred"])
-    bars = save(bars.where("rank < _behind").select(graph, "node", "barred").distinct(), "bars")
-    left, chosen = ranked.select(graph, "node"), None
+    key = lambda c: F.xxhash64(graph, F.col(c).cast("string"))
+    order = ["_d", "_s", "_m", "node"]
+    ranked = nodes.select(graph, "node", zero("mass").alias("mass"), (-zero("depth")).alias("_d"), (-share).alias("_s"), (-zero("mass")).alias("_m"), "ancestors")
+    ranked = save(ranked.withColumn("_at", F.monotonically_increasing_id()), "candidates")
+    named = ranked.where(F.col(graph).isNotNull() & F.col("node").isNotNull())
+    above = named.select(F.col("_at").alias("_from"), graph, F.explode("ancestors").alias("barred")).where("barred is not null")
+    pairs = above.select("_from", key("barred").alias("_key")).join(named.select(F.col("_at").alias("_to"), key("node").alias("_key")), "_key")
+    pairs = save(pairs.select("_from", "_to").distinct(), "pairs")
+    ids = save(pairs.select(F.col("_from").alias("_at")).union(pairs.select("_to")).distinct(), "ids")
+    bound = save(named.join(_bounded(ids), "_at", "left_semi"), "bound")
+    # names as well, since hashes may collide
+    end = lambda name: bound.select(F.col("_at").alias(name), F.struct(graph, "node", "ancestors", F.struct(*order).alias("rank")).alias(f"{name}_end"))
+    bars = pairs.join(end("_from"), "_from").join(end("_to"), "_to").where(F.col(f"_from_end.{graph}") == F.col(f"_to_end.{graph}"))
+    bars = save(bars.where("array_contains(_from_end.ancestors, _to_end.node) and _from_end.rank < _to_end.rank").select("_from", "_to"), "bars")
+    left, refused = bound.select("_at"), None
     while True:
-        free = save(left.join(bars.select(graph, F.col("barred").alias("node")), [graph, "node"], "left_anti"), "chosen")
+        free = save(left.join(bars.select(F.col("_to").alias("_at")), "_at", "left_anti"), "chosen")
         if free.isEmpty():
             break
-        chosen = free if chosen is None else chosen.unionByName(free)
-        out = bars.join(free, [graph, "node"], "left_semi").select(graph, F.col("barred").alias("node")).unionByName(free)
-        left = save(left.join(out, [graph, "node"], "left_anti"), "undecided")
-        bars = bars.join(left, [graph, "node"], "left_semi").join(left.select(graph, F.col("node").alias("barred")), [graph, "barred"], "left_semi")
+        barred = save(bars.join(free.select(F.col("_at").alias("_from")), "_from", "left_semi").select(F.col("_to").alias("_at")).distinct(), "barred")
+        refused = barred if refused is None else refused.unionByName(barred)
+        left = save(left.join(free.unionByName(barred), "_at", "left_anti"), "undecided")
+        bars = bars.join(left.select(F.col("_at").alias("_from")), "_from", "left_semi").join(left.select(F.col("_at").alias("_to")), "_to", "left_semi")
         bars = save(bars, "bars")
-    if chosen is None:
-        return ranked.select(graph, "node")
+    chosen = named if refused is None else named.join(_bounded(save(refused, "refused")), "_at", "left_anti")
+    dealt = chosen.select(graph, *order, "mass").repartitionByRange(graph, *order).sortWithinPartitions(graph, *order)
+    dealt = dealt.select(graph, "node", "mass", F.xxhash64(graph).alias("_g"))
+    kinds = {f.name: f.dataType.simpleString() for f in dealt.schema}
+    rows = save(dealt.mapInArrow(_running_batches, f"`{graph}` {kinds[graph]}, node {kinds['node']}, _part int, _row int, _mass double, _most double"), "running")
+    parts = rows.groupBy(graph, "_part").agg(F.max_by("_mass", "_row").alias("_sum"), F.max("_mass").alias("_top"))
+    before = Window.partitionBy(graph).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0.0))).withColumn("_full", F.max(F.col("_base") + F.col("_top")).over(before))
     caps = ranked.groupBy(graph).agg((F.sum("mass") * cap - 1e-12).alias("_cap"))
-    rows = swept(ranked.drop("ancestors").join(chosen, [graph, "node"]).join(caps, graph), [graph], ["rank"])
-    rows = carried(rows, {"_mass": ("sum", F.col("mass"))})
-    rows = carried(rows, {"_most": ("max", F.col("_mass"))}, behind=True)
-    return rows.where("_most is null or _most < _cap").select(graph, "node")
+    parts = save(parts.join(caps, graph).where("_full is null or _full < _cap").select(graph, "_part", "_base", "_cap"), "parts")
+    return rows.join(_bounded(parts), [graph, "_part"]).where("_most is null or _base + _most < _cap").select(graph, "node")
+
+
+#: Up to so many rows of a few numbers are broadcast.
+BROADCAST_ROWS = 2_000_000
+
+
+def _bounded(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _running_batches(batches):
+    """Over sorted rows (graph, node, mass, _g) of a task: the running mass of each graph, and its largest value before the row."""
+    part, row, last, total, most = TaskContext.get().partitionId(), 0, None, 0.0, None
+    for batch in batches:
+        n, g, mass = batch.num_rows, batch.column(3).to_numpy(), batch.column(2).to_numpy().copy()
+        upto, first = np.empty(n), np.zeros(n, bool)
+        cuts = (np.flatnonzero(np.diff(g)) + 1).tolist()
+        for lo, hi in zip([0, *cuts], [*cuts, n]):
+            if lo == hi:
+                continue
+            new = g[lo] != last
+            if not new:
+                mass[lo] += total
+            running = np.cumsum(mass[lo:hi])
+            highest = np.maximum.accumulate(running if new else np.maximum(running, most))
+            first[lo], upto[lo], upto[lo + 1 : hi] = new, 0.0 if new else most, highest[:-1]
+            mass[lo:hi] = running
+            last, total, most = g[lo], running[-1], highest[-1]
+        at = pa.array(np.arange(row, row + n), pa.int32())
+        row += n
+        arrays = [*batch.columns[:2], pa.array(np.full(n, part), pa.int32()), at, pa.array(mass), pa.array(upto, mask=first)]
+        yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:2], "_part", "_row", "_mass", "_most"])

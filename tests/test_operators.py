@@ -169,6 +169,18 @@ def test_greedy_selection_equals_the_rule_row_by_row(spark):
     assert graph.greedy_selection(frame.where("false"), "graph", 0.5).count() == 0
 
 
+def test_greedy_selection_rounds_hold_only_nodes_with_ancestors(spark, monkeypatch):
+    """Of 1,000 nodes two are bound to one another; the rounds once wrote all of them."""
+    written = []
+    keep = graph.save
+    monkeypatch.setattr(graph, "save", lambda df, name, *by: written.append((name, keep(df, name, *by))) or written[-1][1])
+    rows = [(i % 3, f"n{i}", i % 5, 1.0, ["gone", "n3"] if i == 9 else None) for i in range(1000)] + [(None, "n3", 0, 1.0, ["n9"]), (0, None, 0, 1.0, [None])]
+    frame = spark.createDataFrame(rows, "graph int, node string, depth int, mass double, ancestors array<string>")
+    got = {(r.graph, r.node) for r in graph.greedy_selection(frame, "graph", 1.0).collect()}
+    assert got == {(i % 3, f"n{i}") for i in range(1000)} - {(0, "n3")}
+    assert max(df.count() for name, df in written if name in ("pairs", "bound", "chosen", "undecided")) <= 2
+
+
 # ---- sweeps ----
 
 
