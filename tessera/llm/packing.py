@@ -5,26 +5,45 @@ from __future__ import annotations
 import bisect
 import math
 import os
+import re
+import string
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER_AZ, save, text_slices
+from tessera.llm.common import save, text_slices
 
-#: Words kept in a Python worker's cache of token ids: the first ones that several places of a group of texts have.
-CACHE_WORDS = 100_000
+#: Words kept in a Python worker's cache of token ids: the first ones that it meets a second time.
+CACHE_WORDS = 200_000
+#: A word is taken as met before by its hash, so that words which stand in one place are not kept.
+_HASHES = 1 << 22
+#: Lower-case Latin letters; a word of these, with or without ASCII punctuation behind, is plain: a pre-token each.
+_LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c.islower())
+_WORD = re.compile(rf"([{_LETTERS}]*)([{re.escape(string.punctuation)}]*)([^ ]*) ")
 _loaded: dict[str, tuple] = {}
 
 
-def _is_plain(word: str) -> int:
-    """The number of pre-tokens (1 or 2) of a lower-case Latin word with at most one stop or comma behind; 0: not one."""
-    core = word[:-1] if word[-1] in ".," else word
-    return (1 + (core is not word)) if core.isalpha() and core.islower() and max(core) < "\u0250" else 0
+def _load(tokenizer_file: str) -> tuple:
+    """The tokenizer; one for plain words; the cache; which ids end a word; hashes of words met before.
+
+    Where the normalizer leaves plain words as they are and none can hold an added token, they go past both.
+    """
+    from tokenizers import Tokenizer
+
+    made = plain = Tokenizer.from_file(tokenizer_file)
+    kept = f"{_LETTERS} {string.punctuation}"
+    added = [_WORD.fullmatch(f"{t.content} ") for t in made.get_added_tokens_decoder().values()]
+    if made.normalizer and made.normalizer.normalize_str(kept) == kept and all(found and found[3] for found in added):
+        plain = Tokenizer(made.model)
+        plain.pre_tokenizer = made.pre_tokenizer
+    ends = np.zeros(made.get_vocab_size(), bool)
+    ends[[i for token, i in made.get_vocab().items() if token.endswith("</w>")]] = True
+    return made, plain, {}, ends, bytearray(_HASHES)
 
 
 def word_ids(tokenizer_file: str) -> Callable[[list[bytes]], list[bytes]]:
@@ -35,20 +54,17 @@ def word_ids(tokenizer_file: str) -> Callable[[list[bytes]], list[bytes]]:
     """
     if tokenizer_file not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        _loaded[tokenizer_file] = _load(tokenizer_file)
+    tokenizer, plain_tokenizer, cache, ends, met = _loaded[tokenizer_file]
 
-        made = Tokenizer.from_file(tokenizer_file)
-        ends = np.zeros(made.get_vocab_size(), bool)
-        ends[[i for token, i in made.get_vocab().items() if token.endswith("</w>")]] = True
-        _loaded[tokenizer_file] = made, ends, {}
-    tokenizer, ends, cache = _loaded[tokenizer_file]
-
-    def together(words: list[str], parts: list[int]) -> list[bytes] | None:
-        coded = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+    def together(words: list[str], parts: list[int]) -> list[bytes]:
+        if not words:
+            return []
+        coded = np.array(plain_tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         stops = np.flatnonzero(ends[coded]) + 1
         last = np.cumsum(parts) - 1
         if len(stops) != last[-1] + 1:
-            return None
+            return alone(words)
         raw, cuts = coded.tobytes(), [0, *(4 * stops[last]).tolist()]
         return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
 
@@ -56,34 +72,45 @@ def word_ids(tokenizer_file: str) -> Callable[[list[bytes]], list[bytes]]:
         return [np.array(c.ids, "<u4").tobytes() for c in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def ids(words: list[bytes]) -> list[bytes]:
-        times = Counter(w for w in words if w not in cache)
-        new = list(times)
-        found = {}
-        for at in range(0, len(new), 1000):
-            plain, parts, odd = [], [], []
-            for raw in new[at : at + 1000]:
-                w = raw.decode("utf-8", "replace")
-                if n := _is_plain(w):
-                    plain.append((raw, w))
-                    parts.append(n)
+        coded = list(map(cache.get, words))
+        new = [i for i, found in enumerate(coded) if found is None]
+        for lo in range(0, len(new), 1000):
+            at = new[lo : lo + 1000]
+            text = b"".join([words[i] + b" " for i in at]).decode("utf-8", "replace")
+            plain, plain_at, parts, odd, odd_at = [], [], [], [], []
+            for i, (letters, marks, rest) in zip(at, _WORD.findall(text), strict=True):
+                if rest or not (letters or marks):
+                    odd.append(letters + marks + rest)
+                    odd_at.append(i)
                 else:
-                    odd.append((raw, w))
-            coded = together([w for _, w in plain], parts) if plain else []
-            if coded is None:
-                coded = alone([w for _, w in plain])
-            found.update(zip([raw for raw, _ in plain], coded, strict=True))
-            found.update(zip([raw for raw, _ in odd], alone([w for _, w in odd]), strict=True))
-        often = [w for w in new if times[w] > 1][: CACHE_WORDS - len(cache)]
-        cache.update((w, found.pop(w)) for w in often)
-        return [cache[w] if w in cache else found[w] for w in words]
+                    plain.append(letters + marks)
+                    plain_at.append(i)
+                    parts.append((letters != "") + (marks != ""))
+            for i, found in zip(plain_at + odd_at, together(plain, parts) + alone(odd), strict=True):
+                coded[i] = found
+        if len(cache) < CACHE_WORDS:
+            for i in new:
+                at = hash(words[i]) % _HASHES
+                if met[at] and len(cache) < CACHE_WORDS:
+                    cache[words[i]] = coded[i]
+                met[at] = 1
+        return coded
 
     return ids
 
 
-def text_words(text: bytes | None) -> list[bytes]:
-    """The words of a text, A-Z lower-cased as the tokenizer does itself; not where a special token may stand."""
-    text = text or b""
-    return (text if b"<|" in text else text.translate(LOWER_AZ)).split()
+def text_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of binary texts, the place among them of every word in turn, and where each text begins in those.
+
+    A-Z are lower-cased, as the tokenizer does itself, but for texts where a special token may stand. White space at an
+    end of a text makes an empty word, which has no ids.
+    """
+    texts = pc.fill_null(texts.cast(pa.binary()), b"")
+    plain = texts.view(pa.string())
+    words = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), plain, pc.ascii_lower(plain)))
+    coded = words.flatten().view(pa.binary()).dictionary_encode()
+    begins = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False), begins
 
 
 def _piece_batches(tokenizer_file: str, room: int, end_id: int):
@@ -93,12 +120,11 @@ def _piece_batches(tokenizer_file: str, room: int, end_id: int):
         ids, end = word_ids(tokenizer_file), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             for part in text_slices(batch, 1):
-                split = [text_words(t) for t in part.column(1).to_pylist()]
-                coded = ids([w for words in split for w in words])
-                whose, rows, base = [], [], 0
-                for row, words in enumerate(split):
-                    stream = b"".join(coded[base : base + len(words)]) + end
-                    base += len(words)
+                words, places, begins = text_words(part.column(1))
+                coded = np.array(ids(words), object)[places].tolist()
+                whose, rows = [], []
+                for row, (first, last) in enumerate(zip(begins, begins[1:])):
+                    stream = b"".join(coded[first:last]) + end
                     for k, lo in enumerate(range(0, len(stream), 4 * room)):
                         chunk = stream[lo : lo + 4 * room]
                         whose.append(row)

@@ -7,6 +7,7 @@ import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -462,3 +463,47 @@ def test_word_ids_are_the_same_with_any_cache(monkeypatch):
         found.append((ids(words), ids(words[::-1])[::-1]))
         assert len(packing._loaded[TOKENIZER][2]) <= room
     assert found[0] == found[1] == found[2] and found[0][0] == found[0][1]
+
+
+def test_words_met_in_two_groups_of_texts_are_coded_twice_at_most(monkeypatch):
+    """Words that stand once in each group of texts were coded anew in each."""
+    monkeypatch.setattr(packing, "_loaded", {})
+    ids = packing.word_ids(TOKENIZER)
+    words = [f"word{'x' * (k % 7)}{chr(97 + k % 26)}{chr(97 + k // 26)}".encode() for k in range(600)]
+    first, second = ids(words), ids(words)
+    assert set(words) <= set(packing._loaded[TOKENIZER][2])
+    assert first == second == ids(words)
+
+
+def test_words_are_coded_as_the_tokenizer_codes_them_alone(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "_loaded", {})
+    whole = Tokenizer.from_file(TOKENIZER)
+    marks = [*map(chr, (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127))), "'s", "''", ".,", "###", "_", "!'", "'"]
+    words = [f"w{c}" for c in map(chr, range(0x20, 0x2A0))] + [c + "e" for c in packing._LETTERS] + [f"don{m}" for m in marks] + marks
+    words += ["Été", "don't", "'tis", "l'eau", "áb", "<|startoftext|>", "a<|", "|>", "<|ENDOFTEXT|>", "x1y", "1.5", "१२", "", "ﬁn", "ⅷ"]
+    raw = [w.encode() for w in words if w == "" or not set(w) & set(" \t\n\v\f\r")] + [b"\xff", b"a\xc3", b"a\xe2\x82", b"\xc3\xa9\x80."]
+    expected = [np.array(whole.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for w in raw]
+    assert packing.word_ids(TOKENIZER)(raw) == expected
+    assert packing._loaded[TOKENIZER][1] is not packing._loaded[TOKENIZER][0]
+
+
+def test_added_tokens_that_are_words_stay_whole(tmp_path, monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "_loaded", {})
+    whole = Tokenizer.from_file(TOKENIZER)
+    whole.add_special_tokens(["sep###"])
+    whole.save(file := str(tmp_path / "t.json"))
+    [coded] = packing.word_ids(file)([b"sep###"])
+    assert coded == np.array([whole.token_to_id("sep###")], "<u4").tobytes()
+
+
+def test_words_of_texts_are_cut_at_ascii_white_space_only():
+    texts = [None, b"", b" \n", b"<|A B|> C", b"\xff A\xc3 z ", *(b"A" + bytes([c]) + b"b A" for c in range(256))]
+    whole = pa.array([b"left out", *texts], pa.binary()).slice(1)
+    words, places, begins = packing.text_words(whole)
+    assert len(set(words)) == len(words) and len(begins) == len(texts) + 1
+    found = [[words[p] for p in places[lo:hi] if words[p]] for lo, hi in zip(begins, begins[1:])]
+    assert found == [((t or b"") if b"<|" in (t or b"") else (t or b"").lower()).split() for t in texts]
