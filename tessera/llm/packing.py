@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from tessera.llm.common import save, text_slices
 
 #: Words kept in a Python worker's cache of token ids: the first ones that it meets a second time.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
+#: Bytes of text coded at a time.
+SLICE_BYTES = 1 << 18
 #: A word is taken as met before by its hash, so that words which stand in one place are not kept.
-_HASHES = 1 << 22
+_HASHES = 1 << 20
 #: Lower-case Latin letters; a word of these, with or without ASCII punctuation behind, is plain: a pre-token each.
 _LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c.islower())
 _WORD = re.compile(rf"([{_LETTERS}]*)([{re.escape(string.punctuation)}]*)([^ ]*) ")
@@ -119,7 +121,7 @@ def _piece_batches(tokenizer_file: str, room: int, end_id: int):
     def run(batches):
         ids, end = word_ids(tokenizer_file), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, SLICE_BYTES):
                 words, places, begins = text_words(part.column(1))
                 coded = np.array(ids(words), object)[places].tolist()
                 whose, rows = [], []
