@@ -329,7 +329,8 @@ EVENT_TYPES = "event_id bigint, ts timestamp, user_id bigint, event_type string,
 
 
 def _moving_stream(spark, d):
-    path, files = shared(spark, "slices"), 2
+    # files of some 125,000 rows, so that writing and reading a slice spreads over tasks
+    path, files = shared(spark, "slices"), max(2, table(spark, d, "events").count() // 500_000)
     for part in _slices(spark, d):
         part.repartition(files).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
     return jobs.json_stream(spark, path, EVENT_TYPES, files)

@@ -124,3 +124,37 @@ def test_a_crash_between_output_and_ledger(spark, tmp_path, by_id):
     once = sorted(i for part in rows for _, i, _ in part)
     assert found == (once if by_id else sorted(once + [i for _, i, _ in rows[1]]))  # at most that batch stands twice
     assert sorted(r.batch for r in sink.ledger(spark).collect()) == [0, 1, 2]
+
+
+def test_state_goes_by_groups_of_keys(spark, tmp_path, monkeypatch):
+    """Many keys in few groups, over a restart: the same rows as row by row, and one open timer a group, not a key."""
+    monkeypatch.setattr(stateful, "KEY_GROUPS", 3)
+    rng = random.Random(9)
+    rows = sorted(((rng.choice([1, rng.randint(0, 60)]), i, rng.randint(0, 500)) for i in range(600)), key=lambda r: r[2])
+    path, age, now = str(tmp_path / "in"), 20, rows[-1][2] - 10
+    types = {"known": "key string, event string, at bigint, id bigint, hits bigint", "paced": "key bigint, id bigint, arrived bigint, released bigint"}
+    for part in (rows[:300], rows[300:]):
+        write(spark, path, part)
+        stream = jobs.json_stream(spark, path, TYPES)
+        frames = {
+            "known": stateful.expiring_keys(stream, F.col("user").cast("string"), "id", "ts", "10 seconds", age * SECOND),
+            "paced": stateful.token_bucket(stream, "user", "id", "ts", "10 seconds", 5, 2 * SECOND, F.col("id") % 3 + 1),
+        }
+        got = {name: finish(spark, frame, str(tmp_path / name), str(tmp_path / f"{name}-state"), types[name])[1] for name, frame in frames.items()}
+    told = []
+    for user in {u for u, _, _ in rows}:
+        until, hits = None, 0
+        for _, ident, at in sorted((r for r in rows if r[0] == user and r[2] <= now), key=lambda r: (r[2], r[1])):
+            if until is not None and at < until:
+                hits += 1
+                continue
+            told += [(str(user), "expired", until, None, hits)] if until is not None else []
+            told.append((str(user), "new", at, ident, 0))
+            until, hits = at + age, 0
+        told += [(str(user), "expired", until, None, hits)] if until is not None and until <= now else []
+    found = [(r.key, r.event, round(seconds(r.at)), r.id, r.hits) for r in got["known"]]
+    assert sorted(map(repr, found)) == sorted(map(repr, told))
+    frame = spark.createDataFrame([(u, i, START + datetime.timedelta(seconds=t)) for u, i, t in rows], TYPES)
+    paced = stateful.paced(frame, "user", "id", "ts", 5, 2 * SECOND, F.col("id") % 3 + 1).collect()
+    assert sorted(map(tuple, got["paced"])) == sorted(tuple(r) for r in paced if seconds(r.released) <= now)
+    assert spark.read.format("statestore").option("stateVarName", "next").load(str(tmp_path / "known-state")).count() <= 3
