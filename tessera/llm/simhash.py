@@ -10,7 +10,6 @@ near_dedup: fingerprints of 256 bits meet in 48 tables of eight bits (`wide_link
 
 from __future__ import annotations
 
-import math
 from itertools import product
 
 import numpy as np
@@ -220,8 +219,6 @@ def _node(shingles: np.ndarray) -> int:
 _WIDE = ["fp", "fp1", "fp2", "fp3"]
 #: The masks of its tables on each word: the eight bytes, then every eighth bit from the first four on.
 _WIDE_MASKS = [255 << 8 * i for i in range(8)] + [0x0101010101010101 << i for i in range(4)]
-#: Share of the bits that agree at a similarity of 0.8.
-_AGREE = 0.8485
 
 
 def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -259,44 +256,36 @@ def _wide_batches(shingle: int):
 def _near_prints(prints: np.ndarray, reach: int, small: int = 1024, tile: int = 128) -> np.ndarray:
     """For each column of `prints` (words x n) the smallest column that it reaches by links of `reach` or fewer bits.
 
-    Up to `small` columns are compared with one another. More are dealt to buckets by further bits, drawn again and again, so
-    that a pair at 0.8 is missed once in 200 times. Columns that are connected already are not compared.
+    Exact: every pair is compared, `tile` columns with `small` others at a time, but for those that are connected already.
+    The work grows with the square of n, the memory with n.
     """
     n = prints.shape[1]
     low = np.arange(n)
-
-    def compare(rest: np.ndarray) -> None:
-        nonlocal low
-        while len(rest) > 1:
-            a, b = rest[:tile], rest
-            if (low[a] == low[a[0]]).all():
-                b = rest[low[rest] != low[a[0]]]
-            for lo in range(0, len(b), 8 * tile):
-                c = b[lo : lo + 8 * tile]
-                # half of the words leave few pairs open
-                bits = np.bitwise_count(prints[0][a][:, None] ^ prints[0][c])
-                bits += np.bitwise_count(prints[1][a][:, None] ^ prints[1][c])
-                i, j = np.divmod(np.flatnonzero(bits <= reach // 2 + 10), len(c))
-                i, j = a[i], c[j]
-                open_ = low[i] != low[j]
-                i, j = i[open_], j[open_]
-                linked = np.bitwise_count(prints[:, i] ^ prints[:, j]).sum(axis=0, dtype=np.int64) <= reach
-                if linked.any():
-                    low = spanning(np.concatenate([i[linked], np.arange(n)]), np.concatenate([j[linked], low]), n)
-            rest = rest[tile:]
+    rest = low
+    while len(rest) > 1:
+        before, a, b = low, rest[:tile], rest
+        if (low[a] == low[a[0]]).all():
+            b = rest[low[rest] != low[a[0]]]
+        for lo in range(0, len(b), small):
+            c = b[lo : lo + small]
+            # no pair has more bits in some of the words than in all; all but the last leave few unlike pairs open
+            bits = np.bitwise_count(prints[0][a][:, None] ^ prints[0][c])
+            for word in prints[1:-1]:
+                bits += np.bitwise_count(word[a][:, None] ^ word[c])
+            i, j = np.divmod(np.flatnonzero(bits <= reach), len(c))
+            i, j = a[i], c[j]
+            open_ = low[i] != low[j]
+            i, j = i[open_], j[open_]
+            linked = np.bitwise_count(prints[:, i] ^ prints[:, j]).sum(axis=0, dtype=np.int64) <= reach
+            if linked.any():
+                roots, at = np.unique(low[np.stack([i[linked], j[linked]])], return_inverse=True)
+                at = at.reshape(2, -1)
+                joined = np.arange(n)
+                joined[roots] = roots[spanning(at[0], at[1], len(roots))]
+                low = joined[low]
+        rest = rest[tile:]
+        if low is not before:
             rest = rest[np.argsort(low[rest], kind="stable")]
-
-    if n <= small:
-        compare(np.arange(n))
-        return low
-    more = math.ceil(math.log2(n / small))
-    for k in range(math.ceil(math.log(200) / -math.log1p(-(_AGREE**more)))):
-        key = np.zeros(n, np.int64)
-        for bit in np.random.default_rng(k).choice(64 * len(prints), more, replace=False).tolist():
-            key = key * 2 + (prints[bit // 64] >> np.uint64(bit % 64) & np.uint64(1)).astype(np.int64)
-        order = np.argsort(key, kind="stable")
-        for bucket in np.split(order, np.flatnonzero(np.diff(key[order])) + 1):
-            compare(bucket)
     return low
 
 

@@ -181,6 +181,23 @@ def test_simhash_search_of_a_large_cell_and_of_a_hot_group():
     assert (simhash._near_prints(prints, 72, small=1 << 20)[1:1000:2] == np.arange(0, 1000, 2)).all()
 
 
+def test_simhash_search_of_a_large_cell_leaves_no_pair_out():
+    """Pairs at the very limit, all their bits in few words or spread, in cells larger than what is compared at once."""
+    rng = np.random.default_rng(8)
+    prints = rng.integers(0, 1 << 63, (4, 3000), np.uint64)
+    for i in range(0, 1200, 2):
+        flip = np.zeros(256, np.uint8)
+        flip[np.arange(72) if i % 4 else rng.choice(256, 72 + i % 8 // 4, replace=False)] = 1  # every other spread one has 73 bits
+        prints[:, i + 1] = prints[:, i] ^ np.packbits(flip, bitorder="little").view(np.uint64)
+    low = simhash._near_prints(prints, 72)
+    bits = np.zeros((3000, 3000), np.int64)
+    for word in prints:
+        bits += np.bitwise_count(word[:, None] ^ word)
+    links = [(int(i), int(j)) for i, j in zip(*np.nonzero(np.triu(bits <= 72, 1)), strict=True)]
+    assert 300 <= len(links) < 600
+    assert low.tolist() == list(components(list(range(3000)), [(j, i) for i, j in links]).values())
+
+
 def test_simhash_blocks_of_a_full_bucket_lose_nothing(spark):
     rng = random.Random(5)
     centre = rng.getrandbits(63)
